@@ -1,0 +1,21 @@
+"""Folders that every executor can reach."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below ``spark.checkpoint.dir``.
+
+    Only a local session that names no such folder gets a temporary one.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        base = tempfile.mkdtemp(prefix="streamlookup-")
+    return f"{base.rstrip('/')}/streamlookup/{name}-{uuid.uuid4().hex}"
