@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: epoch milliseconds reported for elements outside any window.
 # It lies far beyond the TIMESTAMP range, so it only ever exists as a BIGINT.
@@ -42,8 +43,12 @@ def output_millis(ts: Column | str, size: str | None) -> Column:
 
 
 def with_window(df: DataFrame, ts: str, size: str, into: str = "window") -> DataFrame:
-    """Add the tumbling window (struct of ``start`` and ``end``) of every row."""
-    return df.withColumn(into, F.window(F.col(ts).cast("timestamp"), size))
+    """Add the tumbling window (struct of ``start`` and ``end``) of every row.
+
+    A TIMESTAMP column is used as it is: a cast would lose its watermark.
+    """
+    instant = isinstance(df.schema[ts].dataType, T.TimestampType)
+    return df.withColumn(into, F.window(F.col(ts) if instant else F.col(ts).cast("timestamp"), size))
 
 
 def in_window(df: DataFrame, start: Column, window: str = "window") -> DataFrame:

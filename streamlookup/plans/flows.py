@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlookup.functions.eventtime import output_millis, window_end_millis
+from streamlookup.functions.eventtime import output_millis, window_end_millis, with_window
 from streamlookup.functions.messages import fields_json, numbers_as_double, put_fields, quoted
 from streamlookup.functions.urls import url_host
 from streamlookup.operators.latest import latest_per_key
@@ -104,7 +104,7 @@ def lookup_compose(
     if emit == "on_window_close":
         events = hold_until_close(events, ts, window, window="__window")
     elif window is not None:
-        events = events.withColumn("__window", F.window(F.col(ts).cast("timestamp"), window))
+        events = with_window(events, ts, window, into="__window")
     if window is None:
         stamp = output_millis(ts, None)
     else:
