@@ -12,14 +12,25 @@ SCHEMES = ("http", "https", "ftp", "file", "mailto")
 # Characters removed from both ends before parsing: blank and control characters.
 _BLANKS = "".join(chr(c) for c in range(33))
 
-# An authority is either one with several '@' (then the host is empty) or
-# [user-info@]host[:port]; a URL without '//' has an empty host.
-_AUTHORITY = (
-    r"//(?:[^/?#@]*@[^/?#@]*@[^/?#]*"
-    r"|(?:[^/?#@]*@)?(\[[0-9a-f:.]+(?:%[^\]/?#]*)?\]|[^\[/?#:@][^/?#:@]*|)(?::\d*)?)"
-    r"(?=[/?#]|\z)"
+# The patterns are possessive: a URL is scanned once, without going back.
+_SCHEME = rf"(?i:url:)?+(?i:{'|'.join(SCHEMES)}):"
+_USER = r"(?:[^/?#@]*+@)?+"
+_PORT = r"(?::\d*+)?+"
+_IPV6 = r"\[[0-9A-Fa-f:.]++(?:%[^\]/?#]*+)?+\]"
+
+# Nearly all URLs: a host without blanks. No match, and no host, is left to the
+# full pattern, which needs the text trimmed.
+_PLAIN = (
+    rf"^[\x00-\x20]*+{_SCHEME}//{_USER}({_IPV6}|[^\[/?#:@\x00-\x20][^/?#:@\x00-\x20]*+){_PORT}"
+    r"(?=[/?#]|[\x00-\x20]*+\z)"
+)
+
+# After '//' either [user-info@]host[:port], or text with several '@' (then the
+# host is empty); a URL without '//' has an empty host as well.
+_FULL = (
+    rf"^{_SCHEME}(?://(?:{_USER}({_IPV6}|[^\[/?#:@][^/?#:@]*+|){_PORT}(?=[/?#]|\z)"
+    r"|[^/?#@]*+@[^/?#@]*+@[^/?#]*+)|(?!//))"
 )
-LENIENT_URL = rf"(?i)^(?:url:)?(?:{'|'.join(SCHEMES)}):(?:{_AUTHORITY}|(?!//))"
 
 MODES = ("lenient", "strict")
 
@@ -28,6 +39,13 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _lenient_host(url: Column) -> Column:
+    trimmed = F.btrim(url, F.lit(_BLANKS))
+    rare = F.when(trimmed.rlike(_FULL), F.regexp_extract(trimmed, _FULL, 1))
+    # nullif evaluates its argument once, unlike a comparison with ''.
+    return F.coalesce(F.nullif(F.regexp_extract(url, _PLAIN, 1), F.lit("")), rare)
+
+
 def url_host(url: Column | str, mode: str = "lenient", on_invalid: str = "fail") -> Column:
     """Host of a URL, verbatim: case and ``www.`` kept, port and user-info removed.
 
@@ -39,16 +57,14 @@ def url_host(url: Column | str, mode: str = "lenient", on_invalid: str = "fail")
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     url = _column(url)
-    if mode == "strict":
-        host = F.try_parse_url(url, F.lit("HOST"))
-    else:
-        text = F.btrim(url, F.lit(_BLANKS))
-        host = F.when(text.rlike(LENIENT_URL), F.regexp_extract(text, LENIENT_URL, 1))
+    host = _lenient_host(url) if mode == "lenient" else F.try_parse_url(url, F.lit("HOST"))
     if on_invalid == "null":
         return host
     if on_invalid == "fail":
         message = F.concat(F.lit("invalid URL: "), F.coalesce(url, F.lit("NULL")))
-        return F.coalesce(host, F.raise_error(message).cast("string"))
+        # The last, never reached value makes the host non-nullable: a join on it
+        # needs no null filter, which would work out the host a second time.
+        return F.coalesce(host, F.raise_error(message).cast("string"), F.lit(""))
     raise ValueError(f"on_invalid must be 'fail' or 'null', got {on_invalid!r}")
 
 

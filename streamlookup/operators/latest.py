@@ -19,8 +19,9 @@ def latest_per_key(
     """The row with the greatest ``ts`` of each key; ties go to the greatest
     ``tie_break`` values.
 
-    Each task keeps one row per key before anything is shuffled. On a stream
-    put a window column among the keys and a watermark on ``ts``.
+    Each task keeps one row per key before anything is shuffled. All columns
+    handed in are read and carried along, so select the needed ones first. On a
+    stream put a window column among the keys and a watermark on ``ts``.
     """
     others = [c for c in df.columns if c not in keys]
     order = F.struct(*[quoted(c) for c in [ts, *tie_break]])

@@ -9,8 +9,8 @@ Strategies
     ``auto``   batch: measure the table, then broadcast it or use ``merge``.
                Stream: left to Spark, which decides anew in every micro-batch.
     ``merge``  sort-merge join; adaptive execution splits hot keys
-    ``keys``   read only the rows that the events' distinct keys refer to, then
-               as ``auto``; for tables far larger than what one input refers to
+    ``keys``   batch: read only the rows that the events' distinct keys refer to,
+               then as ``auto``; for tables far larger than what one input uses
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from streamlookup.functions.messages import quoted, reject_duplicates
 from streamlookup.operators.grouping import group_values
 from streamlookup.operators.sizing import BROADCAST_LIMIT, measured_bytes
 from streamlookup.operators.skew import LIST_LIMIT
+from streamlookup.sources.shared import written
 
 MATCHES = ("inner", "exactly_one", "collect")
 STRATEGIES = ("auto", "merge", "keys")
@@ -34,10 +35,14 @@ STRATEGIES = ("auto", "merge", "keys")
 # keys the table is reduced by a semi-join.
 IN_LIST_LIMIT = 1_000
 
+# Repeated keys of a table that may pass through the driver to be broadcast.
+REPEATED_KEYS_LIMIT = 10_000
+
 _KEY = "__lookup_key"
 _DIM_KEY = "__dim_key"
-_COUNT = "__dim_rows"
-_FIELD = "__dim_field_{}"
+_COUNT = "__dim_count"
+_LIST = "__dim_list"
+_REPEATED = "__repeated_key"
 
 
 def lookup_join(
@@ -58,7 +63,8 @@ def lookup_join(
     may occur on both sides. For ``collect`` it is an array of structs, empty
     for a miss; an event whose key has more than ``list_limit`` rows appears
     once per chunk of them (columns ``chunk``, ``chunks``). ``project`` picks
-    the output from event columns and ``into``.
+    the output from event columns and ``into``. Hand in only the columns of
+    ``dim`` that are needed: its size decides how it is joined.
     """
     if matches not in MATCHES:
         raise ValueError(f"matches must be one of {MATCHES}, got {matches!r}")
@@ -69,46 +75,83 @@ def lookup_join(
     reject_duplicates(dim.columns)
     reject_duplicates([*events.columns, into])
 
-    names = {_FIELD.format(i): name for i, name in enumerate(dim.columns)}
+    if strategy == "keys":
+        dim = referenced_rows(events, dim, key, dim_key, broadcast_limit)
+    names = {f"__dim_field_{i}": name for i, name in enumerate(dim.columns)}
     dim_key = quoted(dim_key) if isinstance(dim_key, str) else dim_key
     side = dim.select(
         dim_key.alias(_DIM_KEY), *[quoted(name).alias(field) for field, name in names.items()]
     ).where(F.col(_DIM_KEY).isNotNull())
     keyed = events.withColumn(_KEY, quoted(key) if isinstance(key, str) else key)
-    if strategy == "keys":
-        side = _referenced(side, keyed)
+    hint = _hint(side, keyed, strategy, broadcast_limit)
 
+    same_key = F.col(_KEY) == F.col(_DIM_KEY)
+    match = F.struct(*[F.col(field).alias(name) for field, name in names.items()])
+    extra = []
     if matches == "inner":
-        side = _placed(side, side, keyed, strategy, broadcast_limit)
-        joined = keyed.join(side, F.col(_KEY) == F.col(_DIM_KEY), "inner")
-        match = F.struct(*[F.col(field).alias(name) for field, name in names.items()])
-        extra = []
+        joined = keyed.join(_hinted(side, hint), same_key, "inner")
     elif matches == "exactly_one":
-        # With one row per key it does not matter that each column is picked on
-        # its own, and columns nobody asks for are still pruned from the scan.
-        unique = side.groupBy(_DIM_KEY).agg(
-            F.count(F.lit(1)).alias(_COUNT), *[F.any_value(field).alias(field) for field in names]
-        )
-        unique = _placed(unique, side, keyed, strategy, broadcast_limit)
-        joined = keyed.join(unique, F.col(_KEY) == F.col(_DIM_KEY), "left").where(_exactly_one())
-        match = F.struct(*[F.col(field).alias(name) for field, name in names.items()])
-        extra = []
+        joined = _join_one(keyed, side, list(names), same_key, hint)
     else:
-        lists = group_values(side, [_DIM_KEY], list(names), into=_FIELD, limit=list_limit)
-        lists = _placed(lists, side, keyed, strategy, broadcast_limit)
-        joined = keyed.join(lists, F.col(_KEY) == F.col(_DIM_KEY), "left")
+        lists = group_values(side, [_DIM_KEY], list(names), into=_LIST, limit=list_limit)
+        joined = keyed.join(_hinted(lists, hint), same_key, "left")
         item = T.StructType([T.StructField(f.name, f.dataType) for f in dim.schema.fields])
-        match = F.coalesce(F.col(_FIELD), F.array()).cast(T.ArrayType(item))
+        match = F.coalesce(F.col(_LIST), F.array()).cast(T.ArrayType(item))
         extra = [F.coalesce(c, F.lit(d)).alias(c) for c, d in (("chunk", 0), ("chunks", 1))]
 
     result = joined.select(*[quoted(c) for c in events.columns], *extra, match.alias(into))
     return result if project is None else result.select(*project)
 
 
-def _exactly_one() -> Column:
-    """As a filter the check runs whichever columns are asked for; a check in an
-    output column is pruned along with that column."""
-    found = F.coalesce(F.col(_COUNT), F.lit(0))
+def _hint(rows: DataFrame, events: DataFrame, strategy: str, limit: int) -> str | None:
+    """How to join the table. Its rows are measured as they are read: grouping
+    them by key later only makes them fewer."""
+    if strategy == "merge":
+        return "merge"
+    if events.isStreaming:
+        return None
+    return "broadcast" if measured_bytes(rows) <= limit else "merge"
+
+
+def _hinted(df: DataFrame, hint: str | None) -> DataFrame:
+    return df if hint is None else df.hint(hint)
+
+
+def _join_one(keyed: DataFrame, side: DataFrame, fields: list[str], same_key: Column, hint: str | None) -> DataFrame:
+    """Each event with its only match.
+
+    The check is a filter, so it runs whichever columns are asked for; a check
+    inside an output column is pruned along with that column.
+    """
+    if hint == "merge" and not keyed.isStreaming:
+        repeated = side.groupBy(_DIM_KEY).agg(F.count(F.lit(1)).alias(_COUNT)).where(F.col(_COUNT) > 1)
+        found = repeated.limit(REPEATED_KEYS_LIMIT + 1).collect()
+        if len(found) <= REPEATED_KEYS_LIMIT:
+            # A large table is joined as it is: grouping it would cost shuffles
+            # of all its columns, and keep adaptive execution from splitting a
+            # hot key, which takes two inputs that are plain shuffles.
+            if found:
+                known = keyed.sparkSession.createDataFrame(found, repeated.schema)
+                known = known.withColumnRenamed(_DIM_KEY, _REPEATED)
+                keyed = keyed.join(F.broadcast(known), F.col(_KEY) == F.col(_REPEATED), "left")
+                count = F.coalesce(F.col(_COUNT), F.lit(1))
+                keyed = keyed.where(_require_one(count)).drop(_REPEATED, _COUNT)
+            joined = keyed.join(side.hint("merge"), same_key, "left")
+            return joined.where(_require_one(F.when(F.col(_DIM_KEY).isNull(), F.lit(0)).otherwise(F.lit(1))))
+
+    # With one row per key it does not matter that each column is picked on its
+    # own, and columns nobody asks for are still pruned from the scan.
+    unique = side.groupBy(_DIM_KEY).agg(
+        F.count(F.lit(1)).alias(_COUNT), *[F.any_value(field).alias(field) for field in fields]
+    )
+    if hint == "merge":
+        # A shuffle of its own, so that hot keys can be split here too.
+        unique = unique.hint("rebalance")
+    joined = keyed.join(_hinted(unique, hint), same_key, "left")
+    return joined.where(_require_one(F.coalesce(F.col(_COUNT), F.lit(0))))
+
+
+def _require_one(found: Column) -> Column:
     message = F.concat(
         F.lit("expected one match for key "),
         F.coalesce(F.col(_KEY).cast("string"), F.lit("NULL")),
@@ -118,31 +161,30 @@ def _exactly_one() -> Column:
     return F.when(found == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
 
 
-def _placed(side: DataFrame, rows: DataFrame, events: DataFrame, strategy: str, limit: int) -> DataFrame:
-    """The table's side of the join with the hint for its strategy. ``rows`` are
-    the table's rows before grouping: at least as large, and measured without a
-    shuffle."""
-    grouped = side is not rows
-    if strategy != "merge":
-        if events.isStreaming:
-            return side
-        if measured_bytes(rows) <= limit:
-            return F.broadcast(side)
-    # Adaptive execution splits a hot key only if both join inputs are plain
-    # shuffles. A grouped table already lies in the join's order and would be
-    # joined where it is, so it is given a shuffle of its own.
-    return (side.hint("rebalance") if grouped else side).hint("merge")
-
-
-def _referenced(side: DataFrame, events: DataFrame) -> DataFrame:
-    """The table's rows whose key occurs in the events."""
+def referenced_rows(
+    events: DataFrame,
+    dim: DataFrame,
+    key: Column | str,
+    dim_key: Column | str,
+    broadcast_limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """The rows of a lookup table whose key occurs in the events.
+
+    Few keys become an IN list that the table's source evaluates; more of them
+    a semi-join, with the keys broadcast if they are within the limit.
+    """
     if events.isStreaming:
         raise ValueError("strategy 'keys' needs a bounded input: use it per micro-batch")
-    keys = events.select(F.col(_KEY)).where(F.col(_KEY).isNotNull()).distinct()
+    key = quoted(key) if isinstance(key, str) else key
+    dim_key = quoted(dim_key) if isinstance(dim_key, str) else dim_key
+    keys = events.select(key.alias(_KEY)).where(F.col(_KEY).isNotNull()).distinct()
+    keys = written(keys, "keys")
     few = [row[0] for row in keys.limit(IN_LIST_LIMIT + 1).collect()]
     if len(few) <= IN_LIST_LIMIT:
-        return side.where(F.col(_DIM_KEY).isin(few))
-    return side.join(keys, F.col(_DIM_KEY) == F.col(_KEY), "left_semi")
+        return dim.where(dim_key.isin(few))
+    if measured_bytes(keys) <= broadcast_limit:
+        keys = F.broadcast(keys)
+    return dim.join(keys, dim_key == F.col(_KEY), "left_semi")
 
 
 def lookup_by_fetch(
@@ -159,8 +201,9 @@ def lookup_by_fetch(
     """Lookup join against a store that is asked by key instead of read.
 
     ``fetch`` gets a list of up to ``batch_size`` distinct keys and returns
-    their rows. It runs in the executors, ``tasks`` at a time at most, once per
-    distinct key; the events themselves never pass through Python.
+    their rows. It runs in the executors, ``tasks`` at a time at most; the events
+    themselves never pass through Python. What it returned is written down, so
+    no key is asked for twice.
     """
     keys = events.select((quoted(key) if isinstance(key, str) else key).alias(_KEY))
     keys = keys.where(F.col(_KEY).isNotNull()).distinct()
@@ -177,4 +220,5 @@ def lookup_by_fetch(
         if waiting:
             yield fetch(waiting)
 
-    return lookup_join(events, keys.mapInPandas(run, schema), key, dim_key, matches, **options)
+    fetched = written(keys.mapInPandas(run, schema), "fetched")
+    return lookup_join(events, fetched, key, dim_key, matches, **options)

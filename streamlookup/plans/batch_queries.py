@@ -27,7 +27,7 @@ from streamlookup.plans.flows import lookup_compose, lookup_natural_key, lookup_
 from streamlookup.plans.tables import affiliates, events, page_messages, table
 from streamlookup.sources.dimensions import dim_rows, read_dim, write_dim
 from streamlookup.sources.messages import read_messages, write_messages
-from streamlookup.streaming.work import work_folder
+from streamlookup.sources.shared import work_folder
 
 WINDOW = "5 minutes"
 CUSTOMER = ["c_custkey", "c_name", "c_mktsegment"]
@@ -359,12 +359,14 @@ def cogroup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = latest_per_key(events(spark, sf_dir), ["user_id"], "ts", ["event_id"])
+    needed = events(spark, sf_dir).select("user_id", "ts", "event_id", "event_type")
+    latest = latest_per_key(needed, ["user_id"], "ts", ["event_id"])
     return latest.select("user_id", "event_id", "event_type", event_millis("ts").alias("millis"))
 
 
 def latest_event_in_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windowed = with_window(events(spark, sf_dir), "ts", "1 day")
+    needed = events(spark, sf_dir).select("user_id", "ts", "event_id", "event_type")
+    windowed = with_window(needed, "ts", "1 day")
     latest = latest_per_key(windowed, ["window", "user_id"], "ts", ["event_id"])
     return latest.select(F.unix_millis("window.start").alias("window_start"), "user_id", "event_id", "event_type")
 

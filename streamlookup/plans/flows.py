@@ -15,7 +15,7 @@ from streamlookup.functions.eventtime import output_millis, window_end_millis, w
 from streamlookup.functions.messages import fields_json, numbers_as_double, put_fields, quoted
 from streamlookup.functions.urls import url_host
 from streamlookup.operators.latest import latest_per_key
-from streamlookup.operators.lookup import lookup_join
+from streamlookup.operators.lookup import lookup_join, referenced_rows
 from streamlookup.streaming.emission import hold_until_close
 
 EMIT = ("immediate", "on_window_close")
@@ -141,9 +141,12 @@ def lookup_natural_key(
     :func:`~streamlookup.streaming.batches.enrich_batches`.
     """
     events, key = _valid(events, key, url, on_invalid)
+    dim = referenced_rows(events, dim, key, dim_key)
     if latest_only:
-        events = latest_per_key(events.withColumn("__natural_key", key), ["__natural_key"], ts, tie_break)
+        carry = compose.get("carry")
+        needed = [ts, *tie_break, *([url] if carry is None else carry), *compose.get("keep", ())]
+        needed = [c for c in dict.fromkeys(needed) if c in events.columns]
+        events = events.select(key.alias("__natural_key"), *[quoted(c) for c in needed])
+        events = latest_per_key(events, ["__natural_key"], ts, tie_break)
         key = F.col("__natural_key")
-    return lookup_compose(
-        events, dim, dim_key, key=key, url=url, ts=ts, **{"strategy": "keys", **compose}
-    )
+    return lookup_compose(events, dim, dim_key, key=key, url=url, ts=ts, **compose)

@@ -20,7 +20,7 @@ from streamlookup.plans.tables import affiliates, event_stream, page_stream, tab
 from streamlookup.sources.messages import read_messages, write_messages
 from streamlookup.streaming.batches import enrich_batches
 from streamlookup.streaming.replay import replay, replay_windows
-from streamlookup.streaming.work import work_folder
+from streamlookup.sources.shared import work_folder
 
 DELAY = "10 minutes"
 

@@ -1,11 +1,11 @@
-"""Folders that every executor can reach."""
+"""Folders that every executor can reach, and tables kept there for a while."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -19,3 +19,14 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="streamlookup-")
     return f"{base.rstrip('/')}/streamlookup/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table, worked out once and read back from a work folder.
+
+    What made it is not run again, neither by several uses nor when an executor
+    is lost, and Spark knows its size.
+    """
+    folder = work_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
