@@ -64,7 +64,7 @@ def put_map(base: Column, extra: Mapping[str, Column]) -> Column:
 
 def json_to_map(text: Column | str, value_type: str = "string") -> Column:
     """JSON object to a map, for messages whose fields are not known in advance.
-    ``value_type='double'`` widens every number."""
+    ``value_type='double'`` is for objects of numbers only, and widens each."""
     return F.from_json(text, f"map<string,{value_type}>")
 
 

@@ -35,9 +35,9 @@ def flat_map_batches(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             result = fn(batch)
-            if isinstance(result, pd.DataFrame):
-                yield result
-            else:
-                yield from result
+            for out in [result] if isinstance(result, pd.DataFrame) else result:
+                # The columns of an empty frame seldom have the declared types.
+                if len(out):
+                    yield out
 
     return df.mapInPandas(run, schema)

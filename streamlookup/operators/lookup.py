@@ -210,15 +210,20 @@ def lookup_by_fetch(
     if tasks is not None:
         keys = keys.repartition(tasks, _KEY)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def full_batches(frames: Iterator[pd.DataFrame]) -> Iterator[list]:
         waiting: list = []
-        for batch in batches:
-            waiting.extend(batch[_KEY].tolist())
+        for frame in frames:
+            waiting.extend(frame[_KEY].tolist())
             while len(waiting) >= batch_size:
-                yield fetch(waiting[:batch_size])
+                yield waiting[:batch_size]
                 waiting = waiting[batch_size:]
         if waiting:
-            yield fetch(waiting)
+            yield waiting
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = (fetch(batch) for batch in full_batches(frames))
+        # The columns of an empty frame seldom have the declared types.
+        return (rows for rows in found if len(rows))
 
     fetched = written(keys.mapInPandas(run, schema), "fetched")
     return lookup_join(events, fetched, key, dim_key, matches, **options)

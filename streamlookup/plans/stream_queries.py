@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlookup.functions.eventtime import event_millis, output_millis, with_event_time, with_window
+from streamlookup.functions.eventtime import event_millis, output_millis, with_window
 from streamlookup.functions.messages import json_to_struct
 from streamlookup.operators.grouping import cogroup, group_values
 from streamlookup.operators.latest import latest_per_key
@@ -70,15 +70,15 @@ def stream_compose_on_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = table(spark, sf_dir, "customer")
 
     def build(events: DataFrame) -> DataFrame:
-        return _compose(with_event_time(events, delay=DELAY), dim, "on_window_close")
+        return _compose(events, dim, "on_window_close")
 
     events = event_stream(spark, sf_dir).select("event_id", "event_type", "user_id", "ts")
-    return replay_windows(spark, events, build, work_folder(spark, "compose_on_close"))
+    return replay_windows(spark, events, build, work_folder(spark, "compose_on_close"), DELAY)
 
 
 def stream_window_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(events: DataFrame) -> DataFrame:
-        windowed = with_window(with_event_time(events, delay=DELAY), "ts", WINDOW)
+        windowed = with_window(events, "ts", WINDOW)
         return (
             windowed.groupBy("window", "user_id")
             .agg(F.count(F.lit(1)).alias("n_events"), F.sum(cents("value")).alias("cents"))
@@ -86,19 +86,19 @@ def stream_window_group(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     events = event_stream(spark, sf_dir).select("ts", "user_id", "value")
-    return replay_windows(spark, events, build, work_folder(spark, "window_group"))
+    return replay_windows(spark, events, build, work_folder(spark, "window_group"), DELAY)
 
 
 def stream_window_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Value lists kept in four parts per key, put together again afterwards."""
 
     def build(events: DataFrame) -> DataFrame:
-        windowed = with_window(with_event_time(events, delay=DELAY), "ts", "1 day")
+        windowed = with_window(events, "ts", "1 day")
         grouped = group_values(windowed, ["window", "user_id"], ["event_id"], stream_chunks=4)
         return grouped.select(F.unix_millis("window.start").alias("window_start"), "user_id", "chunk", "values")
 
     events = event_stream(spark, sf_dir).select("ts", "user_id", "event_id")
-    parts = replay_windows(spark, events, build, work_folder(spark, "window_values"))
+    parts = replay_windows(spark, events, build, work_folder(spark, "window_values"), DELAY)
     return parts.select("window_start", "user_id", F.explode("values").alias("v")).select(
         "window_start", "user_id", "v.event_id"
     )
@@ -108,12 +108,12 @@ def stream_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases and all other events of a user and day."""
 
     def build(events: DataFrame) -> DataFrame:
-        windowed = with_window(with_event_time(events, delay=DELAY), "ts", "1 day")
+        windowed = with_window(events, "ts", "1 day")
         purchase = F.col("event_type") == "purchase"
         keyed = windowed.select("window", "user_id", "event_id", "event_type")
         both = cogroup(
             keyed.where(purchase).drop("event_type"),
-            keyed.where(~purchase | F.col("event_type").isNull()).drop("event_type"),
+            keyed.where(~purchase).drop("event_type"),
             ["window", "user_id"],
         )
         return both.select(
@@ -124,17 +124,17 @@ def stream_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     events = event_stream(spark, sf_dir).select("ts", "user_id", "event_id", "event_type")
-    return replay_windows(spark, events, build, work_folder(spark, "cogroup"))
+    return replay_windows(spark, events, build, work_folder(spark, "cogroup"), DELAY)
 
 
 def stream_latest_in_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(events: DataFrame) -> DataFrame:
-        windowed = with_window(with_event_time(events, delay=DELAY), "ts", "1 day")
+        windowed = with_window(events, "ts", "1 day")
         latest = latest_per_key(windowed, ["window", "user_id"], "ts", ["event_id"])
         return latest.select(F.unix_millis("window.start").alias("window_start"), "user_id", "event_id", "event_type")
 
     events = event_stream(spark, sf_dir).select("ts", "user_id", "event_id", "event_type")
-    return replay_windows(spark, events, build, work_folder(spark, "latest"))
+    return replay_windows(spark, events, build, work_folder(spark, "latest"), DELAY)
 
 
 def stream_natural_key(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,9 +20,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_event_time(table(spark, sf_dir, "events"))
 
 
-def event_stream(spark: SparkSession, sf_dir: str, delay: str | None = None) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
-    return with_event_time(stream_table(spark, f"{sf_dir}/events.parquet", schema), delay=delay)
+    return with_event_time(stream_table(spark, f"{sf_dir}/events.parquet", schema))
 
 
 def page_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

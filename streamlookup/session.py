@@ -27,16 +27,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = "*", memory: str = "8g", shuffle_partitions: int = 8, checkpoint_dir: str | None = None
+) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("streamlookup")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    if checkpoint_dir is not None:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from streamlookup.functions.eventtime import with_event_time
+
 # Later than any event; moves the watermark past every open window.
 FAR_FUTURE = datetime(2200, 1, 1)
 
@@ -47,24 +49,30 @@ def replay_windows(
     events: DataFrame,
     build: Callable[[DataFrame], DataFrame],
     work: str,
+    delay: str,
     ts: str = "ts",
+    closing: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """As :func:`replay` for a query with windows, which all get closed.
 
     Spark keeps a window open until a later event moves the watermark on. So the
     query first runs over the events, then goes on from its checkpoint with one
-    event far in the future, whose own window never closes. ``build`` must
-    define the watermark on ``ts``.
+    event far in the future, whose own window never closes. That event has the
+    ``closing`` values and NULL elsewhere. ``build`` gets the events with a
+    watermark of ``delay`` on ``ts``.
     """
-    closing = f"{work}/closing"
     schema = events.schema
-    spark.createDataFrame([], schema).write.parquet(closing)
-    query = build(events.unionByName(spark.readStream.schema(schema).parquet(closing)))
+    folder = f"{work}/closing"
+    spark.createDataFrame([], schema).write.parquet(folder)
+    both = events.unionByName(spark.readStream.schema(schema).parquet(folder))
+    # Always true, but never moved, as it differs between tasks. It keeps the
+    # filters of `build` above the watermark, which must see the closing event.
+    marked = with_event_time(both, ts, delay).where(F.spark_partition_id() >= 0)
+    query = build(marked)
     run_available(query, f"{work}/out", f"{work}/checkpoint")
 
-    columns = [
-        (F.lit(FAR_FUTURE) if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
-    ]
-    spark.range(1).select(*columns).write.mode("append").parquet(closing)
+    values = {**(closing or {}), ts: FAR_FUTURE}
+    columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    spark.range(1).select(*columns).write.mode("append").parquet(folder)
     run_available(query, f"{work}/out", f"{work}/checkpoint")
     return spark.read.schema(query.schema).parquet(f"{work}/out")

@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import json
+import os
+import sys
+from datetime import datetime, timezone
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
+
+from streamlookup.session import local_session  # noqa: E402
+from streamlookup.sources.dimensions import dim_rows  # noqa: E402
+from streamlookup.sources.messages import MESSAGE  # noqa: E402
+
+AFFILIATE = "id int, source_domain string, compensation double"
+
+
+def instant(millis: int) -> datetime:
+    return datetime.fromtimestamp(millis / 1000, timezone.utc)
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(4, memory="4g", shuffle_partitions=4, checkpoint_dir=shared)
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def affiliate(spark):
+    # The lookup table of the golden messages.
+    rows = [(1, "www.blogspot.com", 0.03), (2, "www.medium.com", 0.01)]
+    return dim_rows(spark, rows, AFFILIATE)
+
+
+@pytest.fixture
+def settings(spark):
+    """Change session settings for one test."""
+    before: dict[str, str | None] = {}
+
+    def change(**values: str) -> None:
+        for name, value in values.items():
+            name = name.replace("__", ".")
+            before.setdefault(name, spark.conf.get(name, None))
+            spark.conf.set(name, value)
+
+    yield change
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
+
+
+class MessageFiles:
+    """A folder of message files that a stream reads one by one, in order."""
+
+    def __init__(self, spark, folder: Path):
+        self.spark, self.folder, self.count = spark, folder, 0
+        folder.mkdir()
+
+    def add(self, *messages: tuple[str, int]) -> None:
+        path = self.folder / f"{self.count:03d}.json"
+        lines = [json.dumps({"url": url, "ts": instant(ms).isoformat()}) for url, ms in messages]
+        path.write_text("\n".join(lines))
+        # File order is by modification time.
+        os.utime(path, (1_700_000_000 + self.count, 1_700_000_000 + self.count))
+        self.count += 1
+
+    def stream(self):
+        return self.spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", 1).json(str(self.folder))
+
+
+@pytest.fixture
+def message_files(spark, tmp_path):
+    return MessageFiles(spark, tmp_path / "messages")

@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import json
+
+import pandas as pd
+import pytest
+from conftest import instant
+from pyspark.sql import functions as F
+
+from streamlookup.functions.eventtime import (
+    GLOBAL_MAX_MILLIS,
+    event_millis,
+    output_millis,
+    with_event_time,
+    with_window,
+)
+from streamlookup.functions.keys import with_uuid
+from streamlookup.functions.messages import (
+    fields_json,
+    json_to_map,
+    json_to_struct,
+    json_to_variant,
+    numbers_as_double,
+    put_fields,
+    put_map,
+    row_json,
+    row_map,
+)
+from streamlookup.operators.hooks import flat_map_batches, flat_map_elements, map_elements
+
+
+def test_window_bounds(spark):
+    # Event time and the last millisecond of its window.
+    ends = {-1: -1, 0: 299_999, 299_999: 299_999, 300_000: 599_999, 360_000: 599_999}
+    df = spark.createDataFrame([(ms, instant(ms)) for ms in ends], "ms long, ts timestamp")
+    rows = df.select("ms", output_millis("ts", "5 minutes").alias("end"), event_millis("ts").alias("own")).collect()
+    assert {r["ms"]: r["end"] for r in rows} == ends
+    assert all(r["own"] == r["ms"] for r in rows)
+
+
+def test_no_window(spark):
+    df = spark.createDataFrame([(instant(0),)], "ts timestamp").select(output_millis("ts", None).alias("end"))
+    assert df.schema["end"].dataType.simpleString() == "bigint"
+    assert df.first()["end"] == GLOBAL_MAX_MILLIS == 9223371950454775
+
+
+def test_zoneless_time_is_utc(spark):
+    df = spark.sql("SELECT timestamp_ntz'1970-01-01 00:06:00' AS ts")
+    windowed = with_window(df, "ts", "5 minutes").select(output_millis("ts", "5 minutes"), F.unix_millis("window.start"))
+    assert windowed.first() == (599_999, 300_000)
+    assert with_event_time(df).schema["ts"].dataType.simpleString() == "timestamp"
+
+
+def test_rows_as_maps_and_json(spark):
+    df = spark.createDataFrame([(1, "a<b&c='d'", None)], "id int, text string, missing double")
+    assert df.select(row_map(df)).first()[0] == {"id": "1", "text": "a<b&c='d'", "missing": None}
+    text = df.select(row_json(df, ["text", "id", "missing"])).first()[0]
+    assert text == '{"text":"a<b&c=\'d\'","id":1}'
+    assert json.loads(text) == {"text": "a<b&c='d'", "id": 1}
+    with pytest.raises(ValueError, match="duplicate"):
+        row_map(df, ["id", "id"])
+
+
+def test_added_fields_win(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, url string")
+    message = put_fields({"id": F.col("id"), "url": F.col("url")}, {"url": F.lit("new"), "more": F.lit(True)})
+    assert df.select(fields_json(message)).first()[0] == '{"id":1,"url":"new","more":true}'
+    merged = put_map(row_map(df), {"url": F.lit("new"), "n": F.lit(2)})
+    assert df.select(merged).first()[0] == {"id": "1", "url": "new", "n": "2"}
+
+
+def test_numbers_become_doubles(spark):
+    df = spark.createDataFrame([(9007199254740993, 2, "t")], "big long, small int, text string")
+    fields = {f.name: numbers_as_double(F.col(f.name), f.dataType) for f in df.schema.fields}
+    assert df.select(fields_json(fields)).first()[0] == '{"big":9.007199254740992E15,"small":2.0,"text":"t"}'
+
+
+def test_reading_json(spark):
+    df = spark.createDataFrame([('{"a": 1, "b": "x", "c": [1]}',), ("not json",), (None,)], "v string")
+    good, bad, missing = df.select(
+        json_to_map("v").alias("map"),
+        json_to_map("v", "double")["a"].alias("widened"),
+        json_to_struct("v", "a int, d string").alias("typed"),
+    ).collect()
+    assert good["map"] == {"a": "1", "b": "x", "c": "[1]"}
+    assert good["widened"] is None and tuple(good["typed"]) == (1, None)
+    assert bad["widened"] is None and missing["map"] is None
+    numbers = spark.createDataFrame([('{"a": 1, "b": 2.5}',)], "v string").select(json_to_map("v", "double"))
+    assert numbers.first()[0] == {"a": 1.0, "b": 2.5}
+    nested = spark.createDataFrame([('{"c": [1, "x"]}',)], "v string").select(json_to_variant("v").alias("v"))
+    assert nested.select(F.variant_get("v", "$.c[0]", "int"), F.variant_get("v", "$.c[1]", "string")).first() == (1, "x")
+
+
+def test_random_keys(spark):
+    keyed = with_uuid(spark.range(1000))
+    assert keyed.select("__key").distinct().count() == 1000
+
+
+def test_hooks(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, "c"), (3, None)], "id int, text string")
+
+    @F.pandas_udf("string")
+    def shout(s: pd.Series) -> pd.Series:
+        return s.str.upper()
+
+    assert [r["x"] for r in map_elements(df, "text", F.upper, "x").collect()] == ["A B", "C", None]
+    assert [r["x"] for r in map_elements(df, "text", shout, "x").collect()] == ["A B", "C", None]
+    words = flat_map_elements(df, "text", lambda c: F.split(c, " "), "w")
+    assert [(r["id"], r["w"]) for r in words.collect()] == [(1, "a"), (1, "b"), (2, "c")]
+
+    def twice(batch: pd.DataFrame):
+        yield batch[["id"]]
+        yield batch[["id"]]
+
+    assert flat_map_batches(df, twice, "id int").count() == 6
+    assert flat_map_batches(df, lambda b: b[b["id"] > 1][["id"]], "id int").count() == 2

@@ -1,0 +1,185 @@
+from __future__ import annotations
+
+import pytest
+from conftest import AFFILIATE
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from streamlookup.functions.eventtime import with_event_time, with_window
+from streamlookup.operators.grouping import cogroup, group_values
+from streamlookup.operators.hooks import flat_map_batches
+from streamlookup.operators.latest import latest_per_key
+from streamlookup.operators.lookup import lookup_by_fetch, lookup_join
+from streamlookup.plans.flows import lookup_compose, lookup_only
+from streamlookup.sources.dimensions import dim_rows, read_dim, write_dim
+from streamlookup.streaming.batches import enrich_batches
+from streamlookup.streaming.emission import hold_until_close
+from streamlookup.streaming.replay import replay, replay_windows
+
+MEDIUM = "http://www.medium.com"
+
+
+def counted(events):
+    windowed = with_window(events, "ts", "5 minutes")
+    return windowed.groupBy("window", "url").count().select(F.unix_millis("window.start").alias("w"), "url", "count")
+
+
+@pytest.mark.parametrize("filler, late_counted", [(True, False), (False, True)])
+def test_late_rows(spark, message_files, tmp_path, filler, late_counted):
+    """Late rows are dropped one micro-batch after the watermark moved on."""
+    message_files.add(("a", 0))
+    message_files.add(("b", 700_000))
+    if filler:
+        message_files.add(("c", 710_000))
+    message_files.add(("late", 1_000))
+    message_files.add(("d", 2_000_000))
+    out = replay_windows(spark, message_files.stream(), counted, str(tmp_path / "work"), "0 seconds")
+    urls = {r["url"] for r in out.collect()}
+    assert ("late" in urls) is late_counted
+    assert urls >= {"a", "b", "d"}
+
+
+def test_windows_come_out_once_and_all(spark, message_files, tmp_path):
+    for i in range(5):
+        message_files.add(*[(f"u{j % 3}", i * 200_000 + j) for j in range(10)])
+    out = replay_windows(spark, message_files.stream(), counted, str(tmp_path / "work"), "0 seconds")
+    batch = spark.read.schema("url string, ts timestamp").json(str(message_files.folder))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, counted(batch).collect()))
+
+
+def test_aggregation_without_watermark_is_rejected(spark, message_files, tmp_path):
+    message_files.add(("a", 0))
+    grouped = with_window(message_files.stream(), "ts", "5 minutes").groupBy("window").count()
+    with pytest.raises(AnalysisException, match="watermark"):
+        replay(spark, grouped, str(tmp_path / "work"))
+
+
+def test_held_events_keep_their_copies(spark, message_files, tmp_path):
+    message_files.add(*[("a", 5)] * 2500, ("a", 6), ("b", 5))
+    message_files.add(*[("a", 5)] * 3)
+
+    def build(events):
+        return hold_until_close(events, "ts", "5 minutes")
+
+    out = replay_windows(spark, message_files.stream(), build, str(tmp_path / "work"), "0 seconds")
+    counts = {(r["url"], r["ms"]): r["count"] for r in out.groupBy("url", F.unix_millis("ts").alias("ms")).count().collect()}
+    assert counts == {("a", 5): 2503, ("a", 6): 1, ("b", 5): 1}
+    assert out.select(F.unix_millis("window.end")).distinct().collect() == [(300_000,)]
+
+
+def test_emission_on_close_waits(spark, message_files, tmp_path, affiliate):
+    message_files.add((MEDIUM, 0))
+    events = with_event_time(message_files.stream(), delay="0 seconds")
+    composed = lookup_compose(events, affiliate, "source_domain", window="5 minutes", emit="on_window_close")
+    assert replay(spark, composed, str(tmp_path / "work")).count() == 0
+    message_files.add((MEDIUM, 400_000))
+    assert replay(spark, composed, str(tmp_path / "work")).count() == 1
+
+
+@pytest.mark.parametrize("url, found", [("http://unknown.example/", 0), (MEDIUM, 2)])
+@pytest.mark.parametrize("strategy", ["auto", "merge"])
+def test_exactly_one_fails_the_stream(spark, message_files, tmp_path, affiliate, url, found, strategy):
+    message_files.add((url, 0))
+    dim = affiliate.unionByName(dim_rows(spark, [(3, "www.medium.com", 0.5)], AFFILIATE))
+    composed = lookup_compose(message_files.stream(), dim, "source_domain", strategy=strategy)
+    with pytest.raises(Exception, match=f"got {found}"):
+        replay(spark, composed, str(tmp_path / "work"))
+
+
+@pytest.mark.parametrize("strategy", ["auto", "merge"])
+def test_lookup_policies_on_a_stream(spark, message_files, tmp_path, affiliate, strategy):
+    message_files.add((MEDIUM, 0), ("http://www.blogspot.com/x", 1), ("http://unknown.example/", 2))
+    from streamlookup.functions.urls import url_host
+
+    for matches, expected in (("inner", 2), ("collect", 3)):
+        joined = lookup_join(message_files.stream(), affiliate, url_host("url"), "source_domain", matches, strategy)
+        assert replay(spark, joined, str(tmp_path / matches)).count() == expected
+
+
+def test_natural_keys_need_a_bounded_input(spark, message_files, affiliate):
+    with pytest.raises(ValueError, match="bounded"):
+        lookup_only(message_files.stream(), affiliate, "source_domain", strategy="keys").isStreaming
+
+
+def test_each_batch_sees_the_current_table(spark, message_files, tmp_path, affiliate):
+    path, sink, checkpoint = (str(tmp_path / n) for n in ("dim", "out", "checkpoint"))
+
+    def enrich(batch):
+        return lookup_only(batch, read_dim(spark, "parquet", path), "source_domain", columns=["compensation"])
+
+    for compensation in (0.01, 0.99):
+        write_dim(affiliate.withColumn("compensation", F.lit(compensation)), "parquet", path)
+        message_files.add((MEDIUM, 0))
+        writer = enrich_batches(message_files.stream(), enrich, sink, checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    values = [r["value"] for r in spark.read.parquet(sink).orderBy("batch_id").collect()]
+    assert values == ['{"compensation":0.01}', '{"compensation":0.99}']
+
+
+def test_fetch_per_batch(spark, message_files, tmp_path):
+    import pandas as pd
+
+    def fetch(keys):
+        return pd.DataFrame({"u": keys, "n": [len(k) for k in keys]})
+
+    def enrich(batch):
+        found = lookup_by_fetch(batch, "url", fetch, "u string, n long", "u", "exactly_one")
+        return found.select("url", "match.n")
+
+    message_files.add(("a", 0), ("bb", 0), ("a", 1))
+    message_files.add(("a", 2))
+    writer = enrich_batches(message_files.stream(), enrich, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r["url"], r["n"]) for r in rows) == [("a", 1), ("a", 1), ("a", 1), ("bb", 2)]
+
+
+def test_cogroup_and_groups_of_two_streams(spark, message_files, tmp_path):
+    message_files.add(("a", 0), ("b", 1), ("A", 2), ("a", 400_000))
+
+    def build(events):
+        windowed = with_window(events, "ts", "5 minutes")
+        keyed = windowed.select("window", F.lower("url").alias("k"), "url")
+        lower = F.col("url") == F.lower("url")
+        both = cogroup(keyed.where(lower), keyed.where(~lower), ["window", "k"], stream_chunks=2)
+        return both.select(F.unix_millis("window.start").alias("w"), "k", "left", "right")
+
+    out = replay_windows(spark, message_files.stream(), build, str(tmp_path / "work"), "0 seconds").collect()
+    lists: dict = {}
+    for r in out:
+        left, right = lists.setdefault((r["w"], r["k"]), ([], []))
+        left.extend(v["url"] for v in r["left"])
+        right.extend(v["url"] for v in r["right"])
+    assert lists == {(0, "a"): (["a"], ["A"]), (0, "b"): (["b"], []), (300_000, "a"): (["a"], [])}
+
+
+def test_latest_in_window_and_groups(spark, message_files, tmp_path):
+    message_files.add(("a", 0), ("a", 9), ("b", 1))
+    message_files.add(("a", 5), ("a", 400_000))
+
+    def windows(events):
+        return with_window(events, "ts", "5 minutes").withColumn("ms", F.unix_millis("ts"))
+
+    def latest(events):
+        return latest_per_key(windows(events), ["window", "url"], "ts").select("url", "ms")
+
+    out = replay_windows(spark, message_files.stream(), latest, str(tmp_path / "latest"), "0 seconds")
+    assert sorted(map(tuple, out.collect())) == [("a", 9), ("a", 400_000), ("b", 1)]
+
+    def groups(events):
+        return group_values(windows(events), ["window", "url"], ["ms"]).select("url", "values")
+
+    out = replay_windows(spark, message_files.stream(), groups, str(tmp_path / "groups"), "0 seconds")
+    assert sorted((r["url"], sorted(v["ms"] for v in r["values"])) for r in out.collect()) == [
+        ("a", [0, 5, 9]), ("a", [400_000]), ("b", [1]),
+    ]
+
+
+def test_python_hook_on_a_stream(spark, message_files, tmp_path):
+    message_files.add(("a", 0), ("bb", 1))
+
+    def repeat(batch):
+        return batch.loc[batch.index.repeat(batch["url"].str.len()), ["url"]]
+
+    out = replay(spark, flat_map_batches(message_files.stream(), repeat, "url string"), str(tmp_path / "work"))
+    assert sorted(r["url"] for r in out.collect()) == ["a", "bb", "bb"]
