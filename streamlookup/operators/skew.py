@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from streamlookup.functions.messages import quoted
 
 # Values held in one list; a larger group is delivered in several chunks.
-LIST_LIMIT = 100_000
+LIST_LIMIT = 10_000
 
 # Hot keys that may pass through the driver to be broadcast. With more of them
 # the keys are joined as a table.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from streamlookup.functions.eventtime import with_event_time
 from streamlookup.functions.urls import url_host
 from streamlookup.session import configure
+from streamlookup.sources.shared import written
 from streamlookup.streaming.replay import stream_table
 
 
@@ -36,11 +37,13 @@ def page_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def affiliates(spark: SparkSession, sf_dir: str, least_pages: int = 1) -> DataFrame:
     """A table keyed by host: hosts with at least ``least_pages`` pages, so that a
-    higher number leaves URLs without a match."""
-    return (
+    higher number leaves URLs without a match. It is loaded once, as a lookup
+    table would be, and not derived again by every use or micro-batch."""
+    hosts = (
         page_messages(spark, sf_dir)
         .groupBy(url_host("url").alias("source_domain"))
         .agg(F.min("page_id").alias("id"), F.count(F.lit(1)).alias("pages"))
         .where(F.col("pages") >= least_pages)
         .select("id", "source_domain", F.round(F.col("pages") / F.lit(100.0), 2).alias("compensation"))
     )
+    return written(hosts, "affiliates")

@@ -9,16 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name below ``spark.checkpoint.dir``.
+    """A new folder name below ``spark.checkpoint.dir``, among those of this application.
 
-    Only a local session that names no such folder gets a temporary one.
+    Only a local session that names no such folder gets a temporary one. The
+    folders stay: results read from them may be used as long as the session runs.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="streamlookup-")
-    return f"{base.rstrip('/')}/streamlookup/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/streamlookup/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -17,11 +17,15 @@ FAR_FUTURE = datetime(2200, 1, 1)
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
-    """A parquet table, one file or a folder of them, as a stream."""
+    """A parquet table, one file or a folder of them, as a stream.
+
+    The source takes folders and patterns only, so the path is made a pattern
+    that nothing else matches.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(f"{path}*")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def run_available(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:

@@ -66,9 +66,8 @@ def test_work_folders(spark):
 
 def test_work_folder_without_a_setting():
     def session(master: str):
-        return SimpleNamespace(
-            sparkContext=SimpleNamespace(master=master, getConf=dict), conf=SimpleNamespace(get=lambda name, default: None)
-        )
+        context = SimpleNamespace(master=master, applicationId="app", getConf=dict)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: default))
 
     assert work_folder(session("local[2]"), "a").startswith(tempfile.gettempdir())
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
