@@ -18,7 +18,7 @@ from streamlookup.plans.batch_queries import CUSTOMER, WINDOW, cents, id_list
 from streamlookup.plans.flows import lookup_compose, lookup_natural_key, lookup_only
 from streamlookup.plans.tables import affiliates, event_stream, page_stream, table
 from streamlookup.sources.messages import read_messages, write_messages
-from streamlookup.streaming.batches import enrich_batches
+from streamlookup.streaming.batches import enrich_batches, to_folder
 from streamlookup.streaming.replay import replay, replay_windows
 from streamlookup.sources.shared import work_folder
 
@@ -147,7 +147,7 @@ def stream_natural_key(spark: SparkSession, sf_dir: str) -> DataFrame:
             batch, dim, "source_domain", columns=["source_domain", "id"], doubles=True, keep=["page_id"]
         )
 
-    writer = enrich_batches(page_stream(spark, sf_dir), enrich, f"{folder}/out", f"{folder}/checkpoint")
+    writer = enrich_batches(page_stream(spark, sf_dir), enrich, to_folder(f"{folder}/out"), f"{folder}/checkpoint")
     writer.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("page_id", "value")
 

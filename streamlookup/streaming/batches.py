@@ -2,34 +2,55 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
+from streamlookup.sources.messages import write_messages
+
+BatchWriter = Callable[[DataFrame, int], None]
+
 
 def enrich_batches(
     events: DataFrame,
     enrich: Callable[[DataFrame], DataFrame],
-    sink: str,
+    write: BatchWriter,
     checkpoint: str,
-    fmt: str = "parquet",
 ) -> DataStreamWriter:
-    """Write ``enrich(batch)`` of every micro-batch below ``sink``.
+    """Hand ``enrich(batch)`` of every micro-batch to ``write``.
 
     ``enrich`` sees a bounded table, so everything a batch job can do is open to
     it: look up distinct keys only, measure the lookup table again, or read it
-    anew to get its current rows. A repeated micro-batch replaces its own
-    folder, so each event is written once.
+    anew to get its current rows.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def run(batch: DataFrame, batch_id: int) -> None:
         # Read more than once by lookups that first collect the distinct keys.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            enrich(batch).write.format(fmt).mode("overwrite").save(f"{sink}/batch_id={batch_id}")
+            write(enrich(batch), batch_id)
         finally:
             batch.unpersist()
 
-    return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return events.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+
+
+def to_folder(sink: str, fmt: str = "parquet") -> BatchWriter:
+    """Write each micro-batch to a folder of its own. A repeated one replaces its
+    folder, so every result is there once."""
+
+    def write(result: DataFrame, batch_id: int) -> None:
+        result.write.format(fmt).mode("overwrite").save(f"{sink}/batch_id={batch_id}")
+
+    return write
+
+
+def to_messages(fmt: str, options: Mapping[str, str]) -> BatchWriter:
+    """Publish the ``value`` column of each micro-batch, at least once."""
+
+    def write(result: DataFrame, batch_id: int) -> None:
+        write_messages(result, fmt, options=options)
+
+    return write

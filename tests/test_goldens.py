@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import pytest
 from conftest import instant
+from pyspark.sql import functions as F
 
 from streamlookup.functions.eventtime import in_window, with_event_time, with_window
 from streamlookup.plans.flows import lookup_compose, lookup_natural_key, lookup_only
+from streamlookup.plans.jobs import FLOWS as JOBS
+from streamlookup.plans.jobs import publish
 from streamlookup.sources.messages import message_rows
-from streamlookup.streaming.batches import enrich_batches
+from streamlookup.streaming.batches import enrich_batches, to_folder
 from streamlookup.streaming.replay import replay, run_available
-from pyspark.sql import functions as F
 
 # Inputs and expected messages.
 MEDIUM = "http://www.medium.com"
@@ -85,9 +87,9 @@ def test_stream_flow_2(spark, affiliate, script, tmp_path, emit):
 @pytest.mark.parametrize("latest_only", [False, True])
 def test_stream_flow_3(spark, affiliate, script, tmp_path, latest_only):
     def enrich(batch):
-        return flow_3(batch, affiliate, window="5 minutes", keep=["window_start"] , latest_only=latest_only)
+        return flow_3(batch, affiliate, window="5 minutes", keep=["window_start"], latest_only=latest_only)
 
-    writer = enrich_batches(script.stream(), enrich, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    writer = enrich_batches(script.stream(), enrich, to_folder(str(tmp_path / "out")), str(tmp_path / "checkpoint"))
     writer.trigger(availableNow=True).start().awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out"))
     assert values(out) == sorted(WINDOWED.values())
@@ -102,3 +104,23 @@ def test_a_restart_emits_nothing_twice(spark, affiliate, script, tmp_path):
     run_available(composed, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     out = spark.read.parquet(str(tmp_path / "out"))
     assert values(out) == sorted([WINDOWED[MEDIUM], WINDOWED[BLOGSPOT], WINDOWED[BLOGSPOT]])
+
+
+@pytest.mark.parametrize("per_batch", [False, True])
+@pytest.mark.parametrize("flow", JOBS)
+def test_from_source_to_sink(spark, affiliate, script, tmp_path, flow, per_batch):
+    columns = ["source_domain", "compensation", "id"] if flow == "lookup_only" else ["source_domain", "id"]
+    options = {"columns": columns} if flow == "lookup_only" else {"columns": columns, "doubles": True}
+    expected = FLOW_1 if flow == "lookup_only" else GLOBAL
+    sink, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    writer = publish(
+        flow, script.stream(), lambda: affiliate, "source_domain", "text", {"path": sink}, checkpoint,
+        per_batch=per_batch, **options,
+    )
+    writer.trigger(availableNow=True).start().awaitTermination()
+    assert values(spark.read.text(sink)) == sorted(expected.values())
+
+    bounded = str(tmp_path / "bounded")
+    events = message_rows(spark, [MEDIUM, BLOGSPOT])
+    assert publish(flow, events, affiliate, "source_domain", "text", {"path": bounded}, **options) is None
+    assert values(spark.read.text(bounded)) == sorted(expected.values())

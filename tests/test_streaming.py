@@ -12,7 +12,7 @@ from streamlookup.operators.latest import latest_per_key
 from streamlookup.operators.lookup import lookup_by_fetch, lookup_join
 from streamlookup.plans.flows import lookup_compose, lookup_only
 from streamlookup.sources.dimensions import dim_rows, read_dim, write_dim
-from streamlookup.streaming.batches import enrich_batches
+from streamlookup.streaming.batches import enrich_batches, to_folder
 from streamlookup.streaming.emission import hold_until_close
 from streamlookup.streaming.replay import replay, replay_windows
 
@@ -110,7 +110,7 @@ def test_each_batch_sees_the_current_table(spark, message_files, tmp_path, affil
     for compensation in (0.01, 0.99):
         write_dim(affiliate.withColumn("compensation", F.lit(compensation)), "parquet", path)
         message_files.add((MEDIUM, 0))
-        writer = enrich_batches(message_files.stream(), enrich, sink, checkpoint)
+        writer = enrich_batches(message_files.stream(), enrich, to_folder(sink), checkpoint)
         writer.trigger(availableNow=True).start().awaitTermination()
     values = [r["value"] for r in spark.read.parquet(sink).orderBy("batch_id").collect()]
     assert values == ['{"compensation":0.01}', '{"compensation":0.99}']
@@ -128,7 +128,7 @@ def test_fetch_per_batch(spark, message_files, tmp_path):
 
     message_files.add(("a", 0), ("bb", 0), ("a", 1))
     message_files.add(("a", 2))
-    writer = enrich_batches(message_files.stream(), enrich, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    writer = enrich_batches(message_files.stream(), enrich, to_folder(str(tmp_path / "out")), str(tmp_path / "checkpoint"))
     writer.trigger(availableNow=True).start().awaitTermination()
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted((r["url"], r["n"]) for r in rows) == [("a", 1), ("a", 1), ("a", 1), ("bb", 2)]
