@@ -11,10 +11,16 @@ from streamlookup.functions.messages import quoted
 from streamlookup.operators.skew import LIST_LIMIT, with_chunks, with_fixed_chunks
 
 
-def _chunked(df: DataFrame, keys: Sequence[str], limit: int, stream_chunks: int) -> DataFrame:
+def _collect(
+    df: DataFrame, keys: Sequence[str], lists: Sequence[Column], limit: int, stream_chunks: int
+) -> DataFrame:
+    """Lists per key and chunk."""
+    groups = [*[quoted(k) for k in keys], F.col("chunk"), F.col("chunks")]
     if df.isStreaming:
-        return with_fixed_chunks(df, stream_chunks)
-    return with_chunks(df, keys, limit)
+        return with_fixed_chunks(df, stream_chunks).groupBy(*groups).agg(*lists)
+    # Lists get no smaller by being begun before the shuffle, only slower to
+    # move: the rows are shuffled as they are.
+    return with_chunks(df, keys, limit).repartition(*groups).groupBy(*groups).agg(*lists)
 
 
 def group_values(
@@ -34,10 +40,9 @@ def group_values(
     kept per key.
     """
     values = list(values or [c for c in df.columns if c not in keys])
-    rows = _chunked(df.select(*[quoted(c) for c in [*keys, *values]]), keys, limit, stream_chunks)
-    return rows.groupBy(*[quoted(k) for k in keys], "chunk", "chunks").agg(
-        F.collect_list(F.struct(*[quoted(v) for v in values])).alias(into)
-    )
+    rows = df.select(*[quoted(c) for c in [*keys, *values]])
+    items = F.collect_list(F.struct(*[quoted(v) for v in values])).alias(into)
+    return _collect(rows, keys, [items], limit, stream_chunks)
 
 
 def tagged_union(
@@ -68,10 +73,9 @@ def cogroup(
     Large keys come in chunks as in :func:`group_values`. Each side is shuffled
     once. On streams both sides need a watermark and a window among the keys.
     """
-    both = _chunked(tagged_union(left, right, keys, left_name, right_name), keys, limit, stream_chunks)
-    return both.groupBy(*[quoted(k) for k in keys], "chunk", "chunks").agg(
-        F.collect_list(left_name).alias(left_name), F.collect_list(right_name).alias(right_name)
-    )
+    both = tagged_union(left, right, keys, left_name, right_name)
+    items = [F.collect_list(quoted(name)).alias(name) for name in (left_name, right_name)]
+    return _collect(both, keys, items, limit, stream_chunks)
 
 
 def cogroup_aggregate(

@@ -171,14 +171,18 @@ def referenced_rows(
     """The rows of a lookup table whose key occurs in the events.
 
     Few keys become an IN list that the table's source evaluates; more of them
-    a semi-join, with the keys broadcast if they are within the limit.
+    a semi-join, with the keys broadcast if they are within the limit. The table
+    is read once: the rows found are written down for whatever uses them.
     """
     if events.isStreaming:
         raise ValueError("strategy 'keys' needs a bounded input: use it per micro-batch")
     key = quoted(key) if isinstance(key, str) else key
     dim_key = quoted(dim_key) if isinstance(dim_key, str) else dim_key
     keys = events.select(key.alias(_KEY)).where(F.col(_KEY).isNotNull()).distinct()
-    keys = written(keys, "keys")
+    return written(_with_keys(dim, dim_key, written(keys, "keys"), broadcast_limit), "referenced")
+
+
+def _with_keys(dim: DataFrame, dim_key: Column, keys: DataFrame, broadcast_limit: int) -> DataFrame:
     few = [row[0] for row in keys.limit(IN_LIST_LIMIT + 1).collect()]
     if len(few) <= IN_LIST_LIMIT:
         return dim.where(dim_key.isin(few))

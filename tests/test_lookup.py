@@ -193,15 +193,20 @@ def test_few_keys_are_sent_to_the_source(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "dim")
     spark.range(1000).select("id", (F.col("id") * 2).alias("v")).write.parquet(path)
     dim = spark.read.parquet(path)
-    events = spark.createDataFrame([(3,), (5,), (5,), (None,)], "k long")
-    few = referenced_rows(events, dim, "k", "id")
+    keys = spark.createDataFrame([(3,), (5,)], "__lookup_key long")
+    few = lookup._with_keys(dim, F.col("id"), keys, 1 << 20)
     assert "In(id, [3,5])" in plan(few)
     monkeypatch.setattr(lookup, "IN_LIST_LIMIT", 1)
-    many = referenced_rows(events, dim, "k", "id")
-    assert "LeftSemi" in plan(many)
+    many = lookup._with_keys(dim, F.col("id"), keys, 1 << 20)
+    assert "BroadcastHashJoin [id" in plan(many) and "LeftSemi" in plan(many)
     assert sorted(few.collect()) == sorted(many.collect()) == [(3, 6), (5, 10)]
-    unreferenced = referenced_rows(events.where("k is null"), dim, "k", "id")
-    assert unreferenced.collect() == []
+
+
+def test_referenced_rows(spark):
+    dim = spark.range(1000).select("id", (F.col("id") * 2).alias("v"))
+    events = spark.createDataFrame([(3,), (5,), (5,), (None,), (2000,)], "k long")
+    assert sorted(referenced_rows(events, dim, "k", "id").collect()) == [(3, 6), (5, 10)]
+    assert referenced_rows(events.where("k is null"), dim, "k", "id").collect() == []
 
 
 def test_fetch_is_asked_once_per_distinct_key(spark, tmp_path):
