@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from streamlookup.functions.messages import quoted, reject_duplicates
 from streamlookup.operators.grouping import group_values
-from streamlookup.operators.sizing import BROADCAST_LIMIT, measured_bytes
+from streamlookup.operators.sizing import BROADCAST_LIMIT, fits
 from streamlookup.operators.skew import LIST_LIMIT
 from streamlookup.sources.shared import written
 
@@ -110,7 +110,7 @@ def _hint(rows: DataFrame, events: DataFrame, strategy: str, limit: int) -> str
         return "merge"
     if events.isStreaming:
         return None
-    return "broadcast" if measured_bytes(rows) <= limit else "merge"
+    return "broadcast" if fits(rows, limit) else "merge"
 
 
 def _hinted(df: DataFrame, hint: str | None) -> DataFrame:
@@ -186,7 +186,7 @@ def _with_keys(dim: DataFrame, dim_key: Column, keys: DataFrame, broadcast_limit
     few = [row[0] for row in keys.limit(IN_LIST_LIMIT + 1).collect()]
     if len(few) <= IN_LIST_LIMIT:
         return dim.where(dim_key.isin(few))
-    if measured_bytes(keys) <= broadcast_limit:
+    if fits(keys, broadcast_limit):
         keys = F.broadcast(keys)
     return dim.join(keys, dim_key == F.col(_KEY), "left_semi")
 

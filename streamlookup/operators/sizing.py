@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,16 +29,16 @@ def _variable_bytes(field: T.StructField):
     return None
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Uncompressed size of a table.
+def fits(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    """Whether a table's uncompressed size is within the limit.
 
-    One aggregate, combined before it is shuffled: only a row per partition
-    moves, and only one reaches the driver.
+    The rows are counted first, which reads next to nothing of a stored table.
+    Only if there are few enough are their values measured, so the cost stays
+    bounded for any table. Both are aggregates: one row reaches the driver.
     """
-    total = F.count(F.lit(1)) * F.lit(_ROW_BYTES + _WORD * len(df.columns))
-    for field in df.schema.fields:
-        size = _variable_bytes(field)
-        if size is not None:
-            total = total + F.coalesce(F.sum(size.cast("bigint")), F.lit(0))
-    return int(df.agg(total.alias("bytes")).first()["bytes"])
-
+    fixed = df.count() * (_ROW_BYTES + _WORD * len(df.columns))
+    sizes = [size for size in map(_variable_bytes, df.schema.fields) if size is not None]
+    if fixed > limit or not sizes:
+        return fixed <= limit
+    total = reduce(add, [F.coalesce(F.sum(size.cast("bigint")), F.lit(0)) for size in sizes])
+    return fixed + df.agg(total.alias("bytes")).first()["bytes"] <= limit

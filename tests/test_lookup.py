@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import streamlookup.operators.lookup as lookup
 from streamlookup.functions.urls import url_host
 from streamlookup.operators.lookup import lookup_by_fetch, lookup_join, referenced_rows
-from streamlookup.operators.sizing import measured_bytes
+from streamlookup.operators.sizing import fits
 from streamlookup.plans.flows import lookup_compose, lookup_only
 from streamlookup.sources.dimensions import dim_rows
 from streamlookup.sources.messages import message_rows
@@ -149,11 +149,11 @@ def test_a_table_is_broadcast_only_within_the_limit(spark, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     events = spark.range(1000).withColumnRenamed("id", "k")
     dim = spark.range(1000).select("id", F.lit("x" * 100).alias("text"))
-    size = measured_bytes(dim)
-    assert 100 * 1000 <= size <= 200 * 1000
+    assert fits(dim, 200 * 1000) and not fits(dim, 100 * 1000) and not fits(dim, 1000)
+    assert fits(dim.drop("text"), 50 * 1000) and not fits(dim.drop("text"), 30 * 1000)
     for matches in ("inner", "exactly_one", "collect"):
-        small = lookup_join(events, dim, "k", "id", matches, broadcast_limit=size * 2)
-        large = lookup_join(events, dim, "k", "id", matches, broadcast_limit=size // 2)
+        small = lookup_join(events, dim, "k", "id", matches, broadcast_limit=400 * 1000)
+        large = lookup_join(events, dim, "k", "id", matches, broadcast_limit=50 * 1000)
         assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" not in plan(small)
         assert "SortMergeJoin" in plan(large) and "BroadcastHashJoin" not in plan(large)
         assert Counter(map(str, small.collect())) == Counter(map(str, large.collect()))
@@ -181,6 +181,12 @@ def test_a_hot_key_is_split(spark, settings, monkeypatch, matches, known_limit):
     assert joined.count() == 120_000
 
 
+def test_sizes_of_nested_and_null_values(spark):
+    df = spark.createDataFrame([(["a" * 1000], {"k": "v" * 1000}, None)], "a array<string>, m map<string,string>, s string")
+    assert fits(df, 2500) and not fits(df, 2000)
+    assert fits(df.limit(0), 0)
+
+
 def test_columns_nobody_asks_for_are_not_read(spark, tmp_path):
     path = str(tmp_path / "dim")
     spark.range(10).select("id", F.lit("a").alias("used"), F.lit("b").alias("unused")).write.parquet(path)
