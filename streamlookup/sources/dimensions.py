@@ -63,9 +63,25 @@ def read_dim(spark: SparkSession, fmt: str, location: str, options: Mapping[str,
     return spark.read.format(fmt).options(**(options or {})).load(location)
 
 
-def write_dim(dim: DataFrame, fmt: str, location: str, mode: str = "overwrite") -> None:
-    """Replace a lookup table kept as files or in the catalog."""
-    writer = dim.write.mode(mode)
+def write_dim(
+    dim: DataFrame,
+    fmt: str,
+    location: str,
+    mode: str = "overwrite",
+    buckets: int | None = None,
+    bucket_key: str | None = None,
+    options: Mapping[str, str] | None = None,
+) -> None:
+    """Replace a lookup table kept as files or in the catalog.
+
+    A catalog table may be bucketed by its lookup key. A merge join with events
+    bucketed alike then shuffles neither side.
+    """
+    writer = dim.write.mode(mode).options(**(options or {}))
+    if buckets is not None:
+        if fmt != "table" or bucket_key is None:
+            raise ValueError("buckets need a catalog table and a key")
+        writer = writer.bucketBy(buckets, bucket_key).sortBy(bucket_key)
     if fmt == "table":
         writer.saveAsTable(location)
     else:

@@ -14,7 +14,7 @@ from streamlookup.functions.urls import url_host
 from streamlookup.operators.lookup import lookup_by_fetch, lookup_join, referenced_rows
 from streamlookup.operators.sizing import fits
 from streamlookup.plans.flows import lookup_compose, lookup_only
-from streamlookup.sources.dimensions import dim_rows
+from streamlookup.sources.dimensions import dim_rows, read_dim, write_dim
 from streamlookup.sources.messages import message_rows
 
 MEDIUM = "http://www.medium.com/a"
@@ -181,6 +181,23 @@ def test_a_hot_key_is_split(spark, settings, monkeypatch, matches, known_limit):
     assert joined.count() == 120_000
 
 
+@pytest.mark.parametrize("matches", ["inner", "exactly_one"])
+def test_tables_bucketed_alike_are_not_shuffled(spark, settings, tmp_path, matches):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    events = spark.range(1000).select("id", (F.col("id") % 100).alias("k"))
+    dim = spark.range(100).select("id", F.lit("x").alias("text"))
+    for df, name, key in ((events, "bucketed_events", "k"), (dim, "bucketed_dim", "id")):
+        write_dim(df, "table", name, buckets=4, bucket_key=key, options={"path": str(tmp_path / name)})
+    try:
+        tables = [read_dim(spark, "table", n) for n in ("bucketed_events", "bucketed_dim")]
+        joined = lookup_join(*tables, "k", "id", matches, "merge")
+        assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined)
+        assert joined.count() == 1000
+    finally:
+        for name in ("bucketed_events", "bucketed_dim"):
+            spark.sql(f"DROP TABLE {name}")
+
+
 def test_sizes_of_nested_and_null_values(spark):
     df = spark.createDataFrame([(["a" * 1000], {"k": "v" * 1000}, None)], "a array<string>, m map<string,string>, s string")
     assert fits(df, 2500) and not fits(df, 2000)
