@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlookup.functions.messages import quoted
+from streamlookup.functions.messages import quoted, reject_duplicates
 from streamlookup.operators.skew import LIST_LIMIT, with_chunks, with_fixed_chunks
 
 
@@ -15,6 +15,7 @@ def _collect(
     df: DataFrame, keys: Sequence[str], lists: Sequence[Column], limit: int, stream_chunks: int
 ) -> DataFrame:
     """Lists per key and chunk."""
+    reject_duplicates([*df.columns, "chunk", "chunks"])
     groups = [*[quoted(k) for k in keys], F.col("chunk"), F.col("chunks")]
     if df.isStreaming:
         return with_fixed_chunks(df, stream_chunks).groupBy(*groups).agg(*lists)

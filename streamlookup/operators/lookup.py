@@ -73,7 +73,7 @@ def lookup_join(
     if dim.isStreaming:
         raise ValueError("the lookup table must not be a stream")
     reject_duplicates(dim.columns)
-    reject_duplicates([*events.columns, into])
+    reject_duplicates([*events.columns, into, *(("chunk", "chunks") if matches == "collect" else ())])
 
     if strategy == "keys":
         dim = referenced_rows(events, dim, key, dim_key, broadcast_limit)

@@ -57,8 +57,10 @@ def host_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = page_messages(spark, sf_dir).select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), "url")
-    documents = table(spark, sf_dir, "documents")
-    return pages.unionByName(documents.select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("url")))
+    documents = table(spark, sf_dir, "documents").select(
+        F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("url")
+    )
+    return pages.unionByName(documents)
 
 
 def host_or_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +112,10 @@ def lookup_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     found = lookup_join(events(spark, sf_dir), dim, "user_id", "o_custkey", "collect", into="matches")
     return found.select(
-        "event_id", "user_id", F.size("matches").cast("bigint").alias("n_matches"), id_list("matches", "o_orderkey").alias("order_keys")
+        "event_id",
+        "user_id",
+        F.size("matches").cast("bigint").alias("n_matches"),
+        id_list("matches", "o_orderkey").alias("order_keys"),
     )
 
 
@@ -129,7 +134,11 @@ def lookup_hooks(spark: SparkSession, sf_dir: str) -> DataFrame:
         dim,
         key=F.format_string("Supplier#%09d", "user_id"),
         dim_key="s_name",
-        project=[F.col("event_id"), F.upper("match.s_name").alias("supplier"), (F.col("match.s_suppkey") + 1).alias("next_key")],
+        project=[
+            F.col("event_id"),
+            F.upper("match.s_name").alias("supplier"),
+            (F.col("match.s_suppkey") + 1).alias("next_key"),
+        ],
     )
 
 
@@ -139,7 +148,11 @@ def lookup_parameter(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lookup_join(events(spark, sf_dir), dim, "user_id", "s_suppkey")
     rows = found.select(F.col("event_id").alias("__key"), "match.*")
     message = rows.drop("__key")
-    return rows.select(F.col("__key").alias("event_id"), row_map(message)["s_name"].alias("s_name"), F.lit(len(message.columns)).cast("bigint").alias("n_columns"))
+    return rows.select(
+        F.col("__key").alias("event_id"),
+        row_map(message)["s_name"].alias("s_name"),
+        F.lit(len(message.columns)).cast("bigint").alias("n_columns"),
+    )
 
 
 def parameter_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,8 +44,12 @@ def publish(
         if checkpoint is None:
             raise ValueError("a stream needs a checkpoint folder")
         return enrich_batches(
-            events, lambda batch: enrich(batch, current(), dim_key, **flow_options), to_messages(fmt, options), checkpoint
+            events,
+            lambda batch: enrich(batch, current(), dim_key, **flow_options),
+            to_messages(fmt, options),
+            checkpoint,
         )
     if delay is not None:
         events = with_event_time(events, delay=delay)
-    return write_messages(enrich(events, current(), dim_key, **flow_options), fmt, options=options, checkpoint=checkpoint)
+    messages = enrich(events, current(), dim_key, **flow_options)
+    return write_messages(messages, fmt, options=options, checkpoint=checkpoint)

@@ -23,7 +23,9 @@ _HOST_RULE = f"CASE WHEN regexp_matches(url, '^(http|https|ftp)://') THEN {_HOST
 _MIXED = """
     SELECT 'page' AS kind, page_id AS id, url FROM pages
     UNION ALL SELECT 'document', doc_id, text FROM documents"""
-_LATEST = "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY ts DESC, event_id DESC) = 1"
+_LATEST = """
+    SELECT * FROM events
+    QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY ts DESC, event_id DESC) = 1"""
 
 _LOOKUP_INNER = """
     SELECT event_id, user_id, s_suppkey, s_name FROM events JOIN supplier ON user_id = s_suppkey"""
@@ -32,7 +34,8 @@ _LOOKUP_MANY = """
 _LOOKUP_ONE = """
     SELECT event_id, user_id, c_custkey, c_name, c_mktsegment FROM events JOIN customer ON user_id = c_custkey"""
 _LOOKUP_URL = f"""
-    SELECT page_id, to_json({{'id': a.id, 'source_domain': a.source_domain, 'compensation': a.compensation}})::VARCHAR AS value
+    SELECT page_id, to_json({{'id': a.id, 'source_domain': a.source_domain,
+        'compensation': a.compensation}})::VARCHAR AS value
     FROM pages p JOIN ({_AFFILIATES} HAVING count(*) >= 2) a ON {_HOST} = a.source_domain"""
 _ENRICH_WINDOW = f"""
     SELECT event_id, event_type, c_custkey, c_name, c_mktsegment, {_START_5MIN} + 299999 AS "timestamp"
@@ -65,7 +68,8 @@ ORACLE_SQL = {
     "lookup_collect": """
         SELECT event_id, user_id, coalesce(n_matches, 0) AS n_matches, coalesce(order_keys, '') AS order_keys
         FROM events LEFT JOIN (
-            SELECT o_custkey, count(*) AS n_matches, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS order_keys
+            SELECT o_custkey, count(*) AS n_matches,
+                string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS order_keys
             FROM orders GROUP BY o_custkey) ON user_id = o_custkey""",
     "lookup_collect_chunked": "SELECT event_id, o_orderkey FROM events JOIN orders ON user_id = o_custkey",
     "lookup_hooks": """
@@ -138,23 +142,30 @@ ORACLE_SQL = {
     "cogroup_lists": """
         SELECT key, coalesce(n_left, 0) AS n_left, coalesce(n_right, 0) AS n_right,
             coalesce(event_ids, '') AS event_ids, coalesce(order_keys, '') AS order_keys
-        FROM (SELECT user_id AS key, count(*) AS n_left, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS event_ids
+        FROM (SELECT user_id AS key, count(*) AS n_left,
+                  string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS event_ids
               FROM events GROUP BY 1)
-        FULL JOIN (SELECT o_custkey AS key, count(*) AS n_right, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS order_keys
+        FULL JOIN (SELECT o_custkey AS key, count(*) AS n_right,
+                  string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS order_keys
               FROM orders GROUP BY 1) USING (key)""",
     "cogroup_counts": """
         SELECT key, coalesce(n_left, 0) AS n_left, coalesce(n_right, 0) AS n_right,
             coalesce(left_cents, 0) AS left_cents, coalesce(right_cents, 0) AS right_cents
         FROM (SELECT user_id AS key, count(*) AS n_left, sum(round(value * 100)::BIGINT)::BIGINT AS left_cents
               FROM events GROUP BY 1)
-        FULL JOIN (SELECT o_custkey AS key, count(*) AS n_right, sum(round(o_totalprice * 100)::BIGINT)::BIGINT AS right_cents
+        FULL JOIN (SELECT o_custkey AS key, count(*) AS n_right,
+                  sum(round(o_totalprice * 100)::BIGINT)::BIGINT AS right_cents
               FROM orders GROUP BY 1) USING (key)""",
     "stream_cogroup": f"""
         SELECT {_START_DAY} AS window_start, user_id,
-            coalesce(string_agg(event_id::VARCHAR, ',' ORDER BY event_id) FILTER (event_type = 'purchase'), '') AS purchases,
-            coalesce(string_agg(event_id::VARCHAR, ',' ORDER BY event_id) FILTER (event_type <> 'purchase'), '') AS others
+            coalesce(string_agg(event_id::VARCHAR, ',' ORDER BY event_id)
+                FILTER (event_type = 'purchase'), '') AS purchases,
+            coalesce(string_agg(event_id::VARCHAR, ',' ORDER BY event_id)
+                FILTER (event_type <> 'purchase'), '') AS others
         FROM events GROUP BY 1, 2""",
-    "latest_event": f"SELECT user_id, event_id, event_type, epoch_us(ts) // 1000 AS millis FROM ({_LATEST.format(keys='user_id')})",
+    "latest_event": f"""
+        SELECT user_id, event_id, event_type, epoch_us(ts) // 1000 AS millis
+        FROM ({_LATEST.format(keys="user_id")})""",
     "latest_event_in_window": _LATEST_IN_WINDOW,
     "stream_latest_in_window": _LATEST_IN_WINDOW,
     "element_map": _LABEL,
@@ -164,7 +175,8 @@ ORACLE_SQL = {
         FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)""",
     "batch_flat_map": """
         SELECT event_id, event_type, output
-        FROM (SELECT event_id, event_type, unnest(range(CASE event_type WHEN 'view' THEN 0 WHEN 'purchase' THEN 2 ELSE 1 END)) AS output
+        FROM (SELECT event_id, event_type,
+                  unnest(range(CASE event_type WHEN 'view' THEN 0 WHEN 'purchase' THEN 2 ELSE 1 END)) AS output
               FROM events)""",
     "message_round_trip": _COMPOSED_FIELDS,
     "stream_message_round_trip": _COMPOSED_FIELDS,

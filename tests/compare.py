@@ -9,7 +9,8 @@ from pathlib import Path
 import duckdb
 
 TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
 ).split()
 
 

@@ -23,7 +23,9 @@ FLOW_1 = {
 }
 GLOBAL = {
     MEDIUM: '{"source_domain":"www.medium.com","id":2.0,"timestamp":9223371950454775,"url":"http://www.medium.com"}',
-    BLOGSPOT: '{"source_domain":"www.blogspot.com","id":1.0,"timestamp":9223371950454775,"url":"https://www.blogspot.com"}',
+    BLOGSPOT: (
+        '{"source_domain":"www.blogspot.com","id":1.0,"timestamp":9223371950454775,"url":"https://www.blogspot.com"}'
+    ),
 }
 WINDOWED = {
     MEDIUM: '{"source_domain":"www.medium.com","id":2.0,"timestamp":299999,"url":"http://www.medium.com"}',

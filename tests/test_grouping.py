@@ -58,8 +58,8 @@ def test_cogroup_of_same_names_and_of_keys_only(spark):
     left = spark.createDataFrame([(1, "a")], "k int, v string")
     rows = cogroup(left, left.withColumn("v", F.upper("v")), ["k"]).collect()
     assert (rows[0]["left"][0]["v"], rows[0]["right"][0]["v"]) == ("a", "A")
-    only = cogroup_aggregate(left.select("k"), left.select("k"), ["k"], [F.count("left").alias("l"), F.count("right").alias("r")])
-    assert only.collect() == [(1, 1, 1)]
+    keys, counts = left.select("k"), [F.count("left").alias("l"), F.count("right").alias("r")]
+    assert cogroup_aggregate(keys, keys, ["k"], counts).collect() == [(1, 1, 1)]
 
 
 def test_latest_per_key(spark):

@@ -173,8 +173,10 @@ def test_a_hot_key_is_split(spark, settings, monkeypatch, matches, known_limit):
     if known_limit is not None:
         monkeypatch.setattr(lookup, "REPEATED_KEYS_LIMIT", known_limit)
     events = spark.range(0, 120_000, 1, 8).select(
-        "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k"), F.sha1(F.col("id").cast("string")).alias("text")
-    )
+        "id",
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k"),
+        F.sha1(F.col("id").cast("string")).alias("text"),
+    )
     dim = spark.range(2001).select(F.least("id", F.lit(1999)).alias("key"), F.col("id").alias("v"))
     joined = lookup_join(events, dim, "k", "key", matches, "merge")
     assert "SortMergeJoin(skew=true)" in plan(joined)
@@ -199,7 +201,8 @@ def test_tables_bucketed_alike_are_not_shuffled(spark, settings, tmp_path, match
 
 
 def test_sizes_of_nested_and_null_values(spark):
-    df = spark.createDataFrame([(["a" * 1000], {"k": "v" * 1000}, None)], "a array<string>, m map<string,string>, s string")
+    row = (["a" * 1000], {"k": "v" * 1000}, None)
+    df = spark.createDataFrame([row], "a array<string>, m map<string,string>, s string")
     assert fits(df, 2500) and not fits(df, 2000)
     assert fits(df.limit(0), 0)
 

@@ -13,7 +13,8 @@ from streamlookup.sources.shared import work_folder, written
 
 
 def test_broker_rows_become_messages(spark):
-    rows = spark.createDataFrame([(b"k", "http://hö.com".encode(), instant(5))], "key binary, value binary, timestamp timestamp")
+    row = (b"k", "http://hö.com".encode(), instant(5))
+    rows = spark.createDataFrame([row], "key binary, value binary, timestamp timestamp")
     messages = normalise(rows)
     assert messages.schema == MESSAGE
     assert messages.select("url", F.unix_millis("ts")).first() == ("http://hö.com", 5)

@@ -62,7 +62,8 @@ def test_held_events_keep_their_copies(spark, message_files, tmp_path):
         return hold_until_close(events, "ts", "5 minutes")
 
     out = replay_windows(spark, message_files.stream(), build, str(tmp_path / "work"), "0 seconds")
-    counts = {(r["url"], r["ms"]): r["count"] for r in out.groupBy("url", F.unix_millis("ts").alias("ms")).count().collect()}
+    rows = out.groupBy("url", F.unix_millis("ts").alias("ms")).count().collect()
+    counts = {(r["url"], r["ms"]): r["count"] for r in rows}
     assert counts == {("a", 5): 2503, ("a", 6): 1, ("b", 5): 1}
     assert out.select(F.unix_millis("window.end")).distinct().collect() == [(300_000,)]
 
