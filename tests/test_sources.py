@@ -7,7 +7,7 @@ import pytest
 from conftest import instant
 from pyspark.sql import functions as F
 
-from streamlookup.sources.dimensions import jdbc_options, read_dim, write_dim
+from streamlookup.sources.dimensions import jdbc_options, read_dim, read_jdbc, write_dim, write_jdbc
 from streamlookup.sources.messages import MESSAGE, message_rows, normalise, read_messages, write_messages
 from streamlookup.sources.shared import work_folder, written
 
@@ -59,6 +59,36 @@ def test_database_options():
         jdbc_options("jdbc:x", "affiliate", partition_column="id")
 
 
+class Recorder:
+    """Stands in for a reader or writer and notes what it is told."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def __getattr__(self, name):
+        def note(*args, **kwargs):
+            self.calls.setdefault(name, []).append(args or kwargs)
+            return self
+
+        return note
+
+
+def test_database_table_is_read_in_parts():
+    reader = Recorder()
+    bounds = {"partition_column": "id", "lower": 0, "upper": 100, "partitions": 4}
+    read_jdbc(SimpleNamespace(read=reader), url="jdbc:x", table="affiliate", **bounds)
+    assert reader.calls["format"] == [("jdbc",)] and reader.calls["load"] == [{}]
+    assert reader.calls["options"] == [jdbc_options("jdbc:x", "affiliate", **bounds)]
+
+
+def test_database_table_is_loaded():
+    writer = Recorder()
+    types = "source_domain VARCHAR(256)"
+    write_jdbc(SimpleNamespace(write=writer), types, url="jdbc:x", table="affiliate", truncate=True)
+    assert writer.calls["mode"] == [("overwrite",)] and writer.calls["save"] == [{}]
+    assert writer.calls["option"] == [("batchsize", 10_000), ("truncate", "true"), ("createTableColumnTypes", types)]
+
+
 def test_work_folders(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert work_folder(spark, "a") != work_folder(spark, "a")
