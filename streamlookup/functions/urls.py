@@ -68,6 +68,16 @@ def url_host(url: Column | str, mode: str = "lenient", on_invalid: str = "fail")
     raise ValueError(f"on_invalid must be 'fail' or 'null', got {on_invalid!r}")
 
 
+def with_host(messages: DataFrame, into: str = "host", url: str = "url", mode: str = "lenient") -> DataFrame:
+    """The messages whose URL is valid, with its host.
+
+    A generator with an output or none. A filter would be moved below the
+    projection and work out the host again.
+    """
+    host = url_host(url, mode, "null")
+    return messages.select("*", F.explode(F.array_compact(F.array(host))).alias(into))
+
+
 def invalid_urls(messages: DataFrame, url: str = "url", mode: str = "lenient") -> DataFrame:
     """The messages whose URL has no host to look up, for a dead-letter sink."""
     return messages.where(url_host(url, mode, "null").isNull())

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from streamlookup.functions.eventtime import output_millis, window_end_millis, with_window
 from streamlookup.functions.messages import fields_json, numbers_as_double, put_fields, quoted
-from streamlookup.functions.urls import url_host
+from streamlookup.functions.urls import url_host, with_host
 from streamlookup.operators.latest import latest_per_key
 from streamlookup.operators.lookup import lookup_join, referenced_rows
 from streamlookup.streaming.emission import hold_until_close
@@ -21,21 +21,16 @@ from streamlookup.streaming.emission import hold_until_close
 EMIT = ("immediate", "on_window_close")
 
 
-def _key(key: Column | str | None, url: str, on_invalid: str) -> Column:
-    if key is None:
-        return url_host(url, on_invalid=on_invalid)
-    return quoted(key) if isinstance(key, str) else key
-
-
 def _valid(events: DataFrame, key: Column | str | None, url: str, on_invalid: str) -> tuple[DataFrame, Column]:
     """The events to look up, and their key. ``drop`` leaves invalid URLs to
     :func:`~streamlookup.functions.urls.invalid_urls`."""
     if on_invalid not in ("fail", "drop"):
         raise ValueError(f"on_invalid must be 'fail' or 'drop', got {on_invalid!r}")
-    if on_invalid == "fail" or key is not None:
-        return events, _key(key, url, "fail")
-    host = _key(None, url, "null")
-    return events.where(host.isNotNull()), host
+    if key is not None:
+        return events, quoted(key) if isinstance(key, str) else key
+    if on_invalid == "fail":
+        return events, url_host(url)
+    return with_host(events, "__host", url), F.col("__host")
 
 
 def lookup_only(

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from streamlookup.functions.urls import invalid_urls, url_host
+from streamlookup.functions.urls import invalid_urls, url_host, with_host
 from streamlookup.sources.messages import message_rows
 
 HOSTS = {
@@ -44,6 +44,7 @@ def test_invalid_is_null_or_goes_to_dead_letters(spark):
     assert hosts(spark, INVALID, on_invalid="null") == dict.fromkeys(INVALID)
     mixed = message_rows(spark, [*HOSTS, *INVALID])
     assert {r["url"] for r in invalid_urls(mixed).collect()} == set(INVALID)
+    assert {r["url"]: r["host"] for r in with_host(mixed).collect()} == HOSTS
 
 
 @pytest.mark.parametrize("mode", ["lenient", "strict"])
