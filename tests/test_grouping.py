@@ -3,6 +3,8 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import streamlookup.operators.skew as skew
@@ -68,3 +70,19 @@ def test_latest_per_key(spark):
     latest = latest_per_key(df, ["k"], "t", ["id"])
     assert latest.columns == df.columns
     assert set(map(tuple, latest.collect())) == {(1, 7, 3, "c"), (2, 1, 4, None), (None, 1, 5, "n")}
+
+
+keyed = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 2))), max_size=20)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=keyed, right=keyed, limit=st.sampled_from([1, 3, 1000]))
+def test_cogroup_agrees_with_brute_force(spark, left, right, limit):
+    a, b = (spark.createDataFrame(rows, "k int, v int") for rows in (left, right))
+    rows = cogroup(a, b, ["k"], limit=limit).collect()
+    for name, source in (("left", left), ("right", right)):
+        assert Counter((r["k"], x["v"]) for r in rows for x in r[name]) == Counter(source)
+    assert {r["k"] for r in rows} == {k for k, _ in left + right}
+    counts = cogroup_aggregate(a, b, ["k"], [F.count("left").alias("l"), F.count("right").alias("r")]).collect()
+    expected = {(k, sum(x == k for x, _ in left), sum(x == k for x, _ in right)) for k, _ in left + right}
+    assert {tuple(r) for r in counts} == expected

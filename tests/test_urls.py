@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
-from streamlookup.functions.urls import invalid_urls, url_host, with_host
+from streamlookup.functions.urls import _BLANKS, _FULL, invalid_urls, url_host, with_host
 from streamlookup.sources.messages import message_rows
 
 HOSTS = {
@@ -70,3 +73,16 @@ def test_unknown_options(spark):
 def test_long_text_is_not_scanned_again_and_again(spark):
     text = "http://" + "a" * 200_000 + "@" * 3
     assert hosts(spark, [text]) == {text: ""}
+
+
+def test_the_short_pattern_agrees_with_the_full_one(spark):
+    parts = ["http", "HTTPS", "ftp", "file", "ws", "url:", ":", "://", "//", "/", "@", "a", "b.c", "[", "]", "::1"]
+    parts += ["[::1]", "%e", "80", "?", "#", " ", "\t", "\n", "_", "é"]
+    draw = random.Random(7)
+    urls = {"".join(draw.choices(parts, k=draw.randint(1, 7))) for _ in range(20_000)}
+    urls |= {"http://" + "".join(draw.choices(parts, k=draw.randint(1, 6))) for _ in range(20_000)}
+    trimmed = F.btrim("url", F.lit(_BLANKS))
+    full = F.when(trimmed.rlike(_FULL), F.regexp_extract(trimmed, _FULL, 1))
+    both = message_rows(spark, urls).select("url", url_host("url", on_invalid="null").alias("host"), full.alias("full"))
+    assert both.where(~F.col("host").eqNullSafe(F.col("full"))).collect() == []
+    assert both.where("host != ''").count() > 1000 and both.where("host is null").count() > 1000
