@@ -18,24 +18,32 @@ LIST_LIMIT = 10_000
 HOT_KEYS_LIMIT = 10_000
 
 
-def _spread(df: DataFrame) -> Column:
-    """A hash that spreads even identical rows. It is made of the task's
-    partition number and the row's values, so a repeated task computes it again."""
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.xxhash64(F.spark_partition_id(), *[quoted(n) for n in plain])
+def _comparable(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """The columns in a form that can be sorted and hashed."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [
+        F.to_json(F.struct(quoted(n))) if isinstance(types[n], (T.MapType, T.VariantType)) else quoted(n) for n in names
+    ]
 
 
 def with_fixed_chunks(df: DataFrame, chunks: int) -> DataFrame:
-    """Add ``chunk`` in [0, chunks), for streams, whose hot keys are not known ahead."""
-    chunk = F.pmod(_spread(df), F.lit(chunks)).cast("int") if chunks > 1 else F.lit(0)
-    return df.withColumn("chunk", chunk).withColumn("chunks", F.lit(chunks))
+    """Add ``chunk`` in [0, chunks), for streams, whose hot keys are not known ahead.
+
+    The number is made of the task's partition and the row's values, so that
+    copies are spread too and a repeated task computes the same.
+    """
+    if chunks == 1:
+        return df.withColumn("chunk", F.lit(0)).withColumn("chunks", F.lit(1))
+    spread = F.xxhash64(F.spark_partition_id(), *_comparable(df, df.columns))
+    return df.withColumn("chunk", F.pmod(spread, F.lit(chunks)).cast("int")).withColumn("chunks", F.lit(chunks))
 
 
 def with_chunks(df: DataFrame, keys: Sequence[str], limit: int = LIST_LIMIT) -> DataFrame:
     """Add ``chunk`` and ``chunks``: 0 and 1 for a group of up to ``limit`` rows,
     else a number that splits the group into parts of about ``limit`` rows.
 
-    Costs one count per key over the key columns, combined before the shuffle.
+    Costs one count per key over the key columns, combined before the shuffle,
+    and for hot keys a second look at the rows.
     """
     hot = (
         df.groupBy(*[quoted(k) for k in keys])
@@ -43,7 +51,7 @@ def with_chunks(df: DataFrame, keys: Sequence[str], limit: int = LIST_LIMIT) ->
         .where(F.col("__rows") > limit)
         .select(
             *[quoted(k).alias(f"__hot_{i}") for i, k in enumerate(keys)],
-            F.ceil(F.col("__rows") / F.lit(limit)).cast("int").alias("__chunks"),
+            F.ceil(F.col("__rows") / F.lit(limit)).cast("int").alias("chunks"),
         )
     )
     found = hot.limit(HOT_KEYS_LIMIT + 1).collect()
@@ -51,12 +59,17 @@ def with_chunks(df: DataFrame, keys: Sequence[str], limit: int = LIST_LIMIT) ->
         return with_fixed_chunks(df, 1)
     if len(found) <= HOT_KEYS_LIMIT:
         hot = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
-    columns = df.columns
     same_key = [quoted(k).eqNullSafe(F.col(f"__hot_{i}")) for i, k in enumerate(keys)]
-    return (
-        df.withColumn("__spread", _spread(df))
-        .join(hot, on=same_key, how="left")
-        .withColumn("chunks", F.coalesce(F.col("__chunks"), F.lit(1)))
-        .withColumn("chunk", F.pmod(F.col("__spread"), F.col("chunks")).cast("int"))
-        .select(*[quoted(c) for c in columns], "chunk", "chunks")
-    )
+    columns = [quoted(c) for c in df.columns]
+    cold = with_fixed_chunks(df.join(hot, on=same_key, how="left_anti"), 1)
+
+    # A hot key's rows are dealt out in turn, each partition beginning somewhere
+    # else. They are sorted first: a task that is run again may get its rows in
+    # another order, and must deal them out as before.
+    rows = df.join(hot, on=same_key, how="inner").select(*columns, "chunks")
+    values = [c for c in df.columns if c not in keys]
+    rows = rows.sortWithinPartitions(*_comparable(df, [*keys, *values]))
+    turn = F.monotonically_increasing_id() + F.xxhash64(F.spark_partition_id()) % F.lit(1 << 30)
+    rows = rows.withColumn("__turn", turn)
+    rows = rows.select(*columns, F.pmod(F.col("__turn"), F.col("chunks")).cast("int").alias("chunk"), "chunks")
+    return cold.unionByName(rows)

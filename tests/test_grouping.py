@@ -35,10 +35,27 @@ def test_large_groups_are_split_and_whole(spark, monkeypatch, hot_keys):
     for key in (None, -1):
         parts = [r for r in rows if r["k"] == key]
         assert len(parts) > 1 and {r["chunks"] for r in parts} == {6}
-        assert max(len(r["values"]) for r in parts) < 3_000
+        assert max(len(r["values"]) for r in parts) <= 500 + 16
     assert all(r["chunks"] == 1 for r in rows if r["k"] not in (None, -1))
 
 
+def test_copies_in_one_partition_are_split(spark):
+    df = spark.range(0, 50_000, 1, 1).select(F.lit("k").alias("k"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    rows = group_values(df, ["k"], limit=1_000).select(F.size("values").alias("n")).collect()
+    assert sum(r["n"] for r in rows) == 50_000
+    assert max(r["n"] for r in rows) <= 1_001
+
+
+def test_chunks_do_not_depend_on_the_order_of_rows(spark):
+    """A task that is repeated may read its shuffled rows in another order."""
+    df = spark.range(0, 3_000, 1, 1).select(F.lit(1).alias("k"), (F.col("id") % 700).alias("v"))
+    first, again = (
+        Counter(map(tuple, skew.with_chunks(df.sortWithinPartitions(order), ["k"], 100).collect()))
+        for order in (F.col("v"), F.hash("v"))
+    )
+    assert first == again and len(first) > 100
+
+
 def test_cogroup_keeps_keys_of_either_side(spark):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "n")], "k int, l string")
     right = spark.createDataFrame([(1, 10), (3, 30), (None, 0)], "k int, r int")
