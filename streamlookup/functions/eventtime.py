@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +53,21 @@ def with_window(df: DataFrame, ts: str, size: str, into: str = "window") -> Data
     return df.withColumn(into, F.window(F.col(ts) if instant else F.col(ts).cast("timestamp"), size))
 
 
-def in_window(df: DataFrame, start: Column, window: str = "window") -> DataFrame:
-    """Rows of the window that starts at the given time."""
-    return df.where(F.col(window)["start"] == start)
+def in_window(df: DataFrame, start: datetime, window: str = "window") -> DataFrame:
+    """Results of the window that starts at the given time."""
+    return df.where(F.col(window)["start"] == F.lit(start))
+
+
+def events_of_window(df: DataFrame, ts: str, size: timedelta, start: datetime) -> DataFrame:
+    """Events of the window that starts at the given time.
+
+    Asks for a range of ``ts`` as it is stored, so that files outside it are not
+    read. Zone-less columns are taken as UTC.
+    """
+    bounds = [start, start + size]
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        bounds = [b.astimezone(timezone.utc).replace(tzinfo=None) if b.tzinfo else b for b in bounds]
+        first, end = [F.lit(b.isoformat(" ")).cast("timestamp_ntz") for b in bounds]
+    else:
+        first, end = [F.lit(b) for b in bounds]
+    return df.where((F.col(ts) >= first) & (F.col(ts) < end))

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlookup.functions.eventtime import event_millis, in_window, output_millis, window_end_millis, with_window
+from streamlookup.functions.eventtime import (
+    event_millis,
+    events_of_window,
+    in_window,
+    output_millis,
+    window_end_millis,
+    with_window,
+)
 from streamlookup.functions.keys import with_uuid
 from streamlookup.functions.messages import (
     fields_json,
@@ -30,6 +39,7 @@ from streamlookup.sources.messages import read_messages, write_messages
 from streamlookup.sources.shared import work_folder
 
 WINDOW = "5 minutes"
+DAY = datetime(2024, 1, 15, tzinfo=timezone.utc)
 CUSTOMER = ["c_custkey", "c_name", "c_mktsegment"]
 
 
@@ -301,9 +311,16 @@ def window_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_address(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of one day's window, addressed by its start."""
+    """The events of one day's window, addressed by its start."""
+    rows = events_of_window(table(spark, sf_dir, "events"), "ts", timedelta(days=1), DAY)
+    return rows.select("event_id", "user_id")
+
+
+def window_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a windowed query found for one day's window."""
     windowed = with_window(events(spark, sf_dir), "ts", "1 day")
-    return in_window(windowed, F.to_timestamp(F.lit("2024-01-15 00:00:00"))).select("event_id", "user_id")
+    counts = windowed.groupBy("window", "event_type").agg(F.count(F.lit(1)).alias("n_events"))
+    return in_window(counts, DAY).select("event_type", "n_events")
 
 
 def window_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -439,7 +456,7 @@ BATCH_QUERIES = {
         lookup_hooks, lookup_parameter, parameter_filter, memory_table, table_round_trip,
         lookup_url, compose_url, natural_key_url, compose_window, natural_key_latest, enrich_window, enrich_global,
         row_as_map, row_as_json, merged_json, merged_map, json_parse, typed_access, random_key,
-        event_time_millis, window_assign, window_address, window_group, window_values,
+        event_time_millis, window_assign, window_address, window_results, window_group, window_values,
         group_by_key, group_by_key_chunked, cogroup_lists, cogroup_counts, latest_event, latest_event_in_window,
         element_map, element_map_pandas, element_flat_map, batch_flat_map, message_round_trip,
     )

@@ -129,6 +129,9 @@ ORACLE_SQL = {
     "window_address": """
         SELECT event_id, user_id FROM events
         WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'""",
+    "window_results": """
+        SELECT event_type, count(*) AS n_events FROM events
+        WHERE time_bucket(INTERVAL '1 day', ts) = TIMESTAMP '2024-01-15' GROUP BY 1""",
     "window_group": _WINDOW_GROUP,
     "stream_window_group": _WINDOW_GROUP,
     "window_values": f"""

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from datetime import timedelta
 
 import pandas as pd
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from streamlookup.functions.eventtime import (
     GLOBAL_MAX_MILLIS,
     event_millis,
+    events_of_window,
     output_millis,
     with_event_time,
     with_window,
@@ -51,6 +53,16 @@ def test_zoneless_time_is_utc(spark):
     assert with_event_time(df).schema["ts"].dataType.simpleString() == "timestamp"
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_one_window_reads_only_its_range(spark, tmp_path, kind):
+    millis = F.timestamp_millis(F.col("id") * 60_000).cast(kind)
+    spark.range(100).select("id", millis.alias("ts")).write.parquet(str(tmp_path / "events"))
+    rows = events_of_window(spark.read.parquet(str(tmp_path / "events")), "ts", timedelta(minutes=5), instant(600_000))
+    assert sorted(r["id"] for r in rows.collect()) == [10, 11, 12, 13, 14]
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,1970-01-01" in text and "LessThan(ts,1970-01-01" in text
+
+
 def test_rows_as_maps_and_json(spark):
     df = spark.createDataFrame([(1, "a<b&c='d'", None)], "id int, text string, missing double")
     assert df.select(row_map(df)).first()[0] == {"id": "1", "text": "a<b&c='d'", "missing": None}

@@ -71,8 +71,8 @@ def test_stream_flow_1(spark, affiliate, script, tmp_path):
     windowed = with_window(with_event_time(script.stream(), delay="0 seconds"), "ts", "5 minutes")
     out = replay(spark, flow_1(windowed, affiliate, keep=["window"]), str(tmp_path / "work"))
     assert values(out) == sorted(FLOW_1.values())
-    assert values(in_window(out, F.lit(instant(0)))) == [FLOW_1[MEDIUM]]
-    assert values(in_window(out, F.lit(instant(FIVE_MINUTES)))) == [FLOW_1[BLOGSPOT]]
+    assert values(in_window(out, instant(0))) == [FLOW_1[MEDIUM]]
+    assert values(in_window(out, instant(FIVE_MINUTES))) == [FLOW_1[BLOGSPOT]]
 
 
 @pytest.mark.parametrize("emit", ["immediate", "on_window_close"])

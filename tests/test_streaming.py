@@ -14,7 +14,7 @@ from streamlookup.plans.flows import lookup_compose, lookup_only
 from streamlookup.sources.dimensions import dim_rows, read_dim, write_dim
 from streamlookup.streaming.batches import enrich_batches, to_folder
 from streamlookup.streaming.emission import hold_until_close
-from streamlookup.streaming.replay import replay, replay_windows
+from streamlookup.streaming.replay import replay, replay_windows, run_available, stream_table
 
 MEDIUM = "http://www.medium.com"
 
@@ -97,6 +97,25 @@ def test_lookup_policies_on_a_stream(spark, message_files, tmp_path, affiliate,
         assert replay(spark, joined, str(tmp_path / matches)).count() == expected
 
 
+def test_a_hot_key_of_a_stream_is_split(spark, settings, tmp_path, capsys):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="128KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+    )
+    path = str(tmp_path / "events")
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k")
+    spark.range(0, 120_000, 1, 8).select("id", key, F.sha1(F.col("id").cast("string")).alias("text")).write.parquet(path)
+    events = stream_table(spark, path, spark.read.parquet(path).schema)
+    joined = lookup_join(events, spark.range(1000).toDF("key"), "k", "key", "exactly_one", "merge")
+    query = run_available(joined, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query.explain()
+    assert "SortMergeJoin(skew=true)" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 120_000
+
+
 def test_natural_keys_need_a_bounded_input(spark, message_files, affiliate):
     with pytest.raises(ValueError, match="bounded"):
         lookup_only(message_files.stream(), affiliate, "source_domain", strategy="keys").isStreaming
