@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders of the tables written in the innermost `temporary` block.
+_folders: ContextVar[list[str] | None] = ContextVar("folders", default=None)
+
 
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, among those of this application.
 
-    Only a local session that names no such folder gets a temporary one. The
-    folders stay: results read from them may be used as long as the session runs.
+    Only a local session that names no such folder gets a temporary one.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -26,8 +31,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The table, worked out once and read back from a work folder.
 
     What made it is not run again, neither by several uses nor when an executor
-    is lost, and Spark knows its size.
+    is lost, and Spark knows its size. It stays, as it may be used as long as the
+    session runs, unless written inside a :func:`temporary` block.
     """
     folder = work_folder(df.sparkSession, name)
+    if (folders := _folders.get()) is not None:
+        folders.append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables written inside the block when it ends. Whatever uses
+    them has to be stored by then."""
+    token = _folders.set([])
+    try:
+        yield
+    finally:
+        folders = _folders.get()
+        _folders.reset(token)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

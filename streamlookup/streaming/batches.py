@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from streamlookup.sources.messages import write_messages
+from streamlookup.sources.shared import temporary
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -23,14 +24,16 @@ def enrich_batches(
 
     ``enrich`` sees a bounded table, so everything a batch job can do is open to
     it: look up distinct keys only, measure the lookup table again, or read it
-    anew to get its current rows.
+    anew to get its current rows. Tables it writes on the way are deleted after
+    the micro-batch.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # Read more than once by lookups that first collect the distinct keys.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write(enrich(batch), batch_id)
+            with temporary(batch.sparkSession):
+                write(enrich(batch), batch_id)
         finally:
             batch.unpersist()
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import tempfile
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from streamlookup.sources.dimensions import jdbc_options, read_dim, read_jdbc, write_dim, write_jdbc
 from streamlookup.sources.messages import MESSAGE, message_rows, normalise, read_messages, write_messages
-from streamlookup.sources.shared import work_folder, written
+from streamlookup.sources.shared import temporary, work_folder, written
 
 
 def test_broker_rows_become_messages(spark):
@@ -105,6 +106,17 @@ def test_work_folder_without_a_setting():
         work_folder(session("yarn"), "a")
 
 
+def test_temporary_tables_are_deleted(spark):
+    shared = Path(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    outer = written(spark.range(3), "outer")
+    with pytest.raises(ZeroDivisionError), temporary(spark):
+        assert written(spark.range(3), "inner").count() == 3
+        assert len(list(shared.glob("**/inner-*"))) == 1
+        1 / 0
+    assert not list(shared.glob("**/inner-*"))
+    assert outer.count() == 3
+
+
 def test_a_written_table_is_not_worked_out_again(spark):
     table = written(spark.range(3).withColumn("x", F.rand()), "random")
     assert table.collect() == table.collect()

@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+from pathlib import Path
+
+import pandas as pd
 import pytest
 from conftest import AFFILIATE
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from streamlookup.functions.eventtime import with_event_time, with_window
+from streamlookup.functions.urls import url_host
 from streamlookup.operators.grouping import cogroup, group_values
 from streamlookup.operators.hooks import flat_map_batches
 from streamlookup.operators.latest import latest_per_key
@@ -90,8 +94,6 @@ def test_exactly_one_fails_the_stream(spark, message_files, tmp_path, affiliate,
 @pytest.mark.parametrize("strategy", ["auto", "merge"])
 def test_lookup_policies_on_a_stream(spark, message_files, tmp_path, affiliate, strategy):
     message_files.add((MEDIUM, 0), ("http://www.blogspot.com/x", 1), ("http://unknown.example/", 2))
-    from streamlookup.functions.urls import url_host
-
     for matches, expected in (("inner", 2), ("collect", 3)):
         joined = lookup_join(message_files.stream(), affiliate, url_host("url"), "source_domain", matches, strategy)
         assert replay(spark, joined, str(tmp_path / matches)).count() == expected
@@ -137,7 +139,8 @@ def test_each_batch_sees_the_current_table(spark, message_files, tmp_path, affil
 
 
 def test_fetch_per_batch(spark, message_files, tmp_path):
-    import pandas as pd
+    shared = Path(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    before = set(shared.glob("**/fetched-*"))
 
     def fetch(keys):
         return pd.DataFrame({"u": keys, "n": [len(k) for k in keys]})
@@ -150,6 +153,7 @@ def test_fetch_per_batch(spark, message_files, tmp_path):
     message_files.add(("a", 2))
     writer = enrich_batches(message_files.stream(), enrich, to_folder(str(tmp_path / "out")), str(tmp_path / "checkpoint"))
     writer.trigger(availableNow=True).start().awaitTermination()
+    assert set(shared.glob("**/fetched-*")) == before
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted((r["url"], r["n"]) for r in rows) == [("a", 1), ("a", 1), ("a", 1), ("bb", 2)]
 
