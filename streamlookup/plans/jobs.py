@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from streamlookup.functions.eventtime import with_event_time
 from streamlookup.plans.flows import lookup_compose, lookup_natural_key, lookup_only
 from streamlookup.sources.messages import write_messages
+from streamlookup.sources.shared import written
 from streamlookup.streaming.batches import enrich_batches, to_messages
 
 FLOWS = {"lookup_only": lookup_only, "lookup_compose": lookup_compose, "lookup_natural_key": lookup_natural_key}
@@ -34,15 +35,27 @@ def publish(
     ``emit='on_window_close'``. With ``per_batch`` each micro-batch is enriched
     as a batch job; then ``dim`` may be a function that reads the table, to see
     its rows as they are now. ``lookup_natural_key`` always runs that way.
+
+    A batch job reads a table given as a function once, into a copy in the work
+    folder, so that all steps of a lookup see the same rows even while it
+    changes. A stream without ``per_batch`` reads it in every micro-batch.
     """
     enrich = FLOWS[flow]
 
+    batches = events.isStreaming and (per_batch or flow == "lookup_natural_key")
+
     def current() -> DataFrame:
-        return dim() if callable(dim) else dim
+        if not callable(dim):
+            return dim
+        # The natural-key flow copies the rows it refers to by itself.
+        bounded = batches or not events.isStreaming
+        return written(dim(), "table") if bounded and flow != "lookup_natural_key" else dim()
 
-    if events.isStreaming and (per_batch or flow == "lookup_natural_key"):
+    if batches:
         if checkpoint is None:
             raise ValueError("a stream needs a checkpoint folder")
+        if flow_options.get("emit") == "on_window_close":
+            raise ValueError("a window may last longer than the micro-batch: per_batch emits at once")
         return enrich_batches(
             events,
             lambda batch: enrich(batch, current(), dim_key, **flow_options),

@@ -122,6 +122,13 @@ def test_from_source_to_sink(spark, affiliate, script, tmp_path, flow, per_batch
     writer.trigger(availableNow=True).start().awaitTermination()
     assert values(spark.read.text(sink)) == sorted(expected.values())
 
+    if flow != "lookup_only":
+        with pytest.raises(ValueError, match="emits at once"):
+            publish(
+                flow, script.stream(), affiliate, "source_domain", "text", {"path": sink}, checkpoint,
+                per_batch=True, emit="on_window_close", window="5 minutes",
+            )
+
     bounded = str(tmp_path / "bounded")
     events = message_rows(spark, [MEDIUM, BLOGSPOT])
     assert publish(flow, events, affiliate, "source_domain", "text", {"path": bounded}, **options) is None
