@@ -46,6 +46,7 @@ def output_millis(ts: Column | str, size: str | None) -> Column:
 
 def with_window(df: DataFrame, ts: str, size: str, into: str = "window") -> DataFrame:
     """Add the tumbling window (struct of ``start`` and ``end``) of every row.
+    Rows without a time are in no window and left out.
 
     A TIMESTAMP column is used as it is: a cast would lose its watermark.
     """

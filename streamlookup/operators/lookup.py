@@ -86,18 +86,25 @@ def lookup_join(
     hint = _hint(side, keyed, strategy, broadcast_limit)
 
     same_key = F.col(_KEY) == F.col(_DIM_KEY)
-    match = F.struct(*[F.col(field).alias(name) for field, name in names.items()])
     extra = []
-    if matches == "inner":
-        joined = keyed.join(_hinted(side, hint), same_key, "inner")
-    elif matches == "exactly_one":
-        joined = _join_one(keyed, side, list(names), same_key, hint)
-    else:
+    if matches == "collect":
         lists = group_values(side, [_DIM_KEY], list(names), into=_LIST, limit=list_limit)
         joined = keyed.join(_hinted(lists, hint), same_key, "left")
         item = T.StructType([T.StructField(f.name, f.dataType) for f in dim.schema.fields])
         match = F.coalesce(F.col(_LIST), F.array()).cast(T.ArrayType(item))
         extra = [F.coalesce(c, F.lit(d)).alias(c) for c, d in (("chunk", 0), ("chunks", 1))]
+    else:
+        if matches == "inner":
+            joined = keyed.join(_hinted(side, hint), same_key, "inner")
+            values = {name: F.col(field) for field, name in names.items()}
+        else:
+            joined, found = _join_one(keyed, side, list(names), same_key, hint)
+            # The check is a filter, to run whichever columns are asked for. It is
+            # in the columns too: a later condition on one of them may be moved
+            # before the filter, where it would hide a miss.
+            joined = joined.where(_require_one(found, F.lit(True)))
+            values = {name: _require_one(found, F.col(field)) for field, name in names.items()}
+        match = F.struct(*[value.alias(name) for name, value in values.items()])
 
     result = joined.select(*[quoted(c) for c in events.columns], *extra, match.alias(into))
     return result if project is None else result.select(*project)
@@ -117,27 +124,26 @@ def _hinted(df: DataFrame, hint: str | None) -> DataFrame:
     return df if hint is None else df.hint(hint)
 
 
-def _join_one(keyed: DataFrame, side: DataFrame, fields: list[str], same_key: Column, hint: str | None) -> DataFrame:
-    """Each event with its only match.
-
-    The check is a filter, so it runs whichever columns are asked for; a check
-    inside an output column is pruned along with that column.
-    """
+def _join_one(
+    keyed: DataFrame, side: DataFrame, fields: list[str], same_key: Column, hint: str | None
+) -> tuple[DataFrame, Column]:
+    """Each event with its match, and how many there are."""
     if hint == "merge" and not keyed.isStreaming:
         repeated = side.groupBy(_DIM_KEY).agg(F.count(F.lit(1)).alias(_COUNT)).where(F.col(_COUNT) > 1)
-        found = repeated.limit(REPEATED_KEYS_LIMIT + 1).collect()
-        if len(found) <= REPEATED_KEYS_LIMIT:
+        known = repeated.limit(REPEATED_KEYS_LIMIT + 1).collect()
+        if len(known) <= REPEATED_KEYS_LIMIT:
             # A large table is joined as it is: grouping it would cost shuffles
             # of all its columns, and keep adaptive execution from splitting a
             # hot key, which takes two inputs that are plain shuffles.
-            if found:
-                known = keyed.sparkSession.createDataFrame(found, repeated.schema)
+            if known:
+                # Checked before the join, which would multiply these events.
+                known = keyed.sparkSession.createDataFrame(known, repeated.schema)
                 known = known.withColumnRenamed(_DIM_KEY, _REPEATED)
                 keyed = keyed.join(F.broadcast(known), F.col(_KEY) == F.col(_REPEATED), "left")
-                count = F.coalesce(F.col(_COUNT), F.lit(1))
-                keyed = keyed.where(_require_one(count)).drop(_REPEATED, _COUNT)
+                keyed = keyed.where(_require_one(F.coalesce(F.col(_COUNT), F.lit(1)), F.lit(True)))
+                keyed = keyed.drop(_REPEATED, _COUNT)
             joined = keyed.join(side.hint("merge"), same_key, "left")
-            return joined.where(_require_one(F.when(F.col(_DIM_KEY).isNull(), F.lit(0)).otherwise(F.lit(1))))
+            return joined, F.when(F.col(_DIM_KEY).isNull(), F.lit(0)).otherwise(F.lit(1))
 
     # With one row per key it does not matter that each column is picked on its
     # own, and columns nobody asks for are still pruned from the scan.
@@ -148,17 +154,18 @@ def _join_one(keyed: DataFrame, side: DataFrame, fields: list[str], same_key: Co
         # A shuffle of its own, so that hot keys can be split here too.
         unique = unique.hint("rebalance")
     joined = keyed.join(_hinted(unique, hint), same_key, "left")
-    return joined.where(_require_one(F.coalesce(F.col(_COUNT), F.lit(0))))
+    return joined, F.coalesce(F.col(_COUNT), F.lit(0))
 
 
-def _require_one(found: Column) -> Column:
+def _require_one(found: Column, value: Column) -> Column:
+    """The value if there is one match; else the job fails."""
     message = F.concat(
         F.lit("expected one match for key "),
         F.coalesce(F.col(_KEY).cast("string"), F.lit("NULL")),
         F.lit(", got "),
         found.cast("string"),
     )
-    return F.when(found == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return F.when(found == 1, value).otherwise(F.raise_error(message))
 
 
 def referenced_rows(

@@ -33,6 +33,18 @@ def _valid(events: DataFrame, key: Column | str | None, url: str, on_invalid: st
     return with_host(events, "__host", url), F.col("__host")
 
 
+def _only(events: DataFrame, names: Sequence[str], key: Column | None = None) -> DataFrame:
+    """The named columns an event has, and its key."""
+    kept = [quoted(c) for c in dict.fromkeys(names) if c in events.columns]
+    return events.select(*kept, *([] if key is None else [key.alias("__event_key")]))
+
+
+def _required(ts: str) -> Column:
+    """An event without a time belongs to no window and would just disappear."""
+    missing = F.raise_error(F.lit(f"event without a time in column {ts}"))
+    return F.coalesce(quoted(ts).cast("timestamp"), missing.cast("timestamp"))
+
+
 def lookup_only(
     events: DataFrame,
     dim: DataFrame,
@@ -83,7 +95,8 @@ def lookup_compose(
     ``timestamp`` is the last millisecond of the event's window of size
     ``window``, or a constant without windows; ``window_start`` and
     ``window_end`` may be named in ``keep``. An added field replaces a table
-    column of its name. The job fails on a miss and on several matches.
+    column of its name. The job fails on a miss, on several matches, and with a
+    window on an event without a time.
     ``emit='on_window_close'`` holds a stream's events until their window ends.
     ``doubles`` widens numbers as an untyped JSON round trip does.
     """
@@ -91,15 +104,22 @@ def lookup_compose(
         raise ValueError(f"emit must be one of {EMIT}, got {emit!r}")
     if emit == "on_window_close" and window is None:
         raise ValueError("emit='on_window_close' needs a window")
+    key_is_host = key is None and on_invalid == "fail"
     events, key = _valid(events, key, url, on_invalid)
     columns = list(columns or dim.columns)
     carry = [url] if carry is None else list(carry)
     kept = {c: quoted(c) for c in keep}
 
     if emit == "on_window_close":
+        # Only what the message is made of waits for the window.
+        names = [ts, url, *carry, *keep]
+        if key_is_host:
+            events = _only(events, names)
+        else:
+            events, key = _only(events, names, key), F.col("__event_key")
         events = hold_until_close(events, ts, window, window="__window")
     elif window is not None:
-        events = with_window(events, ts, window, into="__window")
+        events = with_window(events.withColumn(ts, _required(ts)), ts, window, into="__window")
     if window is None:
         stamp = output_millis(ts, None)
     else:
@@ -139,9 +159,7 @@ def lookup_natural_key(
     dim = referenced_rows(events, dim, key, dim_key)
     if latest_only:
         carry = compose.get("carry")
-        needed = [ts, *tie_break, *([url] if carry is None else carry), *compose.get("keep", ())]
-        needed = [c for c in dict.fromkeys(needed) if c in events.columns]
-        events = events.select(key.alias("__natural_key"), *[quoted(c) for c in needed])
-        events = latest_per_key(events, ["__natural_key"], ts, tie_break)
-        key = F.col("__natural_key")
+        names = [ts, *tie_break, *([url] if carry is None else carry), *compose.get("keep", ())]
+        events = latest_per_key(_only(events, names, key), ["__event_key"], ts, tie_break)
+        key = F.col("__event_key")
     return lookup_compose(events, dim, dim_key, key=key, url=url, ts=ts, **compose)

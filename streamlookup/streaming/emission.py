@@ -19,8 +19,8 @@ def hold_until_close(events: DataFrame, ts: str, size: str, window: str = "windo
     """Hold events back until the watermark passes the end of their window.
 
     Each event comes out once, with its ``window``; copies are kept, as a count
-    while they wait. Events later than the watermark are dropped. Needs a
-    watermark on ``ts``; batch input just gets the window.
+    while they wait. Events later than the watermark, and events without a time,
+    are dropped. Needs a watermark on ``ts``; batch input just gets the window.
     """
     if not events.isStreaming:
         return events.withColumn(window, F.window(ts, size))

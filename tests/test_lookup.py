@@ -72,6 +72,20 @@ def test_exactly_one_fails(spark, doubled, strategy, url, found, known_limit, mo
             action()
 
 
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_later_conditions_do_not_hide_a_miss(spark, affiliate, strategy):
+    joined = join(message_rows(spark, [MEDIUM, UNKNOWN]), affiliate, "exactly_one", strategy)
+    other = affiliate.select(F.col("id").alias("other"))
+    for later in (
+        joined.where("match.compensation > 0"),
+        joined.where("match.id is not null").select("url"),
+        joined.join(other, F.col("match.id") == F.col("other")).select("url"),
+        joined.groupBy("match.id").count(),
+    ):
+        with pytest.raises(Exception, match="expected one match for key unknown.example, got 0"):
+            later.collect()
+
+
 def test_exactly_one_fails_for_a_null_key(spark):
     events = spark.createDataFrame([(None,)], "k int")
     dim = spark.createDataFrame([(None, "a"), (1, "b")], "id int, name string")
@@ -107,6 +121,13 @@ def test_added_fields_replace_columns_of_the_same_name(spark):
     )
 
 
+def test_an_event_without_a_time_fails_a_window(spark, affiliate):
+    events = message_rows(spark, [MEDIUM])
+    assert lookup_compose(events, affiliate, "source_domain").count() == 1
+    with pytest.raises(Exception, match="event without a time"):
+        lookup_compose(events, affiliate, "source_domain", window="5 minutes").collect()
+
+
 def test_same_names_on_both_sides(spark):
     events = spark.createDataFrame([(1, "event")], "id int, name string")
     dim = spark.createDataFrame([(1, "table")], "id int, name string")

@@ -72,10 +72,13 @@ def test_held_events_keep_their_copies(spark, message_files, tmp_path):
     assert out.select(F.unix_millis("window.end")).distinct().collect() == [(300_000,)]
 
 
-def test_emission_on_close_waits(spark, message_files, tmp_path, affiliate):
+@pytest.mark.parametrize("options", [{}, {"on_invalid": "drop"}, {"key": "host"}])
+def test_emission_on_close_waits(spark, message_files, tmp_path, affiliate, options):
     message_files.add((MEDIUM, 0))
-    events = with_event_time(message_files.stream(), delay="0 seconds")
-    composed = lookup_compose(events, affiliate, "source_domain", window="5 minutes", emit="on_window_close")
+    events = with_event_time(message_files.stream(), delay="0 seconds").withColumn("host", F.substring("url", 8, 99))
+    composed = lookup_compose(
+        events, affiliate, "source_domain", window="5 minutes", emit="on_window_close", **options
+    )
     assert replay(spark, composed, str(tmp_path / "work")).count() == 0
     message_files.add((MEDIUM, 400_000))
     assert replay(spark, composed, str(tmp_path / "work")).count() == 1
