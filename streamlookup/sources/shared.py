@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -17,13 +16,10 @@ _folders: ContextVar[list[str] | None] = ContextVar("folders", default=None)
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, among those of this application.
 
-    Only a local session that names no such folder gets a temporary one.
+    A session that names no such folder gets one in its warehouse, which is
+    shared as tables are.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="streamlookup-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/work"
     return f"{base.rstrip('/')}/streamlookup/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 

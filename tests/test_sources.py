@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import tempfile
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -97,13 +96,10 @@ def test_work_folders(spark):
 
 
 def test_work_folder_without_a_setting():
-    def session(master: str):
-        context = SimpleNamespace(master=master, applicationId="app", getConf=dict)
-        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: default))
-
-    assert work_folder(session("local[2]"), "a").startswith(tempfile.gettempdir())
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        work_folder(session("yarn"), "a")
+    settings = {"spark.sql.warehouse.dir": "hdfs://tables"}
+    conf = SimpleNamespace(get=lambda name, default=None: settings.get(name, default))
+    session = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="app"), conf=conf)
+    assert work_folder(session, "a").startswith("hdfs://tables/work/streamlookup/app/a-")
 
 
 def test_temporary_tables_are_deleted(spark):
