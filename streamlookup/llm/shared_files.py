@@ -1,0 +1,19 @@
+"""Files of our own format in the cluster's shared folder, written and read inside tasks."""
+
+from __future__ import annotations
+
+import re
+
+from pyarrow import fs
+
+
+def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder, and the folder's path in it.
+
+    Takes a plain path or a URI of a file system that pyarrow knows (file, hdfs,
+    s3 or s3a, gs, abfs).
+    """
+    uri = re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+", "file:///", uri))
+    if "://" not in uri:
+        return fs.LocalFileSystem(), uri
+    return fs.FileSystem.from_uri(uri)
