@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from streamlookup.llm.decontamination import without_benchmark
 from streamlookup.llm.near_dedup import keep_one_of_each
 from streamlookup.llm.packing import pack_documents
+from streamlookup.llm.quality_classifier import accepted
 from streamlookup.llm.secret_scan import redact_secrets
 from streamlookup.plans.tables import table
 from streamlookup.sources.shared import written
@@ -16,6 +17,11 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return accepted(docs, table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     return keep_one_of_each(docs)
@@ -37,6 +43,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("quality_classifier", quality_classifier),
     ("near_dedup", near_dedup),
     ("decontamination", decontamination),
     ("secret_scan", secret_scan),

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from streamlookup.llm.batches import map_slices
@@ -132,7 +132,7 @@ class Benchmark:
         return np.concatenate(parts)
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[pd.DataFrame]:
+def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[Row]]:
     """The items, in blocks of about so many words."""
     words = F.size(F.split(F.coalesce(F.col("text"), F.lit("")), r"\W+"))
     items = benchmark.select("item_id", "text", words.alias("n"))
@@ -140,7 +140,7 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[pd.DataFrame]:
     blocks = max(1, -(-total // block_words))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for i in range(blocks):
-        yield items.where(part == i).toPandas() if blocks > 1 else items.toPandas()
+        yield items.where(part == i).collect() if blocks > 1 else items.collect()
 
 
 def benchmark_matches(
@@ -180,8 +180,8 @@ def _matcher(shared, least: int, coverage: float):
     return match
 
 
-def _share(spark: SparkSession, items: pd.DataFrame):
-    return spark.sparkContext.broadcast((uuid.uuid4().hex, items["item_id"].tolist(), items["text"].tolist()))
+def _share(spark: SparkSession, items: list[Row]):
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, [r["item_id"] for r in items], [r["text"] for r in items]))
 
 
 _benchmarks: dict[tuple[str, int], Benchmark] = {}

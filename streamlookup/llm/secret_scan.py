@@ -23,7 +23,7 @@ from streamlookup.llm.batches import map_slices
 # The pattern kinds in the order in which they are listed.
 BASE_KINDS = ("assign", "access", "hex")
 # Kinds confirmed by structure, listed after them.
-KEY_KINDS = ("rsa_key", "pkcs8_key", "encrypted_key", "ec_key", "openssh_key", "putty_key", "signed_token")
+KEY_KINDS = ("rsa_key", "pkcs8_key", "encrypted_key", "ec_key", "openssh_key", "signed_token")
 KINDS = (*BASE_KINDS, *KEY_KINDS)
 
 REDACTED = "[SECRET]"
@@ -141,17 +141,6 @@ def openssh_key(data: bytes) -> str | None:
     return "openssh_key" if body and body[1] == len(rest) - 4 and body[0][-1] else None
 
 
-def putty_key(data: bytes) -> str | None:
-    """``putty_key`` for the public part of one with a private part behind it."""
-    name = _strings(data, 1)
-    if name is None or name[0][0] not in (b"ssh-rsa", b"ssh-dss"):
-        return None
-    n = {b"ssh-rsa": 3, b"ssh-dss": 5}[name[0][0]]
-    public = _strings(data, n)
-    private = public and _strings(data[public[1] :], 1)
-    return "putty_key" if private and len(private[0][0]) >= 16 else None
-
-
 def _base64(text: str) -> bytes | None:
     text = text.rstrip("=").replace("-", "+").replace("_", "/")
     try:
@@ -161,7 +150,7 @@ def _base64(text: str) -> bytes | None:
 
 
 def key_kind(data: bytes) -> str | None:
-    return der_key(data) or openssh_key(data) or putty_key(data)
+    return der_key(data) or openssh_key(data)
 
 
 def _signed(token: str) -> bool:

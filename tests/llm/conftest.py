@@ -1,0 +1,42 @@
+from __future__ import annotations
+
+import pyarrow.parquet as pq
+import pytest
+
+SF_DIR = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def sample():
+    """Rows of the smallest table of documents."""
+    return pq.read_table(f"{SF_DIR}/documents.parquet").to_pylist()
+
+
+@pytest.fixture
+def odd_docs(spark):
+    """Documents with NULLs, ties, repeated rows, empty and long texts, and columns
+    named as the operators' own, in this order: doc_id, text."""
+    long_text = "Word after word goes on and on until the line ends here.\n" * 3000
+    rows = [
+        (1, "the quick brown fox jumps over the lazy dog again and again"),
+        (1, "the quick brown fox jumps over the lazy dog again and again"),
+        (2, None),
+        (3, ""),
+        (4, " \t\n "),
+        (None, "no id here but a text of more than five words"),
+        (None, None),
+        (5, long_text),
+        (6, "x" * 20_000),
+        (7, "one two"),
+        (8, "one two"),
+        (9, "Ünïcödé テスト 😀 ﬁ İ ſ K"),
+    ]
+    frame = spark.createDataFrame([(*r, 7, "b", None, "c", 1.0, "src", None) for r in rows],
+        "doc_id long, text string, length long, bucket string, class string, sequence_id string, offset double, source string, lang string")
+    return frame, rows
+
+
+@pytest.fixture
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)
