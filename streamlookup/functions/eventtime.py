@@ -54,8 +54,17 @@ def with_window(df: DataFrame, ts: str, size: str, into: str = "window") -> Data
     return df.withColumn(into, F.window(F.col(ts) if instant else F.col(ts).cast("timestamp"), size))
 
 
-def in_window(df: DataFrame, start: datetime, window: str = "window") -> DataFrame:
-    """Results of the window that starts at the given time."""
+def in_window(
+    df: DataFrame, start: datetime, window: str = "window", ts: str | None = None, size: timedelta | None = None
+) -> DataFrame:
+    """Rows of the window that starts at the given time.
+
+    The window is computed, so nothing outside it is left unread, unless rows still
+    have their time: then name its column ``ts`` and the window's ``size``, and its
+    range is asked of the source, see :func:`events_of_window`.
+    """
+    if ts is not None:
+        df = events_of_window(df, ts, size, start)
     return df.where(F.col(window)["start"] == F.lit(start))
 
 

@@ -8,20 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlookup.functions.messages import quoted, reject_duplicates
-from streamlookup.operators.skew import LIST_LIMIT, with_chunks, with_fixed_chunks
+from streamlookup.operators.skew import with_chunk
 
 
 def _collect(
-    df: DataFrame, keys: Sequence[str], lists: Sequence[Column], limit: int, stream_chunks: int
+    df: DataFrame, keys: Sequence[str], lists: Sequence[Column], chunks: int, deal: Column | None
 ) -> DataFrame:
     """Lists per key and chunk."""
-    reject_duplicates([*df.columns, "chunk", "chunks"])
-    groups = [*[quoted(k) for k in keys], F.col("chunk"), F.col("chunks")]
-    if df.isStreaming:
-        return with_fixed_chunks(df, stream_chunks).groupBy(*groups).agg(*lists)
-    # Lists get no smaller by being begun before the shuffle, only slower to
-    # move: the rows are shuffled as they are.
-    return with_chunks(df, keys, limit).repartition(*groups).groupBy(*groups).agg(*lists)
+    reject_duplicates([*df.columns, "chunk"])
+    groups = [quoted(k) for k in keys]
+    if chunks > 1:
+        df, groups = with_chunk(df, chunks, deal), [*groups, F.col("chunk")]
+    if not df.isStreaming:
+        # Lists get no smaller by being begun before the shuffle, only slower to
+        # move: the rows are shuffled as they are, once.
+        df = df.repartition(*groups)
+    found = df.groupBy(*groups).agg(*lists)
+    if chunks > 1:
+        return found
+    # A constant among the keys would cost a second shuffle.
+    names = [c for c in found.columns if c not in keys]
+    return found.select(*[quoted(k) for k in keys], F.lit(0).alias("chunk"), *[quoted(c) for c in names])
 
 
 def group_values(
@@ -29,21 +36,21 @@ def group_values(
     keys: Sequence[str],
     values: Sequence[str] | None = None,
     into: str = "values",
-    limit: int = LIST_LIMIT,
-    stream_chunks: int = 1,
+    chunks: int = 1,
+    deal: Column | None = None,
 ) -> DataFrame:
     """All values of each key as a list of structs.
 
-    Returns the keys, ``chunk``, ``chunks`` and the list. A key has one row,
-    unless it has more than ``limit`` values: then its values are spread over
-    rows that differ in ``chunk``, none missing. On a stream one of the keys
-    must be a window over a watermarked column, and ``stream_chunks`` rows are
-    kept per key.
+    Returns the keys, ``chunk`` and the list: a row per key and chunk that has values,
+    whatever the sizes. One chunk is a list per key, which has to fit in a task;
+    where a key may be hot give as many ``chunks`` as its rows need, and ``deal`` to say
+    which row goes to which (an integer, counted modulo ``chunks``). On a stream
+    one of the keys must be a window over a watermarked column.
     """
     values = list(values or [c for c in df.columns if c not in keys])
-    rows = df.select(*[quoted(c) for c in [*keys, *values]])
+    rows = df.select(*[quoted(c) for c in dict.fromkeys([*keys, *values])])
     items = F.collect_list(F.struct(*[quoted(v) for v in values])).alias(into)
-    return _collect(rows, keys, [items], limit, stream_chunks)
+    return _collect(rows, keys, [items], chunks, deal)
 
 
 def tagged_union(
@@ -65,18 +72,19 @@ def cogroup(
     keys: Sequence[str],
     left_name: str = "left",
     right_name: str = "right",
-    limit: int = LIST_LIMIT,
-    stream_chunks: int = 1,
+    chunks: int = 1,
+    deal: Column | None = None,
 ) -> DataFrame:
     """Per key the list of left values and the list of right values.
 
     Keys found on one side only are kept, with an empty list for the other.
-    Large keys come in chunks as in :func:`group_values`. Each side is shuffled
-    once. On streams both sides need a watermark and a window among the keys.
+    ``chunks`` and ``deal`` are as in :func:`group_values`; ``deal`` sees the keys and the
+    two structs. Each side is shuffled once. On streams both sides need a
+    watermark and a window among the keys.
     """
     both = tagged_union(left, right, keys, left_name, right_name)
     items = [F.collect_list(quoted(name)).alias(name) for name in (left_name, right_name)]
-    return _collect(both, keys, items, limit, stream_chunks)
+    return _collect(both, keys, items, chunks, deal)
 
 
 def cogroup_aggregate(

@@ -2,8 +2,9 @@
 
 Match policies
     ``inner``        an output per match, none for a miss
+    ``left``         an output per match, one with a NULL match for a miss
     ``exactly_one``  one output per event; the job fails on a miss or on several matches
-    ``collect``      every event, with the list of its matches
+    ``collect``      every event, with the list of its matches, in as many chunks as asked for
 
 Strategies
     ``auto``   batch: measure the table, then broadcast it or use ``merge``.
@@ -25,24 +26,20 @@ from pyspark.sql import types as T
 from streamlookup.functions.messages import quoted, reject_duplicates
 from streamlookup.operators.grouping import group_values
 from streamlookup.operators.sizing import BROADCAST_LIMIT, fits
-from streamlookup.operators.skew import LIST_LIMIT
 from streamlookup.sources.shared import written
 
-MATCHES = ("inner", "exactly_one", "collect")
+MATCHES = ("inner", "left", "exactly_one", "collect")
 STRATEGIES = ("auto", "merge", "keys")
 
 # Distinct keys that are sent to the table's source as an IN list. With more
 # keys the table is reduced by a semi-join.
 IN_LIST_LIMIT = 1_000
 
-# Repeated keys of a table that may pass through the driver to be broadcast.
-REPEATED_KEYS_LIMIT = 10_000
-
 _KEY = "__lookup_key"
 _DIM_KEY = "__dim_key"
 _COUNT = "__dim_count"
 _LIST = "__dim_list"
-_REPEATED = "__repeated_key"
+_DEAL = "__deal"
 
 
 def lookup_join(
@@ -55,16 +52,19 @@ def lookup_join(
     into: str = "match",
     project: Sequence[Column] | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
-    list_limit: int = LIST_LIMIT,
+    chunks: int = 1,
+    deal: Column | None = None,
 ) -> DataFrame:
     """Join events with the rows of ``dim`` whose ``dim_key`` equals ``key``.
 
     The match is a struct column ``into`` next to the event's columns, so names
     may occur on both sides. For ``collect`` it is an array of structs, empty
-    for a miss; an event whose key has more than ``list_limit`` rows appears
-    once per chunk of them (columns ``chunk``, ``chunks``). ``project`` picks
-    the output from event columns and ``into``. Hand in only the columns of
-    ``dim`` that are needed: its size decides how it is joined.
+    for a miss; the event appears once per ``chunk`` (a column) of its key's rows, of
+    which there are ``chunks`` at most, dealt by ``deal`` as in
+    :func:`~streamlookup.operators.grouping.group_values`: give more than one where a
+    key's rows are too many for a list. ``left`` needs no list. ``project`` picks the
+    output from event columns and ``into``. Hand in only the columns of ``dim`` that
+    are needed: its size decides how it is joined.
     """
     if matches not in MATCHES:
         raise ValueError(f"matches must be one of {MATCHES}, got {matches!r}")
@@ -73,7 +73,7 @@ def lookup_join(
     if dim.isStreaming:
         raise ValueError("the lookup table must not be a stream")
     reject_duplicates(dim.columns)
-    reject_duplicates([*events.columns, into, *(("chunk", "chunks") if matches == "collect" else ())])
+    reject_duplicates([*events.columns, into, *(("chunk",) if matches == "collect" else ())])
 
     if strategy == "keys":
         dim = referenced_rows(events, dim, key, dim_key, broadcast_limit)
@@ -88,14 +88,26 @@ def lookup_join(
     same_key = F.col(_KEY) == F.col(_DIM_KEY)
     extra = []
     if matches == "collect":
-        lists = group_values(side, [_DIM_KEY], list(names), into=_LIST, limit=list_limit)
+        if deal is not None:
+            # The caller's names, next to the ones used here.
+            side = side.select("*", *[F.col(field).alias(name) for field, name in names.items()])
+            side = side.withColumn(_DEAL, deal).drop(*names.values())
+        lists = group_values(
+            side, [_DIM_KEY], [c for c in side.columns if c != _DIM_KEY], _LIST, chunks, deal if deal is None else F.col(_DEAL)
+        )
+        if hint != "broadcast":
+            # A shuffle of its own, so that an event's hot key can be split here too.
+            lists = lists.hint("rebalance")
         joined = keyed.join(_hinted(lists, hint), same_key, "left")
         item = T.StructType([T.StructField(f.name, f.dataType) for f in dim.schema.fields])
-        match = F.coalesce(F.col(_LIST), F.array()).cast(T.ArrayType(item))
-        extra = [F.coalesce(c, F.lit(d)).alias(c) for c, d in (("chunk", 0), ("chunks", 1))]
+        found = F.coalesce(F.col(_LIST), F.array()) if deal is None else F.transform(
+            F.coalesce(F.col(_LIST), F.array()), lambda row: row.dropFields(_DEAL)
+        )
+        match = found.cast(T.ArrayType(item))
+        extra = [F.coalesce("chunk", F.lit(0)).alias("chunk")]
     else:
-        if matches == "inner":
-            joined = keyed.join(_hinted(side, hint), same_key, "inner")
+        if matches in ("inner", "left"):
+            joined = keyed.join(_hinted(side, hint), same_key, matches)
             values = {name: F.col(field) for field, name in names.items()}
         else:
             joined, found = _join_one(keyed, side, list(names), same_key, hint)
@@ -105,6 +117,8 @@ def lookup_join(
             joined = joined.where(_require_one(found, F.lit(True)))
             values = {name: _require_one(found, F.col(field)) for field, name in names.items()}
         match = F.struct(*[value.alias(name) for name, value in values.items()])
+        if matches == "left":
+            match = F.when(F.col(_DIM_KEY).isNotNull(), match)
 
     result = joined.select(*[quoted(c) for c in events.columns], *extra, match.alias(into))
     return result if project is None else result.select(*project)
@@ -127,36 +141,25 @@ def _hinted(df: DataFrame, hint: str | None) -> DataFrame:
 def _join_one(
     keyed: DataFrame, side: DataFrame, fields: list[str], same_key: Column, hint: str | None
 ) -> tuple[DataFrame, Column]:
-    """Each event with its match, and how many there are."""
-    if hint == "merge" and not keyed.isStreaming:
-        repeated = side.groupBy(_DIM_KEY).agg(F.count(F.lit(1)).alias(_COUNT)).where(F.col(_COUNT) > 1)
-        known = repeated.limit(REPEATED_KEYS_LIMIT + 1).collect()
-        if len(known) <= REPEATED_KEYS_LIMIT:
-            # A large table is joined as it is: grouping it would cost shuffles
-            # of all its columns, and keep adaptive execution from splitting a
-            # hot key, which takes two inputs that are plain shuffles.
-            if known:
-                # Checked before the join, which would multiply these events.
-                known = keyed.sparkSession.createDataFrame(known, repeated.schema)
-                known = known.withColumnRenamed(_DIM_KEY, _REPEATED)
-                keyed = keyed.join(F.broadcast(known), F.col(_KEY) == F.col(_REPEATED), "left")
-                keyed = keyed.where(_require_one(F.coalesce(F.col(_COUNT), F.lit(1)), F.lit(True)))
-                keyed = keyed.drop(_REPEATED, _COUNT)
-            joined = keyed.join(side.hint("merge"), same_key, "left")
-            return joined, F.when(F.col(_DIM_KEY).isNull(), F.lit(0)).otherwise(F.lit(1))
-
+    """Each event with its match, and how many there are, counted by the plan that
+    joins: a table that changes meanwhile cannot slip a second match past it."""
     # With one row per key it does not matter that each column is picked on its
     # own, and columns nobody asks for are still pruned from the scan.
     unique = side.groupBy(_DIM_KEY).agg(
         F.count(F.lit(1)).alias(_COUNT), *[F.any_value(field).alias(field) for field in fields]
     )
-    if hint == "merge":
+    if hint != "broadcast" and not _bucketed(side):
         # A shuffle of its own, so that hot keys can be split here too.
         unique = unique.hint("rebalance")
     joined = keyed.join(_hinted(unique, hint), same_key, "left")
     return joined, F.coalesce(F.col(_COUNT), F.lit(0))
 
 
+def _bucketed(df: DataFrame) -> bool:
+    """Whether a table is read by its buckets, which a join can use as they are."""
+    return "SelectedBucketsCount" in df._jdf.queryExecution().sparkPlan().toString()
+
+
 def _require_one(found: Column, value: Column) -> Column:
     """The value if there is one match; else the job fails."""
     message = F.concat(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import add
 
@@ -32,13 +33,22 @@ def _variable_bytes(field: T.StructField):
 def fits(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
     """Whether a table's uncompressed size is within the limit.
 
-    The rows are counted first, which reads next to nothing of a stored table.
-    Only if there are few enough are their values measured, so the cost stays
-    bounded for any table. Both are aggregates: one row reaches the driver.
+    Without a job if the optimizer's estimate, which for stored tables is their
+    compressed size, is beyond the limit already. Else one aggregate counts the rows
+    and adds up their values; a row of two numbers reaches the driver.
     """
-    fixed = df.count() * (_ROW_BYTES + _WORD * len(df.columns))
+    statistics = df._jdf.queryExecution().optimizedPlan().stats()
+    if _stored(df) and int(str(statistics.sizeInBytes())) > limit:
+        return False
     sizes = [size for size in map(_variable_bytes, df.schema.fields) if size is not None]
-    if fixed > limit or not sizes:
-        return fixed <= limit
-    total = reduce(add, [F.coalesce(F.sum(size.cast("bigint")), F.lit(0)) for size in sizes])
-    return fixed + df.agg(total.alias("bytes")).first()["bytes"] <= limit
+    row = reduce(add, [F.coalesce(size.cast("bigint"), F.lit(0)) for size in sizes], F.lit(0).cast("bigint"))
+    found = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()
+    return found["rows"] * (_ROW_BYTES + _WORD * len(df.columns)) + found["bytes"] <= limit
+
+
+def _stored(df: DataFrame) -> bool:
+    """Whether the plan reads whole columns of a stored table. Only then is the
+    optimizer's estimate a size that was found and not one that was assumed."""
+    nodes = [line.lstrip(" :+-") for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    whole = re.compile(r"Project |Relation |Filter isnotnull\([^()]*\)$")
+    return all(whole.match(node) for node in nodes if node)

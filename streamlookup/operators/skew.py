@@ -1,75 +1,31 @@
-"""Splitting groups that are too large for one task."""
+"""Dealing the rows of groups into chunks, for groups too large for one task."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlookup.functions.messages import quoted
 
-# Values held in one list; a larger group is delivered in several chunks.
-LIST_LIMIT = 10_000
-
-# Hot keys that may pass through the driver to be broadcast. With more of them
-# the keys are joined as a table.
-HOT_KEYS_LIMIT = 10_000
 
-
-def _comparable(df: DataFrame, names: Sequence[str]) -> list[Column]:
-    """The columns in a form that can be sorted and hashed."""
-    types = {f.name: f.dataType for f in df.schema.fields}
+def _comparable(df: DataFrame) -> list[Column]:
+    """The columns in a form that can be hashed."""
     return [
-        F.to_json(F.struct(quoted(n))) if isinstance(types[n], (T.MapType, T.VariantType)) else quoted(n) for n in names
+        F.to_json(F.struct(quoted(f.name))) if isinstance(f.dataType, (T.MapType, T.VariantType)) else quoted(f.name)
+        for f in df.schema.fields
     ]
 
 
-def with_fixed_chunks(df: DataFrame, chunks: int) -> DataFrame:
-    """Add ``chunk`` in [0, chunks), for streams, whose hot keys are not known ahead.
-
-    The number is made of the task's partition and the row's values, so that
-    copies are spread too and a repeated task computes the same.
-    """
-    if chunks == 1:
-        return df.withColumn("chunk", F.lit(0)).withColumn("chunks", F.lit(1))
-    spread = F.xxhash64(F.spark_partition_id(), *_comparable(df, df.columns))
-    return df.withColumn("chunk", F.pmod(spread, F.lit(chunks)).cast("int")).withColumn("chunks", F.lit(chunks))
-
+def with_chunk(df: DataFrame, chunks: int, deal: Column | None = None) -> DataFrame:
+    """Add ``chunk`` in [0, chunks), a part of the group that a row belongs to.
 
-def with_chunks(df: DataFrame, keys: Sequence[str], limit: int = LIST_LIMIT) -> DataFrame:
-    """Add ``chunk`` and ``chunks``: 0 and 1 for a group of up to ``limit`` rows,
-    else a number that splits the group into parts of about ``limit`` rows.
-
-    Costs one count per key over the key columns, combined before the shuffle,
-    and for hot keys a second look at the rows.
+    ``deal`` is an integer that is counted modulo ``chunks``. Without it the number is
+    made of the task's partition and the row's values, so that copies are spread
+    too and a repeated task computes the same.
     """
-    hot = (
-        df.groupBy(*[quoted(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > limit)
-        .select(
-            *[quoted(k).alias(f"__hot_{i}") for i, k in enumerate(keys)],
-            F.ceil(F.col("__rows") / F.lit(limit)).cast("int").alias("chunks"),
-        )
-    )
-    found = hot.limit(HOT_KEYS_LIMIT + 1).collect()
-    if not found:
-        return with_fixed_chunks(df, 1)
-    if len(found) <= HOT_KEYS_LIMIT:
-        hot = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
-    same_key = [quoted(k).eqNullSafe(F.col(f"__hot_{i}")) for i, k in enumerate(keys)]
-    columns = [quoted(c) for c in df.columns]
-    cold = with_fixed_chunks(df.join(hot, on=same_key, how="left_anti"), 1)
-
-    # A hot key's rows are dealt out in turn, each partition beginning somewhere
-    # else. They are sorted first: a task that is run again may get its rows in
-    # another order, and must deal them out as before.
-    rows = df.join(hot, on=same_key, how="inner").select(*columns, "chunks")
-    values = [c for c in df.columns if c not in keys]
-    rows = rows.sortWithinPartitions(*_comparable(df, [*keys, *values]))
-    turn = F.monotonically_increasing_id() + F.xxhash64(F.spark_partition_id()) % F.lit(1 << 30)
-    rows = rows.withColumn("__turn", turn)
-    rows = rows.select(*columns, F.pmod(F.col("__turn"), F.col("chunks")).cast("int").alias("chunk"), "chunks")
-    return cold.unionByName(rows)
+    if chunks < 1:
+        raise ValueError(f"chunks must be 1 or more, got {chunks}")
+    if deal is None:
+        deal = F.xxhash64(F.spark_partition_id(), *_comparable(df))
+    return df.withColumn("chunk", F.pmod(deal, F.lit(chunks)).cast("int"))

@@ -31,7 +31,7 @@ from streamlookup.functions.urls import invalid_urls, url_host
 from streamlookup.operators.grouping import cogroup, cogroup_aggregate, group_values
 from streamlookup.operators.hooks import flat_map_batches, flat_map_elements, map_elements
 from streamlookup.operators.latest import latest_per_key
-from streamlookup.operators.lookup import lookup_join
+from streamlookup.operators.lookup import lookup_join, referenced_rows
 from streamlookup.plans.flows import lookup_compose, lookup_natural_key, lookup_only
 from streamlookup.plans.tables import affiliates, events, page_messages, table
 from streamlookup.sources.dimensions import dim_rows, read_dim, write_dim
@@ -98,6 +98,13 @@ def distinct_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_inner(spark, sf_dir, "keys")
 
 
+def distinct_key_lookup_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys too many for a list: the customers of all orders."""
+    dim = table(spark, sf_dir, "customer").select(*CUSTOMER)
+    found = lookup_join(table(spark, sf_dir, "orders"), dim, "o_custkey", "c_custkey", "exactly_one", "keys")
+    return found.select("o_orderkey", "match.*")
+
+
 def lookup_many(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
     dim = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     found = lookup_join(events(spark, sf_dir), dim, "user_id", "o_custkey", strategy=strategy)
@@ -119,21 +126,28 @@ def lookup_exactly_one_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All matches of every event, a row each, and one for an event without any."""
     dim = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    found = lookup_join(events(spark, sf_dir), dim, "user_id", "o_custkey", "collect", into="matches")
-    return found.select(
-        "event_id",
-        "user_id",
-        F.size("matches").cast("bigint").alias("n_matches"),
-        id_list("matches", "o_orderkey").alias("order_keys"),
-    )
+    found = lookup_join(events(spark, sf_dir), dim, "user_id", "o_custkey", "left")
+    return found.select("event_id", "user_id", F.col("match.o_orderkey").alias("order_key"))
+
+
+def lookup_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many matches every event has, from counts per key."""
+    counts = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    found = lookup_join(events(spark, sf_dir), counts, "user_id", "o_custkey", "left")
+    return found.select("event_id", F.coalesce("match.n", F.lit(0)).alias("n_matches"))
 
 
 def lookup_collect_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists of about five, so that most keys come in several chunks."""
+    """Lists of matches in three chunks per key."""
     dim = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    found = lookup_join(events(spark, sf_dir), dim, "user_id", "o_custkey", "collect", into="matches", list_limit=5)
-    return found.select("event_id", F.explode("matches").alias("m")).select("event_id", "m.o_orderkey")
+    found = lookup_join(
+        events(spark, sf_dir), dim, "user_id", "o_custkey", "collect", into="matches", chunks=3, deal=F.col("o_orderkey")
+    )
+    return found.select("event_id", "chunk", F.explode("matches").alias("m"), F.size("matches").cast("bigint").alias("n_matches")).select(
+        "event_id", "chunk", "n_matches", "m.o_orderkey"
+    )
 
 
 def lookup_hooks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,17 +172,18 @@ def lookup_parameter(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lookup_join(events(spark, sf_dir), dim, "user_id", "s_suppkey")
     rows = found.select(F.col("event_id").alias("__key"), "match.*")
     message = rows.drop("__key")
+    names = F.array_sort(F.map_keys(row_map(message)))
     return rows.select(
         F.col("__key").alias("event_id"),
         row_map(message)["s_name"].alias("s_name"),
-        F.lit(len(message.columns)).cast("bigint").alias("n_columns"),
+        F.array_join(names, ",").alias("columns"),
     )
 
 
 def parameter_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Equality with a parameter, evaluated by the table's source."""
-    segments = ["BUILDING", "MACHINERY"]
-    return table(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin(segments)).select("*")
+    """Equality with parameters, evaluated by the table's source."""
+    segments = spark.createDataFrame([("BUILDING",), ("MACHINERY",), ("BUILDING",), (None,)], "segment string")
+    return referenced_rows(segments, table(spark, sf_dir, "customer"), "segment", "c_mktsegment")
 
 
 def memory_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,19 +293,27 @@ def json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed_access(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsing column text to types, with and without tolerance for text that does not fit."""
+    """Fields of a row's map, which are text, read as types; text that does not fit is NULL."""
     orders = table(spark, sf_dir, "orders")
+    fields = row_map(orders.select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus"))
+    number = F.coalesce(fields["o_orderpriority"], F.lit(""))
     return orders.select(
         "o_orderkey",
-        F.split("o_orderpriority", "-")[0].cast("double").alias("priority"),
-        F.col("o_orderpriority").try_cast("bigint").alias("not_a_number"),
-        F.col("o_orderstatus").cast("string").alias("status"),
+        fields["o_totalprice"].cast("double").alias("price"),
+        F.when(F.col("o_orderkey") % 2 == 0, fields["o_orderkey"]).otherwise(number).try_cast("bigint").alias("number"),
+        fields["o_orderstatus"].alias("status"),
     )
 
 
 def random_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many keys there are, and how many of them are random ones of version 4."""
     keyed = with_uuid(events(spark, sf_dir))
-    return keyed.select("event_id", F.length("__key").cast("bigint").alias("key_length"))
+    form = F.col("__key").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+    # Keys are counted by groups: one row for each, combined before the shuffle.
+    keys = keyed.groupBy("__key").agg(F.count(F.lit(1)).alias("n"), F.bool_and(form).alias("well_formed"))
+    return keys.agg(
+        F.count(F.lit(1)).alias("n_keys"), F.sum("n").alias("n_events"), F.count_if("well_formed").alias("n_well_formed")
+    )
 
 
 # Event time
@@ -317,10 +340,10 @@ def window_address(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a windowed query found for one day's window."""
-    windowed = with_window(events(spark, sf_dir), "ts", "1 day")
-    counts = windowed.groupBy("window", "event_type").agg(F.count(F.lit(1)).alias("n_events"))
-    return in_window(counts, DAY).select("event_type", "n_events")
+    """What a windowed query finds for one day's window."""
+    windowed = with_window(table(spark, sf_dir, "events"), "ts", "1 day")
+    day = in_window(windowed, DAY, ts="ts", size=timedelta(days=1))
+    return day.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"))
 
 
 def window_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,27 +355,34 @@ def window_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values of a user and day, in four parts: a row per value."""
     windowed = with_window(events(spark, sf_dir), "ts", "1 day").select("window", "user_id", "event_id")
-    grouped = group_values(windowed, ["window", "user_id"])
+    grouped = group_values(windowed, ["window", "user_id"], chunks=4)
     return grouped.select(
-        F.unix_millis("window.start").alias("window_start"), "user_id", id_list("values", "event_id").alias("event_ids")
-    )
+        F.unix_millis("window.start").alias("window_start"), "user_id", F.explode("values").alias("v")
+    ).select("window_start", "user_id", "v.event_id")
 
 
 # Grouping
 
 
 def group_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grouped = group_values(events(spark, sf_dir), ["user_id"], ["event_id"])
-    return grouped.select(
-        "user_id", F.size("values").cast("bigint").alias("n_values"), id_list("values", "event_id").alias("event_ids")
-    )
+    """Every value with its key, out of lists in eight parts."""
+    grouped = group_values(events(spark, sf_dir), ["user_id"], ["event_id"], chunks=8)
+    return grouped.select("user_id", F.explode("values").alias("v")).select("user_id", "v.event_id")
+
+
+def group_by_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many values a key has: no list, counted before the shuffle."""
+    return events(spark, sf_dir).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_values"))
 
 
 def group_by_key_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists of about twenty, so that every key comes in several chunks."""
-    grouped = group_values(events(spark, sf_dir), ["user_id"], ["event_id"], limit=20)
-    return grouped.select("user_id", F.explode("values").alias("v")).select("user_id", "v.event_id")
+    """Lists dealt by the value into three chunks, and how long each is."""
+    grouped = group_values(events(spark, sf_dir), ["user_id"], ["event_id"], chunks=3, deal=F.col("event_id"))
+    return grouped.select(
+        "user_id", "chunk", F.size("values").cast("bigint").alias("n_values"), id_list("values", "event_id").alias("event_ids")
+    )
 
 
 def _both_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -362,15 +392,14 @@ def _both_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 def cogroup_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of either side with its key, out of lists in eight parts."""
     left, right = _both_sides(spark, sf_dir)
-    both = cogroup(left.select("key", "event_id"), right.select("key", "o_orderkey"), ["key"])
-    return both.select(
-        "key",
-        F.size("left").cast("bigint").alias("n_left"),
-        F.size("right").cast("bigint").alias("n_right"),
-        id_list("left", "event_id").alias("event_ids"),
-        id_list("right", "o_orderkey").alias("order_keys"),
+    both = cogroup(left.select("key", "event_id"), right.select("key", "o_orderkey"), ["key"], chunks=8)
+    sides = F.concat(
+        F.transform("left", lambda v: F.struct(F.lit("event").alias("side"), v["event_id"].alias("id"))),
+        F.transform("right", lambda v: F.struct(F.lit("order").alias("side"), v["o_orderkey"].alias("id"))),
     )
+    return both.select("key", F.explode(sides).alias("v")).select("key", "v.side", "v.id")
 
 
 def cogroup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -451,13 +480,14 @@ BATCH_QUERIES = {
     fn.__name__: fn
     for fn in (
         host_extract, host_strict, host_or_null, dead_letters,
-        lookup_inner, lookup_inner_merge, distinct_key_lookup, lookup_many, lookup_many_merge,
-        lookup_exactly_one, lookup_exactly_one_merge, lookup_collect, lookup_collect_chunked,
+        lookup_inner, lookup_inner_merge, distinct_key_lookup, distinct_key_lookup_many, lookup_many, lookup_many_merge,
+        lookup_exactly_one, lookup_exactly_one_merge, lookup_collect, lookup_match_counts,
+        lookup_collect_chunked,
         lookup_hooks, lookup_parameter, parameter_filter, memory_table, table_round_trip,
         lookup_url, compose_url, natural_key_url, compose_window, natural_key_latest, enrich_window, enrich_global,
         row_as_map, row_as_json, merged_json, merged_map, json_parse, typed_access, random_key,
         event_time_millis, window_assign, window_address, window_results, window_group, window_values,
-        group_by_key, group_by_key_chunked, cogroup_lists, cogroup_counts, latest_event, latest_event_in_window,
+        group_by_key, group_by_key_counts, group_by_key_chunked, cogroup_lists, cogroup_counts, latest_event, latest_event_in_window,
         element_map, element_map_pandas, element_flat_map, batch_flat_map, message_round_trip,
     )
 }

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from streamlookup.functions.eventtime import with_event_time
+from streamlookup.functions.urls import invalid_urls
 from streamlookup.plans.flows import lookup_compose, lookup_natural_key, lookup_only
 from streamlookup.sources.messages import write_messages
-from streamlookup.sources.shared import written
 from streamlookup.streaming.batches import enrich_batches, to_messages
 
 FLOWS = {"lookup_only": lookup_only, "lookup_compose": lookup_compose, "lookup_natural_key": lookup_natural_key}
@@ -36,26 +36,23 @@ def publish(
     as a batch job; then ``dim`` may be a function that reads the table, to see
     its rows as they are now. ``lookup_natural_key`` always runs that way.
 
-    A batch job reads a table given as a function once, into a copy in the work
-    folder, so that all steps of a lookup see the same rows even while it
-    changes. A stream without ``per_batch`` reads it in every micro-batch.
+    A job over bounded events, be it a micro-batch, asks a table given as a function
+    only for the rows its distinct keys refer to, and copies those: all steps of a
+    lookup see the same rows, though the table changes meanwhile, and it is never
+    read whole. A stream without ``per_batch`` reads it in every micro-batch.
     """
     enrich = FLOWS[flow]
-
     batches = events.isStreaming and (per_batch or flow == "lookup_natural_key")
+    if batches and checkpoint is None:
+        raise ValueError("a stream needs a checkpoint folder")
+    if batches and flow_options.get("emit") == "on_window_close":
+        raise ValueError("a window may last longer than the micro-batch: per_batch emits at once")
 
-    def current() -> DataFrame:
-        if not callable(dim):
-            return dim
-        # The natural-key flow copies the rows it refers to by itself.
-        bounded = batches or not events.isStreaming
-        return written(dim(), "table") if bounded and flow != "lookup_natural_key" else dim()
-
+    current = dim if callable(dim) else lambda: dim
+    bounded = batches or not events.isStreaming
+    if callable(dim) and bounded and flow != "lookup_natural_key":  # which asks by key anyway
+        flow_options.setdefault("strategy", "keys")
     if batches:
-        if checkpoint is None:
-            raise ValueError("a stream needs a checkpoint folder")
-        if flow_options.get("emit") == "on_window_close":
-            raise ValueError("a window may last longer than the micro-batch: per_batch emits at once")
         return enrich_batches(
             events,
             lambda batch: enrich(batch, current(), dim_key, **flow_options),
@@ -66,3 +63,14 @@ def publish(
         events = with_event_time(events, delay=delay)
     messages = enrich(events, current(), dim_key, **flow_options)
     return write_messages(messages, fmt, options=options, checkpoint=checkpoint)
+
+
+def publish_invalid(
+    events: DataFrame, fmt: str, options: Mapping[str, str], checkpoint: str | None = None, url: str = "url"
+) -> DataStreamWriter | None:
+    """Publish the URLs that ``on_invalid='drop'`` leaves out, to a dead-letter sink.
+
+    Bounded events are published at once; for a stream the writer of a query of its
+    own is returned, which needs its own checkpoint.
+    """
+    return write_messages(invalid_urls(events, url), fmt, url, options, checkpoint)

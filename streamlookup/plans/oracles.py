@@ -44,6 +44,9 @@ _WINDOW_GROUP = f"""
     SELECT {_START_5MIN} AS window_start, user_id, count(*) AS n_events,
         sum(round(value * 100)::BIGINT)::BIGINT AS cents
     FROM events GROUP BY 1, 2"""
+_WINDOW_RESULTS = """
+    SELECT event_type, count(*) AS n_events FROM events
+    WHERE time_bucket(INTERVAL '1 day', ts) = TIMESTAMP '2024-01-15' GROUP BY 1"""
 _LATEST_IN_WINDOW = f"""
     SELECT {_START_DAY} AS window_start, user_id, event_id, event_type
     FROM ({_LATEST.format(keys="user_id, time_bucket(INTERVAL '1 day', ts)")})"""
@@ -66,17 +69,23 @@ ORACLE_SQL = {
     "lookup_exactly_one": _LOOKUP_ONE,
     "lookup_exactly_one_merge": _LOOKUP_ONE,
     "lookup_collect": """
-        SELECT event_id, user_id, coalesce(n_matches, 0) AS n_matches, coalesce(order_keys, '') AS order_keys
-        FROM events LEFT JOIN (
-            SELECT o_custkey, count(*) AS n_matches,
-                string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS order_keys
-            FROM orders GROUP BY o_custkey) ON user_id = o_custkey""",
-    "lookup_collect_chunked": "SELECT event_id, o_orderkey FROM events JOIN orders ON user_id = o_custkey",
+        SELECT event_id, user_id, o_orderkey AS order_key FROM events LEFT JOIN orders ON user_id = o_custkey""",
+    "lookup_match_counts": """
+        SELECT event_id, count(o_orderkey) AS n_matches
+        FROM events LEFT JOIN orders ON user_id = o_custkey GROUP BY event_id""",
+    "lookup_collect_chunked": """
+        SELECT event_id, (o_orderkey % 3)::INT AS chunk,
+            count(*) OVER (PARTITION BY event_id, o_orderkey % 3) AS n_matches, o_orderkey
+        FROM events JOIN orders ON user_id = o_custkey""",
+    "distinct_key_lookup_many": """
+        SELECT o_orderkey, c_custkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey""",
     "lookup_hooks": """
         SELECT event_id, upper(s_name) AS supplier, s_suppkey + 1 AS next_key
         FROM events JOIN supplier ON s_name = printf('Supplier#%09d', user_id)""",
     "lookup_parameter": """
-        SELECT event_id, s_name, 4::BIGINT AS n_columns FROM events JOIN supplier ON user_id = s_suppkey""",
+        SELECT event_id, s_name, (
+            SELECT string_agg(column_name, ',' ORDER BY column_name) FROM (DESCRIBE supplier)) AS columns
+        FROM events JOIN supplier ON user_id = s_suppkey""",
     "parameter_filter": "SELECT * FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')",
     "memory_table": """
         SELECT event_id, event_type AS kind,
@@ -116,10 +125,10 @@ ORACLE_SQL = {
             json_extract(props, '$.k')::BIGINT AS variant
         FROM events""",
     "typed_access": """
-        SELECT o_orderkey, split_part(o_orderpriority, '-', 1)::DOUBLE AS priority,
-            try_cast(o_orderpriority AS BIGINT) AS not_a_number, o_orderstatus AS status
+        SELECT o_orderkey, o_totalprice AS price, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS number,
+            o_orderstatus AS status
         FROM orders""",
-    "random_key": "SELECT event_id, length(uuid()::VARCHAR) AS key_length FROM events",
+    "random_key": "SELECT count(*) AS n_keys, count(*) AS n_events, count(*) AS n_well_formed FROM events",
     "event_time_millis": _EVENT_MILLIS,
     "stream_event_millis": _EVENT_MILLIS,
     "window_assign": f"""
@@ -129,28 +138,21 @@ ORACLE_SQL = {
     "window_address": """
         SELECT event_id, user_id FROM events
         WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'""",
-    "window_results": """
-        SELECT event_type, count(*) AS n_events FROM events
-        WHERE time_bucket(INTERVAL '1 day', ts) = TIMESTAMP '2024-01-15' GROUP BY 1""",
+    "stream_window_results": _WINDOW_RESULTS,
+    "window_results": _WINDOW_RESULTS,
     "window_group": _WINDOW_GROUP,
     "stream_window_group": _WINDOW_GROUP,
-    "window_values": f"""
-        SELECT {_START_DAY} AS window_start, user_id, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS event_ids
-        FROM events GROUP BY 1, 2""",
+    "window_values": f"SELECT {_START_DAY} AS window_start, user_id, event_id FROM events",
     "stream_window_values": f"SELECT {_START_DAY} AS window_start, user_id, event_id FROM events",
-    "group_by_key": """
-        SELECT user_id, count(*) AS n_values, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS event_ids
-        FROM events GROUP BY user_id""",
-    "group_by_key_chunked": "SELECT user_id, event_id FROM events",
+    "group_by_key": "SELECT user_id, event_id FROM events",
+    "group_by_key_counts": "SELECT user_id, count(*) AS n_values FROM events GROUP BY user_id",
+    "group_by_key_chunked": """
+        SELECT user_id, (event_id % 3)::INT AS chunk, count(*) AS n_values,
+            string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS event_ids
+        FROM events GROUP BY 1, 2""",
     "cogroup_lists": """
-        SELECT key, coalesce(n_left, 0) AS n_left, coalesce(n_right, 0) AS n_right,
-            coalesce(event_ids, '') AS event_ids, coalesce(order_keys, '') AS order_keys
-        FROM (SELECT user_id AS key, count(*) AS n_left,
-                  string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS event_ids
-              FROM events GROUP BY 1)
-        FULL JOIN (SELECT o_custkey AS key, count(*) AS n_right,
-                  string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS order_keys
-              FROM orders GROUP BY 1) USING (key)""",
+        SELECT user_id AS key, 'event' AS side, event_id AS id FROM events
+        UNION ALL SELECT o_custkey, 'order', o_orderkey FROM orders""",
     "cogroup_counts": """
         SELECT key, coalesce(n_left, 0) AS n_left, coalesce(n_right, 0) AS n_right,
             coalesce(left_cents, 0) AS left_cents, coalesce(right_cents, 0) AS right_cents
@@ -161,11 +163,16 @@ ORACLE_SQL = {
               FROM orders GROUP BY 1) USING (key)""",
     "stream_cogroup": f"""
         SELECT {_START_DAY} AS window_start, user_id,
-            coalesce(string_agg(event_id::VARCHAR, ',' ORDER BY event_id)
-                FILTER (event_type = 'purchase'), '') AS purchases,
-            coalesce(string_agg(event_id::VARCHAR, ',' ORDER BY event_id)
-                FILTER (event_type <> 'purchase'), '') AS others
-        FROM events GROUP BY 1, 2""",
+            CASE event_type WHEN 'purchase' THEN 'purchase' ELSE 'other' END AS side, event_id
+        FROM events""",
+    "stream_late_rows": f"""
+        WITH n AS (SELECT count(*) AS n FROM events),
+        mark AS (
+            SELECT max(ts) - INTERVAL '10 minutes' AS mark FROM events, n
+            WHERE event_id % 50 <> 7 AND event_id * 4 < 3 * n)
+        SELECT {_START_5MIN} AS window_start, count(*) AS n_events FROM events, mark
+        WHERE event_id % 50 <> 7 OR time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' > mark
+        GROUP BY 1""",
     "latest_event": f"""
         SELECT user_id, event_id, event_type, epoch_us(ts) // 1000 AS millis
         FROM ({_LATEST.format(keys="user_id")})""",

@@ -6,23 +6,35 @@ the sink received. The results equal those of the batch query of the same name.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlookup.functions.eventtime import event_millis, output_millis, with_window
+from streamlookup.functions.eventtime import (
+    event_millis,
+    events_of_window,
+    in_window,
+    output_millis,
+    with_event_time,
+    with_window,
+)
 from streamlookup.functions.messages import json_to_struct
 from streamlookup.operators.grouping import cogroup, group_values
 from streamlookup.operators.latest import latest_per_key
 from streamlookup.operators.lookup import lookup_join
-from streamlookup.plans.batch_queries import CUSTOMER, WINDOW, cents, id_list
+from streamlookup.plans.batch_queries import CUSTOMER, DAY, WINDOW, cents
 from streamlookup.plans.flows import lookup_compose, lookup_natural_key, lookup_only
 from streamlookup.plans.tables import affiliates, event_stream, page_stream, table
 from streamlookup.sources.messages import read_messages, write_messages
-from streamlookup.streaming.batches import enrich_batches, to_folder
-from streamlookup.streaming.replay import replay, replay_windows
 from streamlookup.sources.shared import work_folder
+from streamlookup.streaming.batches import enrich_batches, to_folder
+from streamlookup.streaming.emission import hold_until_close
+from streamlookup.streaming.replay import ordered_files, replay, replay_windows, stream_table
 
 DELAY = "10 minutes"
+FIVE_MINUTES = timedelta(minutes=5)
+DAY_LONG = timedelta(days=1)
 
 
 def stream_lookup_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,14 +78,20 @@ def stream_compose_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_compose_on_close(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same messages, each held back until its window has ended."""
-    dim = table(spark, sf_dir, "customer")
-
-    def build(events: DataFrame) -> DataFrame:
-        return _compose(events, dim, "on_window_close")
+    """The same messages, each held back until its window has ended.
 
+    One stream holds the events and writes them when their window closes; another,
+    without state, looks them up, where hot keys are split.
+    """
     events = event_stream(spark, sf_dir).select("event_id", "event_type", "user_id", "ts")
-    return replay_windows(spark, events, build, work_folder(spark, "compose_on_close"), DELAY)
+    folder = work_folder(spark, "compose_on_close")
+
+    def hold(rows: DataFrame) -> DataFrame:
+        return hold_until_close(rows, "ts", WINDOW).drop("window")
+
+    held = replay_windows(spark, events, hold, folder, DELAY, FIVE_MINUTES)
+    closed = stream_table(spark, f"{folder}/out", held.schema)
+    return replay(spark, _compose(closed, table(spark, sf_dir, "customer"), "immediate"), f"{folder}/composed")
 
 
 def stream_window_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +104,7 @@ def stream_window_group(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     events = event_stream(spark, sf_dir).select("ts", "user_id", "value")
-    return replay_windows(spark, events, build, work_folder(spark, "window_group"), DELAY)
+    return replay_windows(spark, events, build, work_folder(spark, "window_group"), DELAY, FIVE_MINUTES)
 
 
 def stream_window_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,18 +112,18 @@ def stream_window_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build(events: DataFrame) -> DataFrame:
         windowed = with_window(events, "ts", "1 day")
-        grouped = group_values(windowed, ["window", "user_id"], ["event_id"], stream_chunks=4)
+        grouped = group_values(windowed, ["window", "user_id"], ["event_id"], chunks=4)
         return grouped.select(F.unix_millis("window.start").alias("window_start"), "user_id", "chunk", "values")
 
     events = event_stream(spark, sf_dir).select("ts", "user_id", "event_id")
-    parts = replay_windows(spark, events, build, work_folder(spark, "window_values"), DELAY)
+    parts = replay_windows(spark, events, build, work_folder(spark, "window_values"), DELAY, DAY_LONG)
     return parts.select("window_start", "user_id", F.explode("values").alias("v")).select(
         "window_start", "user_id", "v.event_id"
     )
 
 
 def stream_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases and all other events of a user and day."""
+    """Purchases and all other events of a user and day, in four parts."""
 
     def build(events: DataFrame) -> DataFrame:
         windowed = with_window(events, "ts", "1 day")
@@ -115,16 +133,51 @@ def stream_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
             keyed.where(purchase).drop("event_type"),
             keyed.where(~purchase).drop("event_type"),
             ["window", "user_id"],
+            chunks=4,
         )
-        return both.select(
-            F.unix_millis("window.start").alias("window_start"),
-            "user_id",
-            id_list("left", "event_id").alias("purchases"),
-            id_list("right", "event_id").alias("others"),
+        sides = F.concat(
+            F.transform("left", lambda v: F.struct(F.lit("purchase").alias("side"), v["event_id"].alias("event_id"))),
+            F.transform("right", lambda v: F.struct(F.lit("other").alias("side"), v["event_id"].alias("event_id"))),
         )
+        rows = both.select("window", "user_id", F.explode(sides).alias("v"))
+        return rows.select(F.unix_millis("window.start").alias("window_start"), "user_id", "v.side", "v.event_id")
 
     events = event_stream(spark, sf_dir).select("ts", "user_id", "event_id", "event_type")
-    return replay_windows(spark, events, build, work_folder(spark, "cogroup"), DELAY)
+    return replay_windows(spark, events, build, work_folder(spark, "cogroup"), DELAY, DAY_LONG)
+
+
+def stream_window_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a windowed stream finds for one day's window; other files are not read."""
+
+    def build(events: DataFrame) -> DataFrame:
+        windowed = with_window(events, "ts", "1 day")
+        counts = windowed.groupBy("window", "event_type").agg(F.count(F.lit(1)).alias("n_events"))
+        return in_window(counts, DAY).select("event_type", "n_events")
+
+    events = events_of_window(event_stream(spark, sf_dir), "ts", DAY_LONG, DAY)
+    return replay_windows(spark, events.select("ts", "event_type"), build, work_folder(spark, "results"), DELAY, DAY_LONG)
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events counted per window when every fiftieth comes after all others.
+
+    The late ones are left out, but for those whose window is still open. Spark
+    compares them with the watermark of the micro-batch before the last: the
+    greatest time of the first three quarters, less the delay.
+    """
+    rows = table(spark, sf_dir, "events")
+    last = F.lit(rows.count())
+    part = F.when(F.col("event_id") % 50 == 7, F.lit(4)).otherwise(F.floor(F.col("event_id") * 4 / last))
+    parts = rows.withColumn("part", F.least(part, F.lit(4)).cast("int"))
+    folder = ordered_files(parts, "part", 5, work_folder(spark, "late_events"))
+    events = with_event_time(stream_table(spark, folder, parts.schema, 1))
+
+    def build(marked: DataFrame) -> DataFrame:
+        counts = with_window(marked, "ts", WINDOW).groupBy("window").agg(F.count(F.lit(1)).alias("n_events"))
+        return counts.select(F.unix_millis("window.start").alias("window_start"), "n_events")
+
+    work = work_folder(spark, "late_rows")
+    return replay_windows(spark, events.select("ts"), build, work, DELAY, FIVE_MINUTES, allow_late=True)
 
 
 def stream_latest_in_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +187,7 @@ def stream_latest_in_window(spark: SparkSession, sf_dir: str) -> DataFrame:
         return latest.select(F.unix_millis("window.start").alias("window_start"), "user_id", "event_id", "event_type")
 
     events = event_stream(spark, sf_dir).select("ts", "user_id", "event_id", "event_type")
-    return replay_windows(spark, events, build, work_folder(spark, "latest"), DELAY)
+    return replay_windows(spark, events, build, work_folder(spark, "latest"), DELAY, DAY_LONG)
 
 
 def stream_natural_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +227,8 @@ STREAM_QUERIES = {
     fn.__name__: fn
     for fn in (
         stream_lookup_inner, stream_lookup_many, stream_lookup_url, stream_enrich_window, stream_compose_window,
-        stream_compose_on_close, stream_window_group, stream_window_values, stream_cogroup, stream_latest_in_window,
+        stream_compose_on_close, stream_window_group, stream_window_values, stream_window_results, stream_cogroup,
+        stream_late_rows, stream_latest_in_window,
         stream_natural_key, stream_message_round_trip, stream_event_millis,
     )
 }

@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from streamlookup.functions.eventtime import with_event_time
 from streamlookup.functions.urls import url_host
-from streamlookup.session import configure
-from streamlookup.sources.shared import written
-from streamlookup.streaming.replay import stream_table
+from streamlookup.sources.shared import work_folder
+from streamlookup.streaming.replay import ordered_files, stream_table
+
+
+# Files of a replayed table, and how many of them a micro-batch reads.
+FILES = 8
+FILES_PER_BATCH = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,8 +26,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return with_event_time(stream_table(spark, f"{sf_dir}/events.parquet", schema))
+    """The events in the order of their time, in several micro-batches."""
+    rows = table(spark, sf_dir, "events")
+    folder = ordered_files(rows, "ts", FILES, work_folder(spark, "events"))
+    return with_event_time(stream_table(spark, folder, rows.schema, FILES_PER_BATCH))
 
 
 def page_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,13 +43,11 @@ def page_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def affiliates(spark: SparkSession, sf_dir: str, least_pages: int = 1) -> DataFrame:
     """A table keyed by host: hosts with at least ``least_pages`` pages, so that a
-    higher number leaves URLs without a match. It is loaded once, as a lookup
-    table would be, and not derived again by every use or micro-batch."""
-    hosts = (
+    higher number leaves URLs without a match."""
+    return (
         page_messages(spark, sf_dir)
         .groupBy(url_host("url").alias("source_domain"))
         .agg(F.min("page_id").alias("id"), F.count(F.lit(1)).alias("pages"))
         .where(F.col("pages") >= least_pages)
         .select("id", "source_domain", F.round(F.col("pages") / F.lit(100.0), 2).alias("compensation"))
     )
-    return written(hosts, "affiliates")

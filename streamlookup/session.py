@@ -7,7 +7,8 @@ from pyspark.sql import SparkSession
 # Settings that can be changed on a running session. UTC makes epoch values of
 # zone-less timestamps independent of the machine; adaptive execution splits
 # skewed join partitions; RocksDB keeps window state off the JVM heap, and its
-# change log makes a checkpoint as small as what changed.
+# change log makes a checkpoint as small as what changed. Replays look at the progress of
+# every micro-batch.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -18,6 +19,7 @@ RUNTIME_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
 

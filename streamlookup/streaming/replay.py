@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from streamlookup.functions.eventtime import with_event_time
 
-# Later than any event; moves the watermark past every open window.
-FAR_FUTURE = datetime(2200, 1, 1)
-
-
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
     """A parquet table, one file or a folder of them, as a stream.
 
@@ -28,9 +24,30 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def run_available(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+def ordered_files(df: DataFrame, by: str, files: int, folder: str) -> str:
+    """Write a table as files that a stream reads in the order of ``by``.
+
+    The file source goes by the time of a file's last change, which is set after
+    writing, file by file. Returns the folder.
+    """
+    spark = df.sparkSession
+    df.repartitionByRange(files, by).sortWithinPartitions(by).write.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted((f.getPath() for f in store.listStatus(path)), key=lambda p: p.getName())
+    parts = [p for p in parts if p.getName().startswith("part-")]
+    newest = store.getFileStatus(path).getModificationTime()
+    for i, part in enumerate(parts):
+        store.setTimes(part, newest - 1000 * (len(parts) - i), -1)
+    return folder
+
+
+def run_available(
+    df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet", allow_late: bool = True
+) -> StreamingQuery:
     """Append all available input to a folder and stop. The checkpoint and the
-    folder's log give each row exactly once, also after a restart."""
+    folder's log give each row exactly once, also after a restart. Unless
+    ``allow_late``, rows dropped for being later than the watermark are an error."""
     query = (
         df.writeStream.format(fmt)
         .option("checkpointLocation", checkpoint)
@@ -39,9 +56,22 @@ def run_available(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet
         .start(sink)
     )
     query.awaitTermination()
+    kept = int(df.sparkSession.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    if not allow_late and (late := late_rows(query, kept)):
+        raise RuntimeError(f"{late} rows (or groups of rows) came after the watermark and were dropped")
     return query
 
 
+def late_rows(query: StreamingQuery, kept: int) -> int:
+    """How many rows stateful operators have dropped for being late; rows that are
+    combined before the shuffle count once for a task and group. ``kept`` is of how
+    many micro-batches the session keeps the progress."""
+    progress = query.recentProgress
+    if len(progress) >= kept:
+        raise RuntimeError(f"progress is kept of {kept} micro-batches only: raise numRecentProgressUpdates")
+    return sum(state["numRowsDroppedByWatermark"] for p in progress for state in p["stateOperators"])
+
+
 def replay(spark: SparkSession, df: DataFrame, work: str) -> DataFrame:
     """Run a stream over all available input; its output as a batch table."""
     run_available(df, f"{work}/out", f"{work}/checkpoint")
@@ -54,16 +84,22 @@ def replay_windows(
     build: Callable[[DataFrame], DataFrame],
     work: str,
     delay: str,
+    longest: timedelta,
     ts: str = "ts",
     closing: Mapping[str, object] | None = None,
+    allow_late: bool = False,
 ) -> DataFrame:
-    """As :func:`replay` for a query with windows, which all get closed.
+    """As :func:`replay` for a query with windows of up to ``longest``, which all get closed.
 
-    Spark keeps a window open until a later event moves the watermark on. So the
-    query first runs over the events, then goes on from its checkpoint with one
-    event far in the future, whose own window never closes. That event has the
+    For tests and replays only. Spark keeps a window open until a later event moves
+    the watermark on. So the query first runs over the events, then goes on from
+    its checkpoint with one event later than the greatest time seen by twice the
+    longest window and the delay, whose own window never closes. That event has the
     ``closing`` values and NULL elsewhere. ``build`` gets the events with a
     watermark of ``delay`` on ``ts``.
+
+    Fails if events were dropped as too late, unless ``allow_late``, and if windows are
+    still open in the end: the output is whole, or there is none.
     """
     schema = events.schema
     folder = f"{work}/closing"
@@ -73,10 +109,18 @@ def replay_windows(
     # filters of `build` above the watermark, which must see the closing event.
     marked = with_event_time(both, ts, delay).where(F.spark_partition_id() >= 0)
     query = build(marked)
-    run_available(query, f"{work}/out", f"{work}/checkpoint")
-
-    values = {**(closing or {}), ts: FAR_FUTURE}
-    columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
-    spark.range(1).select(*columns).write.mode("append").parquet(folder)
-    run_available(query, f"{work}/out", f"{work}/checkpoint")
+    first = run_available(query, f"{work}/out", f"{work}/checkpoint", allow_late=allow_late)
+
+    seen = [p["eventTime"]["max"] for p in first.recentProgress if "max" in (p["eventTime"] or {})]
+    if seen:
+        late = spark.sql(f"SELECT INTERVAL {delay} AS late").first()["late"]
+        last = datetime.fromisoformat(max(seen).replace("Z", "+00:00"))
+        # A window of any offset that holds the last event ends before this.
+        values = {**(closing or {}), ts: last + late + 2 * longest}
+        columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
+        spark.range(1).select(*columns).write.mode("append").parquet(folder)
+        second = run_available(query, f"{work}/out", f"{work}/checkpoint", allow_late=allow_late)
+        open_rows = [state["numRowsTotal"] for state in second.recentProgress[-1]["stateOperators"]]
+        if any(n > 1 for n in open_rows):
+            raise RuntimeError(f"windows longer than {longest} are still open: {open_rows} rows of state")
     return spark.read.schema(query.schema).parquet(f"{work}/out")

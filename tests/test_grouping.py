@@ -12,50 +12,67 @@ from streamlookup.operators.grouping import cogroup, cogroup_aggregate, group_va
 from streamlookup.operators.latest import latest_per_key
 
 
-def test_small_groups_have_one_row(spark):
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_key_has_one_row(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "a"), (None, "c")], "k int, v string")
-    rows = group_values(df, ["k"]).collect()
-    assert {r["k"]: sorted(v["v"] for v in r["values"]) for r in rows} == {1: ["a", "a", "b"], None: ["c"]}
-    assert {(r["chunk"], r["chunks"]) for r in rows} == {(0, 1)}
+    found = group_values(df, ["k"])
+    assert found.columns == ["k", "chunk", "values"]
+    assert {r["k"]: sorted(v["v"] for v in r["values"]) for r in found.collect()} == {1: ["a", "a", "b"], None: ["c"]}
 
 
-@pytest.mark.parametrize("hot_keys", [None, 0], ids=["few hot keys", "many hot keys"])
-def test_large_groups_are_split_and_whole(spark, monkeypatch, hot_keys):
-    """A NULL key and a key whose rows are all alike, each a third of the rows."""
-    if hot_keys is not None:
-        monkeypatch.setattr(skew, "HOT_KEYS_LIMIT", hot_keys)
+@pytest.mark.parametrize("chunks", [1, 8])
+def test_the_answer_does_not_depend_on_size(spark, chunks):
+    """A NULL key and a key whose rows are all alike, of 25,000 rows each."""
     third = F.col("id") % 3
-    df = spark.range(0, 9_000, 1, 16).select(
+    df = spark.range(0, 75_000, 1, 16).select(
         F.when(third == 0, None).when(third == 1, F.lit(-1)).otherwise(F.col("id")).alias("k"),
         F.when(third == 1, F.lit(0)).otherwise(F.col("id")).alias("v"),
     )
-    rows = group_values(df, ["k"], limit=500).collect()
-    got = Counter((r["k"], v["v"]) for r in rows for v in r["values"])
-    assert got == Counter((r["k"], r["v"]) for r in df.collect())
-    for key in (None, -1):
-        parts = [r for r in rows if r["k"] == key]
-        assert len(parts) > 1 and {r["chunks"] for r in parts} == {6}
-        assert max(len(r["values"]) for r in parts) <= 500 + 16
-    assert all(r["chunks"] == 1 for r in rows if r["k"] not in (None, -1))
+    rows = group_values(df, ["k"], chunks=chunks).select("k", "chunk", F.size("values").alias("n")).collect()
+    assert len({(r["k"], r["chunk"]) for r in rows}) == len(rows)
+    for key, most in ((None, 1.2), (-1, 4)):  # copies are spread by the partitions they come from
+        parts = [r["n"] for r in rows if r["k"] == key]
+        assert sum(parts) == 25_000 and len(parts) <= chunks
+        assert max(parts) <= most * 25_000 / chunks
+    assert sum(r["n"] for r in rows) == 75_000
+
 
+def test_chunks_are_dealt_as_asked(spark):
+    df = spark.range(100).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    for r in group_values(df, ["k"], chunks=5, deal=F.col("v")).collect():
+        assert {v["v"] % 5 for v in r["values"]} == {r["chunk"]} and len(r["values"]) == 10
+    with pytest.raises(ValueError, match="chunks"):
+        skew.with_chunk(df, 0)
 
-def test_copies_in_one_partition_are_split(spark):
-    df = spark.range(0, 50_000, 1, 1).select(F.lit("k").alias("k"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
-    rows = group_values(df, ["k"], limit=1_000).select(F.size("values").alias("n")).collect()
-    assert sum(r["n"] for r in rows) == 50_000
-    assert max(r["n"] for r in rows) <= 1_001
+
+@pytest.mark.parametrize("chunks", [1, 4])
+def test_rows_are_read_and_shuffled_once(spark, tmp_path, chunks):
+    path = str(tmp_path / "rows")
+    spark.range(100).select((F.col("id") % 3).alias("k"), "id").write.parquet(path)
+    df = spark.read.parquet(path)
+    for found, sides in ((group_values(df, ["k"], chunks=chunks), 1), (cogroup(df, df, ["k"], chunks=chunks), 2)):
+        assert plan(found).count("Exchange") == 1 and plan(found).count("FileScan") == sides
 
 
 def test_chunks_do_not_depend_on_the_order_of_rows(spark):
     """A task that is repeated may read its shuffled rows in another order."""
     df = spark.range(0, 3_000, 1, 1).select(F.lit(1).alias("k"), (F.col("id") % 700).alias("v"))
     first, again = (
-        Counter(map(tuple, skew.with_chunks(df.sortWithinPartitions(order), ["k"], 100).collect()))
+        Counter(map(tuple, skew.with_chunk(df.sortWithinPartitions(order), 100).collect()))
         for order in (F.col("v"), F.hash("v"))
     )
     assert first == again and len(first) > 100
 
 
+def test_maps_can_be_dealt(spark):
+    df = spark.range(0, 5_000, 1, 4).select(F.lit("k").alias("k"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    rows = group_values(df, ["k"], chunks=10).select(F.size("values").alias("n")).collect()
+    assert sum(r["n"] for r in rows) == 5_000 and max(r["n"] for r in rows) < 1_000
+
+
 def test_cogroup_keeps_keys_of_either_side(spark):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "n")], "k int, l string")
     right = spark.createDataFrame([(1, 10), (3, 30), (None, 0)], "k int, r int")
@@ -67,8 +84,8 @@ def test_cogroup_keeps_keys_of_either_side(spark):
 def test_cogroup_keeps_null_values_and_splits(spark):
     left = spark.range(100).select(F.lit(1).alias("k"), F.lit(None).cast("int").alias("l"))
     right = spark.range(5).select(F.lit(1).alias("k"), F.col("id").alias("r"))
-    rows = cogroup(left, right, ["k"], limit=20).collect()
-    assert len(rows) > 1
+    rows = cogroup(left, right, ["k"], chunks=5, deal=F.coalesce("right.r", F.monotonically_increasing_id())).collect()
+    assert len(rows) == 5
     assert sum(len(r["left"]) for r in rows) == 100
     assert sorted(v["r"] for r in rows for v in r["right"]) == [0, 1, 2, 3, 4]
 
@@ -93,10 +110,10 @@ keyed = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(left=keyed, right=keyed, limit=st.sampled_from([1, 3, 1000]))
-def test_cogroup_agrees_with_brute_force(spark, left, right, limit):
+@given(left=keyed, right=keyed, chunks=st.sampled_from([1, 3]))
+def test_cogroup_agrees_with_brute_force(spark, left, right, chunks):
     a, b = (spark.createDataFrame(rows, "k int, v int") for rows in (left, right))
-    rows = cogroup(a, b, ["k"], limit=limit).collect()
+    rows = cogroup(a, b, ["k"], chunks=chunks).collect()
     for name, source in (("left", left), ("right", right)):
         assert Counter((r["k"], x["v"]) for r in rows for x in r[name]) == Counter(source)
     assert {r["k"] for r in rows} == {k for k, _ in left + right}

@@ -59,12 +59,9 @@ def test_exactly_one_ignores_repeated_keys_nobody_uses(spark, doubled, strategy)
     assert [r["match"]["id"] for r in found.collect()] == [1, 1]
 
 
-@pytest.mark.parametrize("known_limit", [None, 0], ids=["few repeated keys", "too many repeated keys"])
 @pytest.mark.parametrize("strategy", STRATEGIES)
 @pytest.mark.parametrize("url, found", [(UNKNOWN, 0), (MEDIUM, 2)])
-def test_exactly_one_fails(spark, doubled, strategy, url, found, known_limit, monkeypatch):
-    if known_limit is not None:
-        monkeypatch.setattr(lookup, "REPEATED_KEYS_LIMIT", known_limit)
+def test_exactly_one_fails(spark, doubled, strategy, url, found):
     joined = join(message_rows(spark, ["http://www.blogspot.com", url]), doubled, "exactly_one", strategy)
     # Whatever is asked for, a row count or a column of the event.
     for action in (joined.collect, joined.count, joined.select("url").collect):
@@ -72,6 +69,29 @@ def test_exactly_one_fails(spark, doubled, strategy, url, found, known_limit, mo
             action()
 
 
+@pytest.mark.parametrize("strategy", ["auto", "merge"])
+def test_a_match_that_comes_later_fails_too(spark, affiliate, tmp_path, strategy):
+    """The table gets a second row between planning and running."""
+    path = str(tmp_path / "dim")
+    affiliate.write.saveAsTable("changing", path=path)
+    try:
+        joined = join(message_rows(spark, [MEDIUM]), spark.table("changing"), "exactly_one", strategy)
+        assert joined.count() == 1
+        affiliate.write.insertInto("changing")
+        spark.catalog.refreshTable("changing")
+        with pytest.raises(Exception, match="expected one match for key .*, got 2"):
+            joined.select("url", "match").collect()
+    finally:
+        spark.sql("DROP TABLE changing")
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_left_keeps_misses(spark, doubled, strategy):
+    found = join(message_rows(spark, [MEDIUM, UNKNOWN]), doubled, "left", strategy).collect()
+    assert sorted((r["url"], r["match"] and r["match"]["id"]) for r in found if r["url"] == MEDIUM) == [(MEDIUM, 2), (MEDIUM, 3)]
+    assert [r["match"] for r in found if r["url"] == UNKNOWN] == [None]
+
+
 @pytest.mark.parametrize("strategy", STRATEGIES)
 def test_later_conditions_do_not_hide_a_miss(spark, affiliate, strategy):
     joined = join(message_rows(spark, [MEDIUM, UNKNOWN]), affiliate, "exactly_one", strategy)
@@ -180,9 +200,8 @@ def test_a_table_is_broadcast_only_within_the_limit(spark, settings):
         assert Counter(map(str, small.collect())) == Counter(map(str, large.collect()))
 
 
-@pytest.mark.parametrize("matches", ["inner", "exactly_one", "collect"])
-@pytest.mark.parametrize("known_limit", [None, 0])
-def test_a_hot_key_is_split(spark, settings, monkeypatch, matches, known_limit):
+@pytest.mark.parametrize("matches", ["inner", "left", "exactly_one", "collect"])
+def test_a_hot_key_is_split(spark, settings, matches):
     """A third of the events has one key: the merge join splits that key's partition."""
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
@@ -191,8 +210,6 @@ def test_a_hot_key_is_split(spark, settings, monkeypatch, matches, known_limit):
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="128KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
     )
-    if known_limit is not None:
-        monkeypatch.setattr(lookup, "REPEATED_KEYS_LIMIT", known_limit)
     events = spark.range(0, 120_000, 1, 8).select(
         "id",
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k"),
@@ -206,6 +223,7 @@ def test_a_hot_key_is_split(spark, settings, monkeypatch, matches, known_limit):
 
 @pytest.mark.parametrize("matches", ["inner", "exactly_one"])
 def test_tables_bucketed_alike_are_not_shuffled(spark, settings, tmp_path, matches):
+    """Grouping by the bucketing key takes no shuffle either."""
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     events = spark.range(1000).select("id", (F.col("id") % 100).alias("k"))
     dim = spark.range(100).select("id", F.lit("x").alias("text"))
@@ -221,6 +239,20 @@ def test_tables_bucketed_alike_are_not_shuffled(spark, settings, tmp_path, match
             spark.sql(f"DROP TABLE {name}")
 
 
+def test_a_stored_table_beyond_the_limit_is_not_measured(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.range(100_000).select("id", F.sha1(F.col("id").cast("string")).alias("text")).write.parquet(path)
+    dim, jobs = spark.read.parquet(path), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("measuring", "")
+    try:
+        assert not fits(dim.where(F.col("id").isNotNull()), 1 << 20)
+        assert not jobs.getJobIdsForGroup("measuring")
+        assert fits(dim.where("id < 10"), 1 << 20)
+        assert jobs.getJobIdsForGroup("measuring")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_sizes_of_nested_and_null_values(spark):
     row = (["a" * 1000], {"k": "v" * 1000}, None)
     df = spark.createDataFrame([row], "a array<string>, m map<string,string>, s string")
@@ -287,6 +319,9 @@ def test_all_strategies_agree_with_brute_force(spark, events, table):
     for strategy in STRATEGIES:
         inner = lookup_join(left, right, "k", "key", "inner", strategy).select("e", "match.v")
         assert Counter((r[0], r[1]) for r in inner.collect()) == expected
-        lists = lookup_join(left, right, "k", "key", "collect", strategy, list_limit=2).collect()
-        assert Counter((r["e"], m["v"]) for r in lists for m in r["match"]) == expected
-        assert {r["e"] for r in lists} == set(range(len(events)))
+        for chunks, deal in ((1, None), (3, None), (2, F.col("v"))):
+            lists = lookup_join(left, right, "k", "key", "collect", strategy, chunks=chunks, deal=deal).collect()
+            assert Counter((r["e"], m["v"]) for r in lists for m in r["match"]) == expected
+            assert {r["e"] for r in lists} == set(range(len(events)))
+            assert max(Counter(r["e"] for r in lists).values(), default=0) <= chunks
+            assert deal is None or all(m["v"] % 2 == r["chunk"] for r in lists for m in r["match"])

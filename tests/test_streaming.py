@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from datetime import timedelta
 from pathlib import Path
 
 import pandas as pd
@@ -8,19 +9,23 @@ from conftest import AFFILIATE
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+import streamlookup.streaming.replay as replay_module
 from streamlookup.functions.eventtime import with_event_time, with_window
 from streamlookup.functions.urls import url_host
 from streamlookup.operators.grouping import cogroup, group_values
 from streamlookup.operators.hooks import flat_map_batches
 from streamlookup.operators.latest import latest_per_key
 from streamlookup.operators.lookup import lookup_by_fetch, lookup_join
+from streamlookup.plans import tables
 from streamlookup.plans.flows import lookup_compose, lookup_only
+from streamlookup.plans.stream_queries import STREAM_QUERIES
 from streamlookup.sources.dimensions import dim_rows, read_dim, write_dim
 from streamlookup.streaming.batches import enrich_batches, to_folder
 from streamlookup.streaming.emission import hold_until_close
-from streamlookup.streaming.replay import replay, replay_windows, run_available, stream_table
+from streamlookup.streaming.replay import ordered_files, replay, replay_windows, run_available, stream_table
 
 MEDIUM = "http://www.medium.com"
+FIVE_MINUTES = timedelta(minutes=5)
 
 
 def counted(events):
@@ -37,16 +42,104 @@ def test_late_rows(spark, message_files, tmp_path, filler, late_counted):
         message_files.add(("c", 710_000))
     message_files.add(("late", 1_000))
     message_files.add(("d", 2_000_000))
-    out = replay_windows(spark, message_files.stream(), counted, str(tmp_path / "work"), "0 seconds")
+    if not late_counted:
+        with pytest.raises(RuntimeError, match="1 rows .* dropped"):
+            replay_windows(spark, message_files.stream(), counted, str(tmp_path / "fails"), "0 seconds", FIVE_MINUTES)
+    work = str(tmp_path / "work")
+    out = replay_windows(spark, message_files.stream(), counted, work, "0 seconds", FIVE_MINUTES, allow_late=True)
     urls = {r["url"] for r in out.collect()}
     assert ("late" in urls) is late_counted
     assert urls >= {"a", "b", "d"}
 
 
+def test_scattered_times_fail(spark, tmp_path):
+    """Files that each span the whole time: a bounded micro-batch leaves most of the rest too late."""
+    path = str(tmp_path / "events")
+    rows = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("ts")
+    rows.repartition(4).write.parquet(path)
+    events = stream_table(spark, path, rows.schema, files_per_batch=1)
+
+    def build(marked):
+        return with_window(marked, "ts", "5 minutes").groupBy("window").count()
+
+    with pytest.raises(RuntimeError, match="after the watermark"):
+        replay_windows(spark, events, build, str(tmp_path / "work"), "10 minutes", FIVE_MINUTES)
+
+
+def test_windows_longer_than_said_fail(spark, message_files, tmp_path):
+    message_files.add(("a", 0), ("b", 1))
+
+    def build(events):
+        return with_window(events, "ts", "1 day").groupBy("window", "url").count().select("url", "count")
+
+    with pytest.raises(RuntimeError, match="still open"):
+        replay_windows(spark, message_files.stream(), build, str(tmp_path / "work"), "0 seconds", timedelta(minutes=1))
+
+
+def test_files_are_replayed_in_order(spark, tmp_path):
+    rows = spark.range(100).select((99 - F.col("id")).alias("n"))
+    folder = ordered_files(rows, "n", 5, str(tmp_path / "rows"))
+    first: list[int] = []
+
+    def look(batch, batch_id):
+        first.append(batch.agg(F.min("n")).first()[0])
+
+    writer = stream_table(spark, folder, rows.schema, 1).writeStream.foreachBatch(look)
+    writer.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert first == sorted(first) and len(first) == 5
+
+
+@pytest.mark.parametrize("query", ["stream_window_group", "stream_window_values", "stream_cogroup", "stream_latest_in_window", "stream_compose_on_close"])
+def test_registered_streams_run_in_several_batches(spark, monkeypatch, query):
+    seen: list[int] = []
+
+    def counting(df, *args, **options):
+        found = run_available(df, *args, **options)
+        seen.append(sum(p["numInputRows"] > 0 for p in found.recentProgress))
+        return found
+
+    monkeypatch.setattr(replay_module, "run_available", counting)
+    STREAM_QUERIES[query](spark, "/root/testdata/sf0.001").collect()
+    assert seen[0] >= 4
+
+
+def test_a_hot_key_of_held_events_is_split(spark, settings, monkeypatch, capsys, tmp_path):
+    """A third of the events has one user: what looks them up is a stream of its own."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="128KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__files__maxPartitionBytes="256KB",
+        spark__sql__files__openCostInBytes="1KB",
+    )
+    sf = tmp_path / "sf"
+    user = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 150).alias("user_id")
+    spark.range(0, 60_000, 1, 4).select(
+        F.col("id").alias("event_id"), user, F.sha1(F.col("id").cast("string")).alias("event_type"),
+        F.timestamp_seconds(1_700_000_000 + F.col("id")).cast("timestamp_ntz").alias("ts"),
+    ).write.parquet(str(sf / "events.parquet"))
+    customers = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    customers.write.parquet(str(sf / "customer.parquet"))
+    queries: list = []
+
+    def keeping(df, *args, **options):
+        queries.append(run_available(df, *args, **options))
+        return queries[-1]
+
+    monkeypatch.setattr(replay_module, "run_available", keeping)
+    monkeypatch.setattr(tables, "FILES_PER_BATCH", 8)
+    found = STREAM_QUERIES["stream_compose_on_close"](spark, str(sf))
+    assert found.count() == 60_000
+    queries[-1].explain()
+    assert "SortMergeJoin(skew=true)" in capsys.readouterr().out
+
+
 def test_windows_come_out_once_and_all(spark, message_files, tmp_path):
     for i in range(5):
         message_files.add(*[(f"u{j % 3}", i * 200_000 + j) for j in range(10)])
-    out = replay_windows(spark, message_files.stream(), counted, str(tmp_path / "work"), "0 seconds")
+    out = replay_windows(spark, message_files.stream(), counted, str(tmp_path / "work"), "0 seconds", FIVE_MINUTES)
     batch = spark.read.schema("url string, ts timestamp").json(str(message_files.folder))
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, counted(batch).collect()))
 
@@ -65,7 +158,7 @@ def test_held_events_keep_their_copies(spark, message_files, tmp_path):
     def build(events):
         return hold_until_close(events, "ts", "5 minutes")
 
-    out = replay_windows(spark, message_files.stream(), build, str(tmp_path / "work"), "0 seconds")
+    out = replay_windows(spark, message_files.stream(), build, str(tmp_path / "work"), "0 seconds", FIVE_MINUTES)
     rows = out.groupBy("url", F.unix_millis("ts").alias("ms")).count().collect()
     counts = {(r["url"], r["ms"]): r["count"] for r in rows}
     assert counts == {("a", 5): 2503, ("a", 6): 1, ("b", 5): 1}
@@ -168,10 +261,10 @@ def test_cogroup_and_groups_of_two_streams(spark, message_files, tmp_path):
         windowed = with_window(events, "ts", "5 minutes")
         keyed = windowed.select("window", F.lower("url").alias("k"), "url")
         lower = F.col("url") == F.lower("url")
-        both = cogroup(keyed.where(lower), keyed.where(~lower), ["window", "k"], stream_chunks=2)
+        both = cogroup(keyed.where(lower), keyed.where(~lower), ["window", "k"], chunks=2)
         return both.select(F.unix_millis("window.start").alias("w"), "k", "left", "right")
 
-    out = replay_windows(spark, message_files.stream(), build, str(tmp_path / "work"), "0 seconds").collect()
+    out = replay_windows(spark, message_files.stream(), build, str(tmp_path / "work"), "0 seconds", FIVE_MINUTES).collect()
     lists: dict = {}
     for r in out:
         left, right = lists.setdefault((r["w"], r["k"]), ([], []))
@@ -190,13 +283,13 @@ def test_latest_in_window_and_groups(spark, message_files, tmp_path):
     def latest(events):
         return latest_per_key(windows(events), ["window", "url"], "ts").select("url", "ms")
 
-    out = replay_windows(spark, message_files.stream(), latest, str(tmp_path / "latest"), "0 seconds")
+    out = replay_windows(spark, message_files.stream(), latest, str(tmp_path / "latest"), "0 seconds", FIVE_MINUTES)
     assert sorted(map(tuple, out.collect())) == [("a", 9), ("a", 400_000), ("b", 1)]
 
     def groups(events):
         return group_values(windows(events), ["window", "url"], ["ms"]).select("url", "values")
 
-    out = replay_windows(spark, message_files.stream(), groups, str(tmp_path / "groups"), "0 seconds")
+    out = replay_windows(spark, message_files.stream(), groups, str(tmp_path / "groups"), "0 seconds", FIVE_MINUTES)
     assert sorted((r["url"], sorted(v["ms"] for v in r["values"])) for r in out.collect()) == [
         ("a", [0, 5, 9]), ("a", [400_000]), ("b", [1]),
     ]
