@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 # zone-less timestamps independent of the machine; adaptive execution splits
 # skewed join partitions; RocksDB keeps window state off the JVM heap, and its
 # change log makes a checkpoint as small as what changed. Replays look at the progress of
-# every micro-batch.
+# every micro-batch. Whole texts make rows heavy: fewer of them go to Python at once.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -20,6 +20,7 @@ RUNTIME_SETTINGS = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.numRecentProgressUpdates": "10000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
