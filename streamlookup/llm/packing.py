@@ -124,9 +124,9 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, bl
     before = Window.partitionBy("_length").orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select(*block, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
     inside = F.row_number().over(Window.partitionBy(*block).orderBy("_row")) - 1
-    ranked = stored.withColumn("_inside", inside).join(bases, block)
+    ranked = stored.withColumn("_inside", inside).join(bases.hint("merge"), block)
     ranked = ranked.withColumn("_rank", F.col("_base") + F.col("_inside"))
-    placed = ranked.join(slots, ["_length", "_rank"], "left")
+    placed = ranked.join(slots.hint("merge"), ["_length", "_rank"], "left")
     return placed.select(*[F.col(k).alias(c) for k, c in named.items()], "sequence_id", "offset")
 
 
