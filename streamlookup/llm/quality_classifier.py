@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlookup.llm.batches import map_slices
+from streamlookup.llm.sampling import is_among, place_of
 from streamlookup.operators.sizing import fits
 from streamlookup.sources.shared import written
 
@@ -135,8 +136,10 @@ def train_evidence(docs: DataFrame, labels: DataFrame, sample_labels: int = SAMP
     has their mean; labels that are NULL or have no document count for nothing."""
     spark = docs.sparkSession
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
+    place = place_of("doc_id")
+    known = known.where(is_among(place, sample_labels, known.count()))
     known = known.groupBy("doc_id").agg(F.avg("quality").alias("quality"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_labels).collect()
+    chosen = known.orderBy(place, "doc_id").limit(sample_labels).collect()
     if not chosen:
         return fit_evidence(np.empty((0, len(FEATURES))), np.empty(0))
     chosen = F.broadcast(spark.createDataFrame(chosen, known.schema))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
+from streamlookup.llm.sampling import is_among, place_of
 from streamlookup.llm.shared_files import open_folder
 from streamlookup.llm.word_ids import id_bytes, word_encoder
 from streamlookup.sources.shared import work_folder, written
@@ -142,8 +143,9 @@ def _read_file(folder: str, name: str) -> bytes:
 def sample_dictionary(docs: DataFrame, tokenizer: str, end_id: int, id_width: int) -> bytes:
     """Train on at most ``SAMPLE_DOCS`` short texts, the same ones however the table
     is partitioned."""
-    texts = docs.where(F.length("text") <= SAMPLE_CHARS).select("text")
-    rows = texts.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS).collect()
+    place = place_of("doc_id", "text")
+    texts = docs.where(F.length("text") <= SAMPLE_CHARS).where(is_among(place, SAMPLE_DOCS, docs.count()))
+    rows = texts.orderBy(place, "text").select("text").limit(SAMPLE_DOCS).collect()
     found = word_encoder(tokenizer).encode([r["text"] for r in rows])
     return train_dictionary(
         [np.frombuffer(ids + id_bytes([end_id]), "<u4").astype(f"<u{id_width}").tobytes() for ids in found]
