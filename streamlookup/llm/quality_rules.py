@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from streamlookup.sources.shared import written
 
-# Rows on which rules are estimated, and how often each is timed.
+# Rows on which rules are estimated, about, and how often each is timed.
 SAMPLE_ROWS = 1_000
 RUNS = 2
 
@@ -141,7 +141,7 @@ def document_rules() -> list[Rule]:
     capitals = F.length(text) - F.length(F.regexp_replace(text, r"\p{Lu}+", ""))
     return [
         Rule("symbols", 10 * F.col("n_symbols") > 3 * n),
-        Rule("repeated_lines", 10 * F.col("n_dup_lines") > 3 * F.col("n_lines")),
+        Rule("repeated_lines", 2 * F.col("n_dup_lines") > F.col("n_lines")),
         Rule("few_distinct_words", 10 * F.col("n_distinct") < n),
         Rule("word_length", (F.col("word_chars") > 20 * n) | (F.col("word_chars") < 2 * n)),
         Rule("exclamations", 5 * characters(text, "!") > n),
@@ -153,10 +153,9 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def estimate(rows: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
-    """Seconds and rejections of each rule on a stored sample of rows."""
-    # The rows are taken as they come: an estimate needs no better choice.
-    sample = written(rows.limit(sample_rows), "rule-sample")
+def estimate(sample: DataFrame, rules: Sequence[Rule]) -> list[Estimate]:
+    """Seconds and rejections of each rule on a sample of rows, which is stored first."""
+    sample = written(sample, "rule-sample")
 
     def timed(rejects: Column) -> tuple[float, float]:
         asked = sample.agg(F.count(F.lit(1)).alias("n"), F.count_if(rejects).alias("rejected"))
@@ -196,8 +195,9 @@ def judge_documents(docs: DataFrame, rules: Sequence[Rule] | None = None) -> Dat
     is shuffled, and all is done by column expressions.
     """
     rules = list(rules or document_rules())
+    share = min(1.0, SAMPLE_ROWS / max(docs.count(), 1))
+    ordered = by_gain(rules, estimate(with_metrics(docs.sample(share, seed=0)), rules))
     measured = with_metrics(docs)
-    ordered = by_gain(rules, estimate(measured, rules))
     failed = base_failed()
     found = measured.withColumn("base_failed", failed).withColumn(
         "rejected_by", F.when(F.col("base_failed"), F.lit("base")).otherwise(cascade(ordered))

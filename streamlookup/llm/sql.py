@@ -36,7 +36,7 @@ def quality_rules() -> str:
         SELECT doc_id, n_words, n_distinct, n_repeat_words, n_lines, n_dup_lines, word_chars, n_symbols, base_failed,
             NOT (base_failed
                 OR 10 * n_symbols > 3 * n_words
-                OR 10 * n_dup_lines > 3 * n_lines
+                OR 2 * n_dup_lines > n_lines
                 OR 10 * n_distinct < n_words
                 OR word_chars > 20 * n_words OR word_chars < 2 * n_words
                 OR 5 * (length(text) - length(translate(text, '!', ''))) > n_words
