@@ -20,7 +20,7 @@ from streamlookup.llm.batches import map_slices
 LIMIT = 4096
 
 # Pre-tokens whose counts a worker remembers, and the longest one it remembers.
-CACHED_PRETOKENS = 700_000
+CACHED_PRETOKENS = 500_000
 CACHED_LENGTH = 48
 
 SPACE = "▁"  # how the model writes a blank

@@ -10,7 +10,7 @@ from itertools import chain
 from tokenizers import Tokenizer
 
 # Words whose ids a worker remembers, and the longest word it remembers.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 400_000
 CACHED_LENGTH = 48
 
 # A word of Latin-1 letters, perhaps with ASCII punctuation behind it other than

@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 # Words whose hash a worker remembers.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 200_000
 
 # Odd multiplier of the rolling hash, and the constants of its final mixing.
 BASE = 0x9E3779B97F4A7C15
