@@ -44,7 +44,7 @@ MISS = 1e-7
 DEVIATIONS = 5.5
 
 # Shingles whose sets one task compares at once.
-BLOCK_SHINGLES = 500_000
+BLOCK_SHINGLES = 200_000
 
 # Signatures that one task compares at once.
 BLOCK_CLASSES = 2_000
@@ -165,8 +165,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, with_key: bool = False)
         F.min("doc_id").alias("least_id"),
     )
     classes = written(classes.select("class", "least_id", "s.*"), "classes")
-    links = _links(docs, classes, percent)
-    roots = connected_components(links)
+    roots = _roots(docs, classes, percent)
 
     in_component = classes.join(roots, F.col("class") == F.col("node"), "left")
     root = F.coalesce("root", "class")
@@ -181,13 +180,17 @@ def near_duplicates(docs: DataFrame, percent: int = 80, with_key: bool = False)
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Enough links between classes to connect what is connected."""
+def _roots(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``node`` and ``root`` of the classes that are linked with others."""
     buckets = _buckets(classes, percent)
     leaders = _leader_pairs(buckets, classes, percent)
-    first = written(_confirmed(docs, leaders, classes, percent), "first-links")
-    rest = _rest(buckets, connected_components(first), classes, percent)
-    return first.unionByName(_compared(docs, rest, classes, percent))
+    roots = connected_components(_confirmed(docs, leaders, classes, percent))
+    rest = _rest(buckets, roots, classes, percent)
+    more = written(_compared(docs, rest, classes, percent), "more-links")
+    if more.isEmpty():
+        return roots
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return connected_components(known.unionByName(more))
 
 
 def _buckets(classes: DataFrame, percent: int) -> DataFrame:
@@ -278,7 +281,8 @@ def _rest(buckets: DataFrame, roots: DataFrame, classes: DataFrame, percent: int
     n = COORDINATES // rows
 
     def look(group: pd.DataFrame) -> pd.DataFrame:
-        sketch = np.frombuffer(b"".join(group["sketch"]), "u1").reshape(-1, COORDINATES)
+        # A row per coordinate: comparing one class with all others runs along them.
+        sketch = np.ascontiguousarray(np.frombuffer(b"".join(group["sketch"]), "u1").reshape(-1, COORDINATES).T)
         keys = np.frombuffer(b"".join(group["bands"]), "<i8").reshape(-1, n)
         size = group["n_shingles"].to_numpy()
         root = pd.factorize(group["root"])[0]
@@ -292,8 +296,10 @@ def _rest(buckets: DataFrame, roots: DataFrame, classes: DataFrame, percent: int
             fits = (root[rest] != root[i]) & (100 * np.minimum(size[rest], size[i]) >= percent * np.maximum(size[rest], size[i]))
             if across:
                 fits &= block[rest] != block[i]
-            at = i + 1 + np.flatnonzero(fits)
-            at = at[(sketch[at] == sketch[i]).sum(axis=1) >= agree]
+            if not fits.any():
+                continue
+            same = (sketch[:, rest] == sketch[:, i : i + 1]).view("u1").sum(axis=0, dtype="u1")
+            at = i + 1 + np.flatnonzero(fits & (same >= agree))
             if band:
                 at = at[~(keys[at, :band] == keys[i, :band]).any(axis=1)]
             if len(at):
@@ -347,18 +353,16 @@ def _joining(sets: list[np.ndarray], root: list[int], percent: int) -> Iterator[
         return x
 
     size = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), size)
-    flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-    values, code = np.unique(flat, return_inverse=True)
-    order = np.argsort(code, kind="stable")
+    values, code = np.unique(np.concatenate(sets), return_inverse=True)
     first = np.r_[0, np.cumsum(np.bincount(code, minlength=len(values)))]
-    who = owner[order]
+    who = np.repeat(np.arange(len(sets), dtype=np.int32), size)[np.argsort(code, kind="stable")]
+    del values
     ends = np.r_[0, np.cumsum(size)]
     for i in range(len(sets) - 1):
         own = code[ends[i] : ends[i + 1]]
         both = np.zeros(len(sets), np.int64)
-        for c in range(0, len(own), 4096):
-            part = own[c : c + 4096]
+        for c in range(0, len(own), 1024):
+            part = own[c : c + 1024]
             n = first[part + 1] - first[part]
             at = np.repeat(first[part], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             both += np.bincount(who[at], minlength=len(sets))
