@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlookup.llm.batches import map_slices
+from streamlookup.llm.batches import map_groups, map_slices
 from streamlookup.llm.components import connected_components
 from streamlookup.llm.words import hashes_of, mixed
 from streamlookup.operators.sizing import fits
@@ -280,18 +280,20 @@ def _rest(buckets: DataFrame, roots: DataFrame, classes: DataFrame, percent: int
     several = _block_pairs(several, F.ceil(F.col("size") / BLOCK_CLASSES))
     n = COORDINATES // rows
 
-    def look(group: pd.DataFrame) -> pd.DataFrame:
+    def look(group: dict[str, tuple]) -> Iterator[tuple]:
+        members = len(group["class"])
+        if members < 2:
+            return
         # A row per coordinate: comparing one class with all others runs along them.
         sketch = np.ascontiguousarray(np.frombuffer(b"".join(group["sketch"]), "u1").reshape(-1, COORDINATES).T)
         keys = np.frombuffer(b"".join(group["bands"]), "<i8").reshape(-1, n)
-        size = group["n_shingles"].to_numpy()
-        root = pd.factorize(group["root"])[0]
-        own = np.frombuffer(group["bucket"].iloc[0], "<i8")[0]
-        band = int(np.flatnonzero(keys[0] == own)[0])
-        block = group["block"].to_numpy()
-        across = group["one"].iloc[0] != group["other"].iloc[0]
-        needed = np.zeros(len(group), bool)
-        for i in range(len(group) - 1):
+        size, block = np.array(group["n_shingles"]), np.array(group["block"])
+        numbers = {root: i for i, root in enumerate(dict.fromkeys(group["root"]))}
+        root = np.array([numbers[r] for r in group["root"]])
+        band = int(np.flatnonzero(keys[0] == np.frombuffer(group["bucket"][0], "<i8")[0])[0])
+        across = group["one"][0] != group["other"][0]
+        needed = np.zeros(members, bool)
+        for i in range(members - 1):
             rest = slice(i + 1, None)
             fits = (root[rest] != root[i]) & (100 * np.minimum(size[rest], size[i]) >= percent * np.maximum(size[rest], size[i]))
             if across:
@@ -305,11 +307,10 @@ def _rest(buckets: DataFrame, roots: DataFrame, classes: DataFrame, percent: int
             if len(at):
                 needed[i] = True
                 needed[at] = True
-        return group.loc[needed, ["bucket", "class", "root", "n_shingles"]]
+        for i in np.flatnonzero(needed).tolist():
+            yield tuple(group[c][i] for c in ("bucket", "class", "root", "n_shingles"))
 
-    found = several.groupBy("bucket", "one", "other").applyInPandas(
-        look, "bucket binary, class binary, root binary, n_shingles long"
-    )
+    found = map_groups(several, ["bucket", "one", "other"], look, "bucket binary, class binary, root binary, n_shingles long")
     return written(found.distinct(), "rest")
 
 
@@ -332,14 +333,13 @@ def _compared(docs: DataFrame, rest: DataFrame, classes: DataFrame, percent: int
     rows = _block_pairs(rest.join(weight, "bucket"), F.ceil(F.col("weight") / BLOCK_SHINGLES))
     rows = rows.join(_sets(docs, rest.select("class"), classes), "class")
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        sets = [_set(data) for data in group["shingles"]]
-        names, parent = group["class"].tolist(), list(pd.factorize(group["root"])[0])
-        return pd.DataFrame(
-            [(names[i], names[j]) for i, j in _joining(sets, parent, percent)], columns=["a", "b"], dtype=object
-        )
+    def compare(group: dict[str, tuple]) -> Iterator[tuple]:
+        numbers = {root: i for i, root in enumerate(dict.fromkeys(group["root"]))}
+        sets, roots = [_set(data) for data in group["shingles"]], [numbers[r] for r in group["root"]]
+        for i, j in _joining(sets, roots, percent):
+            yield group["class"][i], group["class"][j]
 
-    return rows.groupBy("bucket", "one", "other").applyInPandas(compare, "a binary, b binary")
+    return map_groups(rows, ["bucket", "one", "other"], compare, "a binary, b binary")
 
 
 def _joining(sets: list[np.ndarray], root: list[int], percent: int) -> Iterator[tuple[int, int]]:
