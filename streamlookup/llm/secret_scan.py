@@ -36,11 +36,19 @@ _ASSIGN_LENGTH = 8
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 
-# Candidates for decoding. A run of base64 may be broken into lines of 40 or more.
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}(?:(?:\r?\n|\\n)[A-Za-z0-9+/_-]{1,})*={0,2}")
+# Candidates for decoding: lines of base64 with nothing but line ends and indents between
+# them. A key begins with a line of 40 or more, as the DER or OpenSSH head is written.
+_BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}(?:[\r\n]+[ \t]*[A-Za-z0-9+/_-]+)*")
+_KEY_HEAD = re.compile(r"M[A-P]|b3BlbnNzaC1rZXktdjEA")
+_FIRST_LINE = 40
+
+# Line ends of texts inside strings, also of strings inside strings, and the lines around
+# a key; neither is base64, though letters of them are.
+_ESCAPE = re.compile(r"\\+[rn]")
+_ARMOUR = re.compile(r"-----(?:BEGIN|END)[A-Z0-9 ]*-----")
 _HEX_BYTES = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
 _SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-_LINE_END = re.compile(r"\r?\n|\\n")
 
 _INTEGER, _OCTETS, _OID, _SEQUENCE = 0x02, 0x04, 0x06, 0x30
 _MAX_DEPTH = 16
@@ -153,6 +161,68 @@ def key_kind(data: bytes) -> str | None:
     return der_key(data) or openssh_key(data)
 
 
+def _part(text: str, start: int, end: int) -> bytes:
+    """The bytes ``start`` to ``end`` of what base64 stands for, as far as it goes."""
+    part = text[start // 3 * 4 : -(-end // 3) * 4]
+    data = _base64(part[: len(part) - (len(part) % 4 == 1)]) or b""
+    return data[start % 3 : start % 3 + end - start]
+
+
+def _stated_length(text: str) -> int | None:
+    """How many bytes the key is long with which base64 begins, as its head has it."""
+    head = _part(text, 0, 6)
+    if head[:1] == bytes([_SEQUENCE]) and len(head) == 6:
+        n = head[1] & 0x7F if head[1] >= 0x80 else 0
+        return 2 + n + int.from_bytes(head[2 : 2 + n]) if 1 <= n <= 4 else 2 + head[1] if not n else None
+    at = len(_OPENSSH)
+    if _part(text, 0, at) != _OPENSSH:
+        return None
+    left = 3  # cipher, key derivation, its options
+    counted = False
+    while left or not counted:
+        field = _part(text, at, at + 4)
+        if len(field) < 4:
+            return None
+        at += 4
+        if left:
+            at, left = at + int.from_bytes(field), left - 1
+        else:
+            left, counted = int.from_bytes(field) + 1, True  # public keys, private part
+            if left > 17:
+                return None
+    return at
+
+
+def _base64_keys(text: str) -> Iterator[Span]:
+    """Keys in lines of base64. A key ends where its head says, at the end of a line;
+    what lies on the lines before and behind is not part of it."""
+    plain = _ESCAPE.sub(lambda m: "\n" * len(m[0]), text) if "\\" in text else text
+    if "-----" in plain:
+        plain = _ARMOUR.sub(lambda m: "." * len(m[0]), plain)
+    for m in _BASE64.finditer(plain):
+        lines = [x.span() for x in _BASE64_LINE.finditer(plain, *m.span())]
+        joined, offsets = "".join([plain[a:b] for a, b in lines]), {}
+        at = 0
+        for i, (a, b) in enumerate(lines):
+            offsets[at + b - a] = i
+            at += b - a
+        at = done = 0
+        for a, b in lines:
+            first, at = at, at + b - a
+            if first < done or b - a < _FIRST_LINE or not _KEY_HEAD.match(plain, a):
+                continue
+            length = _stated_length(joined[first:])
+            last = first - (-length * 4 // 3) if length else 0
+            if last not in offsets:
+                continue
+            data = _base64(joined[first:last])
+            if data is not None and (kind := key_kind(data)):
+                end = lines[offsets[last]][1]
+                padding = (first - last) % 4
+                yield a, end + padding * plain.startswith("=" * padding, end), kind
+                done = last
+
+
 def _signed(token: str) -> bool:
     """Whether a token's first part is the header of a signed one: a JSON object
     that names its algorithm. Its second part has to decode as well."""
@@ -180,10 +250,7 @@ def base_spans(text: str) -> Iterator[Span]:
 
 def confirmed_spans(text: str) -> Iterator[Span]:
     """Keys and tokens that decode to what they must be."""
-    for m in _BASE64.finditer(text):
-        data = _base64(_LINE_END.sub("", m[0]))
-        if data is not None and (kind := key_kind(data)):
-            yield m.start(), m.end(), kind
+    yield from _base64_keys(text)
     for m in _HEX_BYTES.finditer(text):
         if kind := key_kind(bytes.fromhex(m[0])):
             yield m.start(), m.end(), kind

@@ -58,6 +58,32 @@ def test_keys_are_confirmed(kind, data):
         assert found == [(8, 8 + len(encoded), kind)]
 
 
+def armoured(size, end, line=64):
+    """A PKCS#8 key of ``size`` bytes modulo 3 in lines, and where its base64 lies."""
+    key = next(k for n in range(40, 90) if len(k := der(0x30, der(2, b"\0"), der(0x30, OID, der(5)), der(4, b"\2" * n))) % 3 == size)
+    body = end.join(b64(key)[i : i + line] for i in range(0, len(b64(key)), line))
+    head = f"-----BEGIN PRIVATE KEY-----{end}"
+    return head + body + f"{end}-----END PRIVATE KEY-----{end}", (len(head), len(head) + len(body), "pkcs8_key")
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n    ", ""])
+@pytest.mark.parametrize("size", range(3))
+def test_armoured_keys(size, end):
+    text, span = armoured(size, end)
+    assert s.find_secrets(text) == [span]
+    before = "-" * 48 + "\n" + "Q" * 64 + "\n"
+    a, b, kind = span
+    assert s.find_secrets(before + text + text) == [(len(before) + a, len(before) + b, kind), (len(before + text) + a, len(before + text) + b, kind)]
+    assert b64(PKCS8)[:40] not in s.redact(text, [span])
+
+
+@pytest.mark.parametrize("kind, data", KEYS)
+def test_words_behind_unpadded_keys(kind, data):
+    encoded = b64(data).rstrip("=")
+    for behind in ("\nWords follow", "\n-----END", "\\nnext", "\n" + "x" * 70):
+        assert [x for x in s.find_secrets(encoded + behind) if x[2] in s.KEY_KINDS] == [(0, len(encoded), kind)]
+
+
 @pytest.mark.parametrize("kind, data", KEYS)
 def test_broken_keys_are_not(kind, data):
     for broken in (data[:-1], data + b"\0", data[:5] + bytes([data[5] ^ 0x55]) + data[6:], os.urandom(len(data))):
