@@ -74,8 +74,9 @@ RULES = (
     Rule("All-rights-reserved", (1,), False),
 )
 
-# Every known sentence has one of these; a text without them has no known sentence.
-TRIGGERS = ("licen", "rights reserved", "permission", "redistribut", "warranty", "public domain")
+# Every known sentence has one of these; a text without them has no known sentence. Single
+# words, as a line end or a comment sign may stand between two.
+TRIGGERS = ("licen", "reserved", "permission", "redistribut", "warranty", "domain")
 
 # Where a sentence ends: at a full stop, semicolon, colon, question or exclamation mark
 # before white space or the end; and at a line end, or else only at an empty line.

@@ -118,6 +118,9 @@ LICENSED = [
     ("Released under the MIT License today.", None, ""),
     ("Redistribution is a word, permission too", None, ""),
     (licenses.SENTENCES[14], None, "14"),
+    ("All rights\nreserved.", "All-rights-reserved", "1"),
+    ("All  rights   reserved", "All-rights-reserved", "1"),
+    ("# This is free and unencumbered software released into the public\n# domain.", "Unlicense", "21"),
     (None, None, ""),
     ("", None, ""),
 ]
@@ -129,6 +132,10 @@ def test_licenses(spark):
     assert found == {i: tuple(rest) for i, (_, *rest) in enumerate(LICENSED)}
 
 
+def test_triggers_cannot_be_broken():
+    assert not [t for t in licenses.TRIGGERS if licenses.normal(t) != t or " " in t]
+
+
 def test_known_sentences_can_be_found():
     for sentence in licenses.SENTENCES.values():
         assert any(t in sentence.lower() for t in licenses.TRIGGERS)
