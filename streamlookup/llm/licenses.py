@@ -37,8 +37,79 @@ SENTENCES = {
     19: "Licensed under CC BY-SA 4.0",
     20: "This work is licensed under a Creative Commons Attribution 4.0 International License",
     21: "This is free and unencumbered software released into the public domain",
+    22: "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+    23: "you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation",
+    24: "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    25: "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    26: "either version 2.1 of the License, or (at your option) any later version",
+    27: "either version 3 of the License, or (at your option) any later version",
+    28: "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version",
+    29: "you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version",
+    30: "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version",
+    31: "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    32: "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    33: "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+    34: "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at https://www.eclipse.org/legal/epl-v10.html",
+    35: "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    36: "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    37: "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at http://www.eclipse.org/legal/epl-2.0",
+    38: "SPDX-License-Identifier",
 }
 
+# The names that usual notices give a licence.
+NAMES = {
+    "AGPL-3.0": ("GNU Affero General Public License v3.0", "GNU Affero General Public License, version 3"),
+    "LGPL-3.0": ("GNU Lesser General Public License v3.0", "GNU Lesser General Public License, version 3"),
+    "LGPL-2.1": ("GNU Lesser General Public License v2.1", "GNU Lesser General Public License, version 2.1"),
+    "GPL-3.0": ("GNU General Public License v3.0", "GNU General Public License, version 3"),
+    "GPL-2.0": ("GNU General Public License v2.0", "GNU General Public License, version 2"),
+    "EPL-2.0": ("Eclipse Public License 2.0",),
+    "EPL-1.0": ("Eclipse Public License 1.0",),
+    "MPL-2.0": ("Mozilla Public License 2.0",),
+    "Apache-2.0": ("Apache License 2.0", "Apache License, Version 2.0"),
+    "BSD-3-Clause": ("BSD 3-Clause License",),
+    "BSD-2-Clause": ("BSD 2-Clause License",),
+    "MIT": ("MIT License",),
+    "ISC": ("ISC License",),
+}
+NOTICES = (
+    "Licensed under the {}",
+    "Released under the {}",
+    "This project is licensed under the {}",
+    "This software is licensed under the {}",
+    "This project is licensed under the {} - see the LICENSE file for details",
+    "This project is licensed under the {} - see the [LICENSE](LICENSE) file for details",
+    "This project is licensed under the {} - see the [LICENSE.md](LICENSE.md) file for details",
+)
+
+# Identifiers behind the sentence SPDX, and the licence they name. A '+' at
+# the end is not a word, so it is not read.
+SPDX = 38
+IDENTIFIERS = {
+    **{gnu + end: gnu + named
+       for gnu in ("AGPL-3.0", "LGPL-3.0", "LGPL-2.1", "LGPL-2.0", "GPL-3.0", "GPL-2.0")
+       for end, named in (("-or-later", "-or-later"), ("-only", ""), ("", ""))},
+    **{i: i for i in ("EPL-2.0", "EPL-1.0", "MPL-2.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "Apache-2.0", "BSD-3-Clause",
+                      "BSD-2-Clause", "MIT", "ISC", "CC-BY-4.0", "Unlicense")},
+}
+
+PERMISSIVE = {"Apache-2.0", "BSD-3-Clause", "BSD-2-Clause", "MIT", "ISC", "CC-BY-4.0", "Unlicense"}
+
+
+def normal(sentence: str) -> str:
+    """A known sentence as the sentences of texts are normalised."""
+    kept = "".join(c if c.isalnum() else " " for c in sentence.lower())
+    return " ".join(kept.split())
+
+
+def _number(sentence: str) -> int:
+    """The sentence's number; a new one if it is not known yet."""
+    for i, known in SENTENCES.items():
+        if normal(known) == normal(sentence):
+            return i
+    SENTENCES[len(SENTENCES) + 1] = sentence
+    return len(SENTENCES)
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -49,13 +120,42 @@ class Rule:
     permissive: bool
 
 
-# The rules in their order; longer sequences before what they contain.
+def _usual_rules() -> list[Rule]:
+    """A rule for each usual notice and each identifier."""
+    found = [
+        Rule(name, (_number(notice.format(called)),), name in PERMISSIVE)
+        for name, names in NAMES.items() for called in names for notice in NOTICES
+    ]
+    found += [Rule(name, (SPDX, _number(i)), name in PERMISSIVE) for i, name in IDENTIFIERS.items()]
+    return found
+
+
+_USUAL = _usual_rules()
+
+# The rules in their order; longer sequences before what they contain, and
+# licences that bind before those that do not.
 RULES = (
+    Rule("AGPL-3.0-or-later", (32,), False),
+    Rule("AGPL-3.0-or-later", (25, 27), False),
+    Rule("LGPL-3.0-or-later", (31,), False),
+    Rule("LGPL-3.0-or-later", (24, 27), False),
+    Rule("LGPL-2.1-or-later", (30,), False),
+    Rule("LGPL-2.1-or-later", (24, 26), False),
+    Rule("LGPL-2.0-or-later", (29,), False),
+    Rule("LGPL-2.0-or-later", (23, 11), False),
     Rule("GPL-3.0-or-later", (10, 12), False),
     Rule("GPL-3.0-or-later", (10,), False),
-    Rule("GPL-2.0-or-later", (11, 12), False),
-    Rule("GPL-2.0-or-later", (11,), False),
+    Rule("GPL-3.0-or-later", (22, 27), False),
+    Rule("GPL-2.0-or-later", (28,), False),
+    Rule("GPL-2.0-or-later", (22, 11, 12), False),
+    Rule("GPL-2.0-or-later", (22, 11), False),
+    Rule("GPL-2.0", (33,), False),
     Rule("GPL-3.0", (9,), False),
+    Rule("EPL-1.0", (34,), False),
+    Rule("EPL-1.0", (35,), False),
+    Rule("EPL-2.0", (36,), False),
+    Rule("EPL-2.0", (37,), False),
+    *(rule for rule in _USUAL if not rule.permissive),
     Rule("CC-BY-NC-4.0", (17,), False),
     Rule("CC-BY-SA-4.0", (19,), False),
     Rule("MPL-2.0", (16,), False),
@@ -71,12 +171,16 @@ RULES = (
     Rule("CC-BY-4.0", (18,), True),
     Rule("CC-BY-4.0", (20,), True),
     Rule("Unlicense", (21,), True),
+    *(rule for rule in _USUAL if rule.permissive and rule.sentences not in {(2,), (3,), (6,)}),
     Rule("All-rights-reserved", (1,), False),
 )
 
 # Every known sentence has one of these; a text without them has no known sentence. Single
 # words, as a line end or a comment sign may stand between two.
-TRIGGERS = ("licen", "reserved", "permission", "redistribut", "warranty", "domain")
+TRIGGERS = (
+    "licen", "reserved", "permission", "redistribut", "warranty", "domain",
+    "gpl", "epl", "mpl", "cc", "apache", "bsd", "mit", "isc",
+)
 
 # Where a sentence ends: at a full stop, semicolon, colon, question or exclamation mark
 # before white space or the end; and at a line end, or else only at an empty line.
@@ -86,12 +190,6 @@ BY_PARAGRAPH = STOP + r"|\r?\n[ \t]*\r?\n\s*"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
-def normal(sentence: str) -> str:
-    """A known sentence as the sentences of texts are normalised."""
-    kept = "".join(c if c.isalnum() else " " for c in sentence.lower())
-    return " ".join(kept.split())
-
-
 def sentence_numbers(text: Column, ends: str) -> Column:
     """The numbers of a text's known sentences, in order."""
     known = {normal(sentence): i for i, sentence in SENTENCES.items()}
@@ -127,10 +225,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     found = found.select("doc_id", sequence(BY_LINE).alias("by_line"), sequence(BY_PARAGRAPH).alias("by_paragraph"))
 
     def first(sequence: Column) -> Column:
-        chosen = F.lit(None).cast("int")
-        for i, rule in reversed(list(enumerate(RULES))):
-            chosen = F.when(_rule(sequence, rule), F.lit(i)).otherwise(chosen)
-        return chosen
+        # One flat list of cases: there are too many for one inside the other.
+        return reduce(lambda cases, r: cases.when(_rule(sequence, r[1]), F.lit(r[0])), enumerate(RULES), F)
 
     found = found.withColumn("at_line", first(F.col("by_line"))).withColumn("at_paragraph", first(F.col("by_paragraph")))
     rule = F.least("at_line", "at_paragraph")

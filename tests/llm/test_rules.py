@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import compare
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +127,46 @@ LICENSED = [
 ]
 
 
+def gnu(kind, version, stop):
+    return (
+        f"// This library is free software{stop.replace(",", ":")} you can redistribute it and/or\n// modify it under the terms of the GNU {kind}General\n"
+        f"// Public License as published by the Free Software Foundation{stop} either\n// version {version} of the License, or (at your option) any later version.\n"
+    )
+
+
+USUAL = [
+    (gnu("", "2", ";"), "GPL-2.0-or-later", False),
+    (gnu("", "2", ","), "GPL-2.0-or-later", False),
+    (gnu("", "3", ";"), "GPL-3.0-or-later", False),
+    (gnu("", "3", ","), "GPL-3.0-or-later", False),
+    (gnu("Library ", "2", ";"), "LGPL-2.0-or-later", False),
+    (gnu("Lesser ", "2.1", ";"), "LGPL-2.1-or-later", False),
+    (gnu("Lesser ", "3", ";"), "LGPL-3.0-or-later", False),
+    (gnu("Affero ", "3", ";"), "AGPL-3.0-or-later", False),
+    (gnu("Affero ", "3", ","), "AGPL-3.0-or-later", False),
+    ("either version 2 of the License, or (at your option) any later version.", None, None),
+    ("This project is licensed under the MIT License.", "MIT", True),
+    ("This project is licensed under the MIT License - see the [LICENSE.md](LICENSE.md) file for details", "MIT", True),
+    ("Licensed under the GNU Affero General Public License v3.0", "AGPL-3.0", False),
+    (licenses.SENTENCES[36] + ".", "EPL-2.0", False),
+    ("# SPDX-License-Identifier: Apache-2.0\nimport os", "Apache-2.0", True),
+    ("/* SPDX-License-Identifier: LGPL-2.1-or-later */", "LGPL-2.1-or-later", False),
+    ("MIT\nIsc", None, None),
+]
+
+
+def test_usual_notices(spark):
+    rows = [(i, t) for i, (t, *_) in enumerate(USUAL)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan_licenses(frame).collect()}
+    assert [(t, found[i].license, found[i].permissive) for i, t in rows] == USUAL
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", rows + [(100 + i, t) for i, (t, *_) in enumerate(LICENSED)])
+    named = dict(connection.execute(f"SELECT doc_id, license FROM ({ORACLE_SQL['op4_license_scan']})").fetchall())
+    assert named == {i: row[1] for at, table in ((0, USUAL), (100, LICENSED)) for i, row in enumerate(table, at)}
+
+
 def test_licenses(spark):
     frame = spark.createDataFrame([(i, t, "x") for i, (t, *_) in enumerate(LICENSED)], "doc_id long, text string, license string")
     found = {r.doc_id: (r.license, r.sentences) for r in licenses.scan_licenses(frame).collect()}
