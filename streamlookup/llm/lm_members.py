@@ -1,0 +1,362 @@
+"""From a class to the word itself, by decisions that the window has a say in.
+
+The buckets of a class, by frequency, are halved until one is left. The words of a
+bucket, by frequency, are decided in bands of 1, 2, 4, ... words, then halved as well. A
+decision's odds are those of the counts, times what a product of two vectors says: of the
+decision's own, and of the window's. The latter is made of the class network's hidden
+layer and of the buckets next to the word, on both sides. Each decision's two chances
+add up to one, so those of all words do.
+
+The words' counts and places are a table that grows with the corpus. It is made and
+joined in shards of hashes, and no task or worker holds all of it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from itertools import groupby
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
+
+from streamlookup.llm.lm_scoring import BUCKETS, HIDDEN, Chunk, Classes, Network, chunks, packed, unpacked, windows
+from streamlookup.llm.words import mixed
+from streamlookup.sources.shared import written
+
+# Size of the vectors, and words in a step with the rate of the steps (Adagrad).
+WIDTH = 8
+STEP_WORDS = 4096
+RATE = 0.1
+
+# Decisions within buckets that have a vector: one for eight words of the vocabulary, as
+# far as a worker should hold; beyond that some share one.
+LEAST_VECTORS, MOST_VECTORS = 1 << 12, 1 << 18
+WORDS_PER_VECTOR = 8
+
+# Rows of vectors that are averaged together, and the shards of the vocabulary.
+BLOCK = 1 << 12
+SHARDS = (16, 1 << 10)
+
+Steps = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def odds(parents: np.ndarray, children: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The log odds of each item's child group within its parent group.
+
+    Items are sorted so that groups lie together, and a parent has one or two children.
+    """
+    def total(groups: np.ndarray) -> np.ndarray:
+        first = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
+        return np.repeat(np.add.reduceat(counts, first), np.diff(np.r_[first, len(groups)]))
+
+    own = total(children)
+    with np.errstate(divide="ignore"):
+        return np.log(own) - np.log(total(parents) - own)
+
+
+def rank_in(groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each item in its group, and the group's size; groups lie together."""
+    first = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
+    sizes = np.diff(np.r_[first, len(groups)])
+    return np.arange(len(groups)) - np.repeat(first, sizes), np.repeat(sizes, sizes)
+
+
+def band_of(rank: np.ndarray) -> np.ndarray:
+    """0 for rank 0, 1 for 1 and 2, 2 for 3 to 6, and so on."""
+    return np.frexp(rank.astype(np.float64) + 1)[1] - 1
+
+
+class BucketPaths:
+    """The decisions from a class to each of its buckets: number, side and log odds."""
+
+    def __init__(self, classes: Classes):
+        counts = classes.bucket_counts + 1.0
+        order = np.lexsort((np.arange(BUCKETS), -counts, classes.of))
+        of, counts = classes.of[order].astype(np.int64), counts[order]
+        rank, size = rank_in(of)
+        bits = np.frexp((size - 1).astype(np.float64))[1]
+        depth = int(bits.max())
+        found: list[Steps] = []
+        for d in range(depth):
+            shift = np.maximum(bits - d, 0)
+            parents = (of << 20) + (rank >> shift)
+            children = (of << 20) + (rank >> np.maximum(bits - d - 1, 0))
+            found.append(((of << 25) + (d << 20) + (rank >> shift), children & 1, np.where(bits > d, odds(parents, children, counts), np.inf)))
+        self.node = np.zeros((BUCKETS, depth), np.int32)
+        self.side = np.zeros((BUCKETS, depth), np.float32)
+        self.odds = np.full((BUCKETS, depth), np.inf, np.float32)
+        if not depth:
+            self.n = 1
+            return
+        keys = np.stack([x[0] for x in found], axis=1)
+        nodes, index = np.unique(keys, return_inverse=True)
+        self.n = len(nodes)
+        self.node[order] = index.reshape(keys.shape)
+        self.side[order] = np.stack([x[1] for x in found], axis=1) * 2 - 1
+        self.odds[order] = np.stack([x[2] for x in found], axis=1)
+
+
+def word_places(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For words of whole buckets: the rank in its bucket, and the log odds of the
+    ``2 * band + 1`` decisions that lead there, of all words one after the other, with
+    where each word's begin."""
+    bucket = (hashes >> np.uint64(48)).astype(np.int64)
+    order = np.lexsort((hashes, -counts, bucket))
+    bucket, counts = bucket[order] << 32, counts[order].astype(np.float64)
+    rank, _ = rank_in(bucket)
+    band = band_of(rank)
+    begin = np.cumsum(np.r_[0, 2 * band + 1])
+    found = np.empty(begin[-1], np.float16)
+    for k in range(int(band.max()) + 1):
+        # Go on to later bands, or stay in this one.
+        at = np.flatnonzero(band >= k)
+        value = odds(bucket[at], bucket[at] + (band[at] > k), counts[at])
+        found[begin[:-1][at] + k] = value
+    for b in range(1, int(band.max()) + 1):
+        at = np.flatnonzero(band == b)
+        place = rank[at] + 1 - (1 << b)
+        for d in range(b):
+            value = odds(bucket[at] + (place >> (b - d)), bucket[at] + (place >> (b - d - 1)), counts[at])
+            found[begin[:-1][at] + b + 1 + d] = value
+    ranks = np.empty(len(rank), np.uint32)
+    ranks[order] = rank
+    # Back to the order of the words.
+    lengths = np.empty(len(rank), np.int64)
+    lengths[order] = np.diff(begin)
+    starts = np.empty(len(rank), np.int64)
+    starts[order] = begin[:-1]
+    return ranks, found[ranges(starts, lengths)], np.cumsum(np.r_[0, lengths])
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges one after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def with_members(encoded: DataFrame) -> DataFrame:
+    """The rows of ``encoded`` with the places of their words in the vocabulary of the
+    whole corpus, and buckets instead of hashes.
+
+    ``ranks`` and ``odds`` are those of :func:`word_places`; ``n_words`` adds up to the
+    size of the vocabulary over all rows.
+    """
+    asked = "shard int, chunk long, hashes binary, counts binary"
+    given = "chunk long, shard int, doc_ids array<long>, sizes binary, words binary, buckets binary, ranks binary, odds binary, n_words long"
+    places = "chunk long, doc_ids array<long>, sizes binary, words binary, buckets binary, ranks binary, odds binary, n_words long"
+    n = max(SHARDS[0], min(SHARDS[1], 1 << (encoded.count() // 8).bit_length()))
+    bits = n.bit_length() - 1
+
+    arrows = {x: to_arrow_schema(_parse_datatype_string(x)) for x in (asked, given, places)}
+
+    def batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+        arrow = arrows[schema]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        return (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches):
+            counts = np.bincount(chunk.words, minlength=len(chunk.hashes))
+            ends = np.searchsorted(chunk.hashes >> np.uint64(64 - bits), np.arange(n + 1).astype(np.uint64))
+            rows = [
+                (i, chunk.id, chunk.hashes[a:b].tobytes(), packed(counts[a:b].astype(np.uint32)))
+                for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())) if b > a
+            ]
+            if rows:
+                yield batch(rows, asked)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, group in groupby(rows_of(batches), key=lambda row: row[0]):
+            ids, hashes, counts = [], [], []
+            for _, chunk, h, c in group:
+                ids.append(chunk)
+                hashes.append(np.frombuffer(h, np.uint64))
+                counts.append(unpacked(c, np.uint32))
+            known, index = np.unique(np.concatenate(hashes), return_inverse=True)
+            totals = np.bincount(index, weights=np.concatenate(counts))
+            ranks, found, begin = word_places(known, totals)
+            for i, part in enumerate(np.split(index, np.cumsum([len(h) for h in hashes])[:-1])):
+                values = found[ranges(begin[part], begin[part + 1] - begin[part])]
+                yield batch([(ids[i], shard, None, None, None, None, packed(ranks[part]), packed(values), 0 if i else len(known))], given)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches):
+            row = chunk.row
+            yield batch([(chunk.id, -1, row["doc_ids"], row["sizes"], row["words"], packed(chunk.buckets), None, None, 0)], given)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, group in groupby(rows_of(batches), key=lambda row: row[0]):
+            first, *others = group  # the row itself, then what its shards answer
+            ranks = np.concatenate([unpacked(row[6], np.uint32) for row in others] or [np.empty(0, np.uint32)])
+            found = np.concatenate([unpacked(row[7], np.float16) for row in others] or [np.empty(0, np.float16)])
+            yield batch([(chunk, *first[2:6], packed(ranks), packed(found), sum(row[8] for row in others))], places)
+
+    requests = encoded.select("chunk", "sizes", "words", "hashes").mapInArrow(ask, asked)
+    answers = requests.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(answer, given)
+    rows = encoded.mapInArrow(own, given).union(answers).repartition("chunk").sortWithinPartitions("chunk", "shard")
+    return written(rows.mapInArrow(gather, places), "members")
+
+
+class Members:
+    """Vectors of decisions (``u``), of the hidden layer's values (``p``) and of the
+    buckets before and behind a word (``near``), in one array of rows."""
+
+    def __init__(self, paths: BucketPaths, vectors: int, rows: np.ndarray | None = None):
+        self.paths, self.vectors = paths, vectors
+        self.decisions = paths.n + vectors
+        n = self.decisions + HIDDEN + 2 * (BUCKETS + 1)
+        if rows is None:
+            rows = np.random.default_rng(0).normal(0, 0.1, (n, WIDTH)).astype(np.float32)
+            rows[: self.decisions] = 0  # at first the counts decide
+        self.rows = rows
+
+    def key_steps(self, chunk: Chunk) -> tuple[np.ndarray, Steps]:
+        """Where each distinct word's decisions begin; their rows, sides and odds.
+        Decisions without a choice are left out."""
+        paths, bucket = self.paths, chunk.buckets.astype(np.int64)
+        rank = unpacked(chunk.row["ranks"], np.uint32).astype(np.int64)
+        values = unpacked(chunk.row["odds"], np.float16)
+        band = band_of(rank)
+        lengths = 2 * band + 1
+        word = np.repeat(np.arange(len(rank)), lengths)
+        step = ranges(np.zeros(len(rank), np.int64), lengths)
+        own, r, buc = band[word], rank[word] + 1, bucket[word]
+        inner = step > own
+        depth = np.where(inner, step - own - 1, 0)
+        prefix = np.where(inner, (r - (1 << own)) >> (own - depth), 0)
+        side = np.where(inner, ((r - (1 << own)) >> np.maximum(own - depth - 1, 0)) & 1, own > step)
+        name = (buc << 44) + (np.where(inner, own + 1, 0) << 38) + (np.where(inner, depth, step) << 32) + prefix
+        node = self.paths.n + (mixed(name.astype(np.uint64)) % np.uint64(self.vectors)).astype(np.int64)
+
+        n_bucket = paths.node.shape[1]
+        all_word = np.r_[np.repeat(np.arange(len(rank)), n_bucket), word]
+        all_node = np.r_[paths.node[bucket].ravel(), node]
+        all_side = np.r_[paths.side[bucket].ravel(), side * 2.0 - 1]
+        all_odds = np.r_[paths.odds[bucket].ravel(), values]
+        at = np.flatnonzero(np.isfinite(all_odds))
+        at = at[np.argsort(all_word[at], kind="stable")]
+        begin = np.searchsorted(all_word[at], np.arange(len(rank) + 1))
+        return begin, (all_node[at], all_side[at].astype(np.float32), all_odds[at].astype(np.float32))
+
+    def near(self, chunk: Chunk) -> np.ndarray:
+        """Rows of the buckets before and behind each word."""
+        edge = np.array([BUCKETS])
+        parts = [edge]
+        for b in chunk.documents(chunk.buckets.astype(np.int64)):
+            parts += [b, edge]
+        line = np.concatenate(parts)
+        at = np.flatnonzero(line != BUCKETS)
+        first = self.decisions + HIDDEN
+        return np.stack([first + line[at - 1], first + BUCKETS + 1 + line[at + 1]], axis=1)
+
+    def forward(self, hidden: np.ndarray, near: np.ndarray, words: np.ndarray, begin: np.ndarray, steps: Steps):
+        """Vectors of the windows, and of each decision: its word, row, side and the log odds."""
+        p = self.rows[self.decisions : self.decisions + HIDDEN]
+        c = hidden @ p + self.rows[near[:, 0]] + self.rows[near[:, 1]]
+        lengths = begin[words + 1] - begin[words]
+        at = ranges(begin[words], lengths)
+        of = np.repeat(np.arange(len(words)), lengths)
+        node, side = steps[0][at], steps[1][at]
+        u = self.rows[node]
+        return c, of, node, side, u, steps[2][at] + side * np.einsum("ij,ij->i", u, c[of])
+
+    def log_probs(self, hidden, near, words, begin, steps) -> np.ndarray:
+        _, of, _, _, _, z = self.forward(hidden, near, words, begin, steps)
+        return np.bincount(of, weights=-np.log1p(np.exp(np.clip(-z, None, 80))), minlength=len(words))
+
+    def gradient(self, hidden, near, words, begin, steps) -> tuple[np.ndarray, np.ndarray]:
+        """Rows, each once, and the slope of the summed negative log-probability there."""
+        c, of, node, side, u, z = self.forward(hidden, near, words, begin, steps)
+        g = (-side / (1 + np.exp(np.clip(z, -30, 30))))[:, None]
+        back = np.zeros_like(c)
+        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.empty(0, np.int64)
+        if len(of):
+            back[of[first]] = np.add.reduceat(g * u, first, axis=0)
+        rows = np.r_[node, near[:, 0], near[:, 1]]
+        order = np.argsort(rows)
+        values, rows = np.concatenate([g * c[of], back, back])[order], rows[order]
+        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        places = rows[first]
+        p = np.arange(self.decisions, self.decisions + HIDDEN)
+        return np.r_[places, p], np.concatenate([np.add.reduceat(values, first, axis=0), hidden.T @ back]).astype(np.float32)
+
+
+def member_scores(net: Network, classes: Classes, members: Members, chunk: Chunk, context: np.ndarray) -> np.ndarray:
+    """Log-probability of each word in its class, given its window."""
+    begin, steps = members.key_steps(chunk)
+    near, found = members.near(chunk), np.zeros(len(context))
+    for at in range(0, len(context), STEP_WORDS):
+        part = slice(at, at + STEP_WORDS)
+        found[part] = members.log_probs(net.hidden(context[part]), near[part], chunk.words[part].astype(np.int64), begin, steps)
+    return found
+
+
+UPDATES = "block int, rows binary, seen binary, moved binary"
+
+
+def train_members(known: DataFrame, net: Network, classes: Classes, rounds: int) -> Members:
+    """Vectors trained over all documents, every word once; a task's changes of a row count
+    by how many of its steps have changed it."""
+    n_words = known.agg(F.sum("n_words")).collect()[0][0] or 0
+    vectors = 1 << max(0, n_words // WORDS_PER_VECTOR - 1).bit_length()
+    members = Members(BucketPaths(classes), max(LEAST_VECTORS, min(MOST_VECTORS, vectors)))
+    for i in range(rounds):
+        members = _train_round(known, net, classes, members, i, rounds)
+    return members
+
+
+def _train_round(known: DataFrame, net: Network, classes: Classes, members: Members, i: int, rounds: int) -> Members:
+    shared = known.sparkSession.sparkContext.broadcast((net.flat, classes, members))
+    arrow = to_arrow_schema(_parse_datatype_string(UPDATES))
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, classes, start = shared.value
+        net, own = Network(flat), Members(start.paths, start.vectors, start.rows.copy())
+        squares = np.full(own.rows.shape, 1.0, np.float32)
+        seen = np.zeros(len(own.rows), np.float32)
+        for chunk in chunks(batches):
+            chosen = np.flatnonzero(chunk.masked(i, rounds))
+            if not len(chosen):
+                continue
+            _, context = windows(chunk.documents(classes.of[chunk.buckets]))
+            begin, steps = own.key_steps(chunk)
+            near = own.near(chunk)
+            for at in range(0, len(chosen), STEP_WORDS):
+                part = chosen[at : at + STEP_WORDS]
+                rows, slope = own.gradient(net.hidden(context[part]), near[part], chunk.words[part].astype(np.int64), begin, steps)
+                squares[rows] += slope * slope
+                own.rows[rows] -= RATE * slope / np.sqrt(squares[rows])
+                seen[rows] += 1
+        changed = np.flatnonzero(seen)
+        for part in np.split(changed, np.flatnonzero(np.diff(changed // BLOCK)) + 1) if len(changed) else []:
+            moved = (own.rows[part] - start.rows[part]).astype(np.float16)
+            values = [int(part[0] // BLOCK), packed((part % BLOCK).astype(np.uint16)), packed(seen[part]), packed(moved)]
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        for block, group in groupby(rows, key=lambda row: row[0]):
+            seen, moved = np.zeros(BLOCK), np.zeros((BLOCK, WIDTH))
+            for _, r, s, m in group:
+                at, n = unpacked(r, np.uint16), unpacked(s, np.float32)
+                seen[at] += n
+                moved[at] += unpacked(m, np.float16).reshape(-1, WIDTH) * n[:, None]
+            at = np.flatnonzero(seen)
+            values = [block, at.astype(np.uint16).tobytes(), b"", (moved[at] / seen[at, None]).astype(np.float32).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
+
+    # A task gives out up to all rows, so no more tasks than keep the cores busy.
+    known = known.coalesce(2 * known.sparkSession.sparkContext.defaultParallelism)
+    changes = known.mapInArrow(train, UPDATES).repartition("block").sortWithinPartitions("block").mapInArrow(add, UPDATES)
+    rows = members.rows.copy()
+    # As many rows as the vectors have blocks, a bounded number.
+    for change in changes.collect():
+        at = np.frombuffer(change.rows, np.uint16).astype(np.int64)
+        rows[change.block * BLOCK + at] += np.frombuffer(change.moved, np.float32).reshape(-1, WIDTH)
+    return Members(members.paths, members.vectors, rows)

@@ -3,12 +3,13 @@
 A network predicts a word from the words in a window on both sides of it. A document's
 score is the sum of the log-probabilities of all its words, each given its window.
 
-Words are counted over the whole corpus in hashed buckets; the most frequent buckets
-are classes of their own, the others share a fixed number of classes. The network
-predicts the class, and the counts say how likely the bucket is in its class. It is
-trained over all documents in rounds: each task goes on from the round's parameters
-over its own documents, masking a share of the words, and the tasks' parameters are
-averaged by the words they have seen.
+Words are counted over the whole corpus, in hashed buckets for the classes and one by
+one in a table of the vocabulary. The most frequent buckets are classes of their own,
+the others are classes by frequency. A network predicts the class; a tree of decisions
+(`streamlookup.llm.lm_members`) leads from the class to the word itself. Both are
+trained over all documents in rounds, in which every word is masked once: each task goes
+on from the round's parameters over its own documents, and the tasks' parameters are
+averaged.
 """
 
 from __future__ import annotations
@@ -18,12 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from streamlookup.llm.batches import map_slices
 from streamlookup.llm.words import hashes_of
 from streamlookup.sources.shared import written
 
@@ -41,13 +42,14 @@ SIDE = 3
 EMBEDDING = 16
 HIDDEN = 32
 
-# Share of the words masked in a training round, rounds, words in a step, and the
-# rate of the steps.
-MASKED = 0.1
+# Rounds, each masking its share of the words, words in a step, and the rate of the steps.
 ROUNDS = 2
 STEP_WORDS = 512
 RATE = 0.01
 
+# Words of the documents that are stored and numbered together, in one row.
+CHUNK_WORDS = 1 << 18
+
 # Words scored at once; bounds the matrix of their classes.
 SCORE_WORDS = 4096
 
@@ -137,19 +139,37 @@ class Adam:
         self.net.flat -= self.rate * (self.mean / (1 - 0.9**self.n)) / size
 
 
+def word_hashes(text: str | None) -> np.ndarray:
+    """The hash of each word; A-Z count as lower case."""
+    return hashes_of((text or "").encode().lower().split())
+
+
+def buckets_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(48)).astype(np.uint16)
+
+
 def word_buckets(text: str | None) -> np.ndarray:
-    """The bucket of each word; A-Z count as lower case."""
-    return (hashes_of((text or "").encode().lower().split()) >> np.uint64(48)).astype(np.uint16)
+    """The bucket of each word."""
+    return buckets_of(word_hashes(text))
 
 
 class Classes:
     """Class of each bucket, and the log share of each bucket in its class."""
 
     def __init__(self, counts: np.ndarray):
+        self.bucket_counts = counts
+        smooth = counts + 1.0
         order = np.lexsort((np.arange(BUCKETS), -counts))
-        self.of = (FREQUENT + np.arange(BUCKETS) % SHARED).astype(np.uint16)
+        # Shared classes by frequency, each with as many words as the others.
+        before = np.cumsum(smooth[order[FREQUENT:]]) - smooth[order[FREQUENT:]]
+        share = (before * SHARED / smooth[order[FREQUENT:]].sum()).astype(int)
+        # None is without a bucket.
+        share = np.clip(share, 0, SHARED - 1)
+        rest = len(share)
+        share = np.minimum(np.maximum(share, np.arange(rest) - rest + SHARED), np.arange(rest))
+        self.of = np.empty(BUCKETS, np.uint16)
         self.of[order[:FREQUENT]] = np.arange(FREQUENT)
-        smooth = counts + 1.0
+        self.of[order[FREQUENT:]] = FREQUENT + share
         self.counts = np.bincount(self.of, weights=smooth, minlength=CLASSES)
         self.log_share = np.log(smooth / self.counts[self.of])
 
@@ -166,11 +186,82 @@ def windows(classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return line[at], np.stack([line[at + i] for i in around], axis=1)
 
 
+ENCODED = "chunk long, doc_ids array<long>, sizes binary, words binary, hashes binary"
+
+
 def _encoded(docs: DataFrame) -> DataFrame:
-    def encode(doc_ids: list, texts: list) -> dict:
-        return {"doc_id": doc_ids, "buckets": [word_buckets(t).tobytes() for t in texts]}
+    """Rows of many documents: their words as numbers of the row's distinct hashes,
+    which are in order, and the documents' sizes."""
+    arrow = to_arrow_schema(_parse_datatype_string(ENCODED))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partition, n = TaskContext.get().partitionId(), 0
+
+        def row(doc_ids: list, held: list[np.ndarray]) -> pa.RecordBatch:
+            hashes, words = np.unique(np.concatenate(held), return_inverse=True)
+            sizes = np.array([len(x) for x in held], np.int32).tobytes()
+            values = [(partition << 32) + n, doc_ids, sizes, packed(words.astype(numbers_of(len(hashes)))), hashes.tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
+
+        doc_ids, held, size = [], [], 0
+        for batch in batches:
+            for doc_id, text in zip(*batch.columns):
+                doc_ids.append(doc_id.as_py())
+                held.append(word_hashes(text.as_py()))
+                size += len(held[-1])
+                if size >= CHUNK_WORDS:
+                    yield row(doc_ids, held)
+                    doc_ids, held, size, n = [], [], 0, n + 1
+        if held:
+            yield row(doc_ids, held)
+
+    return written(docs.select("doc_id", "text").mapInArrow(encode, ENCODED), "words")
+
+
+# How arrays are stored: their size in bytes, then compressed.
+_CODEC = "zstd"
+
+
+def packed(values: np.ndarray) -> bytes:
+    return values.nbytes.to_bytes(8) + pa.compress(values.tobytes(), codec=_CODEC, asbytes=True)
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(data[:8])
+    return np.frombuffer(pa.decompress(data[8:], size, codec=_CODEC, asbytes=True), kind)
 
-    return written(map_slices(docs.select("doc_id", "text"), encode, "doc_id long, buckets binary"), "buckets")
+
+def numbers_of(n: int) -> type:
+    """The type of numbers below ``n``."""
+    return np.uint16 if n <= 1 << 16 else np.uint32
+
+
+class Chunk:
+    """A row of :func:`_encoded`; its buckets may stand for the hashes."""
+
+    def __init__(self, row: dict):
+        self.row, self.id = row, row["chunk"]
+        if "buckets" in row:
+            self.buckets = unpacked(row["buckets"], np.uint16)
+        else:
+            self.hashes = np.frombuffer(row["hashes"], np.uint64)
+            self.buckets = buckets_of(self.hashes)
+        self.words = unpacked(row["words"], numbers_of(len(self.buckets)))
+        self.sizes = np.frombuffer(row["sizes"], np.int32)
+
+    def documents(self, values: np.ndarray) -> list[np.ndarray]:
+        """Each document's words, as ``values`` of the distinct ones."""
+        return np.split(values[self.words], np.cumsum(self.sizes)[:-1])
+
+    def masked(self, i: int, rounds: int) -> np.ndarray:
+        """The words masked in round ``i``: each of the chunk's is in one round."""
+        return np.random.default_rng(self.id).integers(rounds, size=len(self.words)) == i
+
+
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield Chunk(batch.slice(i, 1).to_pylist()[0])
 
 
 def _summed(df: DataFrame, run) -> np.ndarray:
@@ -198,49 +289,45 @@ def count_buckets(encoded: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros(BUCKETS)
-        for batch in batches:
-            for data in batch.column(0):
-                total += np.bincount(np.frombuffer(data.as_py(), np.uint16), minlength=BUCKETS)
+        for chunk in chunks(batches):
+            n = np.bincount(chunk.words, minlength=len(chunk.buckets))
+            total += np.bincount(chunk.buckets, weights=n, minlength=BUCKETS)
         return total
 
-    found = _summed(encoded.select("buckets"), count)
+    found = _summed(encoded, count)
     return np.pad(found, (0, BUCKETS - len(found)))
 
 
-def _masked(documents: Iterator[np.ndarray], classes: Classes, rng) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Steps of masked words with their windows, from all the documents."""
+def _masked(read: Iterator[Chunk], classes: Classes, i: int, rounds: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Steps of the words masked in a round, with their windows."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
-    n = 0
-    for buckets in documents:
-        target, context = windows([classes.of[buckets]])
-        chosen = rng.random(len(target)) < MASKED
+    for chunk in read:
+        target, context = windows(chunk.documents(classes.of[chunk.buckets]))
+        chosen = chunk.masked(i, rounds)
         held.append((target[chosen], context[chosen]))
-        n += int(chosen.sum())
-        if n >= STEP_WORDS:
-            target, context = (np.concatenate(x) for x in zip(*held))
-            whole = n - n % STEP_WORDS
-            for at in range(0, whole, STEP_WORDS):
-                yield target[at : at + STEP_WORDS], context[at : at + STEP_WORDS]
-            held, n = [(target[whole:], context[whole:])], n - whole
-    if n:
-        yield tuple(np.concatenate(x) for x in zip(*held))
-
-
-def train_round(encoded: DataFrame, net: Network, classes: Classes, seed: int, rate: float = RATE) -> Network:
-    """One pass of every task over all its documents, and the average."""
+        target, context = (np.concatenate(x) for x in zip(*held))
+        whole = len(target) - len(target) % STEP_WORDS
+        for at in range(0, whole, STEP_WORDS):
+            yield target[at : at + STEP_WORDS], context[at : at + STEP_WORDS]
+        held = [(target[whole:], context[whole:])]
+    if held and len(held[0][0]):
+        yield held[0]
+
+
+def train_round(encoded: DataFrame, net: Network, classes: Classes, i: int, rounds: int, rate: float = RATE) -> Network:
+    """One pass of every task over the round's words of all its documents, and the average."""
     shared = encoded.sparkSession.sparkContext.broadcast((net.flat, classes))
 
     def train(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         start, classes = shared.value
         own = Adam(Network(start.copy()), rate)
-        documents = (np.frombuffer(d.as_py(), np.uint16) for batch in batches for d in batch.column(0))
         seen = 0
-        for target, context in _masked(documents, classes, np.random.default_rng(seed)):
+        for target, context in _masked(chunks(batches), classes, i, rounds):
             own.step(context, target)
             seen += len(target)
         return np.append(own.net.flat.astype(np.float64) * seen, float(seen))
 
-    total = _summed(encoded.select("buckets"), train)
+    total = _summed(encoded, train)
     size = len(net.flat)
     if len(total) <= size or not total[size]:
         return net
@@ -252,7 +339,7 @@ def train_network(encoded: DataFrame, rounds: int = ROUNDS) -> tuple[Network, Cl
     classes = Classes(count_buckets(encoded))
     net = Network.initial(classes.counts)
     for i in range(rounds):
-        net = train_round(encoded, net, classes, seed=i, rate=RATE / (1 + 2 * i))
+        net = train_round(encoded, net, classes, i, rounds, rate=RATE / (1 + 2 * i))
     return net, classes
 
 
@@ -278,15 +365,35 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     empty table gives none. Scores depend in their last digits on how the table is
     partitioned, as tasks train on their own documents.
     """
+    from streamlookup.llm.lm_members import member_scores, train_members, with_members
+
     encoded = _encoded(docs)
     net, classes = train_network(encoded, rounds)
-    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, net.flat, classes))
+    known = with_members(encoded)
+    members = train_members(known, net, classes, rounds)
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, net.flat, classes, members))
+    arrow = to_arrow_schema(_parse_datatype_string(SCORES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, flat, classes, members = shared.value
+        net = Network(flat)
+        for chunk in chunks(batches):
+            sums, sizes = word_scores(net, classes, members, chunk, member_scores), chunk.sizes.tolist()
+            means = [s / n if n else None for s, n in zip(sums, sizes)]
+            found = [chunk.row["doc_ids"], sizes, sums, means]
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(found, arrow)], schema=arrow)
 
-    def run(doc_ids: list, data: list) -> dict:
-        _, flat, known = shared.value
-        documents = [np.frombuffer(d, np.uint16) for d in data]
-        sums, sizes = score(Network(flat), known, documents), [len(d) for d in documents]
-        means = [s / n if n else None for s, n in zip(sums, sizes)]
-        return {"doc_id": doc_ids, "n_words": sizes, "log_prob": sums, "mean_log_prob": means}
+    return known.mapInArrow(run, SCORES)
 
-    return map_slices(encoded, run, SCORES)
+
+def word_scores(net: Network, classes: Classes, members, chunk: Chunk, member_scores) -> list[float]:
+    """Summed log-probability of each document's words, each given its window."""
+    target, context = windows(chunk.documents(classes.of[chunk.buckets]))
+    found = np.zeros(len(target))
+    for at in range(0, len(target), SCORE_WORDS):
+        part = slice(at, at + SCORE_WORDS)
+        found[part] = net.log_probs(context[part], target[part])
+    found += member_scores(net, classes, members, chunk, context)
+    ends = np.cumsum([0, *chunk.sizes])
+    sums = np.concatenate([[0.0], np.cumsum(found)])
+    return (sums[ends[1:]] - sums[ends[:-1]]).tolist()

@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from streamlookup.llm import lm_members as m
+from streamlookup.llm import lm_scoring as lm
+
+from .conftest import SF_DIR
+
+
+def trained(docs, chosen=None):
+    encoded = lm._encoded(docs)
+    known = m.with_members(encoded)
+    seen = known if chosen is None else known.where(chosen)
+    net, classes = lm.train_network(seen, rounds=2)
+    return known, net, classes, m.train_members(seen, net, classes, 2)
+
+
+def read(known):
+    return [lm.Chunk(r.asDict()) for r in known.collect()]
+
+
+def test_every_word_is_masked_once(spark, sample):
+    docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in sample], "doc_id long, text string").repartition(3)
+    for chunk in read(lm._encoded(docs)):
+        assert (sum(chunk.masked(i, 3).astype(int) for i in range(3)) == 1).all()
+
+
+def test_vocabulary_is_of_words(spark, sample):
+    docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in sample], "doc_id long, text string").repartition(3)
+    known = m.with_members(lm._encoded(docs))
+    words = Counter(w for r in sample for w in (r["text"] or "").encode().lower().split())
+    assert known.agg(F.sum("n_words")).collect()[0][0] == len(words)
+    places = Counter()
+    for c in read(known):
+        n = np.bincount(c.words, minlength=len(c.buckets))
+        places.update({(int(b), int(r)): int(k) for b, r, k in zip(c.buckets, lm.unpacked(c.row["ranks"], np.uint32), n)})
+    assert sorted(places.values()) == sorted(words.values())
+
+
+@pytest.fixture
+def small(spark):
+    rng = np.random.default_rng(0)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.2, 3000) % 50_000) for _ in range(30)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+
+
+def test_chances_of_all_words_add_up(small):
+    known, net, classes, members = trained(small)
+    (chunk,) = read(known)
+    begin, steps = members.key_steps(chunk)
+    words = np.arange(len(chunk.buckets))
+    context = np.repeat(np.random.default_rng(1).integers(0, lm.CLASSES + 1, (1, 2 * lm.SIDE)), len(words), axis=0)
+    near = np.repeat(members.near(chunk)[:1], len(words), axis=0)
+    found = np.exp(members.log_probs(net.hidden(context), near, words, begin, steps))
+    of = classes.of[chunk.buckets]
+    present = np.bincount(of, weights=found, minlength=lm.CLASSES)
+    # Buckets of a class that have no word hold the rest; own classes have one bucket.
+    assert np.allclose(present[: lm.FREQUENT][np.bincount(of, minlength=lm.CLASSES)[: lm.FREQUENT] > 0], 1, atol=5e-3)
+    assert (present <= 1.005).all()
+    for bucket in np.unique(chunk.buckets)[:50]:
+        inside = chunk.buckets == bucket
+        alone = np.array([[begin[w], begin[w + 1]] for w in words[inside]])
+        parts = [members.forward(net.hidden(context[:1]), near[:1], np.array([w]), begin, steps) for w in words[inside]]
+        chance = [np.exp(-np.logaddexp(0, -z[node >= members.paths.n]).sum()) for _, _, node, _, _, z in parts]
+        assert len(alone) and abs(sum(chance) - 1) < 5e-3
+
+
+def test_slopes(small):
+    known, net, classes, members = trained(small)
+    (chunk,) = read(known)
+    begin, steps = members.key_steps(chunk)
+    near = members.near(chunk)[:60]
+    words = chunk.words[:60].astype(np.int64)
+    hidden = net.hidden(lm.windows(chunk.documents(classes.of[chunk.buckets]))[1][:60])
+    rows, slope = members.gradient(hidden, near, words, begin, steps)
+    members.rows = members.rows.astype(np.float64)
+    for i in np.random.default_rng(2).choice(len(rows), 40, replace=False):
+        values = []
+        for step in (1e-5, -1e-5):
+            members.rows[rows[i], 3] += step
+            values.append(-members.log_probs(hidden, near, words, begin, steps).sum())
+            members.rows[rows[i], 3] -= step
+        assert abs((values[0] - values[1]) / 2e-5 - slope[i, 3]) < 1e-3
+
+
+def test_training_helps_by_a_tenth_on_held_out_documents(spark):
+    docs = spark.read.parquet(SF_DIR.replace("0.001", "0.01") + "/documents.parquet").select("doc_id", "text")
+    docs = docs.where("doc_id % 4 > 0").repartition(3).union(docs.where("doc_id % 4 = 0").coalesce(1))
+    known, net, classes, members = trained(docs, F.col("doc_ids")[0] % 4 > 0)
+    plain = lm.Network.initial(classes.counts), m.Members(members.paths, members.vectors)
+    held = read(known.where(F.col("doc_ids")[0] % 4 == 0))
+    words = sum(len(c.words) for c in held)
+    after, before = (sum(sum(lm.word_scores(a, classes, b, c, m.member_scores)) for c in held) / words for a, b in ((net, members), plain))
+    print(before, after)
+    assert after > before + 0.1
