@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from streamlookup.llm.decontamination import benchmark_matches
+from streamlookup.llm.divergence import source_divergence
 from streamlookup.llm.licenses import scan_licenses
 from streamlookup.llm.lm_scoring import score_documents
 from streamlookup.llm.near_dedup import near_duplicates
 from streamlookup.llm.packing import pack_documents
+from streamlookup.llm.periodic_runs import periodic_runs, repeat_tail, run_digests
 from streamlookup.llm.quality_classifier import judge_quality
 from streamlookup.llm.quality_rules import judge_documents
 from streamlookup.llm.secret_scan import scan_secrets
+from streamlookup.llm.sharding import shard_documents
 from streamlookup.llm.sql import ORACLE_SQL
 from streamlookup.llm.token_counts import count_tokens
 from streamlookup.llm.token_files import token_round_trip
@@ -66,6 +69,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(table(spark, sf_dir, "documents"), prepare=repeat_tail))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -79,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minhash_dedup,
         op9_lm_scoring,
         op10_quality_rules,
+        op11_source_divergence,
+        op12_sharding,
+        op13_periodic_runs,
     )
 }
 

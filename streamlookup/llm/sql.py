@@ -81,4 +81,89 @@ def license_scan() -> str:
         FROM chosen"""
 
 
-ORACLE_SQL = {"op4_license_scan": license_scan(), "op10_quality_rules": quality_rules()}
+def source_divergence() -> str:
+    return r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents),
+        terms AS (
+            SELECT row, lang, source,
+                unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM docs),
+        kept AS (
+            SELECT lang, term, count(*)::HUGEINT AS n FROM terms GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+        langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang),
+        groups AS (SELECT DISTINCT lang, source FROM docs),
+        counts AS (
+            SELECT lang, source, term, count(*)::HUGEINT AS n
+            FROM terms JOIN kept USING (lang, term) GROUP BY lang, source, term),
+        sums AS (SELECT lang, source, sum(n)::HUGEINT AS n FROM counts GROUP BY lang, source),
+        grid AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                1 + 1000000000 * (coalesce(c.n, 0) + 2) // (coalesce(s.n, 0) + 2 * l.v) AS p,
+                1 + 1000000000 * (k.n + 2) // (l.n + 2 * l.v) AS q
+            FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+                LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+                LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+            FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+            GROUP BY a.lang, a.source, b.source),
+        parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+                LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM grid WHERE n > 0 AND p > q),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+
+def sharding() -> str:
+    # CRC-32 byte by byte: its table from the polynomial, the bytes of a text from its characters.
+    return r"""
+        WITH crc AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+                lambda a, b: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END)) AS t),
+        points AS (
+            SELECT doc_id, coalesce(source, '') AS stratum,
+                CASE WHEN coalesce(text, '') = '' THEN []
+                    ELSE list_transform(string_split(text, ''), lambda c: ord(c)) END AS points
+            FROM documents),
+        bytes AS (
+            SELECT doc_id, stratum, flatten(list_transform(points, lambda p: CASE
+                WHEN p < 128 THEN [p]
+                WHEN p < 2048 THEN [192 + (p >> 6), 128 + (p & 63)]
+                WHEN p < 65536 THEN [224 + (p >> 12), 128 + ((p >> 6) & 63), 128 + (p & 63)]
+                ELSE [240 + (p >> 18), 128 + ((p >> 12) & 63), 128 + ((p >> 6) & 63), 128 + (p & 63)] END)) AS bytes
+            FROM points),
+        sized AS (
+            SELECT doc_id, stratum, len(bytes) + 1 AS size,
+                xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], bytes::BIGINT[]),
+                    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS text_crc32
+            FROM bytes, crc),
+        ranked AS (
+            SELECT *, count(*) OVER (PARTITION BY stratum) AS total,
+                row_number() OVER (
+                    PARTITION BY stratum
+                    ORDER BY md5('shards:' || coalesce(doc_id::VARCHAR, '') || ':' || size || ':' || text_crc32),
+                        doc_id NULLS FIRST, size, text_crc32) - 1 AS rank
+            FROM sized),
+        placed AS (
+            SELECT *, row_number() OVER (ORDER BY (rank + 0.5::DOUBLE) / total::DOUBLE, stratum, rank) - 1 AS place,
+                count(*) OVER () AS n
+            FROM ranked)
+        SELECT doc_id, size, text_crc32, 'rows' AS law, (place * 16 // n)::INT AS shard,
+            place - ((place * 16 // n) * n + 15) // 16 AS slot, NULL::INT AS grown_shard
+        FROM placed"""
+
+
+ORACLE_SQL = {
+    "op4_license_scan": license_scan(),
+    "op10_quality_rules": quality_rules(),
+    "op11_source_divergence": source_divergence(),
+    "op12_sharding": sharding(),
+}

@@ -1,0 +1,139 @@
+"""The divergence audit against SQL and plain Python."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import compare
+import numpy as np
+import pytest
+
+import streamlookup.llm.divergence as divergence_module
+from streamlookup.llm.divergence import Audit, Quadtree, probabilities, source_divergence, terms_of
+from streamlookup.llm.queries import op11_source_divergence
+from streamlookup.llm.sql import ORACLE_SQL
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plainly(rows, least):
+    """All rows of the audit of (text, lang, source), with Python's integers."""
+    counts, docs, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        terms = [t.translate(LOWER) for t in TERM.findall(text or "")]
+        counts[lang, source].update(terms)
+        docs[lang].update(set(terms))
+        groups[lang].add(source)
+    found = []
+    for lang, sources in groups.items():
+        kept = [t for t, n in docs[lang].items() if n >= least]
+        p = {}
+        for source in [*sources, None]:
+            own = Counter()
+            for s in sources if source is None else [source]:
+                own.update({t: counts[lang, s][t] for t in kept})
+            mass = sum(own.values()) + 2 * len(kept)
+            p[source] = {t: 1 + 10**9 * (own[t] + 2) // mass for t in kept}
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for source in sources:
+            pairs = [(s, sum(f(p[source][t], p[s][t]) for t in kept)) for s in sources if s != source]
+            terms = [
+                (t, f(p[source][t], p[None][t])) for t in kept if counts[lang, source][t] and p[source][t] > p[None][t]
+            ]
+            for part, items, most in (("pair", pairs, None), ("term", terms, 10)):
+                items.sort(key=lambda x: (-x[1], x[0].encode()))
+                found += [(lang, source, part, item, v, i + 1) for i, (item, v) in enumerate(items[:most])]
+    return sorted(found)
+
+
+def made_rows(rng, n, groups=12):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)] + ["Été", "ÉTÉ", "ﬁn", "Zoo", "zoo"]
+    rows = []
+    for _ in range(n):
+        source = "hot" if rng.random() < 0.3 else f"s{rng.randrange(groups)}"
+        some = rng.sample(words, 40)
+        text = " ".join(rng.choice(some) + rng.choice([" ", ",", "7", "-x_"]) for _ in range(rng.randint(0, 80)))
+        rows.append((rng.choice([text, text, text, None, ""]), rng.choice(["en", "de", None]), source))
+    return rows
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "text string, lang string, source string")
+
+
+def result(df):
+    return sorted(tuple(r[c] for c in ("lang", "source", "part", "item", "value", "rank")) for r in df.collect())
+
+
+def test_terms():
+    assert terms_of("A1b é_Ü[z]".encode()) == ["a".encode(), b"b", "é".encode(), "Ü".encode(), b"z"]
+    assert terms_of(None) == terms_of(b"") == []
+
+
+@pytest.mark.parametrize("groups, cells", [(256, 100_000), (3, 50)])
+def test_against_plain_python(spark, monkeypatch, groups, cells):
+    monkeypatch.setattr(divergence_module, "BLOCK_GROUPS", groups)
+    monkeypatch.setattr(divergence_module, "BLOCK_CELLS", cells)
+    monkeypatch.setattr(divergence_module, "HELD_TERMS", 100)
+    rows = made_rows(random.Random(groups), 300)
+    want = plainly(rows, 5)
+    assert {r[2] for r in want} == {"pair", "term"}
+    assert result(source_divergence(frame(spark, rows), 5)) == want
+
+
+def test_query_equals_sql(spark):
+    got = compare.spark_bag(op11_source_divergence(spark, "/root/testdata/sf0.001"))
+    assert got == compare.duck_bag(compare.connect("/root/testdata/sf0.001"), ORACLE_SQL["op11_source_divergence"])
+
+
+@pytest.mark.parametrize("rows, columns", [(1, 1), (5, 200), (70, 40), (100, 3), (40, 1000)])
+def test_joint_traversal_equals_dense_matrix(rows, columns):
+    rng = np.random.default_rng(rows)
+    dense = rng.integers(0, 50, (rows, columns)) * (rng.random((rows, columns)) < 0.05)
+    dense[0, :] += 1  # every term occurs somewhere
+    at = np.nonzero(dense)
+    mass = dense.sum(axis=1) + 2 * columns
+    totals = dense.sum(axis=0)
+    audit = Audit(Quadtree(*at, dense[at]), columns, mass, totals, int(totals.sum()) + 2 * columns)
+    audit.run()
+    p = probabilities(dense, mass)
+    for i in range(rows):
+        for j in range(i + 1, rows):
+            assert audit.total[i, j] == ((p[i] - p[j]) ** 2 // (p[i] + p[j])).sum()
+
+
+def test_zero_quadrants_are_not_entered():
+    """A matrix with two dense corners: what lies between them is priced, not compared."""
+    rows = np.r_[np.zeros(32, int), np.full(32, 500)]
+    columns = np.r_[np.arange(32), np.arange(4000, 4032)]
+    audit = Audit(Quadtree(rows, columns, np.ones(64, int)), 4032, np.full(501, 9000), np.ones(4032, int), 9000)
+    compared = []
+    original = audit._compare
+    audit._compare = lambda *a: (compared.append(a), original(*a))
+    audit.run()
+    # Leaves that hold a count meet the 16 row ranges; all others are priced.
+    assert len(compared) <= 2 * 16
+    assert audit.zeros[1, 2] == 4032 - 32 and audit.zeros[0, 500] == 4032 - 64
+
+
+def test_counts_beyond_64_bits():
+    counts, mass = np.array([[10**12, 0]]), np.array([2 * 10**12])
+    assert probabilities(counts, mass).tolist() == [[1 + 10**9 * (c + 2) // (2 * 10**12) for c in (10**12, 0)]]
+
+
+def test_odd_documents(spark, odd_docs, no_docs):
+    frame_, rows = odd_docs
+    got = source_divergence(frame_, 2).collect()
+    # One source of one language without a name: no pairs, and no term above the language's own rate.
+    assert got == []
+    assert source_divergence(no_docs).collect() == []
+
+
+def test_groups_without_terms_have_pairs(spark):
+    rows = [("one two", "en", "a"), (None, "en", "b"), ("", "en", None), ("x", "de", "a")]
+    assert result(source_divergence(frame(spark, rows))) == sorted(plainly(rows, 10))
+    assert len(plainly(rows, 10)) == 6

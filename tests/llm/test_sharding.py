@@ -1,0 +1,92 @@
+"""Shards by stratified interleaving."""
+
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import compare
+import pytest
+
+from streamlookup.llm.queries import op12_sharding
+from streamlookup.llm.sharding import SHARDS, interleave, shard_documents, write_shards
+from streamlookup.llm.sql import ORACLE_SQL
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_query_equals_sql(spark):
+    got = compare.spark_bag(op12_sharding(spark, SF_DIR))
+    assert got == compare.duck_bag(compare.connect(SF_DIR), ORACLE_SQL["op12_sharding"])
+
+
+def test_sizes_and_crc(spark, sample):
+    want = {r["doc_id"]: (len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode())) for r in sample}
+    got = {r["doc_id"]: (r["size"], r["text_crc32"]) for r in op12_sharding(spark, SF_DIR).collect()}
+    assert got == want
+
+
+def check_shards(rows, shards):
+    slots = defaultdict(list)
+    for shard, slot in rows:
+        slots[shard].append(slot)
+    counts = [len(slots.get(s, [])) for s in range(shards)]
+    assert max(counts) - min(counts) <= 1 and set(slots) <= set(range(shards))
+    assert all(sorted(found) == list(range(len(found))) for found in slots.values())
+
+
+@pytest.mark.parametrize("n", [1, 5, 16, 17, 1000])
+def test_counts_and_mixture(spark, n):
+    # One stratum has a third of the rows.
+    rows = spark.range(n, numPartitions=7).selectExpr("id", "if(id % 3 = 0, 'hot', concat('s', id % 10)) as source")
+    got = interleave(rows, "source", ["id"]).collect()
+    assert sorted(r["id"] for r in got) == list(range(n))
+    check_shards([(r["shard"], r["slot"]) for r in got], SHARDS)
+    totals = Counter(r["source"] for r in got)
+    found = Counter((r["shard"], r["source"]) for r in got)
+    for shard in range(SHARDS):
+        for source, total in totals.items():
+            assert abs(found[shard, source] - total / SHARDS) <= 2
+
+
+def test_order_depends_on_rows_only(spark):
+    rows = spark.range(300).selectExpr("id", "cast(id % 4 as string) as source")
+    def placed(frame, seed="a"):
+        return {r["id"]: (r["shard"], r["slot"]) for r in interleave(frame, "source", ["id"], 5, seed).collect()}
+    first = placed(rows)
+    assert first == placed(rows.repartition(9)) and first != placed(rows, "b")
+
+
+def test_a_hot_stratum_is_many_tasks(spark, settings):
+    settings(spark__sql__shuffle__partitions="8", spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = spark.range(4000).selectExpr("id", "'one' as source")
+    plan = interleave(rows, "source", ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_stratum" not in plan
+    from streamlookup.llm.sharding import _placed
+
+    sorted_rows = _placed(rows, ["source", "id"], "t")
+    sizes = [r["count"] for r in sorted_rows.groupBy("_file").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
+
+
+def test_odd_documents(spark, odd_docs, no_docs):
+    frame, rows = odd_docs
+    got = shard_documents(frame, 4).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+    check_shards([(r["shard"], r["slot"]) for r in got], 4)
+    assert {r["law"] for r in got} == {"rows"} and {r["grown_shard"] for r in got} == {None}
+    assert {r["size"] for r in got if r["doc_id"] in (2, 3)} == {1}
+    assert shard_documents(no_docs).collect() == []
+    # Columns named like the operator's own.
+    clash = frame.selectExpr("doc_id", "source", "text as shard", "length as slot", "lang as _rank")
+    out = interleave(clash, "source", ["doc_id", "_rank"], 3)
+    assert out.columns == ["doc_id", "source", "_rank", "shard", "slot"] and out.count() == len(rows)
+
+
+def test_written_shards(spark, tmp_path):
+    rows = spark.range(200).selectExpr("id", "cast(id % 3 as string) as source")
+    placed = interleave(rows, "source", ["id"], 4)
+    write_shards(placed, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert compare.spark_bag(back) == compare.spark_bag(placed)
+    assert sorted(p.name for p in (tmp_path / "shards").glob("shard=*")) == [f"shard={i}" for i in range(4)]
