@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 import struct
 from functools import lru_cache
-from itertools import chain
 
 from tokenizers import Tokenizer
 
-# Words whose ids a worker remembers, and the longest word it remembers.
-CACHED_WORDS = 400_000
+from streamlookup.llm.caches import Generations, take_turn
+
+# Bytes of words and ids that a worker remembers, and the longest word it remembers.
+CACHED_BYTES = 160 * 1024 * 1024
 CACHED_LENGTH = 48
 
 # A word of Latin-1 letters, perhaps with ASCII punctuation behind it other than
@@ -45,44 +46,26 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self._ids(["a b\nc"]) != [b"".join(self._ids(["a", "b", "c"]))]:
             raise ValueError("the vocabulary keeps white space")
-        self.words: dict[str, bytes] = {"": b""}
+        self.words = Generations(self._word, CACHED_BYTES, lambda word: len(word) <= CACHED_LENGTH)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [id_bytes(x.ids) for x in found]
 
-    def _learn(self, words: set[str]) -> None:
-        tokenize = self.tokenizer.model.tokenize
-        rest = []
-        for word in words:
-            if len(word) <= CACHED_LENGTH and (plain := _PLAIN.fullmatch(word)):
-                letters = plain[1].lower()
-                if not letters.isascii():
-                    letters = letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                ids = id_bytes([t.id for t in tokenize(letters)])
-                self.words[word] = ids + self._tail(plain[2]) if plain[2] else ids
-            else:
-                rest.append(word)
-        self.words.update(zip(rest, self._ids(rest)))
-
-    def _tail(self, punctuation: str) -> bytes:
-        if punctuation not in self.words:
-            self.words[punctuation] = self._ids([punctuation])[0]
-        return self.words[punctuation]
+    def _word(self, word: str) -> bytes:
+        if len(word) <= CACHED_LENGTH and (plain := _PLAIN.fullmatch(word)):
+            letters = plain[1].lower()
+            if not letters.isascii():
+                letters = letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            ids = id_bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
+            return ids + self.words[plain[2]] if plain[2] else ids
+        return self._ids([word])[0] if word else b""
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; none for a NULL or empty one."""
-        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
-        wanted = set(chain.from_iterable(split))
-        if len(self.words) + len(wanted) > CACHED_WORDS:
-            self.words = {"": b""}
-        unknown = wanted.difference(self.words)
-        self._learn(unknown)
-        ids = [b"".join(map(self.words.__getitem__, words)) for words in split]
-        for word in unknown:
-            if len(word) > CACHED_LENGTH:
-                del self.words[word]
-        return ids
+        take_turn(self.words)
+        ids_of = self.words.__getitem__
+        return [b"".join(map(ids_of, (text or "").replace("\n", " ").split(" "))) for text in texts]
 
 
 def id_bytes(ids: list[int]) -> bytes:

@@ -7,28 +7,21 @@ import re
 import numpy as np
 import xxhash
 
-# Words whose hash a worker remembers.
-CACHED_WORDS = 200_000
+from streamlookup.llm.caches import Generations, take_turn
+
+# Bytes of words and hashes that a worker remembers.
+CACHED_BYTES = 64 * 1024 * 1024
 
 # Odd multiplier of the rolling hash, and the constants of its final mixing.
 BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
-class WordHashes(dict):
-    """Maps a word's bytes to its hash, and remembers it."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-word_hashes = WordHashes()
+word_hashes = Generations(xxhash.xxh3_64_intdigest, CACHED_BYTES)
 
 
 def hashes_of(words: list) -> np.ndarray:
+    take_turn(word_hashes)
     return np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
 
 
