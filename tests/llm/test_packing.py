@@ -92,8 +92,9 @@ def test_forgotten_words_are_asked_again(monkeypatch, sample):
     encoder = WordEncoder(VOCABULARY)
     texts = [r["text"] for r in sample[:30]]
     expected = encoder.encode(texts)
-    monkeypatch.setattr("streamlookup.llm.word_ids.CACHED_WORDS", 50)
-    assert [encoder.encode([t])[0] for t in texts] == expected
+    monkeypatch.setattr("streamlookup.llm.word_ids.CACHED_BYTES", 10_000)
+    small = WordEncoder(VOCABULARY)
+    assert [small.encode([t])[0] for t in texts] == expected and len(small.words) + len(small.words.old) < 100
 
 
 def check_packed(rows, docs, capacity):
