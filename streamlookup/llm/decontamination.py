@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from streamlookup.llm.batches import map_slices
 from streamlookup.llm.words import RunningHash, hashes_of, mixed, plain_words
+from streamlookup.sources.shared import written
 
-# Words of the shortest tile, and of a seed.
+# Words of the shortest tile, and of a seed; fewer only if the whole item has fewer.
 LEAST_MATCH = 5
 
 # Share of an item's words that tiles must cover.
@@ -86,61 +87,73 @@ def _uncovered(free: np.ndarray, length: int) -> np.ndarray:
 
 
 class Benchmark:
-    """Items as word hashes, and the hashes of their seeds in order."""
+    """Items as word hashes, and the hashes of their seeds in order.
+
+    A seed has ``least`` words; that of a shorter item is the whole item.
+    """
 
     def __init__(self, item_ids: list, texts: list, least: int):
         self.least = least
         self.ids, self.items = [], []
+        by_length: dict[int, list[int]] = {}
         for item_id, text in zip(item_ids, texts):
             words = hashes_of(plain_words(text))
-            if len(words) >= least:
+            if len(words):
+                by_length.setdefault(min(least, len(words)), []).append(len(self.items))
                 self.ids.append(item_id)
                 self.items.append(words)
-        seeds = [mixed(RunningHash(words).runs(least)) for words in self.items]
-        owners = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
-        seeds = np.concatenate(seeds) if seeds else np.empty(0, np.uint64)
+        self.seeds = {n: self._seeds(n, numbers) for n, numbers in sorted(by_length.items())}
+
+    def _seeds(self, length: int, numbers: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        seeds = [mixed(RunningHash(self.items[i]).runs(length)) for i in numbers]
+        owners = np.repeat(numbers, [len(s) for s in seeds])
+        seeds = np.concatenate(seeds)
         order = np.argsort(seeds, kind="stable")
-        self.seeds, self.owners = seeds[order], owners[order]
+        return seeds[order], owners[order]
 
     def tilings(self, text: str | None) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
         """The items that share a seed with the text, and their tiles."""
-        if not len(self.seeds):
+        if not self.seeds:
             return
         words = hashes_of(plain_words(text))
-        runs = mixed(RunningHash(words).runs(self.least))
-        first = np.searchsorted(self.seeds, runs)
-        places = np.flatnonzero(self.seeds[np.minimum(first, len(self.seeds) - 1)] == runs)
-        if not len(places):
-            return
-        last = np.searchsorted(self.seeds, runs[places], side="right")
-        n = last - first[places]
-        # All items that have the seed at each place.
-        at = np.repeat(places, n)
-        inside = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-        owner = self.owners[np.repeat(first[places], n) + inside]
-        order = np.argsort(owner, kind="stable")
-        for same in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
-            item = int(owner[same[0]])
-            yield item, tile(self._part(words, np.unique(at[same])), self.items[item], self.least)
-
-    def _part(self, words: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """The stretches of a document that seeds cover. Each is followed by a
-        value that no word has, so that no tile goes on into the next."""
-        parts = []
-        for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
-            parts += [words[run[0] : run[-1] + self.least], np.array([len(parts)], np.uint64)]
-        return np.concatenate(parts)
-
-
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[Row]]:
-    """The items, in blocks of about so many words."""
-    words = F.size(F.split(F.coalesce(F.col("text"), F.lit("")), r"\W+"))
-    items = benchmark.select("item_id", "text", words.alias("n"))
+        hashes = RunningHash(words)
+        for length, (seeds, owners) in self.seeds.items():
+            runs = mixed(hashes.runs(length))
+            first = np.searchsorted(seeds, runs)
+            places = np.flatnonzero(seeds[np.minimum(first, len(seeds) - 1)] == runs)
+            if not len(places):
+                continue
+            last = np.searchsorted(seeds, runs[places], side="right")
+            n = last - first[places]
+            # All items that have the seed at each place.
+            at = np.repeat(places, n)
+            inside = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+            owner = owners[np.repeat(first[places], n) + inside]
+            order = np.argsort(owner, kind="stable")
+            for same in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
+                item = int(owner[same[0]])
+                yield item, tile(_part(words, np.unique(at[same]), length), self.items[item], length)
+
+
+def _part(words: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    """The stretches of a document that seeds cover. Each is followed by a
+    value that no word has, so that no tile goes on into the next."""
+    parts = []
+    for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
+        parts += [words[run[0] : run[-1] + length], np.array([len(parts)], np.uint64)]
+    return np.concatenate(parts)
+
+
+def _blocks(benchmark: DataFrame, block_words: int) -> tuple[int, Iterator[list[Row]]]:
+    """The items, in blocks of about so many words, and how many blocks there are."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # Letters may be words: a text without blanks weighs as much as it has bytes.
+    weight = F.greatest(F.size(F.split(text, r"\W+")), F.octet_length(text) / 6).cast("long")
+    items = benchmark.select("item_id", "text", weight.alias("n"))
     total = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_words))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    for i in range(blocks):
-        yield items.where(part == i).collect() if blocks > 1 else items.collect()
+    return blocks, (items.where(part == i).collect() if blocks > 1 else items.collect() for i in range(blocks))
 
 
 def benchmark_matches(
@@ -149,18 +162,23 @@ def benchmark_matches(
     """A row per document and item whose words are covered to ``coverage`` or more.
 
     ``docs`` has ``doc_id`` and ``text``, ``benchmark`` has ``item_id`` and ``text``;
-    other columns are not read. NULL and empty texts match nothing, nor do items of
-    fewer than ``least`` words, which chance would find anywhere. Repeated documents
-    and items have a row each. Without documents or items there is no row.
+    other columns are not read. Texts without words match nothing. An item of fewer than
+    ``least`` words has to occur whole, as one tile; in scripts without blanks each letter is a
+    word. Repeated documents and items have a row each. Without documents or items there is no row.
 
-    Documents are not shuffled: the items go to them, in blocks of bounded size.
+    Documents are not shuffled: the items go to them, in blocks of bounded size. Of several
+    blocks each has its pass over the documents, whose matches are stored, and is released then.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
+    blocks, parts = _blocks(benchmark, block_words)
     found = None
-    for items in _blocks(benchmark, block_words):
+    for items in parts:
         shared = _share(spark, items)
         matches = map_slices(docs, _matcher(shared, least, coverage), MATCHES)
+        if blocks > 1:
+            matches = written(matches, "matches")
+            shared.unpersist()
         found = matches if found is None else found.unionByName(matches)
     return found
 
@@ -199,16 +217,21 @@ def _benchmark(shared, least: int) -> Benchmark:
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns.
 
-    A flag is worked out where the document is; nothing is joined or shuffled.
-    Documents with a NULL or empty text stay, repeated ones too.
+    A flag is worked out where the document is; nothing is joined or shuffled. Of several blocks
+    of items each is released when what it leaves is stored. Documents with a NULL or empty
+    text stay, repeated ones too.
     """
     least, coverage = options.get("least", LEAST_MATCH), options.get("coverage", COVERAGE)
     spark, names = docs.sparkSession, docs.columns
     kept = docs.toDF(*[f"c{i}" for i in range(len(names))])
     text = f"c{names.index('text')}"
-    for items in _blocks(benchmark, options.get("block_words", BLOCK_WORDS)):
+    blocks, parts = _blocks(benchmark, options.get("block_words", BLOCK_WORDS))
+    for items in parts:
         shared = _share(spark, items)
         kept = kept.where(~_holds(shared, least, coverage)(F.col(text)))
+        if blocks > 1:
+            kept = written(kept, "clean")
+            shared.unpersist()
     return kept.toDF(*names)
 
 

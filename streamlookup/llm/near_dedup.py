@@ -147,7 +147,7 @@ def _set(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint64)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, with_key: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, with_first: bool = False) -> DataFrame:
     """Components of documents linked by 100 * common >= ``percent`` * all shingles.
 
     ``docs`` has ``doc_id`` and ``text``; other columns are not read. Returns per row
@@ -156,27 +156,32 @@ def near_duplicates(docs: DataFrame, percent: int = 80, with_key: bool = False)
     NULL, empty or without words is linked with nothing. Rows with the same ``doc_id``
     are all kept or all not, each in the component of its text; a NULL ``doc_id`` counts
     as larger than any, and such a row is kept only if its component has no other id.
-    An empty table gives no row. ``with_key`` adds ``text_key``, xxhash64 of the text.
+    An empty table gives no row. ``with_first`` adds ``text_key``, xxhash64 of the text, and
+    ``first``, the id and text key of the component's first document (NULL for texts without words).
     """
     threshold = percent / 100
     signed = written(signatures(docs, threshold), "signatures")
+    # Ids before rows without one.
+    first = [F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")] if with_first else []
     classes = signed.where(F.col("class").isNotNull()).groupBy("class").agg(
         F.min(F.struct("doc_id", "text_key", "n_shingles", "bands", "sketch")).alias("s"),
         F.min("doc_id").alias("least_id"),
+        *first,
     )
-    classes = written(classes.select("class", "least_id", "s.*"), "classes")
+    added = ["first"] if with_first else []
+    classes = written(classes.select("class", "least_id", *added, "s.*"), "classes")
     roots = _roots(docs, classes, percent)
 
     in_component = classes.join(roots, F.col("class") == F.col("node"), "left")
     root = F.coalesce("root", "class")
-    ids = in_component.select("class", root.alias("root"), "least_id")
-    least = ids.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    components = ids.join(least, "root").select("class", "component_id")
-    key = ["text_key"] if with_key else []
+    ids = in_component.select("class", root.alias("root"), "least_id", *added)
+    least = ids.groupBy("root").agg(F.min("least_id").alias("component_id"), *[F.min(c).alias(c) for c in added])
+    components = ids.drop(*added).join(least, "root").select("class", "component_id", *added)
+    key = ["text_key"] if with_first else []
     found = signed.select("doc_id", *key, "n_shingles", "class").join(components, "class", "left")
     # Texts without words have no class, and are a component each.
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    found = found.select("doc_id", *key, "n_shingles", component.alias("component_id"))
+    found = found.select("doc_id", *key, *added, "n_shingles", component.alias("component_id"))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -375,18 +380,33 @@ def _joining(sets: list[np.ndarray], root: list[int], percent: int) -> Iterator[
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The documents that ``near_duplicates`` keeps, with all their columns.
+    """One document of each component of ``near_duplicates``, with all its columns.
 
-    Of each component the one with the smallest ``doc_id`` stays; rows that repeat
-    it with the same text stay with it. Only those that go are joined, by id and
-    text: as a broadcast if they are few enough, else by a shuffle.
+    The one with the smallest ``doc_id`` stays (a NULL comes last; of several texts with that id the one
+    with the smaller hash), and of rows that repeat its id and text one. Texts without words are in no
+    component and all stay. Only those that go are joined, by id and text: as a broadcast if
+    they are few enough, else by a shuffle. Rows of an id and text that come several times are shuffled, the rest are not.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
     doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
-    found = near_duplicates(docs, percent, with_key=True)
-    gone = written(found.where(~F.col("kept")).select("doc_id", "text_key"), "near-duplicates")
-    if fits(gone):
-        gone = F.broadcast(gone)
-    same = doc_id.eqNullSafe(gone["doc_id"]) & (F.xxhash64(text) == gone["text_key"])
-    return plain.join(gone, same, "left_anti").toDF(*docs.columns)
+    found = near_duplicates(docs, percent, with_first=True).where(F.col("first").isNotNull())
+    chosen = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    rows = written(found.groupBy("doc_id", "text_key", chosen.alias("chosen")).count(), "near-duplicates")
+
+    def same(others: DataFrame):
+        return doc_id.eqNullSafe(others["doc_id"]) & (F.xxhash64(text) == others["text_key"])
+
+    def ids(which) -> DataFrame:
+        found = rows.where(which).select("doc_id", "text_key")
+        return F.broadcast(found) if fits(found) else found
+
+    gone = ids(~F.col("chosen"))
+    kept = plain.join(gone, same(gone), "left_anti")
+    several = F.col("chosen") & (F.col("count") > 1)
+    if not rows.where(several).isEmpty():
+        again = ids(several)
+        once = kept.join(again, same(again), "left_semi").withColumn("_key", F.xxhash64(text))
+        once = once.dropDuplicates([names[docs.columns.index("doc_id")], "_key"]).drop("_key")
+        kept = kept.join(again, same(again), "left_anti").unionByName(once)
+    return kept.toDF(*docs.columns)

@@ -26,7 +26,7 @@ CAPACITY = 4096
 # Consecutive rows of a stored file that are ranked together; bounds a sort.
 BLOCK_ROWS = 50_000
 
-# Slots that one row of the plan stands for; bounds what one row expands to.
+# Slots of a run that are written out together; bounds what one row expands to.
 SLOT_RUN = 10_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -108,17 +108,13 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, bl
     counts = written(stored.groupBy(*block).count(), "counts")
     histogram = counts.groupBy("_length").agg(F.sum("count").alias("n")).collect()
     rows = plan({r["_length"]: r["n"] for r in histogram if r["_length"]}, capacity)
-    rows = [
-        (size, rank + i, min(SLOT_RUN, count - i), first + i, offset)
-        for size, rank, count, first, offset in rows
-        for i in range(0, count, SLOT_RUN)
-    ]
     names = ["_length", "_rank", "_count", "sequence_id", "offset"]
     planned = spark.createDataFrame(pd.DataFrame(rows, columns=names, dtype="int64"), ", ".join(f"{n} long" for n in names))
-    slots = planned.repartition("sequence_id", "offset").select(
-        "_length", "offset", "_rank", "sequence_id", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)).alias("_i")
-    )
-    slots = slots.select(
+    # Long runs are cut first, so that many tasks write out their slots.
+    cut = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_count") - 1, F.lit(SLOT_RUN).cast("long")))
+    slots = planned.withColumn("_from", cut).repartition("sequence_id", "offset", "_from")
+    last = F.least(F.col("_from") + SLOT_RUN, "_count") - 1
+    slots = slots.withColumn("_i", F.explode(F.sequence("_from", last))).select(
         "_length", (F.col("_rank") + F.col("_i")).alias("_rank"), (F.col("sequence_id") + F.col("_i")).alias("sequence_id"), "offset"
     )
     before = Window.partitionBy("_length").orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)

@@ -48,7 +48,9 @@ _FIRST_LINE = 40
 _ESCAPE = re.compile(r"\\+[rn]")
 _ARMOUR = re.compile(r"-----(?:BEGIN|END)[A-Z0-9 ]*-----")
 _HEX_BYTES = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
-_SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+# Tokens, from every dotted part on, as other parts may stand before the header. A brace and a
+# quote, blank or line end begin with these letters in base64.
+_SIGNED = re.compile(r"e(?<![A-Za-z0-9_-]e)(?=([yw][A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*))")
 
 _INTEGER, _OCTETS, _OID, _SEQUENCE = 0x02, 0x04, 0x06, 0x30
 _MAX_DEPTH = 16
@@ -255,9 +257,11 @@ def confirmed_spans(text: str) -> Iterator[Span]:
         if kind := key_kind(bytes.fromhex(m[0])):
             yield m.start(), m.end(), kind
     if "." in text:
+        done = 0
         for m in _SIGNED.finditer(text):
-            if _signed(m[0]):
-                yield m.start(), m.end(), "signed_token"
+            if m.start() >= done and _signed(m[0] + m[1]):
+                done = m.end(1)
+                yield m.start(), done, "signed_token"
 
 
 def find_secrets(text: str | None) -> list[Span]:

@@ -25,12 +25,15 @@ def hashes_of(words: list) -> np.ndarray:
     return np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
 
 
-_WORD = re.compile(r"\w+")
+# Scripts that put no blanks between words (Thai, Lao, Tibetan, Burmese,
+# Khmer, kana, Han); each of their letters counts as a word.
+_UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[^\W{_UNSPACED}]+|(?=\w)[{_UNSPACED}]")
 
 
 def plain_words(text: str | None) -> list[str]:
     """Letters and digits only, in lower case: what a copy keeps though its
-    punctuation or line ends differ."""
+    punctuation or line ends differ. Scripts without blanks go letter by letter."""
     return _WORD.findall((text or "").lower())
 
 

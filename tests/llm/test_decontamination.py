@@ -51,8 +51,9 @@ def plain_matches(docs, items, least, coverage):
     for doc_id, text in docs:
         for item_id, item in items:
             words = plain_words(item)
-            if len(words) < least:
+            if not words:
                 continue
+            least = min(dc.LEAST_MATCH, len(words))
             ids = {w: i for i, w in enumerate(set(words))}
             runs = {tuple(words[i : i + least]) for i in range(len(words) - least + 1)}
             doc = plain_words(text)
@@ -99,10 +100,28 @@ def test_odd_documents_and_items(spark, odd_docs):
              (2, None), (3, ""), (4, "one two"), (5, "the line ends here word after word goes")]
     benchmark = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, doc_id string")
     found = dc.benchmark_matches(docs, benchmark).collect()
-    assert sorted((r.doc_id, r.item_id or 0) for r in found) == [(1, 0), (1, 0), (1, 1), (1, 1), (1, 1), (1, 1), (5, 5)]
+    # The item of two words occurs whole in both of its documents.
+    assert sorted((r.doc_id, r.item_id or 0) for r in found) == [(1, 0), (1, 0), (1, 1), (1, 1), (1, 1), (1, 1), (5, 5), (7, 4), (8, 4)]
     kept = dc.without_benchmark(docs, benchmark)
     assert kept.schema == docs.schema
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 2, 3, 4, 6, 7, 8, 9]
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 2, 3, 4, 6, 9]
+
+
+def test_scripts_without_blanks(spark):
+    item = "\u4e2d\u56fd\u7684\u9996\u90fd\u662f\u54ea\u4e2a\u57ce\u5e02\uff0c\u5b83\u6709\u591a\u5c11\u4eba\u53e3\uff1f\u7b54\u6848\uff1a\u5317\u4eac\u3002"
+    assert len(plain_words(item)) == 20 and plain_words("abc\u0e01\u0e34d1 \u30ab\u30ca") == ["abc", "\u0e01", "d1", "\u30ab", "\u30ca"]
+    docs = [(1, item), (2, "before " + item[14:] + "x " + item[:14] + " after"), (3, item[::-1]), (4, item[:9])]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(r.doc_id for r in dc.benchmark_matches(*frames).collect()) == [1, 2]
+    assert sorted(r.doc_id for r in dc.without_benchmark(*frames).collect()) == [3, 4]
+
+
+def test_short_items_match_whole(spark):
+    docs = [(1, "He said: Open, Sesame! and went."), (2, "open the door, sesame"), (3, "xopen sesame"), (4, None)]
+    items = [(1, "open sesame"), (2, "went"), (3, "."), (4, "one two three four five six")]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = dc.benchmark_matches(*frames).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_tiles, r.coverage) for r in found) == [(1, 1, 1, 1.0), (1, 2, 1, 1.0)]
 
 
 def test_nothing_to_match(spark, no_docs, odd_docs):

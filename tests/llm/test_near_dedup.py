@@ -163,8 +163,29 @@ def test_one_of_each_stays(odd_docs):
     docs, rows = odd_docs
     kept = nd.keep_one_of_each(docs)
     assert kept.schema == docs.schema
-    # 8 is a copy of 7; the repeated rows of 1 stay together.
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 1, 2, 3, 4, 5, 6, 7, 9]
+    # 8 is a copy of 7; of the repeated rows of 1 one stays.
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 2, 3, 4, 5, 6, 7, 9]
+
+
+def test_one_of_repeated_rows_stays(spark):
+    text = "one and the same text of more than five words"
+    near = "w " + " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (1, text), (1, text), (2, text), (None, "a text that nobody gave an id to"),
+            (None, "a text that nobody gave an id to"), (None, near), (None, near + " x"), (5, near + " y"),
+            (7, "same id but another text, also of some length"), (7, "same id but another text, also of some length indeed it is"),
+            (8, ""), (8, ""), (9, None), (9, None)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, row long")
+    kept = sorted((r.doc_id or 0, r.text or "") for r in nd.keep_one_of_each(docs).collect())
+    # Texts without words are in no group; the two texts of 7 are not alike enough.
+    assert kept == sorted([(1, text), (0, rows[4][1]), (5, near + " y"), (7, rows[9][1]), (7, rows[10][1]), (8, ""), (8, ""), (9, ""), (9, "")])
+
+
+def test_of_a_group_without_ids_one_stays(spark):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(None, " ".join(words[:n])) for n in (198, 199, 200)] + [(3, " ".join(words) + " a"), (3, " ".join(words) + " b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.doc_id for r in nd.keep_one_of_each(docs).collect()] == [3]
+    assert nd.keep_one_of_each(docs.where("doc_id IS NULL")).count() == 1
 
 
 def test_components(spark):

@@ -98,6 +98,19 @@ def test_signed_tokens():
         assert not [x for x in s.find_secrets(token(header)) if x[2] == "signed_token"]
 
 
+@pytest.mark.parametrize("before", ["service_account.", "my-cookie.session.", "v1.0.", "a.b.c.d.", "eyJhIjoxfQ.", "eeeeeeeee.eyJhbGci."])
+@pytest.mark.parametrize("header", [b'{"alg":"HS256"}', b'{ "alg": "none"}', b'{\n "alg":"RS256"}', b'{\t"alg":"RS256"}'])
+def test_signed_tokens_behind_dots(before, header):
+    good = token(header)
+    spans = [x for x in s.find_secrets(f"{before}{good}, then {before}{good}") if x[2] == "signed_token"]
+    first = (len(before), len(before) + len(good), "signed_token")
+    again = len(before + good) + 7 + len(before)
+    assert spans == [first, (again, again + len(good), "signed_token")]
+    assert good not in s.redact(before + good, [first])
+    # A token inside a longer word is none.
+    assert not [x for x in s.find_secrets("x" + good) if x[2] == "signed_token"]
+
+
 def plain_spans(text):
     """The patterns by their definition: all matches, then the short ones dropped."""
     found = []
