@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlookup.functions.messages import quoted, reject_duplicates
+from streamlookup.operators.batching import group_values_bounded
+from streamlookup.operators.bloom import bloom_filter, prune
 from streamlookup.operators.grouping import group_values
 from streamlookup.operators.sizing import BROADCAST_LIMIT, fits
 from streamlookup.sources.shared import written
@@ -54,6 +56,7 @@ def lookup_join(
     broadcast_limit: int = BROADCAST_LIMIT,
     chunks: int = 1,
     deal: Column | None = None,
+    list_size: int | None = None,
 ) -> DataFrame:
     """Join events with the rows of ``dim`` whose ``dim_key`` equals ``key``.
 
@@ -62,7 +65,8 @@ def lookup_join(
     for a miss; the event appears once per ``chunk`` (a column) of its key's rows, of
     which there are ``chunks`` at most, dealt by ``deal`` as in
     :func:`~streamlookup.operators.grouping.group_values`: give more than one where a
-    key's rows are too many for a list. ``left`` needs no list. ``project`` picks the
+    key's rows are too many for a list. With ``list_size`` no list is longer than that, and a key has as many
+    chunks as it needs. ``left`` needs no list. ``project`` picks the
     output from event columns and ``into``. Hand in only the columns of ``dim`` that
     are needed: its size decides how it is joined.
     """
@@ -88,13 +92,17 @@ def lookup_join(
     same_key = F.col(_KEY) == F.col(_DIM_KEY)
     extra = []
     if matches == "collect":
+        if list_size is not None and (deal is not None or chunks != 1):
+            raise ValueError("give either the length of lists, or how rows are dealt into chunks")
         if deal is not None:
             # The caller's names, next to the ones used here.
             side = side.select("*", *[F.col(field).alias(name) for field, name in names.items()])
             side = side.withColumn(_DEAL, deal).drop(*names.values())
-        lists = group_values(
-            side, [_DIM_KEY], [c for c in side.columns if c != _DIM_KEY], _LIST, chunks, deal if deal is None else F.col(_DEAL)
-        )
+        listed = [c for c in side.columns if c != _DIM_KEY]
+        if list_size is not None:
+            lists = group_values_bounded(side, [_DIM_KEY], listed, _LIST, list_size)
+        else:
+            lists = group_values(side, [_DIM_KEY], listed, _LIST, chunks, deal if deal is None else F.col(_DEAL))
         if hint != "broadcast":
             # A shuffle of its own, so that an event's hot key can be split here too.
             lists = lists.hint("rebalance")
@@ -181,7 +189,9 @@ def referenced_rows(
     """The rows of a lookup table whose key occurs in the events.
 
     Few keys become an IN list that the table's source evaluates; more of them
-    a semi-join, with the keys broadcast if they are within the limit. The table
+    a semi-join, with the keys broadcast if they are within the limit. With still more keys the
+    table's rows first pass a Bloom filter of them, within the same limit, so that
+    hardly any but those that match are shuffled. The table
     is read once: the rows found are written down for whatever uses them.
     """
     if events.isStreaming:
@@ -197,8 +207,17 @@ def _with_keys(dim: DataFrame, dim_key: Column, keys: DataFrame, broadcast_limit
     if len(few) <= IN_LIST_LIMIT:
         return dim.where(dim_key.isin(few))
     if fits(keys, broadcast_limit):
-        keys = F.broadcast(keys)
-    return dim.join(keys, dim_key == F.col(_KEY), "left_semi")
+        return dim.join(F.broadcast(keys), dim_key == F.col(_KEY), "left_semi")
+    return rows_with_keys(dim, dim_key, keys, F.col(_KEY), broadcast_limit)
+
+
+def rows_with_keys(dim: DataFrame, dim_key: Column, keys: DataFrame, key: Column, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """The rows of a huge table whose key is among very many distinct ones: pruned by a Bloom filter of
+    at most ``limit`` bytes where the table is read, then by a semi-join. Both have to have the same type."""
+    bloom = bloom_filter(keys, key, keys.count(), limit)
+    if bloom is not None:
+        dim = prune(dim, dim_key, bloom)
+    return dim.join(keys.hint("merge"), dim_key == key, "left_semi")
 
 
 def lookup_by_fetch(
@@ -210,6 +229,7 @@ def lookup_by_fetch(
     matches: str = "inner",
     batch_size: int = 1_000,
     tasks: int | None = None,
+    ordered: bool = False,
     **options,
 ) -> DataFrame:
     """Lookup join against a store that is asked by key instead of read.
@@ -217,11 +237,14 @@ def lookup_by_fetch(
     ``fetch`` gets a list of up to ``batch_size`` distinct keys and returns
     their rows. It runs in the executors, ``tasks`` at a time at most; the events
     themselves never pass through Python. What it returned is written down, so
-    no key is asked for twice.
+    no key is asked for twice. With ``ordered`` a list has neighbouring keys, for stores that
+    are sorted by key.
     """
     keys = events.select((quoted(key) if isinstance(key, str) else key).alias(_KEY))
     keys = keys.where(F.col(_KEY).isNotNull()).distinct()
-    if tasks is not None:
+    if ordered:
+        keys = keys.repartitionByRange(*([] if tasks is None else [tasks]), _KEY).sortWithinPartitions(_KEY)
+    elif tasks is not None:
         keys = keys.repartition(tasks, _KEY)
 
     def full_batches(frames: Iterator[pd.DataFrame]) -> Iterator[list]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta, timezone
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlookup.functions.eventtime import (
@@ -28,20 +28,26 @@ from streamlookup.functions.messages import (
     row_map,
 )
 from streamlookup.functions.urls import invalid_urls, url_host
-from streamlookup.operators.grouping import cogroup, cogroup_aggregate, group_values
+from streamlookup.operators.batching import chunks_for, cogroup_bounded, group_values_bounded, key_batches
+from streamlookup.operators.grouping import cogroup, cogroup_aggregate, group_values, tagged_union
 from streamlookup.operators.hooks import flat_map_batches, flat_map_elements, map_elements
 from streamlookup.operators.latest import latest_per_key
-from streamlookup.operators.lookup import lookup_join, referenced_rows
+from streamlookup.operators.lookup import lookup_by_fetch, lookup_join, referenced_rows, rows_with_keys
 from streamlookup.plans.flows import lookup_compose, lookup_natural_key, lookup_only
 from streamlookup.plans.tables import affiliates, events, page_messages, table
 from streamlookup.sources.dimensions import dim_rows, read_dim, write_dim
+from streamlookup.sources.keyed_files import KeyedFiles, write_keyed
 from streamlookup.sources.messages import read_messages, write_messages
-from streamlookup.sources.shared import work_folder
+from streamlookup.sources.shared import work_folder, written
+from streamlookup.sources.versions import read_table, replace_table
 
 WINDOW = "5 minutes"
 DAY = datetime(2024, 1, 15, tzinfo=timezone.utc)
 CUSTOMER = ["c_custkey", "c_name", "c_mktsegment"]
 
+# Values of a list, about, where a query counts the largest group first to know how many lists it needs.
+LIST_ROWS = 1_000
+
 
 def cents(column: str):
     """Money as whole cents: sums do not depend on the order of the rows."""
@@ -105,6 +111,24 @@ def distinct_key_lookup_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("o_orderkey", "match.*")
 
 
+def distinct_key_lookup_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders of customers of two segments, found by a Bloom filter of their keys and a semi-join."""
+    wanted = table(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
+    keys = written(wanted.select("c_custkey").distinct(), "wanted")
+    dim = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return rows_with_keys(dim, F.col("o_custkey"), keys, F.col("c_custkey"))
+
+
+def fetch_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's customer, fetched by key from files sorted by it: one fetch for neighbouring keys."""
+    folder = work_folder(spark, "customers")
+    write_keyed(table(spark, sf_dir, "customer").select(*CUSTOMER), folder, "c_custkey", 16 * 1024)
+    fetch = KeyedFiles(folder, "c_custkey", CUSTOMER)
+    schema = "c_custkey bigint, c_name string, c_mktsegment string"
+    found = lookup_by_fetch(events(spark, sf_dir), "user_id", fetch, schema, "c_custkey", "exactly_one", ordered=True)
+    return found.select("event_id", "user_id", "match.*")
+
+
 def lookup_many(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
     dim = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     found = lookup_join(events(spark, sf_dir), dim, "user_id", "o_custkey", strategy=strategy)
@@ -140,16 +164,25 @@ def lookup_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_collect_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists of matches in three chunks per key."""
+    """Lists of matches dealt by the order into chunks of about five per key."""
     dim = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    chunks = chunks_for(dim, ["o_custkey"], 5)
     found = lookup_join(
-        events(spark, sf_dir), dim, "user_id", "o_custkey", "collect", into="matches", chunks=3, deal=F.col("o_orderkey")
+        events(spark, sf_dir), dim, "user_id", "o_custkey", "collect", into="matches", chunks=chunks, deal=F.col("o_orderkey")
     )
     return found.select("event_id", "chunk", F.explode("matches").alias("m"), F.size("matches").cast("bigint").alias("n_matches")).select(
         "event_id", "chunk", "n_matches", "m.o_orderkey"
     )
 
 
+def lookup_collect_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All matches of every event out of lists of five at most."""
+    dim = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    found = lookup_join(events(spark, sf_dir), dim, "user_id", "o_custkey", "collect", into="matches", list_size=5)
+    rows = found.select("event_id", (F.size("matches") <= 5).alias("bounded"), F.explode_outer("matches").alias("m"))
+    return rows.select("event_id", F.col("m.o_orderkey").alias("order_key"), "bounded")
+
+
 def lookup_hooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The caller's own key expression on both sides, and the caller's projection."""
     dim = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -201,6 +234,18 @@ def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("event_id", "user_id", "match.s_suppkey", "match.s_name")
 
 
+def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookups in a table that is replaced in between: who began before goes on with the old rows."""
+    folder = work_folder(spark, "suppliers")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    replace_table(suppliers, folder)
+    old = lookup_join(events(spark, sf_dir), read_table(spark, folder), "user_id", "s_suppkey")
+    replace_table(suppliers.where("s_suppkey % 2 = 0").withColumn("s_name", F.upper("s_name")), folder)
+    new = lookup_join(events(spark, sf_dir), read_table(spark, folder), "user_id", "s_suppkey")
+    both = old.withColumn("version", F.lit(0)).unionByName(new.withColumn("version", F.lit(1)))
+    return both.select("version", "event_id", "match.s_name")
+
+
 # The flows
 
 
@@ -355,9 +400,10 @@ def window_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The values of a user and day, in four parts: a row per value."""
+    """The values of a user and day, out of as many lists as the largest group needs: a row per value."""
     windowed = with_window(events(spark, sf_dir), "ts", "1 day").select("window", "user_id", "event_id")
-    grouped = group_values(windowed, ["window", "user_id"], chunks=4)
+    key = ["window", "user_id"]
+    grouped = group_values(windowed, key, chunks=chunks_for(windowed, key, LIST_ROWS))
     return grouped.select(
         F.unix_millis("window.start").alias("window_start"), "user_id", F.explode("values").alias("v")
     ).select("window_start", "user_id", "v.event_id")
@@ -367,8 +413,9 @@ def window_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every value with its key, out of lists in eight parts."""
-    grouped = group_values(events(spark, sf_dir), ["user_id"], ["event_id"], chunks=8)
+    """Every value with its key, out of as many lists as the largest group needs."""
+    rows = events(spark, sf_dir).select("user_id", "event_id")
+    grouped = group_values(rows, ["user_id"], chunks=chunks_for(rows, ["user_id"], LIST_ROWS))
     return grouped.select("user_id", F.explode("values").alias("v")).select("user_id", "v.event_id")
 
 
@@ -378,13 +425,36 @@ def group_by_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_by_key_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists dealt by the value into three chunks, and how long each is."""
-    grouped = group_values(events(spark, sf_dir), ["user_id"], ["event_id"], chunks=3, deal=F.col("event_id"))
+    """Lists dealt by the value into chunks of about 40, and how long each is."""
+    rows = events(spark, sf_dir).select("user_id", "event_id")
+    grouped = group_values(rows, ["user_id"], chunks=chunks_for(rows, ["user_id"], 40), deal=F.col("event_id"))
     return grouped.select(
         "user_id", "chunk", F.size("values").cast("bigint").alias("n_values"), id_list("values", "event_id").alias("event_ids")
     )
 
 
+def group_by_key_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value with its key out of lists of 100 at most, and whether its list keeps to that."""
+    grouped = group_values_bounded(events(spark, sf_dir), ["event_type"], ["event_id"], size=100)
+    rows = grouped.select("event_type", (F.size("values") <= 100).alias("bounded"), F.explode("values").alias("v"))
+    return rows.select("event_type", "v.event_id", "bounded")
+
+
+def key_batches_of_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of a type in batches of 500: how large each batch is."""
+    batched = key_batches(events(spark, sf_dir).select("event_type", "event_id"), ["event_type"], 500)
+    return batched.groupBy("event_type", "batch").agg(
+        F.count(F.lit(1)).alias("n_events"), F.count_distinct("event_id").alias("n_ids")
+    )
+
+
+def key_batches_of_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event once, whichever batch of its user it is in, and that batch's size as a client is to be asked with."""
+    batched = key_batches(events(spark, sf_dir).select("user_id", "event_id"), ["user_id"], 10)
+    size = batched.groupBy("user_id", "batch").agg(F.collect_list("event_id").alias("ids"))
+    return size.select("user_id", F.explode("ids").alias("event_id"), (F.size("ids") <= 10).alias("bounded"))
+
+
 def _both_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     left = events(spark, sf_dir).select(F.col("user_id").alias("key"), "event_id", "value")
     right = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), "o_orderkey", "o_totalprice")
@@ -392,14 +462,28 @@ def _both_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 def cogroup_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every value of either side with its key, out of lists in eight parts."""
+    """Every value of either side with its key, out of as many lists as the largest group needs."""
     left, right = _both_sides(spark, sf_dir)
-    both = cogroup(left.select("key", "event_id"), right.select("key", "o_orderkey"), ["key"], chunks=8)
+    left, right = left.select("key", "event_id"), right.select("key", "o_orderkey")
+    chunks = chunks_for(tagged_union(left, right, ["key"]), ["key"], LIST_ROWS)
+    return _listed(cogroup(left, right, ["key"], chunks=chunks)).select("key", "v.side", "v.id")
+
+
+def _listed(both: DataFrame, *columns: Column) -> DataFrame:
+    """The values of both lists, a row each."""
     sides = F.concat(
         F.transform("left", lambda v: F.struct(F.lit("event").alias("side"), v["event_id"].alias("id"))),
         F.transform("right", lambda v: F.struct(F.lit("order").alias("side"), v["o_orderkey"].alias("id"))),
     )
-    return both.select("key", F.explode(sides).alias("v")).select("key", "v.side", "v.id")
+    return both.select("key", *columns, F.explode(sides).alias("v"))
+
+
+def cogroup_lists_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``cogroup_lists``, out of chunks with 20 values of both sides at most."""
+    left, right = _both_sides(spark, sf_dir)
+    both = cogroup_bounded(left.select("key", "event_id"), right.select("key", "o_orderkey"), ["key"], size=20)
+    bounded = (F.size("left") + F.size("right") <= 20).alias("bounded")
+    return _listed(both, bounded).select("key", "v.side", "v.id", "bounded")
 
 
 def cogroup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -480,14 +564,16 @@ BATCH_QUERIES = {
     fn.__name__: fn
     for fn in (
         host_extract, host_strict, host_or_null, dead_letters,
-        lookup_inner, lookup_inner_merge, distinct_key_lookup, distinct_key_lookup_many, lookup_many, lookup_many_merge,
+        lookup_inner, lookup_inner_merge, distinct_key_lookup, distinct_key_lookup_many,
+        distinct_key_lookup_bloom, fetch_lookup, replaced_table, lookup_many, lookup_many_merge,
         lookup_exactly_one, lookup_exactly_one_merge, lookup_collect, lookup_match_counts,
-        lookup_collect_chunked,
+        lookup_collect_chunked, lookup_collect_bounded,
         lookup_hooks, lookup_parameter, parameter_filter, memory_table, table_round_trip,
         lookup_url, compose_url, natural_key_url, compose_window, natural_key_latest, enrich_window, enrich_global,
         row_as_map, row_as_json, merged_json, merged_map, json_parse, typed_access, random_key,
         event_time_millis, window_assign, window_address, window_results, window_group, window_values,
-        group_by_key, group_by_key_counts, group_by_key_chunked, cogroup_lists, cogroup_counts, latest_event, latest_event_in_window,
+        group_by_key, group_by_key_counts, group_by_key_chunked, group_by_key_bounded,
+        key_batches_of_type, key_batches_of_user, cogroup_lists, cogroup_lists_bounded, cogroup_counts, latest_event, latest_event_in_window,
         element_map, element_map_pandas, element_flat_map, batch_flat_map, message_round_trip,
     )
 }

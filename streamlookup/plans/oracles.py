@@ -74,9 +74,22 @@ ORACLE_SQL = {
         SELECT event_id, count(o_orderkey) AS n_matches
         FROM events LEFT JOIN orders ON user_id = o_custkey GROUP BY event_id""",
     "lookup_collect_chunked": """
-        SELECT event_id, (o_orderkey % 3)::INT AS chunk,
-            count(*) OVER (PARTITION BY event_id, o_orderkey % 3) AS n_matches, o_orderkey
-        FROM events JOIN orders ON user_id = o_custkey""",
+        WITH chunks AS (
+            SELECT (max(n) + 4) // 5 AS c FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey))
+        SELECT event_id, (o_orderkey % c)::INT AS chunk,
+            count(*) OVER (PARTITION BY event_id, o_orderkey % c) AS n_matches, o_orderkey
+        FROM events JOIN orders ON user_id = o_custkey, chunks""",
+    "lookup_collect_bounded": """
+        SELECT event_id, o_orderkey AS order_key, true AS bounded
+        FROM events LEFT JOIN orders ON user_id = o_custkey""",
+    "distinct_key_lookup_bloom": """
+        SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+        WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))""",
+    "fetch_lookup": _LOOKUP_ONE,
+    "replaced_table": """
+        SELECT version, event_id, CASE version WHEN 0 THEN s_name ELSE upper(s_name) END AS s_name
+        FROM events JOIN supplier ON user_id = s_suppkey, (VALUES (0), (1)) v(version)
+        WHERE version = 0 OR s_suppkey % 2 = 0""",
     "distinct_key_lookup_many": """
         SELECT o_orderkey, c_custkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey""",
     "lookup_hooks": """
@@ -147,9 +160,20 @@ ORACLE_SQL = {
     "group_by_key": "SELECT user_id, event_id FROM events",
     "group_by_key_counts": "SELECT user_id, count(*) AS n_values FROM events GROUP BY user_id",
     "group_by_key_chunked": """
-        SELECT user_id, (event_id % 3)::INT AS chunk, count(*) AS n_values,
+        WITH chunks AS (
+            SELECT (max(n) + 39) // 40 AS c FROM (SELECT count(*) AS n FROM events GROUP BY user_id))
+        SELECT user_id, (event_id % c)::INT AS chunk, count(*) AS n_values,
             string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS event_ids
-        FROM events GROUP BY 1, 2""",
+        FROM events, chunks GROUP BY 1, 2""",
+    "group_by_key_bounded": "SELECT event_type, event_id, true AS bounded FROM events",
+    "key_batches_of_type": """
+        SELECT event_type, batch, least(500, n - 500 * batch) AS n_events, least(500, n - 500 * batch) AS n_ids
+        FROM (SELECT event_type, n, unnest(range((n + 499) // 500)) AS batch
+              FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type))""",
+    "key_batches_of_user": "SELECT user_id, event_id, true AS bounded FROM events",
+    "cogroup_lists_bounded": """
+        SELECT user_id AS key, 'event' AS side, event_id AS id, true AS bounded FROM events
+        UNION ALL SELECT o_custkey, 'order', o_orderkey, true FROM orders""",
     "cogroup_lists": """
         SELECT user_id AS key, 'event' AS side, event_id AS id FROM events
         UNION ALL SELECT o_custkey, 'order', o_orderkey FROM orders""",
@@ -173,6 +197,15 @@ ORACLE_SQL = {
         SELECT {_START_5MIN} AS window_start, count(*) AS n_events FROM events, mark
         WHERE event_id % 50 <> 7 OR time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' > mark
         GROUP BY 1""",
+    "stream_late_side": """
+        WITH mark AS (SELECT max(ts) - INTERVAL '10 minutes' AS mark FROM events WHERE event_id % 50 <> 7)
+        SELECT event_id, event_id % 50 = 7 AND time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' <= mark AS late
+        FROM events, mark""",
+    "stream_correlated": f"""
+        SELECT event_id, event_type, round(value * 100)::BIGINT AS cents, {_START_5MIN} AS window_start FROM events""",
+    "stream_latest": f"""
+        SELECT user_id, event_id, event_type, epoch_us(ts) // 1000 AS millis
+        FROM ({_LATEST.format(keys="user_id")})""",
     "latest_event": f"""
         SELECT user_id, event_id, event_type, epoch_us(ts) // 1000 AS millis
         FROM ({_LATEST.format(keys="user_id")})""",

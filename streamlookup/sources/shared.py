@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 # Folders of the tables written in the innermost `temporary` block.
@@ -16,13 +18,39 @@ _folders: ContextVar[list[str] | None] = ContextVar("folders", default=None)
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, among those of this application.
 
-    A session that names no such folder gets one in its warehouse, which is
-    shared as tables are.
+    A session that names no such folder gets one in its warehouse, which is shared as tables are; if that
+    is a folder of this machine, only a session whose executors run here may use it. The name has its
+    file system in it, so that Spark and whoever else opens it mean the same.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/work"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/work"
+        if qualified(spark, base).startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach: the warehouse is on this machine")
+    base = qualified(spark, base)
     return f"{base.rstrip('/')}/streamlookup/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme that Spark takes it for."""
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path):
+        return path
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = name.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.makeQualified(name).toString()
+
+
+def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder, for tasks that read or write its files themselves, and its path there.
+
+    Takes a URI of a file system that pyarrow knows (file, hdfs, s3 or s3a, gs, abfs), or a path of this machine.
+    """
+    uri = re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+", "file:///", uri))
+    if "://" not in uri:
+        return fs.LocalFileSystem(), uri
+    return fs.FileSystem.from_uri(uri)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The table, worked out once and read back from a work folder.
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import time
+from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,21 +25,38 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def ordered_files(df: DataFrame, by: str, files: int, folder: str) -> str:
-    """Write a table as files that a stream reads in the order of ``by``.
-
-    The file source goes by the time of a file's last change, which is set after
-    writing, file by file. Returns the folder.
+def time_ranges(df: DataFrame, by: str, parts: int) -> list[DataFrame]:
+    """A table in ``parts`` ranges of a time, ascending, of about as many rows each. Rows without a time come first."""
+    bounds = df.agg(F.percentile_approx(by, [i / parts for i in range(1, parts)], 10_000)).first()[0] if parts > 1 else []
+    kind = df.schema[by].dataType
+    edges = [F.lit(b).cast(kind) for b in sorted(set(bounds or []))]
+    above = [None, *edges]
+    below = [*edges, None]
+    return [
+        df.where(
+            (F.lit(True) if low is None else F.col(by) > low)
+            & (F.lit(True) if high is None else F.col(by) <= high)
+            | (F.col(by).isNull() if low is None else F.lit(False))
+        )
+        for low, high in zip(above, below)
+    ]
+
+
+def files_in_turn(parts: Iterable[DataFrame], folder: str, files: int = 1) -> str:
+    """Write tables one after the other, as ``files`` files each, into one folder, and return it.
+
+    A stream that reads ``files`` of them at a time sees one table per micro-batch, in this order: the file source
+    goes by the time at which a file was written, and a table is begun when the one before is
+    there. Where times are kept in whole seconds, a second passes in between. Empty tables are left out.
     """
-    spark = df.sparkSession
-    df.repartitionByRange(files, by).sortWithinPartitions(by).write.parquet(folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    parts = sorted((f.getPath() for f in store.listStatus(path)), key=lambda p: p.getName())
-    parts = [p for p in parts if p.getName().startswith("part-")]
-    newest = store.getFileStatus(path).getModificationTime()
-    for i, part in enumerate(parts):
-        store.setTimes(part, newest - 1000 * (len(parts) - i), -1)
+    for part in parts:
+        if part.isEmpty():
+            continue
+        part.repartition(files).write.mode("append").parquet(folder)
+        spark = part.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        time.sleep(0.01 if any(f.getModificationTime() % 1000 for f in found) else 1.1)
     return folder
 
 

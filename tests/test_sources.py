@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from streamlookup.sources.dimensions import jdbc_options, read_dim, read_jdbc, write_dim, write_jdbc
 from streamlookup.sources.messages import MESSAGE, message_rows, normalise, read_messages, write_messages
-from streamlookup.sources.shared import temporary, work_folder, written
+from streamlookup.sources.shared import open_folder, qualified, temporary, work_folder, written
 
 
 def test_broker_rows_become_messages(spark):
@@ -92,13 +92,32 @@ def test_database_table_is_loaded():
 def test_work_folders(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert work_folder(spark, "a") != work_folder(spark, "a")
-    assert work_folder(spark, "a").startswith(shared)
+    assert work_folder(spark, "a").startswith(f"file:{shared}")
+
+
+def test_work_folders_are_named_with_their_file_system(spark, tmp_path):
+    assert qualified(spark, str(tmp_path)) == f"file:{tmp_path}" and qualified(spark, "s3a://b/x") == "s3a://b/x"
+    files, path = open_folder(qualified(spark, str(tmp_path)))
+    assert files.type_name == "local" and path == str(tmp_path)
+    assert open_folder(str(tmp_path))[1] == str(tmp_path)
+
+
+def test_a_warehouse_on_this_machine_is_refused_on_a_cluster():
+    for warehouse, master, fine in (("file:/w", "local[2]", True), ("file:/w", "yarn", False), ("hdfs://w", "yarn", True)):
+        settings = {"spark.sql.warehouse.dir": warehouse}
+        conf = SimpleNamespace(get=lambda name, default=None: settings.get(name, default))
+        session = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="app", master=master), conf=conf)
+        if fine:
+            assert work_folder(session, "a").startswith(f"{warehouse}/work/streamlookup/app/a-")
+        else:
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                work_folder(session, "a")
 
 
 def test_work_folder_without_a_setting():
     settings = {"spark.sql.warehouse.dir": "hdfs://tables"}
     conf = SimpleNamespace(get=lambda name, default=None: settings.get(name, default))
-    session = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="app"), conf=conf)
+    session = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="app", master="yarn"), conf=conf)
     assert work_folder(session, "a").startswith("hdfs://tables/work/streamlookup/app/a-")
 
 

@@ -22,7 +22,14 @@ from streamlookup.plans.stream_queries import STREAM_QUERIES
 from streamlookup.sources.dimensions import dim_rows, read_dim, write_dim
 from streamlookup.streaming.batches import enrich_batches, to_folder
 from streamlookup.streaming.emission import hold_until_close
-from streamlookup.streaming.replay import ordered_files, replay, replay_windows, run_available, stream_table
+from streamlookup.streaming.replay import (
+    files_in_turn,
+    replay,
+    replay_windows,
+    run_available,
+    stream_table,
+    time_ranges,
+)
 
 MEDIUM = "http://www.medium.com"
 FIVE_MINUTES = timedelta(minutes=5)
@@ -77,16 +84,42 @@ def test_windows_longer_than_said_fail(spark, message_files, tmp_path):
 
 
 def test_files_are_replayed_in_order(spark, tmp_path):
+    """Several files to a micro-batch, an empty part left out, names that say nothing about the order."""
     rows = spark.range(100).select((99 - F.col("id")).alias("n"))
-    folder = ordered_files(rows, "n", 5, str(tmp_path / "rows"))
-    first: list[int] = []
+    parts = [*time_ranges(rows, "n", 5), rows.where("n < 0")]
+    assert [p.count() for p in parts] == [20, 20, 20, 20, 20, 0]
+    folder = files_in_turn(parts, str(tmp_path / "rows"), 2)
+    seen: list[list[int]] = []
 
     def look(batch, batch_id):
-        first.append(batch.agg(F.min("n")).first()[0])
+        seen.append(sorted(r["n"] for r in batch.collect()))
 
-    writer = stream_table(spark, folder, rows.schema, 1).writeStream.foreachBatch(look)
+    writer = stream_table(spark, folder, rows.schema, 2).writeStream.foreachBatch(look)
     writer.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
-    assert first == sorted(first) and len(first) == 5
+    assert seen == [list(range(i, i + 20)) for i in range(0, 100, 20)]
+
+
+def test_time_ranges_hold_every_row_once(spark):
+    rows = spark.sql("SELECT CASE WHEN id % 7 = 0 THEN NULL WHEN id < 60 THEN 5 ELSE id END AS t FROM range(100)")
+    parts = time_ranges(rows, "t", 4)
+    assert sorted(r["t"] or -1 for p in parts for r in p.collect()) == sorted(r["t"] or -1 for r in rows.collect())
+    assert all(r["t"] is None or r["t"] <= 5 for r in parts[0].collect())
+    empty = rows.where("t < 0")
+    assert sum(p.count() for p in time_ranges(empty, "t", 4)) == 0
+
+
+def test_larger_tables_are_more_files_and_batches(spark, monkeypatch):
+    monkeypatch.setattr(tables, "FILE_BYTES", 2_000)
+    monkeypatch.setattr(tables, "BATCH_BYTES", 4_000)
+    monkeypatch.setattr(tables, "_copies", {})
+    rows = tables.table(spark, "/root/testdata/sf0.001", "events")
+    size = tables.stored_bytes(rows)
+    events = tables.ordered_event_stream(spark, "/root/testdata/sf0.001")
+    (folder, files), = tables._copies.values()
+    stored = len([p for p in Path(folder.removeprefix("file:")).iterdir() if p.name.startswith("part-")])
+    assert size > 16_000 and files == 2 and stored == 2 * -(-size // 4_000)
+    # A second query of the session reads the same copy.
+    assert tables.ordered_event_stream(spark, "/root/testdata/sf0.001").schema == events.schema and len(tables._copies) == 1
 
 
 @pytest.mark.parametrize("query", ["stream_window_group", "stream_window_values", "stream_cogroup", "stream_latest_in_window", "stream_compose_on_close"])
@@ -129,7 +162,9 @@ def test_a_hot_key_of_held_events_is_split(spark, settings, monkeypatch, capsys,
         return queries[-1]
 
     monkeypatch.setattr(replay_module, "run_available", keeping)
-    monkeypatch.setattr(tables, "FILES_PER_BATCH", 8)
+    monkeypatch.setattr(tables, "LEAST_BATCHES", 1)
+    monkeypatch.setattr(tables, "FILE_BYTES", 300_000)
+    monkeypatch.setattr(tables, "_copies", {})
     found = STREAM_QUERIES["stream_compose_on_close"](spark, str(sf))
     assert found.count() == 60_000
     queries[-1].explain()

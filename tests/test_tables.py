@@ -1,0 +1,106 @@
+"""Tables sorted by key for point lookups, and tables that are replaced while they are read."""
+
+from __future__ import annotations
+
+import threading
+from datetime import date
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from streamlookup.operators.lookup import lookup_by_fetch, lookup_join
+from streamlookup.sources.keyed_files import KeyedFiles, read_keyed, write_keyed
+from streamlookup.sources.versions import read_table, remove_versions, replace_table, versions
+
+
+@pytest.fixture
+def keyed(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("cast(if(id = 7, null, 3 * id) AS bigint) AS key", "md5(cast(id AS string)) AS text", "id")
+    folder = str(tmp_path / "keyed")
+    write_keyed(rows, folder, "key", 32 * 1024, files=3)
+    return folder, rows
+
+
+def test_few_row_groups_are_read(spark, keyed, tmp_path):
+    folder, _ = keyed
+    total = sum(pq.ParquetFile(f).num_row_groups for f in (tmp_path / "keyed" / "rows").glob("part-*.parquet"))
+    fetch = KeyedFiles(folder, "key", ["key", "id"])
+    assert total >= 10 and len(fetch.row_groups([300, 303, 306])) == 1
+    assert len(fetch.row_groups(range(0, 60_000, 3))) == total
+    assert len(fetch.row_groups([0, 59_997])) == 2 and len(fetch.row_groups([10**9])) == 0
+    assert sorted(map(tuple, fetch([300, 301, 303]).values.tolist())) == [(300, 100), (303, 101)]
+    assert len(fetch([10**9])) == 0 and read_keyed(spark, folder).count() == 19_999
+
+
+def test_lookup_by_fetch_from_files(spark, keyed):
+    folder, rows = keyed
+    events = spark.range(0, 3_000).selectExpr("id AS e", "if(id % 5 = 0, null, id) AS wanted")
+    fetch = KeyedFiles(folder, "key", ["key", "text"])
+    found = lookup_by_fetch(events, "wanted", fetch, "key bigint, text string", "key", ordered=True, batch_size=50)
+    want = lookup_join(events, rows.select("key", "text"), "wanted", "key")
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and found.count() > 700
+
+
+@pytest.mark.parametrize("kind, keys", [("string", ["b", "a", "zz", "é"]), ("date", [date(2024, 1, d) for d in (3, 1, 2)]), ("double", [1.5, -2.0, 0.0])])
+def test_keys_of_other_types(spark, tmp_path, kind, keys):
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)] * 2, f"key {kind}, n int")
+    write_keyed(rows, str(tmp_path / "t"), "key")
+    found = KeyedFiles(str(tmp_path / "t"), "key", ["n"])([keys[0], keys[2]])
+    assert sorted(found["n"]) == [0, 0, 2, 2]
+
+
+def test_an_empty_keyed_table(spark, tmp_path):
+    write_keyed(spark.range(0).selectExpr("id AS key", "id AS n"), str(tmp_path / "t"), "key")
+    assert len(KeyedFiles(str(tmp_path / "t"), "key")([1, 2])) == 0
+
+
+def test_readers_keep_their_version(spark, tmp_path):
+    folder = str(tmp_path / "dim")
+    assert versions(spark, folder) == []
+    with pytest.raises(ValueError, match="no version"):
+        read_table(spark, folder)
+    assert replace_table(spark.range(10), folder) == 0
+    old = read_table(spark, folder)
+    assert replace_table(spark.range(100, 103), folder) == 1
+    assert old.count() == 10 and sorted(r["id"] for r in read_table(spark, folder).collect()) == [100, 101, 102]
+    assert read_table(spark, folder, 0).count() == 10
+    assert replace_table(spark.range(5).withColumn("more", F.lit(1)), folder) == 2
+    assert remove_versions(spark, folder, keep=1) == [0, 1] and versions(spark, folder) == [2]
+    assert read_table(spark, folder).columns == ["id", "more"]
+    with pytest.raises(ValueError, match="no version 0"):
+        read_table(spark, folder, 0)
+
+
+def test_a_failed_write_is_not_seen(spark, tmp_path):
+    folder = str(tmp_path / "dim")
+    replace_table(spark.range(3), folder)
+    with pytest.raises(Exception, match="broken"):
+        replace_table(spark.range(9).select(F.when(F.col("id") < 5, F.col("id")).otherwise(F.raise_error(F.lit("broken"))).alias("id")), folder)
+    assert versions(spark, folder) == [0] and read_table(spark, folder).count() == 3
+
+
+def test_lookups_while_the_table_is_replaced(spark, tmp_path):
+    """Every lookup sees the rows of one version, all of them."""
+    folder = str(tmp_path / "dim")
+
+    def version(n):
+        return spark.range(200).select("id", F.lit(n).alias("n"))
+
+    replace_table(version(0), folder)
+    done = threading.Event()
+
+    def replace():
+        for n in range(1, 6):
+            replace_table(version(n), folder)
+        done.set()
+
+    writer = threading.Thread(target=replace)
+    writer.start()
+    events, seen = spark.range(200).withColumnRenamed("id", "e"), []
+    while not done.is_set() or not seen:
+        rows = lookup_join(events, read_table(spark, folder), "e", "id").select("e", "match.n").collect()
+        assert len(rows) == 200 and len({r["n"] for r in rows}) == 1
+        seen.append(rows[0]["n"])
+    writer.join()
+    assert seen == sorted(seen) and versions(spark, folder) == list(range(6))
