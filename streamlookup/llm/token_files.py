@@ -27,9 +27,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from streamlookup.llm.sampling import is_among, place_of
-from streamlookup.llm.shared_files import open_folder
 from streamlookup.llm.word_ids import id_bytes, word_encoder
-from streamlookup.sources.shared import work_folder, written
+from streamlookup.sources.shared import open_folder, work_folder, written
 
 MAGIC = b"TOKENZ1\n"
 _HEAD = struct.Struct("<8sQI")
