@@ -25,19 +25,18 @@ def quality_rules() -> str:
             SELECT doc_id, count(DISTINCT word) AS n
             FROM (SELECT doc_id, unnest([place, place + 1, place + 2]) AS word FROM repeated) GROUP BY doc_id),
         counted AS (
-            SELECT doc_id, text, len(words) AS n_words, len(list_distinct(words)) AS n_distinct,
-                coalesce(c.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+            SELECT doc_id, text, words, lines, len(words) AS n_words, coalesce(c.n, 0) AS n_repeat_words,
                 len(lines) - len(list_distinct(lines)) AS n_dup_lines,
                 length(translate(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS word_chars,
                 length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols
             FROM split LEFT JOIN covered c USING (doc_id)),
         judged AS (
             SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
-        SELECT doc_id, n_words, n_distinct, n_repeat_words, n_lines, n_dup_lines, word_chars, n_symbols, base_failed,
+        SELECT doc_id, n_words, n_repeat_words, n_dup_lines, word_chars, n_symbols, base_failed,
             NOT (base_failed
                 OR 10 * n_symbols > 3 * n_words
-                OR 2 * n_dup_lines > n_lines
-                OR 10 * n_distinct < n_words
+                OR 2 * n_dup_lines > len(lines)
+                OR 10 * len(list_distinct(words)) < n_words
                 OR word_chars > 20 * n_words OR word_chars < 2 * n_words
                 OR 5 * (length(text) - length(translate(text, '!', ''))) > n_words
                 OR 2 * (length(text) - length(regexp_replace(text, '\p{Lu}+', '', 'g'))) > word_chars) AS kept

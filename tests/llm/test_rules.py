@@ -57,7 +57,8 @@ def test_metrics_and_verdicts(spark, sample):
     texts = TEXTS + [r["text"] for r in sample if len(r["text"]) < 6000]
     found = rows_of(spark, list(enumerate(texts)))
     for i, text in enumerate(texts):
-        assert {m: found[i][m] for m in quality_rules.METRICS} == plain_metrics(text), text
+        want = plain_metrics(text)
+        assert {m: found[i][m] for m in quality_rules.METRICS} == {m: want[m] for m in quality_rules.METRICS}, text
         assert (found[i].base_failed, found[i].kept) == plain_kept(text), text
         assert found[i].kept == (found[i].rejected_by is None)
 
@@ -84,6 +85,34 @@ def test_order_of_rules(spark):
     assert quality_rules.estimate(spark.range(0), rules)[0].rejected == 0
 
 
+def test_costly_rules_come_later(spark, sample):
+    """Of two rules that reject the same rows the one that works on the text comes second, whatever the order given."""
+    slow = F.col("text")
+    for _ in range(40):
+        slow = F.sha2(F.concat(slow, F.col("text")), 512)
+    rules = [
+        quality_rules.Rule("costly", (F.col("n_words") > 200) & (F.length(slow) > 0)),
+        quality_rules.Rule("cheap", F.col("n_words") > 200),
+        quality_rules.Rule("rare", F.col("n_words") > 10**9),
+    ]
+    docs = spark.createDataFrame([(r["doc_id"], r["text"] * 5) for r in sample], "doc_id long, text string")
+    measured = quality_rules.estimate(quality_rules.with_metrics(docs), rules)
+    costly, cheap, rare = measured
+    assert costly.seconds > cheap.seconds and costly.rejected == cheap.rejected > 0 == rare.rejected
+    assert [r.name for r in quality_rules.by_gain(rules, measured)] == ["cheap", "costly", "rare"]
+    found = quality_rules.judge_documents(docs, rules).groupBy("rejected_by").count().collect()
+    assert "costly" not in {r["rejected_by"] for r in found}
+
+
+def test_rules_have_their_own_metrics(spark):
+    """What only a rule needs is in no row's counts, and the sample does not hang on partitions."""
+    assert quality_rules.METRICS == ("n_words", "n_repeat_words", "n_dup_lines", "word_chars", "n_symbols")
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(9000)], "doc_id long, text string")
+    place = quality_rules.is_among(quality_rules.place_of("doc_id", "text"), quality_rules.SAMPLE_ROWS, 9000)
+    samples = [sorted(r.doc_id for r in d.where(place).collect()) for d in (docs, docs.repartition(7))]
+    assert samples[0] == samples[1] and 1500 < len(samples[0]) < 2500
+
+
 def test_later_rules_are_not_worked_out(spark):
     fails = quality_rules.Rule("boom", F.raise_error(F.lit("worked out")).cast("boolean"))
     rules = [quality_rules.Rule("first", F.col("id") >= 0), fails]
