@@ -7,6 +7,7 @@ licence: the first whose sentences occur in that order decides.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -69,11 +70,17 @@ NAMES = {
     "Apache-2.0": ("Apache License 2.0", "Apache License, Version 2.0"),
     "BSD-3-Clause": ("BSD 3-Clause License",),
     "BSD-2-Clause": ("BSD 2-Clause License",),
-    "MIT": ("MIT License",),
+    "MIT": ("MIT License", "MIT License (MIT)"),
     "ISC": ("ISC License",),
 }
 NOTICES = (
+    "{}",
+    "The {}",
     "Licensed under the {}",
+    "Also licensed under the {}",
+    "It is also licensed under the {}",
+    "Dual licensed under the {}",
+    "Dual-licensed under the {}",
     "Released under the {}",
     "This project is licensed under the {}",
     "This software is licensed under the {}",
@@ -82,8 +89,22 @@ NOTICES = (
     "This project is licensed under the {} - see the [LICENSE.md](LICENSE.md) file for details",
 )
 
-# Identifiers behind the sentence SPDX, and the licence they name. A '+' at
-# the end is not a word, so it is not read.
+# The first lines of whole licence texts, in their order.
+HEADS = (
+    ("AGPL-3.0", ("GNU Affero General Public License", "Version 3, 19 November 2007")),
+    ("LGPL-3.0", ("GNU Lesser General Public License", "Version 3, 29 June 2007")),
+    ("LGPL-2.1", ("GNU Lesser General Public License", "Version 2.1, February 1999")),
+    ("LGPL-2.0", ("GNU Library General Public License", "Version 2, June 1991")),
+    ("GPL-3.0", ("GNU General Public License", "Version 3, 29 June 2007")),
+    ("GPL-2.0", ("GNU General Public License", "Version 2, June 1991")),
+    ("EPL-2.0", ("Eclipse Public License - v 2.0",)),
+    ("EPL-1.0", ("Eclipse Public License - v 1.0",)),
+    ("MPL-2.0", ("Mozilla Public License Version 2.0",)),
+    ("Apache-2.0", ("Apache License", "Version 2.0, January 2004")),
+)
+
+# Identifiers behind the sentence SPDX, and the licence they name. A '+' behind
+# a version is read as "or later", and in an expression each identifier is a sentence.
 SPDX = 38
 IDENTIFIERS = {
     **{gnu + end: gnu + named
@@ -96,8 +117,14 @@ IDENTIFIERS = {
 PERMISSIVE = {"Apache-2.0", "BSD-3-Clause", "BSD-2-Clause", "MIT", "ISC", "CC-BY-4.0", "Unlicense"}
 
 
+# A version with a plus, and what is read instead.
+PLUS = r"([0-9])\+"
+OR_LATER = "{} or later "
+
+
 def normal(sentence: str) -> str:
     """A known sentence as the sentences of texts are normalised."""
+    sentence = re.sub(PLUS, OR_LATER.format(r"\1"), sentence)
     kept = "".join(c if c.isalnum() else " " for c in sentence.lower())
     return " ".join(kept.split())
 
@@ -126,6 +153,7 @@ def _usual_rules() -> list[Rule]:
         Rule(name, (_number(notice.format(called)),), name in PERMISSIVE)
         for name, names in NAMES.items() for called in names for notice in NOTICES
     ]
+    found += [Rule(name, tuple(map(_number, lines)), name in PERMISSIVE) for name, lines in HEADS]
     found += [Rule(name, (SPDX, _number(i)), name in PERMISSIVE) for i, name in IDENTIFIERS.items()]
     return found
 
@@ -179,12 +207,13 @@ RULES = (
 # words, as a line end or a comment sign may stand between two.
 TRIGGERS = (
     "licen", "reserved", "permission", "redistribut", "warranty", "domain",
-    "gpl", "epl", "mpl", "cc", "apache", "bsd", "mit", "isc",
+    "gpl", "epl", "mpl", "cc", "apache", "bsd", "mit", "isc", "1991", "1999", "2004", "2007",
 )
 
 # Where a sentence ends: at a full stop, semicolon, colon, question or exclamation mark
 # before white space or the end; and at a line end, or else only at an empty line.
-STOP = r"[.;:?!]+(?:\s+|$)"
+# The operators of identifiers end one too.
+STOP = r"[.;:?!]+(?:\s+|$)|\s+(?:OR|AND|WITH)\s+"
 BY_LINE = STOP + r"|[\r\n]+"
 BY_PARAGRAPH = STOP + r"|\r?\n[ \t]*\r?\n\s*"
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -193,18 +222,36 @@ NOT_WORD = r"[^\p{L}\p{N}]+"
 def sentence_numbers(text: Column, ends: str) -> Column:
     """The numbers of a text's known sentences, in order."""
     known = {normal(sentence): i for i, sentence in SENTENCES.items()}
-    plain = F.transform(F.split(text, ends), lambda s: F.trim(F.regexp_replace(F.lower(s), NOT_WORD, " ")))
+    words = lambda s: F.regexp_replace(F.regexp_replace(F.lower(s), PLUS, OR_LATER.format("$1")), NOT_WORD, " ")
+    plain = F.transform(F.split(text, ends), lambda s: F.trim(words(s)))
     table = F.create_map(*[F.lit(v) for pair in known.items() for v in pair])
     return F.filter(F.transform(plain, lambda s: F.try_element_at(table, s)), lambda i: i.isNotNull())
 
 
+def pattern_of(rule: Rule) -> str:
+    return ".*".join(f",{i}," for i in rule.sentences)
+
+
 def _rule(sequence: Column, rule: Rule) -> Column:
-    return sequence.rlike(".*".join(f",{i}," for i in rule.sentences))
+    return sequence.rlike(pattern_of(rule))
+
+
+def all_patterns() -> list[tuple[str, str, str | None]]:
+    """Per licence, in the order of the rules: its name, a pattern that any of its rules matches, and one of rules of
+    other licences that it is only a part of (BSD-2-Clause in BSD-3-Clause), if there are such."""
+    found = []
+    for name in dict.fromkeys(rule.license for rule in RULES):
+        own = [rule for rule in RULES if rule.license == name]
+        larger = [r for r in RULES if r.license != name and any(set(rule.sentences) < set(r.sentences) for rule in own)]
+        any_of = "|".join(dict.fromkeys(map(pattern_of, own)))
+        found.append((name, any_of, "|".join(dict.fromkeys(map(pattern_of, larger))) or None))
+    return found
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
-    """A row per document: ``license`` (NULL without one), whether it is ``permissive``,
-    and ``sentences``, the numbers of the known sentences in their order.
+    """A row per document: ``license`` (NULL without one), whether it is ``permissive``, ``licenses``, all that
+    its sentences name, the one that binds most first, and ``sentences``, the numbers of the known
+    sentences in their order.
 
     Sentences are read by line, and once more with lines joined, for licences whose
     sentences are broken into lines; the first reading that has a known sentence and
@@ -234,9 +281,18 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     sentences = F.when(joined & F.col("at_paragraph").isNotNull(), F.col("by_paragraph")).otherwise(F.col("by_line"))
     names = F.array(*[F.lit(r.license) for r in RULES])
     free = F.array(*[F.lit(r.permissive) for r in RULES])
+    found = found.select("doc_id", rule.alias("rule"), sentences.alias("sequence"))
+
+    def named(name: str, any_of: str, larger: str | None) -> Column:
+        own = F.col("sequence").rlike(any_of)
+        return F.when(own if larger is None else own & ~F.col("sequence").rlike(larger), F.lit(name))
+
+    every = F.array_join(F.array_compact(F.array(*[named(*p) for p in all_patterns()])), " ")
+    sentences, rule = F.col("sequence"), F.col("rule")
     return found.select(
         "doc_id",
         F.get(names, rule).alias("license"),
         F.get(free, rule).alias("permissive"),
+        F.when(rule.isNotNull(), every).alias("licenses"),
         F.trim(F.translate(F.regexp_replace(sentences, ",+", " "), ",", "")).alias("sentences"),
     )

@@ -50,7 +50,9 @@ def license_scan() -> str:
     known = ", ".join(f"'{licenses.normal(licenses.SENTENCES[i])}'" for i in numbers)
 
     def sequence(ends: str) -> str:
-        normal = rf"trim(regexp_replace(lower(s), '{licenses.NOT_WORD}', ' ', 'g'))"
+        later = licenses.OR_LATER.format(r"\1")
+        plus = rf"regexp_replace(lower(s), '{licenses.PLUS}', '{later}', 'g')"
+        normal = rf"trim(regexp_replace({plus}, '{licenses.NOT_WORD}', ' ', 'g'))"
         places = f"list_transform(regexp_split_to_array(text, '{ends}'), lambda s: list_position([{known}], {normal}))"
         found = f"list_filter({places}, lambda i: i > 0)"
         return f"array_to_string(list_transform({found}, lambda i: ',' || i || ','), '')"
@@ -62,6 +64,11 @@ def license_scan() -> str:
         )
         return f"CASE {' '.join(cases)} END"
 
+    def named(name: str, any_of: str, larger: str | None) -> str:
+        apart = f" AND NOT regexp_matches(found, '{larger}')" if larger else ""
+        return f"CASE WHEN regexp_matches(found, '{any_of}'){apart} THEN '{name}' END"
+
+    every = ", ".join(named(*p) for p in licenses.all_patterns())
     names = ", ".join(f"'{rule.license}'" for rule in licenses.RULES)
     free = ", ".join(str(rule.permissive).lower() for rule in licenses.RULES)
     return rf"""
@@ -76,6 +83,7 @@ def license_scan() -> str:
                     THEN by_paragraph ELSE by_line END AS found
             FROM ruled)
         SELECT doc_id, [{names}][rule + 1] AS license, [{free}][rule + 1] AS permissive,
+            CASE WHEN rule IS NOT NULL THEN array_to_string(list_filter([{every}], lambda n: n IS NOT NULL), ' ') END AS licenses,
             trim(regexp_replace(found, ',+', ' ', 'g')) AS sentences
         FROM chosen"""
 

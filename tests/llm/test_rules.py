@@ -181,8 +181,39 @@ USUAL = [
     ("# SPDX-License-Identifier: Apache-2.0\nimport os", "Apache-2.0", True),
     ("/* SPDX-License-Identifier: LGPL-2.1-or-later */", "LGPL-2.1-or-later", False),
     ("MIT\nIsc", None, None),
+    ("SPDX-License-Identifier: GPL-2.0+", "GPL-2.0-or-later", False),
+    ("// SPDX-License-Identifier: LGPL-2.1+ WITH some-exception", "LGPL-2.1-or-later", False),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", "Apache-2.0", True),
+    ("# SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause)", "GPL-2.0", False),
+    ("                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n", "Apache-2.0", True),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007", "GPL-3.0", False),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991", "GPL-2.0", False),
+    ("GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007", "AGPL-3.0", False),
+    ("Version 3, 29 June 2007", None, None),
+    ("The MIT License (MIT)\n\nCopyright (c) 2020 Somebody", "MIT", True),
+    ("Licensed under the MIT License. Also licensed under the GNU General Public License, version 3.", "GPL-3.0", False),
 ]
 
+SEVERAL = [
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", "Apache-2.0 MIT"),
+    ("Licensed under the MIT License. Also licensed under the GNU General Public License, version 3.", "GPL-3.0 MIT"),
+    (f"{licenses.SENTENCES[13]}: {licenses.SENTENCES[14]}.", "BSD-3-Clause"),
+    (f"{licenses.SENTENCES[13]}.", "BSD-2-Clause"),
+    ("All rights reserved. Released under the MIT License.", "MIT All-rights-reserved"),
+    ("nothing", None),
+]
+
+
+def test_all_licences_of_a_text(spark):
+    rows = [(i, t) for i, (t, _) in enumerate(SEVERAL)]
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.licenses for r in sorted(found, key=lambda r: r.doc_id)] == [names for _, names in SEVERAL]
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    named = connection.execute(f"SELECT licenses FROM ({ORACLE_SQL['op4_license_scan']}) ORDER BY doc_id").fetchall()
+    assert [n for (n,) in named] == [names for _, names in SEVERAL]
+
 
 def test_usual_notices(spark):
     rows = [(i, t) for i, (t, *_) in enumerate(USUAL)]
