@@ -46,14 +46,15 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Link the larger neighbours of each node to the smallest of it and its neighbours."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("least"))
-    least = least.select("a", F.least("a", "least").alias("least"))
+    # A shuffle of its own, so that a hub's links can be split when they are joined.
+    least = least.select("a", F.least("a", "least").alias("least")).hint("rebalance")
     larger = both.where(F.col("b") > F.col("a"))
     return larger.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Link the smaller neighbours of each node, and itself, to the smallest of them."""
-    least = links.groupBy("a").agg(F.min("b").alias("least"))
+    least = links.groupBy("a").agg(F.min("b").alias("least")).hint("rebalance")
     joined = links.join(least, "a")
     moved = joined.where(F.col("b") != F.col("least")).select(F.col("b").alias("a"), F.col("least").alias("b"))
     own = least.select("a", F.col("least").alias("b"))

@@ -199,12 +199,12 @@ def _roots(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _buckets(classes: DataFrame, percent: int) -> DataFrame:
-    """``bucket``, ``class`` for the bands that several classes have."""
+    """``bucket``, ``class``, ``n_shingles`` for the bands that several classes have."""
     each = 8
     n = COORDINATES // band_rows(percent / 100)
     at = F.sequence(F.lit(0), F.lit(n - 1))
     keys = F.transform(at, lambda i: F.substring(F.col("bands"), 1 + each * i, F.lit(each)))
-    rows = classes.select("class", F.explode(keys).alias("bucket"))
+    rows = classes.select("class", "n_shingles", F.explode(keys).alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     return written(rows.join(shared, "bucket"), "buckets")
 
@@ -271,18 +271,16 @@ def _rest(buckets: DataFrame, roots: DataFrame, classes: DataFrame, percent: int
     linked across components.
 
     Of each bucket that has classes of several components, the signatures are
-    compared, in blocks; a pair is looked at in the first band it shares only.
+    compared, in blocks; a pair is looked at in the first band it shares only. Blocks whose sizes rule out a
+    link do not meet, nor do those of the bucket's largest component among themselves.
     """
     rows, agree = band_rows(percent / 100), int(least_agreement(percent / 100) * COORDINATES)
     labelled = buckets.join(roots, F.col("class") == F.col("node"), "left").select(
-        "bucket", "class", F.coalesce("root", "class").alias("root")
+        "bucket", "class", F.coalesce("root", "class").alias("root"), "n_shingles"
     )
-    mixed_ones = labelled.groupBy("bucket").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size")
-    ).where("low < high")
-    several = labelled.join(mixed_ones.select("bucket", "size"), "bucket")
-    several = several.join(classes.select("class", "n_shingles", "bands", "sketch"), "class")
-    several = _block_pairs(several, F.ceil(F.col("size") / BLOCK_CLASSES))
+    mixed_ones = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    several = _block_pairs(labelled.join(mixed_ones.select("bucket"), "bucket"), F.lit(1), BLOCK_CLASSES, percent)
+    several = several.join(classes.select("class", "bands", "sketch"), "class")
     n = COORDINATES // rows
 
     def look(group: dict[str, tuple]) -> Iterator[tuple]:
@@ -319,13 +317,50 @@ def _rest(buckets: DataFrame, roots: DataFrame, classes: DataFrame, percent: int
     return written(found.distinct(), "rest")
 
 
-def _block_pairs(rows: DataFrame, blocks) -> DataFrame:
-    """Deal each bucket's rows into blocks, and copy them to each pair of blocks,
-    ``one`` <= ``other``, so that any two rows meet in some pair."""
-    rows = rows.withColumn("blocks", blocks.cast("long"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return rows.withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with")).drop("blocks", "with")
+# Blocks of a part of a bucket are numbered below this.
+_BLOCKS = 1 << 32
+
+
+def _block_pairs(rows: DataFrame, weight, limit: int, percent: int) -> DataFrame:
+    """Deal each bucket's rows into blocks of about ``limit`` in ``weight``, and copy them to pairs of blocks,
+    ``one`` <= ``other``, so that any two rows that may be linked across components meet in one pair.
+
+    A bucket within the limit is one block. The rows of a larger one are parted by size, in steps of the ratio
+    below which two sets cannot be linked: only rows of the same or neighbouring steps meet. Apart from that, rows of the
+    bucket's largest component meet only those of others.
+    """
+    rows = rows.withColumn("weight", weight.cast("long"))
+    by_root = rows.groupBy("bucket", "root").agg(F.sum("weight").alias("weight"))
+    large = by_root.groupBy("bucket").agg(
+        F.sum("weight").alias("total"), F.max(F.struct("weight", "root"))["root"].alias("largest")
+    )
+    large = large.where(F.col("total") > limit).drop("total")
+    # A hair wider than the ratio, so that rounding cannot part two that may be linked.
+    step = F.floor(F.log(F.col("n_shingles")) / F.lit(np.log(100 / percent) * (1 + 1e-9))).cast("long")
+    rows = rows.join(large, "bucket", "left").withColumn("step", F.when(F.col("largest").isNotNull(), step).otherwise(F.lit(0)))
+    rows = rows.withColumn("main", F.coalesce(F.col("root") == F.col("largest"), F.lit(False))).drop("largest")
+
+    parts = rows.groupBy("bucket", "step", "main").agg(F.ceil(F.sum("weight") / limit).alias("n"))
+    near = parts.select("bucket", F.explode(F.array(*[F.col("step") + i for i in (-1, 0, 1)])).alias("step"), F.col("step").alias("of"), "main", "n")
+    part = lambda at, main: F.max(F.when((F.col("of") == F.col("step") + at) & (F.col("main") == main), F.col("n")))
+    counts = near.groupBy("bucket", "step").agg(
+        *[F.coalesce(part(at, main), F.lit(0)).alias(f"n_{at + 1}_{int(main)}") for at in (-1, 0, 1) for main in (False, True)]
+    )
+    rows = rows.join(counts, ["bucket", "step"])
+
+    def blocks(at: int, main: bool):
+        """The blocks of a part that this row meets."""
+        first, n = ((F.col("step") + at) * 2 + int(main)) * _BLOCKS, F.col(f"n_{at + 1}_{int(main)}")
+        met = n > 0 if not main else (n > 0) & ~F.col("main")
+        return F.when(met, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)) - 1), lambda i: first + i))
+
+    own = (F.col("step") * 2 + F.col("main").cast("long")) * _BLOCKS
+    own += F.pmod(F.xxhash64("class"), F.when(F.col("main"), F.col("n_1_1")).otherwise(F.col("n_1_0")))
+    empty = F.array().cast("array<bigint>")
+    met = F.concat(*[F.coalesce(blocks(at, main), empty) for at in (-1, 0, 1) for main in (False, True)])
+    rows = rows.withColumn("block", own).withColumn("with", F.explode(met))
+    helpers = ["weight", "step", "main", "with", *[f"n_{at}_{main}" for at in range(3) for main in range(2)]]
+    return rows.withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with")).drop(*helpers)
 
 
 def _compared(docs: DataFrame, rest: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -334,8 +369,7 @@ def _compared(docs: DataFrame, rest: DataFrame, classes: DataFrame, percent: int
     A task counts the common shingles of one class with all others at once, from
     lists of the classes that have a shingle.
     """
-    weight = rest.groupBy("bucket").agg(F.sum("n_shingles").alias("weight"))
-    rows = _block_pairs(rest.join(weight, "bucket"), F.ceil(F.col("weight") / BLOCK_SHINGLES))
+    rows = _block_pairs(rest, F.col("n_shingles"), BLOCK_SHINGLES, percent)
     rows = rows.join(_sets(docs, rest.select("class"), classes), "class")
 
     def compare(group: dict[str, tuple]) -> Iterator[tuple]:

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from streamlookup.llm import near_dedup as nd
 from streamlookup.llm.components import connected_components
@@ -130,6 +131,46 @@ def test_groups(spark, monkeypatch, blocks):
     assert len({c for _, _, c, _ in expected}) > 4
 
 
+def bucket_rows(spark, sizes, main_root):
+    """A bucket: a class per size; ``main_root`` says which belong to its largest component."""
+    rows = [(b"bucket", f"c{i}".encode(), b"main" if main_root(i) else f"r{i}".encode(), n) for i, n in enumerate(sizes)]
+    return spark.createDataFrame(rows, "bucket binary, class binary, root binary, n_shingles long")
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_blocks_meet_where_a_link_is_possible(spark, percent):
+    rng = random.Random(percent)
+    sizes = [round(100 * 1.005 ** rng.randrange(500)) for _ in range(400)]
+    rows = bucket_rows(spark, sizes, lambda i: i % 3 == 0)
+    found = nd._block_pairs(rows, F.lit(1), 40, percent)
+    assert set(found.columns) == {"bucket", "class", "root", "n_shingles", "block", "one", "other"}
+    groups = {}
+    for r in found.collect():
+        groups.setdefault((r["one"], r["other"]), {})[int(r["class"][1:])] = r["block"]
+    met = set()
+    for (one, other), members in groups.items():
+        assert set(members.values()) <= {one, other} and len(members) < 200
+        for i, a in members.items():
+            met |= {(i, j) for j, b in members.items() if i < j and (one == other or a != b)}
+    possible = {
+        (i, j) for i in range(400) for j in range(i + 1, 400)
+        if 100 * min(sizes[i], sizes[j]) >= percent * max(sizes[i], sizes[j]) and (i % 3 or j % 3)
+    }
+    assert possible <= met
+    # A few times fewer rows than if each class met every block.
+    blocks = -(-400 // 40)
+    assert sum(map(len, groups.values())) < 0.6 * 400 * blocks
+
+
+def test_a_hot_bucket_of_one_component_is_hardly_copied(spark):
+    """Of a thousand classes all but five are linked already: each is copied for the others' block only."""
+    rows = bucket_rows(spark, [300] * 1000, lambda i: i >= 5)
+    found = nd._block_pairs(rows, F.lit(1), 50, 85)
+    assert found.count() < 1.2 * 1000
+    small = nd._block_pairs(rows, F.lit(1), 5000, 85).collect()
+    assert len(small) == 1000 and {(r["one"], r["other"], r["block"]) for r in small} == {(0, 0, 0)}
+
+
 def test_links_that_the_leaders_miss(spark):
     """Without leaders all links come from the comparison in blocks."""
     rows = group_rows(9, n=30)
