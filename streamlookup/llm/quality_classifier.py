@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from streamlookup.llm.batches import map_slices
 from streamlookup.llm.sampling import is_among, place_of
+from streamlookup.llm.words import hashes_of
 from streamlookup.operators.sizing import fits
 from streamlookup.sources.shared import written
 
@@ -45,6 +46,9 @@ FEATURES = (
     "most_common", "repeated_lines", "word_length", "long_words", "digits",
 )
 
+# Words count by the bucket of their hash; a bucket seen in no labelled document says nothing.
+WORD_BUCKETS = 1 << 16
+
 _SYMBOLS = "#*$%&@~^=<>"
 _DIGITS = re.compile(r"[0-9]+")
 
@@ -75,24 +79,45 @@ def features(text: str | None) -> list[float]:
     ]
 
 
+def word_buckets(text: str | None) -> np.ndarray:
+    """The buckets of a text's words, each once; A-Z count as lower case."""
+    return np.unique(hashes_of((text or "").encode().lower().split()) >> np.uint64(48)).astype(np.int64)
+
+
+def word_odds(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Per bucket the log odds between the shares of good and of bad documents that have it, from
+    counts of documents (a row for bad, one for good)."""
+    odds = np.log(counts[1] + 1) - np.log(totals[1] + 2) - np.log(counts[0] + 1) + np.log(totals[0] + 2)
+    return np.where(counts.sum(axis=0) > 0, odds, 0.0)
+
+
+def word_score(odds: np.ndarray, buckets: np.ndarray) -> float:
+    """The mean odds of a text's words; 0 without any."""
+    return float(odds[buckets].mean()) if len(buckets) else 0.0
+
+
 @dataclass(frozen=True)
 class Evidence:
-    """A logistic classifier over the features, and its sample's log odds of good."""
+    """A logistic classifier over the features and the words' score, and its sample's log odds of good."""
 
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray  # the last one is the constant
     base: float
+    words: np.ndarray
 
     def log_odds(self, found: np.ndarray) -> np.ndarray:
         return _design((found - self.mean) / self.scale) @ self.weights
 
+    def described(self, text: str | None) -> list[float]:
+        return [*features(text), word_score(self.words, word_buckets(text))]
+
     def ratio(self, texts: list) -> np.ndarray:
         """Log likelihood ratio of good against bad."""
         if not len(texts):
             return np.empty(0)
         bound = float(np.log((1 - LEAST_P) / LEAST_P))
-        odds = self.log_odds(np.array([features(text) for text in texts]))
+        odds = self.log_odds(np.array([self.described(text) for text in texts]))
         return np.clip(odds, -bound, bound) - self.base
 
 
@@ -106,12 +131,13 @@ def _log_odds(p):
     return np.log(p) - np.log1p(-p)
 
 
-def fit_evidence(found: np.ndarray, good: np.ndarray) -> Evidence:
+def fit_evidence(found: np.ndarray, good: np.ndarray, words: np.ndarray | None = None) -> Evidence:
     """Penalised logistic regression by Newton's method. Without rows of both kinds
-    there is no evidence: every ratio is 0."""
-    n = len(FEATURES)
+    there is no evidence: every ratio is 0. ``found`` has the features and the words' score."""
+    n = len(FEATURES) + 1
+    words = np.zeros(WORD_BUCKETS) if words is None else words
     if not len(good) or good.min() == good.max():
-        return Evidence(np.zeros(n), np.ones(n), np.zeros(2 * n + 1), 0.0)
+        return Evidence(np.zeros(n), np.ones(n), np.zeros(2 * n + 1), 0.0, words)
     share = good.mean()
     mean, scale = found.mean(axis=0), found.std(axis=0)
     scale = np.where(scale > 1e-9, scale, 1.0)
@@ -128,30 +154,60 @@ def fit_evidence(found: np.ndarray, good: np.ndarray) -> Evidence:
         w += step
         if np.abs(step).max() < 1e-6:
             break
-    return Evidence(mean, scale, w, float(_log_odds(share)))
+    return Evidence(mean, scale, w, float(_log_odds(share)), words)
 
 
 def train_evidence(docs: DataFrame, labels: DataFrame, sample_labels: int = SAMPLE_LABELS) -> Evidence:
     """Fit on a bounded sample of labelled documents. A document with several labels
-    has their mean; labels that are NULL or have no document count for nothing."""
+    has their mean; labels that are NULL or have no document count for nothing.
+
+    The odds of words come from counts per bucket in two halves of the sample. A document of the sample
+    is described by those of the other half, as its own words would speak too well of it; later ones
+    by both. To the driver come the counts, a number that does not depend on the texts, and a row of features a document.
+    """
     spark = docs.sparkSession
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     place = place_of("doc_id")
     known = known.where(is_among(place, sample_labels, known.count()))
     known = known.groupBy("doc_id").agg(F.avg("quality").alias("quality"))
     chosen = known.orderBy(place, "doc_id").limit(sample_labels).collect()
+    none = np.empty((0, len(FEATURES) + 1))
     if not chosen:
-        return fit_evidence(np.empty((0, len(FEATURES))), np.empty(0))
+        return fit_evidence(none, np.empty(0))
     chosen = F.broadcast(spark.createDataFrame(chosen, known.schema))
-    found = map_slices(
-        docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "quality"),
-        lambda ids, texts, quality: {"doc_id": ids, "quality": quality, "found": [features(t) for t in texts]},
-        "doc_id long, quality double, found array<double>",
-    )
     # A document that is repeated counts once.
-    rows = found.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("found").alias("found")).collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    return fit_evidence(np.array([r["found"] for r in rows]).reshape(-1, len(FEATURES)), np.array([r["quality"] for r in rows]))
+    sample = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id").agg(
+        F.max("quality").alias("quality"), F.max("text").alias("text")
+    )
+    sample = written(sample.withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")), "labelled")
+
+    def count(_: list, quality: list, texts: list, halves: list) -> dict:
+        total = np.zeros((2, 2, WORD_BUCKETS + 1))
+        for good, text, half in zip(quality, texts, halves):
+            at = np.append(word_buckets(text), WORD_BUCKETS)  # the last place counts documents
+            total[half, 0, at] += 1 - good
+            total[half, 1, at] += good
+        half, kind, bucket = np.nonzero(total)
+        return {"half": half.tolist(), "kind": kind.tolist(), "bucket": bucket.tolist(), "n": total[half, kind, bucket].tolist()}
+
+    counted = map_slices(sample, count, "half int, kind int, bucket int, n double")
+    rows = counted.groupBy("half", "kind", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros((2, 2, WORD_BUCKETS + 1))
+    counts[rows["half"], rows["kind"], rows["bucket"]] = rows["n"]
+
+    def odds_of(table: np.ndarray) -> np.ndarray:
+        return word_odds(table[:, :-1], table[:, -1])
+
+    other_half = [odds_of(counts[1]), odds_of(counts[0])]
+
+    def describe(ids: list, quality: list, texts: list, halves: list) -> dict:
+        found = [[*features(t), word_score(other_half[h], word_buckets(t))] for t, h in zip(texts, halves)]
+        return {"doc_id": ids, "quality": quality, "found": found}
+
+    found = map_slices(sample, describe, "doc_id long, quality double, found array<double>").collect()
+    found.sort(key=lambda r: r["doc_id"])
+    design = np.array([r["found"] for r in found]).reshape(-1, none.shape[1])
+    return fit_evidence(design, np.array([r["quality"] for r in found]), odds_of(counts.sum(axis=0)))
 
 
 def _strength(rows: DataFrame, parent: Column) -> float:
@@ -172,7 +228,7 @@ def _strength(rows: DataFrame, parent: Column) -> float:
 
 
 def site_priors(documents: DataFrame) -> DataFrame:
-    """Prior share of good documents per ``host`` and ``path``, from ``p`` of each.
+    """Prior share of good documents per ``host`` and ``path``, from ``p`` of each, with the sums it is made of.
 
     Sums per path, then per host and over all: each from the level below, so a host
     with a third of all documents is no more work than another. Three rows of sums
@@ -189,11 +245,22 @@ def site_priors(documents: DataFrame) -> DataFrame:
         return (F.col("good") + strength * parent) / (F.col("n") + strength)
 
     overall = F.lit(float(share))
-    hosts = hosts.withColumn("host_prior", shrunk(overall, _strength(hosts, overall)))
-    hosts = hosts.select(F.col("host").alias("of_host"), "host_prior")
+    host_strength = _strength(hosts, overall)
+    hosts = hosts.withColumn("host_prior", shrunk(overall, host_strength))
+    hosts = hosts.select(F.col("host").alias("of_host"), "host_prior", F.col("n").alias("host_n"), F.col("good").alias("host_good"))
     paths = paths.join(hosts, F.col("host").eqNullSafe(F.col("of_host"))).drop("of_host")
-    prior = shrunk(F.col("host_prior"), _strength(paths, F.col("host_prior")))
-    return paths.withColumn("prior", prior).select("host", "path", "n", "host_prior", "prior")
+    strength = _strength(paths, F.col("host_prior"))
+    paths = paths.withColumn("prior", shrunk(F.col("host_prior"), strength))
+    return paths.withColumns({"overall": overall, "host_strength": F.lit(host_strength), "path_strength": F.lit(strength)})
+
+
+def prior_without(p: Column) -> Column:
+    """The prior of a document's site as the other documents make it: over ``site_priors``' columns, for a
+    document that adds ``p`` to its site's sums."""
+    strength = F.col("host_strength")
+    host = (F.col("host_good") - p + strength * F.col("overall")) / (F.col("host_n") - 1 + strength)
+    strength = F.col("path_strength")
+    return (F.col("good") - p + strength * host) / (F.col("n") - 1 + strength)
 
 
 def _ratio_column(evidence: Evidence) -> Column:
@@ -210,17 +277,19 @@ def _sure(p: Column) -> Column:
 
 
 def _posterior(documents: DataFrame, base: float) -> tuple[DataFrame, DataFrame]:
-    """The documents with ``p_quality`` and ``prior``, and the priors of their sites."""
-    own = documents.select("host", "path", _logistic(F.col("ratio") + F.lit(base)).alias("p"))
-    priors = written(site_priors(own), "priors")
-    side = priors.select(F.col("host").alias("of_host"), F.col("path").alias("of_path"), "prior")
+    """The documents with ``p_quality`` and ``prior``, and the priors of their sites. A document's own
+    evidence is not in the prior it is joined to, or a small site's would count twice."""
+    alone = _logistic(F.col("ratio") + F.lit(base))
+    priors = written(site_priors(documents.select("host", "path", alone.alias("p"))), "priors")
+    sums = ["n", "good", "host_n", "host_good", "overall", "host_strength", "path_strength"]
+    side = priors.select(F.col("host").alias("of_host"), F.col("path").alias("of_path"), *sums)
     if fits(side):
         side = F.broadcast(side)
     same = F.col("host").eqNullSafe(F.col("of_host")) & F.col("path").eqNullSafe(F.col("of_path"))
-    joined = documents.join(side, same, "left")
+    joined = documents.join(side, same, "left").withColumn("prior", prior_without(alone))
     prior = _sure(F.col("prior"))
     p = _logistic(F.col("ratio") + F.log(prior) - F.log(1 - prior))
-    return joined.withColumn("p_quality", p).drop("of_host", "of_path"), priors
+    return joined.withColumn("p_quality", p).drop("of_host", "of_path", *sums), priors
 
 
 def _logistic(odds: Column) -> Column:
