@@ -81,7 +81,8 @@ def features(text: str | None) -> list[float]:
 
 def word_buckets(text: str | None) -> np.ndarray:
     """The buckets of a text's words, each once; A-Z count as lower case."""
-    return np.unique(hashes_of((text or "").encode().lower().split()) >> np.uint64(48)).astype(np.int64)
+    words = set((text or "").encode().lower().split())
+    return np.unique(hashes_of(list(words)) >> np.uint64(48)).astype(np.int64)
 
 
 def word_odds(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:

@@ -7,22 +7,14 @@ import re
 import numpy as np
 import xxhash
 
-from streamlookup.llm.caches import Generations, take_turn
-
-# Bytes of words and hashes that a worker remembers.
-CACHED_BYTES = 64 * 1024 * 1024
-
 # Odd multiplier of the rolling hash, and the constants of its final mixing.
 BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
-word_hashes = Generations(xxhash.xxh3_64_intdigest, CACHED_BYTES)
-
-
 def hashes_of(words: list) -> np.ndarray:
-    take_turn(word_hashes)
-    return np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
+    """The hash of each word; hashing one is faster than remembering it."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 # Scripts that put no blanks between words (Thai, Lao, Tibetan, Burmese,
