@@ -126,19 +126,22 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, bl
     return placed.select(*[F.col(k).alias(c) for k, c in named.items()], "sequence_id", "offset")
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, cached_bytes: int | None = None
+) -> DataFrame:
     """The token ids of whole texts, with ``end_id`` behind each, cut to ``capacity``.
 
     ``docs`` has ``doc_id`` and ``text``; a NULL text counts as empty, so each row
     has at least the end id. Rows of the same ``doc_id``, or with none, are packed
-    each for itself. Returns ``PIECES``, and no text.
+    each for itself. Returns ``PIECES``, and no text. ``cached_bytes`` bounds what a worker remembers of words: less
+    is slower, and leaves more memory to the other stages of a job.
     """
     step = capacity * ID_BYTES
     end = id_bytes([end_id])
 
     def pieces(doc_ids: list, texts: list) -> dict:
         rows = []
-        for doc_id, ids in zip(doc_ids, word_encoder(tokenizer).encode(texts)):
+        for doc_id, ids in zip(doc_ids, word_encoder(tokenizer, cached_bytes).encode(texts)):
             ids += end
             for at in range(0, len(ids), step):
                 part = ids[at : at + step]
@@ -149,6 +152,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = C
     return map_slices(docs.select("doc_id", "text"), pieces, PIECES)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY, cached_bytes: int | None = None
+) -> DataFrame:
     """Pack whole documents: ``token_pieces`` with their ``sequence_id`` and ``offset``."""
-    return pack(token_pieces(docs, tokenizer, end_id, capacity), capacity=capacity)
+    return pack(token_pieces(docs, tokenizer, end_id, capacity, cached_bytes), capacity=capacity)

@@ -42,11 +42,11 @@ class WordEncoder:
     remembered. Added tokens are found inside words as in the whole text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_bytes: int | None = None):
         self.tokenizer = Tokenizer.from_file(path)
         if self._ids(["a b\nc"]) != [b"".join(self._ids(["a", "b", "c"]))]:
             raise ValueError("the vocabulary keeps white space")
-        self.words = Generations(self._word, CACHED_BYTES, lambda word: len(word) <= CACHED_LENGTH)
+        self.words = Generations(self._word, cached_bytes or CACHED_BYTES, lambda word: len(word) <= CACHED_LENGTH)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -73,6 +73,6 @@ def id_bytes(ids: list[int]) -> bytes:
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, cached_bytes: int | None = None) -> WordEncoder:
     """The worker's encoder; what it remembers serves all tasks of the worker."""
-    return WordEncoder(path)
+    return WordEncoder(path, cached_bytes)
