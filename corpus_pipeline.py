@@ -17,6 +17,10 @@ from streamlookup.sources.shared import written
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 
+# What a worker may remember of words: less than for packing alone, as the stages before
+# have left their mark on an executor's memory.
+CACHED_BYTES = 80 * 1024 * 1024
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
@@ -43,7 +47,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents as token pieces with their place in packed sequences."""
     configure(spark)
-    return pack_documents(docs, public_tokenizers.path(VOCABULARY), END_ID)
+    return pack_documents(docs, public_tokenizers.path(VOCABULARY), END_ID, cached_bytes=CACHED_BYTES)
 
 
 STAGES = [
