@@ -47,9 +47,10 @@ class Generations(dict):
 _last: list[Generations] = []
 
 
-def take_turn(cache: Generations) -> None:
-    """Say that ``cache`` is used now. Workers live longer than the stages of a job: what
+def take_turn(cache: Generations | None) -> None:
+    """Say that ``cache`` is used now, or None of them. Workers live longer than the stages of a job: what
     another stage remembered is released as soon as this one begins."""
     if _last and _last[0] is not cache:
-        _last[0].clear()
-    _last[:] = [cache]
+        _last.pop().clear()
+    if cache is not None:
+        _last[:] = [cache]

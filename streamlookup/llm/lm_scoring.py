@@ -362,8 +362,11 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     ``docs`` has ``doc_id`` and ``text``; other columns are not read. A text that is
     NULL or has no words scores 0, with a NULL mean. Repeated rows have a row each; an
-    empty table gives none. Scores depend in their last digits on how the table is
-    partitioned, as tasks train on their own documents.
+    empty table gives none.
+
+    Scores depend on how the table is partitioned: every task trains on its own documents, and what tasks
+    have learnt is averaged after each of few rounds. On 1,000 documents one task and sixteen differ by 0.18 per
+    word on average. Compare scores of one run with each other, not with those of another.
     """
     from streamlookup.llm.lm_members import member_scores, train_members, with_members
 

@@ -7,6 +7,8 @@ import re
 import numpy as np
 import xxhash
 
+from streamlookup.llm.caches import take_turn
+
 # Odd multiplier of the rolling hash, and the constants of its final mixing.
 BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -14,6 +16,7 @@ _MASK = (1 << 64) - 1
 
 def hashes_of(words: list) -> np.ndarray:
     """The hash of each word; hashing one is faster than remembering it."""
+    take_turn(None)
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 

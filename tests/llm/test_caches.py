@@ -38,3 +38,7 @@ def test_another_cache_releases_the_last():
     take_turn(other)
     assert not one and not one.old and one.held == 0
     assert one[1] == 2
+    other[1]
+    take_turn(None)
+    assert not other and len(one) == 1
+    take_turn(None)
