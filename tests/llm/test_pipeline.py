@@ -18,7 +18,7 @@ from .test_secrets import plain_spans
 def test_queries_are_registered():
     registered = entry.queries()
     assert {*queries.QUERIES, "pipeline"} <= set(registered)
-    assert [sum(name.startswith(f"op{i}_") for name in registered) for i in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{i}_") for name in registered) for i in range(1, 14)] == [1] * 13
     assert set(queries.ORACLE_SQL) <= set(entry.oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "near_dedup", "decontamination", "secret_scan", "best_fit_packing",
