@@ -54,11 +54,12 @@ class WordEncoder:
 
     def _word(self, word: str) -> bytes:
         if len(word) <= CACHED_LENGTH and (plain := _PLAIN.fullmatch(word)):
-            letters = plain[1].lower()
+            if plain[2]:
+                return self.words[plain[1]] + self.words[plain[2]]
+            letters = word.lower()
             if not letters.isascii():
                 letters = letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            ids = id_bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
-            return ids + self.words[plain[2]] if plain[2] else ids
+            return id_bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
         return self._ids([word])[0] if word else b""
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
