@@ -3,23 +3,27 @@
 A network predicts a word from the words in a window on both sides of it. A document's
 score is the sum of the log-probabilities of all its words, each given its window.
 
-Words are counted over the whole corpus, in hashed buckets for the classes and one by
-one in a table of the vocabulary. The most frequent buckets are classes of their own,
-the others are classes by frequency. A network predicts the class; a tree of decisions
-(`streamlookup.llm.lm_members`) leads from the class to the word itself. Both are
-trained over all documents in rounds, in which every word is masked once: each task goes
-on from the round's parameters over its own documents, and the tasks' parameters are
-averaged.
+Words are known by 65,536 hashed buckets and, in a table that grows with the corpus, one
+by one (`streamlookup.llm.lm_words`). How often each bucket has each of the most frequent
+ones near it is counted over the whole corpus, and gives every bucket a vector. From the
+vectors of the window the network works out weights of a few experts, each of which is a
+distribution over all buckets: the chance of a bucket is the weighted mean of theirs.
+The word's chance in its bucket hangs on the window as well.
+
+The network and the experts are trained over all documents in rounds, in which every
+word is masked once. What is trained together is a chunk of documents, dealt by a hash of
+the document and put in order, so that neither chunks, masks nor steps depend on how the
+table is partitioned. Chunks go on from the round's parameters, and theirs are averaged.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -28,39 +32,48 @@ from pyspark.sql.types import _parse_datatype_string
 from streamlookup.llm.words import hashes_of
 from streamlookup.sources.shared import written
 
+# Buckets of words; the last number stands for the places beyond a document's ends.
 BUCKETS = 1 << 16
+EDGE = BUCKETS
 
-# Classes: of the most frequent buckets, one each, and shared ones. The last number
-# stands for the places beyond a document's ends.
-FREQUENT = 96
-SHARED = 32
-CLASSES = FREQUENT + SHARED
-EDGE = CLASSES
+# The most frequent buckets, by which others are told apart, and the size of their vectors.
+MARKS = 64
+VECTOR = 16
 
 # Words on each side, and sizes of the network's layers.
 SIDE = 3
-EMBEDDING = 16
 HIDDEN = 32
+EXPERTS = 32
+
+# Groups of buckets that are met together; a window belongs to one.
+GROUPS = 8
+
+# Share of a word's whole frequency in each expert, next to what the expert has seen.
+PLAIN = 0.05
 
 # Rounds, each masking its share of the words, words in a step, and the rate of the steps.
 ROUNDS = 2
-STEP_WORDS = 512
+STEP_WORDS = 1024
 RATE = 0.01
 
-# Words of the documents that are stored and numbered together, in one row.
-CHUNK_WORDS = 1 << 18
+# Bytes of text dealt together, and the words at which their row is cut.
+SHARD_BYTES = 1 << 21
+CHUNK_WORDS = 1 << 19
 
-# Words scored at once; bounds the matrix of their classes.
-SCORE_WORDS = 4096
+# Shards that a task encodes, and the most tasks.
+TASK_SHARDS, MOST_TASKS = 8, 1 << 16
+
+# Words scored at once.
+SCORE_WORDS = 8192
 
 _SHAPES = {
-    "embedding": (CLASSES + 1, EMBEDDING),
-    "mix": (2 * SIDE, EMBEDDING, HIDDEN),
+    "mix": (2 * SIDE * VECTOR, HIDDEN),
     "mix_bias": (HIDDEN,),
-    "out": (HIDDEN, CLASSES),
-    "out_bias": (CLASSES,),
+    "out": (HIDDEN, EXPERTS),
+    "out_bias": (EXPERTS,),
 }
 _SIZES = {name: int(np.prod(shape)) for name, shape in _SHAPES.items()}
+N_WEIGHTS = sum(_SIZES.values())
 
 SCORES = "doc_id long, n_words long, log_prob double, mean_log_prob double"
 
@@ -68,75 +81,66 @@ SCORES = "doc_id long, n_words long, log_prob double, mean_log_prob double"
 class Network:
     """Parameters as views into one flat array."""
 
-    def __init__(self, flat: np.ndarray):
-        self.flat = np.ascontiguousarray(flat, np.float32)
+    def __init__(self, flat: np.ndarray, kind: type = np.float32):
+        self.flat = np.ascontiguousarray(flat, kind)
         at = 0
         for name, shape in _SHAPES.items():
             setattr(self, name, self.flat[at : at + _SIZES[name]].reshape(shape))
             at += _SIZES[name]
 
     @classmethod
-    def initial(cls, class_counts: np.ndarray, seed: int = 0) -> Network:
-        """Small random weights; the constants are the classes' log shares."""
-        net = cls(np.random.default_rng(seed).normal(0, 0.1, sum(_SIZES.values())))
+    def initial(cls, shares: np.ndarray, seed: int = 0) -> Network:
+        """Small random weights; the constants are the experts' log shares."""
+        net = cls(np.random.default_rng(seed).normal(0, 0.1, N_WEIGHTS))
         net.mix_bias[:] = 0
-        net.out_bias[:] = np.log((class_counts + 1) / (class_counts + 1).sum())
+        net.out_bias[:] = np.log(shares)
         return net
 
-    def hidden(self, context: np.ndarray) -> np.ndarray:
-        """``context`` has a row of ``2 * SIDE`` classes per word."""
-        total = np.repeat(self.mix_bias[None], len(context), axis=0)
-        for j in range(2 * SIDE):
-            total += (self.embedding @ self.mix[j])[context[:, j]]
-        return np.tanh(total)
-
-    def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Log-probability of each word's class."""
-        scores = self.hidden(context) @ self.out + self.out_bias
-        top = scores.max(axis=1)
-        own = scores[np.arange(len(target)), target]
-        scores -= top[:, None]
-        return own - top - np.log(np.exp(scores, out=scores).sum(axis=1))
-
-    def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Of the mean negative log-probability, as one flat array."""
-        found = Network(np.zeros_like(self.flat))
-        hidden = self.hidden(context)
-        p = hidden @ self.out + self.out_bias
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(target)), target] -= 1
-        p /= len(target)
-        found.out[:] = hidden.T @ p
-        found.out_bias[:] = p.sum(axis=0)
-        back = (p @ self.out.T) * (1 - hidden * hidden)
+    def forward(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hidden layer and weights of the experts; ``seen`` has a row of vectors per word."""
+        hidden = np.tanh(seen @ self.mix + self.mix_bias)
+        weights = hidden @ self.out + self.out_bias
+        weights -= weights.max(axis=1, keepdims=True)
+        np.exp(weights, out=weights)
+        weights /= weights.sum(axis=1, keepdims=True)
+        return hidden, weights
+
+    def log_probs(self, seen: np.ndarray, chances: np.ndarray) -> np.ndarray:
+        """Log-probability of each word's bucket; ``chances`` has those of the experts."""
+        return np.log(np.einsum("ij,ij->i", self.forward(seen)[1], chances))
+
+    def gradient(self, seen: np.ndarray, chances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the mean negative log-probability, as one flat array, and each word's
+        shares of the experts once the word is known."""
+        found = Network(np.empty_like(self.flat), self.flat.dtype.type)
+        hidden, weights = self.forward(seen)
+        shares = weights * chances
+        shares /= shares.sum(axis=1, keepdims=True)
+        slope = (weights - shares) / len(seen)
+        back = (slope @ self.out.T) * (1 - hidden * hidden)
+        found.out[:] = hidden.T @ slope
+        found.out_bias[:] = slope.sum(axis=0)
+        found.mix[:] = seen.T @ back
         found.mix_bias[:] = back.sum(axis=0)
-        for j in range(2 * SIDE):
-            # Sums per class of the word at that place.
-            order = np.argsort(context[:, j], kind="stable")
-            classes, first = np.unique(context[order, j], return_index=True)
-            sums = np.add.reduceat(back[order], first, axis=0)
-            found.mix[j][:] = self.embedding[classes].T @ sums
-            found.embedding[classes] += sums @ self.mix[j].T
-        return found.flat
+        return found.flat, shares
 
 
 class Adam:
-    """Steps of one task, from the round's parameters on."""
+    """Steps of one chunk, from the round's parameters on."""
 
     def __init__(self, net: Network, rate: float):
         self.net, self.rate, self.n = net, rate, 0
         self.mean = np.zeros_like(net.flat)
         self.square = np.zeros_like(net.flat)
 
-    def step(self, context: np.ndarray, target: np.ndarray) -> None:
-        g = self.net.gradient(context, target)
+    def step(self, seen: np.ndarray, chances: np.ndarray) -> np.ndarray:
+        g, shares = self.net.gradient(seen, chances)
         self.n += 1
         self.mean += 0.1 * (g - self.mean)
         self.square += 0.001 * (g * g - self.square)
         size = np.sqrt(self.square / (1 - 0.999**self.n)) + 1e-8
         self.net.flat -= self.rate * (self.mean / (1 - 0.9**self.n)) / size
+        return shares
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -148,74 +152,47 @@ def buckets_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(48)).astype(np.uint16)
 
 
-def word_buckets(text: str | None) -> np.ndarray:
-    """The bucket of each word."""
-    return buckets_of(word_hashes(text))
-
-
-class Classes:
-    """Class of each bucket, and the log share of each bucket in its class."""
-
-    def __init__(self, counts: np.ndarray):
-        self.bucket_counts = counts
-        smooth = counts + 1.0
-        order = np.lexsort((np.arange(BUCKETS), -counts))
-        # Shared classes by frequency, each with as many words as the others.
-        before = np.cumsum(smooth[order[FREQUENT:]]) - smooth[order[FREQUENT:]]
-        share = (before * SHARED / smooth[order[FREQUENT:]].sum()).astype(int)
-        # None is without a bucket.
-        share = np.clip(share, 0, SHARED - 1)
-        rest = len(share)
-        share = np.minimum(np.maximum(share, np.arange(rest) - rest + SHARED), np.arange(rest))
-        self.of = np.empty(BUCKETS, np.uint16)
-        self.of[order[:FREQUENT]] = np.arange(FREQUENT)
-        self.of[order[FREQUENT:]] = FREQUENT + share
-        self.counts = np.bincount(self.of, weights=smooth, minlength=CLASSES)
-        self.log_share = np.log(smooth / self.counts[self.of])
-
-
-def windows(classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All words of some documents, and the classes around each."""
-    edge = np.full(SIDE, EDGE, np.uint16)
-    parts = [edge]
-    for c in classes:
-        parts += [c, edge]
-    line = np.concatenate(parts)
-    at = np.flatnonzero(line != EDGE)
-    around = [i for i in range(-SIDE, SIDE + 1) if i]
-    return line[at], np.stack([line[at + i] for i in around], axis=1)
-
-
 ENCODED = "chunk long, doc_ids array<long>, sizes binary, words binary, hashes binary"
 
 
 def _encoded(docs: DataFrame) -> DataFrame:
     """Rows of many documents: their words as numbers of the row's distinct hashes,
-    which are in order, and the documents' sizes."""
+    which are in order, and the documents' sizes.
+
+    Which documents share a row, and in which order, depends on the documents alone.
+    """
     arrow = to_arrow_schema(_parse_datatype_string(ENCODED))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partition, n = TaskContext.get().partitionId(), 0
-
-        def row(doc_ids: list, held: list[np.ndarray]) -> pa.RecordBatch:
+        def row(shard: int, n: int, doc_ids: list, held: list[np.ndarray]) -> pa.RecordBatch:
             hashes, words = np.unique(np.concatenate(held), return_inverse=True)
             sizes = np.array([len(x) for x in held], np.int32).tobytes()
-            values = [(partition << 32) + n, doc_ids, sizes, packed(words.astype(numbers_of(len(hashes)))), hashes.tobytes()]
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
+            values = [(shard << 24) + n, doc_ids, sizes, packed(words.astype(numbers_of(len(hashes)))), hashes.tobytes()]
+            return batch_of([values], arrow)
 
-        doc_ids, held, size = [], [], 0
-        for batch in batches:
-            for doc_id, text in zip(*batch.columns):
+        rows = (row for batch in batches for row in zip(*batch.columns))
+        for shard, group in groupby(rows, key=lambda row: row[2].as_py()):
+            doc_ids, held, size, n = [], [], 0, 0
+            for doc_id, text, _ in group:
                 doc_ids.append(doc_id.as_py())
                 held.append(word_hashes(text.as_py()))
                 size += len(held[-1])
                 if size >= CHUNK_WORDS:
-                    yield row(doc_ids, held)
+                    yield row(shard, n, doc_ids, held)
                     doc_ids, held, size, n = [], [], 0, n + 1
-        if held:
-            yield row(doc_ids, held)
+            if held:
+                yield row(shard, n, doc_ids, held)
+
+    size = docs.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
+    shards = size // SHARD_BYTES + 1
+    key = F.xxhash64("doc_id", "text")
+    dealt = docs.select("doc_id", "text", F.pmod(key, F.lit(shards)).alias("shard"), key.alias("key"))
+    dealt = dealt.repartition(min(MOST_TASKS, -(-shards // TASK_SHARDS)), "shard").sortWithinPartitions("shard", "key", "doc_id")
+    return written(dealt.select("doc_id", "text", "shard").mapInArrow(encode, ENCODED), "words")
+
 
-    return written(docs.select("doc_id", "text").mapInArrow(encode, ENCODED), "words")
+def batch_of(rows: list, arrow: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
 
 # How arrays are stored: their size in bytes, then compressed.
@@ -246,16 +223,28 @@ class Chunk:
         else:
             self.hashes = np.frombuffer(row["hashes"], np.uint64)
             self.buckets = buckets_of(self.hashes)
-        self.words = unpacked(row["words"], numbers_of(len(self.buckets)))
+        self.words = unpacked(row["words"], numbers_of(len(self.buckets))).astype(np.int32)
         self.sizes = np.frombuffer(row["sizes"], np.int32)
 
-    def documents(self, values: np.ndarray) -> list[np.ndarray]:
-        """Each document's words, as ``values`` of the distinct ones."""
-        return np.split(values[self.words], np.cumsum(self.sizes)[:-1])
-
     def masked(self, i: int, rounds: int) -> np.ndarray:
-        """The words masked in round ``i``: each of the chunk's is in one round."""
-        return np.random.default_rng(self.id).integers(rounds, size=len(self.words)) == i
+        """The words masked in round ``i``, in random order: each word is in one round."""
+        rng = np.random.default_rng(self.id)
+        order = rng.permutation(len(self.words))
+        return order[i::rounds]
+
+    def windows(self) -> np.ndarray:
+        """The buckets in the places around each word, those before it first."""
+        documents = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        at = np.arange(len(self.words)) + SIDE * (documents + 1)
+        line = np.full(len(self.words) + SIDE * (len(self.sizes) + 1), EDGE, np.int32)
+        line[at] = self.buckets[self.words]
+        return np.stack([line[at + i] for i in range(-SIDE, SIDE + 1) if i], axis=1)
+
+    def sums(self, values: np.ndarray) -> list[float]:
+        """Each document's sum of its words' ``values``."""
+        ends = np.cumsum(np.r_[0, self.sizes])
+        total = np.r_[0.0, np.cumsum(values)]
+        return (total[ends[1:]] - total[ends[:-1]]).tolist()
 
 
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
@@ -264,23 +253,37 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
             yield Chunk(batch.slice(i, 1).to_pylist()[0])
 
 
-def _summed(df: DataFrame, run) -> np.ndarray:
-    """Sums by ``index`` of what tasks give out, as (index, value) rows.
+# Numbers in a row of what tasks add up.
+BLOCK = 1 << 16
+
+
+def summed(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
+    """The sum of the ``size`` numbers that each task gives out.
 
-    The tasks' rows are added up by Spark; as many as there are indices, a number
-    that does not depend on the input, come to the driver.
+    Spark adds them up block by block; only as many as one task gives come to the driver,
+    a number that does not depend on the input.
     """
-    schema = "index int, value double"
+    schema = "block int, data binary"
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = run(batches)
-        index = np.flatnonzero(values)
-        yield pa.RecordBatch.from_arrays([pa.array(index, pa.int32()), pa.array(values[index])], schema=arrow)
-
-    rows = df.mapInArrow(give, schema).groupBy("index").agg(F.sum("value").alias("value")).toPandas()
-    total = np.zeros(int(rows["index"].max()) + 1 if len(rows) else 0)
-    total[rows["index"]] = rows["value"]
+        for block, at in enumerate(range(0, size, BLOCK)):
+            if (part := values[at : at + BLOCK]).any():
+                yield batch_of([(block, packed(part.astype(np.float64)))], arrow)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        for block, group in groupby(rows, key=lambda row: row[0]):
+            total = 0.0
+            for _, data in group:
+                total = total + unpacked(data, np.float64)
+            yield batch_of([(block, packed(total))], arrow)
+
+    total = np.zeros(size)
+    for block, data in df.mapInArrow(give, schema).repartition("block").sortWithinPartitions("block").mapInArrow(add, schema).collect():
+        part = unpacked(data, np.float64)
+        total[block * BLOCK : block * BLOCK + len(part)] = part
     return total
 
 
@@ -294,67 +297,160 @@ def count_buckets(encoded: DataFrame) -> np.ndarray:
             total += np.bincount(chunk.buckets, weights=n, minlength=BUCKETS)
         return total
 
-    found = _summed(encoded, count)
-    return np.pad(found, (0, BUCKETS - len(found)))
+    return summed(encoded, count, BUCKETS)
 
 
-def _masked(read: Iterator[Chunk], classes: Classes, i: int, rounds: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Steps of the words masked in a round, with their windows."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for chunk in read:
-        target, context = windows(chunk.documents(classes.of[chunk.buckets]))
-        chosen = chunk.masked(i, rounds)
-        held.append((target[chosen], context[chosen]))
-        target, context = (np.concatenate(x) for x in zip(*held))
-        whole = len(target) - len(target) % STEP_WORDS
-        for at in range(0, whole, STEP_WORDS):
-            yield target[at : at + STEP_WORDS], context[at : at + STEP_WORDS]
-        held = [(target[whole:], context[whole:])]
-    if held and len(held[0][0]):
-        yield held[0]
+def count_neighbours(encoded: DataFrame, counts: np.ndarray) -> np.ndarray:
+    """How often each bucket has each mark in its window, in the whole corpus."""
+    mark = np.full(BUCKETS + 1, MARKS, np.int32)
+    mark[np.lexsort((np.arange(BUCKETS), -counts))[:MARKS]] = np.arange(MARKS)
+    shared = encoded.sparkSession.sparkContext.broadcast(mark)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(BUCKETS * MARKS, np.int32)
+        for chunk in chunks(batches):
+            around = shared.value[chunk.windows()]
+            own = chunk.buckets[chunk.words].astype(np.int32) * MARKS
+            for j in range(2 * SIDE):
+                at = np.flatnonzero(around[:, j] < MARKS)
+                np.add.at(total, own[at] + around[at, j], 1)
+        return total
 
-def train_round(encoded: DataFrame, net: Network, classes: Classes, i: int, rounds: int, rate: float = RATE) -> Network:
-    """One pass of every task over the round's words of all its documents, and the average."""
-    shared = encoded.sparkSession.sparkContext.broadcast((net.flat, classes))
+    return summed(encoded, count, BUCKETS * MARKS).reshape(BUCKETS, MARKS)
+
+
+def centres(points: np.ndarray, weights: np.ndarray, n: int, steps: int = 15) -> np.ndarray:
+    """Weighted k-means; begins with points far from those before."""
+    rng = np.random.default_rng(0)
+    found = points[[int(np.argmax(weights))]]
+    far = ((points - found[0]) ** 2).sum(axis=1)
+    for _ in range(n - 1):
+        chance = np.cumsum(far * weights)
+        at = int(np.searchsorted(chance, rng.random() * chance[-1])) if chance[-1] else 0
+        found = np.vstack([found, points[min(at, len(points) - 1)]])
+        far = np.minimum(far, ((points - found[-1]) ** 2).sum(axis=1))
+    for _ in range(steps):
+        of = nearest(points, found)
+        size = np.bincount(of, weights=weights, minlength=n)
+        for d in range(points.shape[1]):
+            moved = np.bincount(of, weights=weights * points[:, d], minlength=n)
+            found[:, d] = np.where(size > 0, moved / np.maximum(size, 1e-9), found[:, d])
+    return found
+
+
+def nearest(points: np.ndarray, found: np.ndarray) -> np.ndarray:
+    return np.argmin((found * found).sum(axis=1) - 2 * points @ found.T, axis=1)
+
+
+class Buckets:
+    """What the corpus' counts say of each bucket: its vector, its group's vote, and its
+    chance with each expert before any training. The last vector and vote, those of the
+    places beyond the ends, are zero."""
+
+    def __init__(self, counts: np.ndarray, neighbours: np.ndarray):
+        self.share = (counts + 1) / (counts + 1).sum()
+        near = neighbours.sum(axis=1, keepdims=True)
+        usual = (neighbours.sum(axis=0) + 1) / (neighbours.sum() + MARKS)
+        # Log of how much more often than usual, near nothing for what is rare.
+        ratio = np.log((neighbours + 8 * usual) / ((near + 8) * usual))
+        weights = np.sqrt(counts)
+        axes = np.linalg.eigh((ratio * weights[:, None]).T @ ratio)[1][:, ::-1][:, :VECTOR]
+        points = ratio @ axes
+        scale = np.sqrt((points**2 * self.share[:, None]).sum(axis=0)) + 1e-6
+        self.vectors = np.vstack([points / scale, np.zeros(VECTOR)]).astype(np.float32)
+
+        found = centres(points, weights, EXPERTS)
+        of = nearest(points, found)
+        own = np.full((BUCKETS, EXPERTS), 0.2 / EXPERTS)
+        own[np.arange(BUCKETS), of] += 0.8
+        self.seen = own * (counts[:, None] + 1e-3)
+        sizes = np.bincount(of, weights=counts, minlength=EXPERTS)
+        group = nearest(found, centres(found, np.sqrt(sizes + 1), GROUPS))[of]
+        self.votes = np.zeros((BUCKETS + 1, GROUPS), np.float32)
+        self.votes[np.arange(BUCKETS), group] = (near / (near + 8))[:, 0]
+
+
+def chances_of(seen: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """The experts as distributions over buckets, from the sums of what they have seen."""
+    return ((1 - PLAIN) * seen / seen.sum(axis=0) + PLAIN * share[:, None]).astype(np.float32)
+
+
+class Model:
+    """The network, the experts' distributions, and the buckets' vectors and votes."""
+
+    def __init__(self, net: Network, chances: np.ndarray, vectors: np.ndarray, votes: np.ndarray):
+        self.net, self.chances, self.vectors, self.votes = net, chances, vectors, votes
+
+    def seen(self, context: np.ndarray) -> np.ndarray:
+        return self.vectors[context].reshape(len(context), -1)
+
+    def groups(self, context: np.ndarray) -> np.ndarray:
+        """The group that most words of the window belong to."""
+        total = self.votes[context[:, 0]]
+        for j in range(1, context.shape[1]):
+            total += self.votes[context[:, j]]
+        return np.argmax(total, axis=1)
+
+    def log_probs(self, chunk: Chunk, context: np.ndarray) -> np.ndarray:
+        """Log-probability of each word's bucket, given its window."""
+        found = np.empty(len(context))
+        buckets = chunk.buckets[chunk.words]
+        for at in range(0, len(context), SCORE_WORDS):
+            part = slice(at, at + SCORE_WORDS)
+            found[part] = self.net.log_probs(self.seen(context[part]), self.chances[buckets[part]])
+        return found
+
+
+def train_round(encoded: DataFrame, model: Model, i: int, rounds: int, rate: float) -> tuple[Network, np.ndarray]:
+    """One pass of every chunk over the words it masks in this round: the chunks' networks
+    averaged by their words, and what each expert has seen of each bucket."""
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
 
     def train(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        start, classes = shared.value
-        own = Adam(Network(start.copy()), rate)
-        seen = 0
-        for target, context in _masked(chunks(batches), classes, i, rounds):
-            own.step(context, target)
-            seen += len(target)
-        return np.append(own.net.flat.astype(np.float64) * seen, float(seen))
-
-    total = _summed(encoded, train)
-    size = len(net.flat)
-    if len(total) <= size or not total[size]:
-        return net
-    return Network(total[:size] / total[size])
-
-
-def train_network(encoded: DataFrame, rounds: int = ROUNDS) -> tuple[Network, Classes]:
-    """A network trained over all documents; without words it stays as it began."""
-    classes = Classes(count_buckets(encoded))
-    net = Network.initial(classes.counts)
+        model = shared.value
+        seen = np.zeros((BUCKETS, EXPERTS), np.float32)
+        weights, words = np.zeros(N_WEIGHTS), 0
+        for chunk in chunks(batches):
+            chosen = chunk.masked(i, rounds)
+            if not len(chosen):
+                continue
+            own = Adam(Network(model.net.flat.copy()), rate)
+            context, buckets = chunk.windows()[chosen], chunk.buckets[chunk.words[chosen]]
+            shares = np.empty((len(chosen), EXPERTS), np.float32)
+            for at in range(0, len(chosen), STEP_WORDS):
+                part = slice(at, at + STEP_WORDS)
+                shares[part] = own.step(model.seen(context[part]), model.chances[buckets[part]])
+            order = np.argsort(buckets, kind="stable")
+            distinct, first = np.unique(buckets[order], return_index=True)
+            seen[distinct] += np.add.reduceat(shares[order], first, axis=0)
+            weights += own.net.flat * float(len(chosen))
+            words += len(chosen)
+        return np.concatenate([weights, [words], seen.ravel()])
+
+    total = summed(encoded, train, N_WEIGHTS + 1 + BUCKETS * EXPERTS)
+    weights, words, seen = total[:N_WEIGHTS], total[N_WEIGHTS], total[N_WEIGHTS + 1 :].reshape(BUCKETS, EXPERTS)
+    return (Network(weights / words) if words else model.net), seen
+
+
+def initial_model(encoded: DataFrame) -> tuple[Model, Buckets]:
+    """What the counts alone give."""
+    counts = count_buckets(encoded)
+    buckets = Buckets(counts, count_neighbours(encoded, counts))
+    net = Network.initial(buckets.seen.sum(axis=0) / buckets.seen.sum())
+    return Model(net, chances_of(buckets.seen, buckets.share), buckets.vectors, buckets.votes), buckets
+
+
+def train_model(encoded: DataFrame, rounds: int = ROUNDS) -> Model:
+    """A model trained over all documents; without words it stays as it began."""
+    model, buckets = initial_model(encoded)
+    total = np.zeros((BUCKETS, EXPERTS))
     for i in range(rounds):
-        net = train_round(encoded, net, classes, i, rounds, rate=RATE / (1 + 2 * i))
-    return net, classes
-
-
-def score(net: Network, classes: Classes, documents: list[np.ndarray]) -> list[float]:
-    """Summed log-probability of each document's words, each given its window."""
-    target, context = windows([classes.of[b] for b in documents])
-    found = np.empty(len(target))
-    for at in range(0, len(target), SCORE_WORDS):
-        part = slice(at, at + SCORE_WORDS)
-        found[part] = net.log_probs(context[part], target[part])
-    if documents:
-        found += classes.log_share[np.concatenate(documents)]
-    ends = np.cumsum([0, *map(len, documents)])
-    sums = np.concatenate([[0.0], np.cumsum(found)])
-    return (sums[ends[1:]] - sums[ends[:-1]]).tolist()
+        net, seen = train_round(encoded, model, i, rounds, RATE / (1 + 2 * i))
+        total += seen
+        # An expert that has seen hardly anything keeps to what it began with.
+        known = total + buckets.seen * 1e-3
+        model = Model(net, chances_of(known, buckets.share), model.vectors, model.votes)
+    return model
 
 
 def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -362,41 +458,25 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     ``docs`` has ``doc_id`` and ``text``; other columns are not read. A text that is
     NULL or has no words scores 0, with a NULL mean. Repeated rows have a row each; an
-    empty table gives none.
-
-    Scores depend on how the table is partitioned: every task trains on its own documents, and what tasks
-    have learnt is averaged after each of few rounds. On 1,000 documents one task and sixteen differ by 0.18 per
-    word on average. Compare scores of one run with each other, not with those of another.
+    empty table gives none. Scores do not depend on how the table is partitioned, but for the
+    last digits of sums; they do depend on the other documents.
     """
-    from streamlookup.llm.lm_members import member_scores, train_members, with_members
+    from streamlookup.llm.lm_words import with_words, word_log_probs
 
     encoded = _encoded(docs)
-    net, classes = train_network(encoded, rounds)
-    known = with_members(encoded)
-    members = train_members(known, net, classes, rounds)
-    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, net.flat, classes, members))
+    model = train_model(encoded, rounds)
+    known = with_words(encoded, model)
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model))
     arrow = to_arrow_schema(_parse_datatype_string(SCORES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, flat, classes, members = shared.value
-        net = Network(flat)
+        model = shared.value[1]
         for chunk in chunks(batches):
-            sums, sizes = word_scores(net, classes, members, chunk, member_scores), chunk.sizes.tolist()
+            context = chunk.windows()
+            sums = chunk.sums(model.log_probs(chunk, context) + word_log_probs(model, chunk, context))
+            sizes = chunk.sizes.tolist()
             means = [s / n if n else None for s, n in zip(sums, sizes)]
-            found = [chunk.row["doc_ids"], sizes, sums, means]
+            found = [chunk.row["doc_ids"], sizes, [s if n else 0.0 for s, n in zip(sums, sizes)], means]
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(found, arrow)], schema=arrow)
 
     return known.mapInArrow(run, SCORES)
-
-
-def word_scores(net: Network, classes: Classes, members, chunk: Chunk, member_scores) -> list[float]:
-    """Summed log-probability of each document's words, each given its window."""
-    target, context = windows(chunk.documents(classes.of[chunk.buckets]))
-    found = np.zeros(len(target))
-    for at in range(0, len(target), SCORE_WORDS):
-        part = slice(at, at + SCORE_WORDS)
-        found[part] = net.log_probs(context[part], target[part])
-    found += member_scores(net, classes, members, chunk, context)
-    ends = np.cumsum([0, *chunk.sizes])
-    sums = np.concatenate([[0.0], np.cumsum(found)])
-    return (sums[ends[1:]] - sums[ends[:-1]]).tolist()

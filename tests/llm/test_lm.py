@@ -1,110 +1,187 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
-import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
 
 from streamlookup.llm import lm_scoring as lm
+from streamlookup.llm import lm_words as words
 
 from .conftest import SF_DIR
 
 
-def random_network(seed):
-    rng = np.random.default_rng(seed)
-    return lm.Network(rng.normal(0, 0.3, sum(lm._SIZES.values())))
+def documents(spark, sample, parts=3):
+    rows = [(r["doc_id"], r["text"]) for r in sample]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+
+
+def read(df):
+    return [lm.Chunk(r.asDict()) for r in df.collect()]
 
 
-def some_words(seed, n):
+def random_model(seed):
     rng = np.random.default_rng(seed)
-    return rng.integers(0, lm.CLASSES + 1, (n, 2 * lm.SIDE)), rng.integers(0, lm.CLASSES, n)
+    chances = rng.random((lm.BUCKETS, lm.EXPERTS)) ** 8
+    vectors = np.vstack([rng.normal(size=(lm.BUCKETS, lm.VECTOR)), np.zeros(lm.VECTOR)])
+    votes = np.vstack([rng.random((lm.BUCKETS, lm.GROUPS)), np.zeros(lm.GROUPS)])
+    net = lm.Network(rng.normal(0, 0.3, lm.N_WEIGHTS))
+    return lm.Model(net, (chances / chances.sum(axis=0)).astype(np.float32), vectors.astype(np.float32), votes.astype(np.float32))
 
 
 def test_gradient():
-    net, (context, target) = random_network(0), some_words(1, 40)
-    # In double precision, for differences.
-    wide = lm.Network(net.flat)
-    wide.flat = net.flat.astype(np.float64)
-    at = 0
-    for name, shape in lm._SHAPES.items():
-        setattr(wide, name, wide.flat[at : at + lm._SIZES[name]].reshape(shape))
-        at += lm._SIZES[name]
-    slope = net.gradient(context, target)
-    rng = np.random.default_rng(2)
-    for i in rng.choice(len(slope), 60, replace=False):
+    rng = np.random.default_rng(0)
+    net = lm.Network(rng.normal(0, 0.3, lm.N_WEIGHTS), np.float64)
+    seen, chances = rng.normal(size=(40, 2 * lm.SIDE * lm.VECTOR)), rng.random((40, lm.EXPERTS))
+    slope, shares = net.gradient(seen, chances)
+    assert np.allclose(shares.sum(axis=1), 1)
+    for i in rng.choice(len(slope), 80, replace=False):
         values = []
         for step in (1e-5, -1e-5):
-            wide.flat[i] += step
-            values.append(-wide.log_probs(context, target).mean())
-            wide.flat[i] -= step
-        assert abs((values[0] - values[1]) / 2e-5 - slope[i]) < 1e-4
-
-
-def test_probabilities_add_up():
-    net, (context, _) = random_network(3), some_words(4, 1)
-    classes = np.arange(lm.CLASSES)
-    total = np.exp(net.log_probs(np.repeat(context, len(classes), axis=0), classes)).sum()
-    assert abs(total - 1) < 1e-4
-
-
-def test_bucket_shares_add_up():
-    counts = np.random.default_rng(0).integers(0, 50, lm.BUCKETS).astype(float)
-    classes = lm.Classes(counts)
-    shares = np.bincount(classes.of, weights=np.exp(classes.log_share), minlength=lm.CLASSES)
-    assert np.allclose(shares, 1) and len(np.unique(classes.of)) == lm.CLASSES
-    top = np.argsort(-counts, kind="stable")[: lm.FREQUENT]
-    assert sorted(classes.of[top]) == list(range(lm.FREQUENT))
-
-
-def plain_score(net, classes, buckets):
-    """Word by word: the window around it, then the log of its probability."""
-    line = [lm.EDGE] * lm.SIDE + [int(classes.of[b]) for b in buckets] + [lm.EDGE] * lm.SIDE
-    total = 0.0
-    for i, bucket in enumerate(buckets):
-        around = line[i : i + lm.SIDE] + line[i + lm.SIDE + 1 : i + 2 * lm.SIDE + 1]
-        hidden = net.mix_bias.astype(float)
-        for j, c in enumerate(around):
-            hidden = hidden + net.embedding[c].astype(float) @ net.mix[j].astype(float)
-        scores = np.tanh(hidden) @ net.out.astype(float) + net.out_bias
-        total += scores[classes.of[bucket]] - np.log(np.exp(scores).sum()) + classes.log_share[bucket]
-    return total
-
-
-def test_scores():
-    rng = np.random.default_rng(5)
-    classes = lm.Classes(rng.integers(0, 9, lm.BUCKETS).astype(float))
-    documents = [rng.integers(0, lm.BUCKETS, n).astype(np.uint16) for n in (7, 0, 1, 2, 90, 0)]
-    net = random_network(6)
-    expected = [plain_score(net, classes, d) for d in documents]
-    assert np.allclose(lm.score(net, classes, documents), expected, rtol=1e-4)
-    assert lm.score(net, classes, []) == []
-
-
-def test_all_words_are_counted(spark, sample):
-    docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in sample], "doc_id long, text string").repartition(3)
-    expected = sum(np.bincount(lm.word_buckets(r["text"]), minlength=lm.BUCKETS) for r in sample)
-    assert (lm.count_buckets(lm._encoded(docs)) == expected).all()
+            net.flat[i] += step
+            values.append(-net.log_probs(seen, chances).mean())
+            net.flat[i] -= step
+        assert abs((values[0] - values[1]) / 2e-5 - slope[i]) < 1e-6
+
+
+def test_chances_of_all_buckets_add_up():
+    model = random_model(1)
+    seen = model.seen(np.random.default_rng(2).integers(0, lm.BUCKETS + 1, (1, 2 * lm.SIDE)))
+    weights = model.net.forward(seen)[1]
+    assert abs((model.chances.astype(float) @ weights[0]).sum() - 1) < 1e-4
+    share = np.random.default_rng(3).random(lm.BUCKETS)
+    found = lm.chances_of(np.random.default_rng(4).random((lm.BUCKETS, lm.EXPERTS)), share / share.sum())
+    assert np.allclose(found.sum(axis=0), 1, atol=1e-4) and (found > 0).all()
+
+
+def test_chances_of_a_buckets_words_add_up():
+    rng = np.random.default_rng(0)
+    hashes = np.unique(rng.integers(0, 40, 300).astype(np.uint64) << np.uint64(48) | rng.integers(0, 1 << 40, 300).astype(np.uint64))
+    counts = rng.integers(0, 9, (len(hashes), lm.GROUPS)).astype(float)
+    counts[:, 0] += 1
+    found = np.exp(words.shares_in(hashes, counts).astype(float))
+    bucket = (hashes >> np.uint64(48)).astype(int)
+    for b in np.unique(bucket):
+        assert np.allclose(found[bucket == b].sum(axis=0), 1, atol=5e-3)
+
+
+def plain_scores(model, texts, tables):
+    """Word by word: the window, the network in double precision, the mixture, the word's share."""
+    for text in texts:
+        hashes = lm.word_hashes(text).tolist()
+        line = [lm.EDGE] * lm.SIDE + [h >> 48 for h in hashes] + [lm.EDGE] * lm.SIDE
+        total = 0.0
+        for i, h in enumerate(hashes):
+            around = line[i : i + lm.SIDE] + line[i + lm.SIDE + 1 : i + 2 * lm.SIDE + 1]
+            seen = [float(x) for b in around for x in model.vectors[b]]
+            hidden = np.tanh(np.array(seen) @ model.net.mix.astype(float) + model.net.mix_bias)
+            scores = np.exp(hidden @ model.net.out.astype(float) + model.net.out_bias)
+            chance = sum(s / scores.sum() * float(c) for s, c in zip(scores, model.chances[h >> 48]))
+            group = int(np.argmax(sum(model.votes[b] for b in around)))
+            total += math.log(chance) + tables[h][group]
+        yield total
+
+
+def plain_table(model, texts):
+    """Each word's log share of its bucket's count in each group, from plain dictionaries."""
+    counts: dict[int, list[float]] = {}
+    for text in texts:
+        hashes = lm.word_hashes(text).tolist()
+        line = [lm.EDGE] * lm.SIDE + [h >> 48 for h in hashes] + [lm.EDGE] * lm.SIDE
+        for i, h in enumerate(hashes):
+            around = line[i : i + lm.SIDE] + line[i + lm.SIDE + 1 : i + 2 * lm.SIDE + 1]
+            group = int(np.argmax(sum(model.votes[b] for b in around)))
+            counts.setdefault(h, [0.0] * lm.GROUPS)[group] += 1
+    buckets: dict[int, list[float]] = {}
+    for h, c in counts.items():
+        buckets[h >> 48] = [a + b for a, b in zip(buckets.get(h >> 48, [0.0] * lm.GROUPS), c)]
+    found = {}
+    for h, c in counts.items():
+        whole = buckets[h >> 48]
+        plain = sum(c) / sum(whole)
+        found[h] = [math.log((x + words.PLAIN_COUNT * plain) / (w + words.PLAIN_COUNT)) for x, w in zip(c, whole)]
+    return found
+
+
+def test_scores_word_by_word(spark, sample, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_BYTES", 20_000)
+    texts = {r["doc_id"]: r["text"] for r in sample[:60]}
+    docs = documents(spark, sample[:60])
+    known = lm._encoded(docs)
+    model = random_model(6)
+    chunks = read(words.with_words(known, model))
+    assert len(chunks) > 1 and sum(c.row["n_words"] for c in chunks) == len({w for t in texts.values() for w in (t or "").encode().lower().split()})
+    found = {}
+    for c in chunks:
+        context = c.windows()
+        found.update(zip(c.row["doc_ids"], c.sums(model.log_probs(c, context) + words.word_log_probs(model, c, context))))
+    expected = dict(zip(texts, plain_scores(model, texts.values(), plain_table(model, texts.values()))))
+    assert found.keys() == expected.keys()
+    for doc_id, total in expected.items():
+        n = len((texts[doc_id] or "").split())
+        assert abs(found[doc_id] - total) < 1e-3 * max(n, 1)
+
+
+def test_counts(spark, sample):
+    encoded = lm._encoded(documents(spark, sample))
+    counts = np.zeros(lm.BUCKETS)
+    lines = [(lm.word_hashes(r["text"]) >> np.uint64(48)).astype(int).tolist() for r in sample]
+    for line in lines:
+        np.add.at(counts, line, 1)
+    assert (lm.count_buckets(encoded) == counts).all()
+    marks = np.lexsort((np.arange(lm.BUCKETS), -counts))[: lm.MARKS].tolist()
+    place = {b: i for i, b in enumerate(marks)}
+    expected = np.zeros((lm.BUCKETS, lm.MARKS))
+    for line in lines:
+        for i, b in enumerate(line):
+            for other in line[max(0, i - lm.SIDE) : i] + line[i + 1 : i + 1 + lm.SIDE]:
+                if other in place:
+                    expected[b, place[other]] += 1
+    assert (lm.count_neighbours(encoded, counts) == expected).all()
+
+
+def test_every_word_is_masked_once(spark, sample):
+    for chunk in read(lm._encoded(documents(spark, sample))):
+        chosen = np.concatenate([chunk.masked(i, 3) for i in range(3)])
+        assert sorted(chosen.tolist()) == list(range(len(chunk.words)))
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_BYTES", 1 << 18)
+    docs = spark.read.parquet(SF_DIR.replace("0.001", "0.01") + "/documents.parquet").select("doc_id", "text")
+    found = []
+    for parts in (1, 4, 16):
+        rows = lm.score_documents(docs.repartition(parts, F.rand(parts))).collect()
+        found.append({r.doc_id: (r.n_words, r.mean_log_prob or 0.0) for r in rows})
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        for doc_id, (n, mean) in found[0].items():
+            assert other[doc_id][0] == n and abs(other[doc_id][1] - mean) < 0.01
 
 
 def test_training_helps_on_held_out_documents(spark):
-    path = SF_DIR.replace("0.001", "0.01") + "/documents.parquet"
-    docs, sample = spark.read.parquet(path), pq.read_table(path).to_pylist()
-    seen = lm._encoded(docs.where("doc_id % 4 > 0").repartition(3))
-    net, classes = lm.train_network(seen, rounds=2)
-    held = [lm.word_buckets(r["text"]) for r in sample if r["doc_id"] % 4 == 0]
-    words = sum(map(len, held))
-    before = sum(lm.score(lm.Network.initial(classes.counts), classes, held)) / words
-    assert sum(lm.score(net, classes, held)) / words > before + 0.01
+    docs = spark.read.parquet(SF_DIR.replace("0.001", "0.01") + "/documents.parquet").select("doc_id", "text")
+    seen = lm._encoded(docs.where("doc_id % 4 > 0"))
+    start, buckets = lm.initial_model(seen)
+    model = lm.train_model(seen)
+    held = read(lm._encoded(docs.where("doc_id % 4 = 0")))
+    n = sum(len(c.words) for c in held)
+    shares = sum(np.log(buckets.share[c.buckets[c.words]]).sum() for c in held) / n
+    before, after = (sum(m.log_probs(c, c.windows()).sum() for c in held) / n for m in (start, model))
+    assert after > max(shares, before) + 0.4
 
 
 def test_prose_scores_above_shuffled_words(spark):
     rng = random.Random(0)
     order = [f"w{i}" for i in range(40)]
     texts = [" ".join(order[(s + i) % 40] for i in range(60)) for s in rng.choices(range(40), k=3000)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
-    net, classes = lm.train_network(lm._encoded(docs), rounds=4)
     shuffled = [" ".join(rng.sample(t.split(), 60)) for t in texts[:50]]
-    good, bad = (np.mean(lm.score(net, classes, [lm.word_buckets(t) for t in x])) for x in (texts[:50], shuffled))
+    rows = list(enumerate(texts + shuffled))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    found = {r.doc_id: r.log_prob for r in lm.score_documents(docs, rounds=4).collect()}
+    good, bad = (np.mean([found[i] for i in x]) for x in (range(50), range(3000, 3050)))
     assert good > bad + 20
 
 
@@ -114,5 +191,6 @@ def test_odd_documents(odd_docs, no_docs):
     assert sorted((r.doc_id or 0, r.n_words) for r in found) == sorted((d or 0, len((t or "").encode().split())) for d, t in rows)
     for r in found:
         assert (r.log_prob < 0 and abs(r.mean_log_prob * r.n_words - r.log_prob) < 1e-6) if r.n_words else (r.log_prob, r.mean_log_prob) == (0.0, None)
-    assert len({r.log_prob for r in found if r.doc_id == 1}) == 1
+    repeated = [r.log_prob for r in found if r.doc_id == 1]
+    assert len(repeated) == 2 and repeated[0] == pytest.approx(repeated[1])
     assert lm.score_documents(no_docs).collect() == []
