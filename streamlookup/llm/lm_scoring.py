@@ -57,11 +57,11 @@ STEP_WORDS = 1024
 RATE = 0.01
 
 # Bytes of text dealt together, and the words at which their row is cut.
-SHARD_BYTES = 1 << 21
-CHUNK_WORDS = 1 << 19
+SHARD_BYTES = 1 << 22
+CHUNK_WORDS = 1 << 20
 
 # Shards that a task encodes, and the most tasks.
-TASK_SHARDS, MOST_TASKS = 8, 1 << 16
+TASK_SHARDS, MOST_TASKS = 12, 1 << 16
 
 # Words scored at once.
 SCORE_WORDS = 8192
@@ -187,7 +187,8 @@ def _encoded(docs: DataFrame) -> DataFrame:
     shards = size // SHARD_BYTES + 1
     key = F.xxhash64("doc_id", "text")
     dealt = docs.select("doc_id", "text", F.pmod(key, F.lit(shards)).alias("shard"), key.alias("key"))
-    dealt = dealt.repartition(min(MOST_TASKS, -(-shards // TASK_SHARDS)), "shard").sortWithinPartitions("shard", "key", "doc_id")
+    tasks = min(MOST_TASKS, -(-shards // TASK_SHARDS))
+    dealt = dealt.repartitionById(tasks, (F.col("shard") % tasks).cast("int")).sortWithinPartitions("shard", "key", "doc_id")
     return written(dealt.select("doc_id", "text", "shard").mapInArrow(encode, ENCODED), "words")
 
 
@@ -195,17 +196,20 @@ def batch_of(rows: list, arrow: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
 
-# How arrays are stored: their size in bytes, then compressed.
+# How arrays are stored: their size in bytes, then the numbers' first bytes, second
+# bytes and so on, compressed.
 _CODEC = "zstd"
 
 
 def packed(values: np.ndarray) -> bytes:
-    return values.nbytes.to_bytes(8) + pa.compress(values.tobytes(), codec=_CODEC, asbytes=True)
+    parts = np.ascontiguousarray(values).reshape(-1).view(np.uint8).reshape(-1, values.itemsize).T
+    return values.nbytes.to_bytes(8) + pa.compress(parts.tobytes(), codec=_CODEC, asbytes=True)
 
 
 def unpacked(data: bytes, kind: type) -> np.ndarray:
     size = int.from_bytes(data[:8])
-    return np.frombuffer(pa.decompress(data[8:], size, codec=_CODEC, asbytes=True), kind)
+    parts = np.frombuffer(pa.decompress(data[8:], size, codec=_CODEC, asbytes=True), np.uint8)
+    return np.ascontiguousarray(parts.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
 
 def numbers_of(n: int) -> type:
@@ -257,8 +261,8 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
 BLOCK = 1 << 16
 
 
-def summed(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
-    """The sum of the ``size`` numbers that each task gives out.
+def summed(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int, kind: type = np.float64) -> np.ndarray:
+    """The sum of the ``size`` numbers that each task gives out, as ``kind``.
 
     Spark adds them up block by block; only as many as one task gives come to the driver,
     a number that does not depend on the input.
@@ -270,14 +274,14 @@ def summed(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], np.ndarray],
         values = run(batches)
         for block, at in enumerate(range(0, size, BLOCK)):
             if (part := values[at : at + BLOCK]).any():
-                yield batch_of([(block, packed(part.astype(np.float64)))], arrow)
+                yield batch_of([(block, packed(part.astype(kind)))], arrow)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
         for block, group in groupby(rows, key=lambda row: row[0]):
             total = 0.0
             for _, data in group:
-                total = total + unpacked(data, np.float64)
+                total = total + unpacked(data, kind).astype(np.float64)
             yield batch_of([(block, packed(total))], arrow)
 
     total = np.zeros(size)
@@ -316,7 +320,7 @@ def count_neighbours(encoded: DataFrame, counts: np.ndarray) -> np.ndarray:
                 np.add.at(total, own[at] + around[at, j], 1)
         return total
 
-    return summed(encoded, count, BUCKETS * MARKS).reshape(BUCKETS, MARKS)
+    return summed(encoded, count, BUCKETS * MARKS, np.int32).reshape(BUCKETS, MARKS)
 
 
 def centres(points: np.ndarray, weights: np.ndarray, n: int, steps: int = 15) -> np.ndarray:
@@ -376,7 +380,11 @@ def chances_of(seen: np.ndarray, share: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """The network, the experts' distributions, and the buckets' vectors and votes."""
+    """The network, the experts' distributions, and the buckets' vectors and votes.
+
+    ``met`` says how often each bucket occurs in windows of each group."""
+
+    met: np.ndarray
 
     def __init__(self, net: Network, chances: np.ndarray, vectors: np.ndarray, votes: np.ndarray):
         self.net, self.chances, self.vectors, self.votes = net, chances, vectors, votes
@@ -427,11 +435,25 @@ def train_round(encoded: DataFrame, model: Model, i: int, rounds: int, rate: flo
             words += len(chosen)
         return np.concatenate([weights, [words], seen.ravel()])
 
-    total = summed(encoded, train, N_WEIGHTS + 1 + BUCKETS * EXPERTS)
+    total = summed(encoded, train, N_WEIGHTS + 1 + BUCKETS * EXPERTS, np.float32)
     weights, words, seen = total[:N_WEIGHTS], total[N_WEIGHTS], total[N_WEIGHTS + 1 :].reshape(BUCKETS, EXPERTS)
     return (Network(weights / words) if words else model.net), seen
 
 
+def count_groups(encoded: DataFrame, model: Model) -> np.ndarray:
+    """How often each bucket occurs in windows of each group, in the whole corpus."""
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(BUCKETS * GROUPS)
+        for chunk in chunks(batches):
+            own = chunk.buckets[chunk.words].astype(np.int32) * GROUPS
+            total += np.bincount(own + shared.value.groups(chunk.windows()), minlength=len(total))
+        return total
+
+    return summed(encoded, count, BUCKETS * GROUPS).reshape(BUCKETS, GROUPS)
+
+
 def initial_model(encoded: DataFrame) -> tuple[Model, Buckets]:
     """What the counts alone give."""
     counts = count_buckets(encoded)
@@ -465,6 +487,7 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     encoded = _encoded(docs)
     model = train_model(encoded, rounds)
+    model.met = count_groups(encoded, model)
     known = with_words(encoded, model)
     shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model))
     arrow = to_arrow_schema(_parse_datatype_string(SCORES))

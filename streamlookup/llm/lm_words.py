@@ -21,7 +21,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from streamlookup.llm.lm_scoring import GROUPS, Chunk, Model, batch_of, chunks, packed, unpacked
-from streamlookup.sources.shared import written
 
 # Occurrences that the share in all groups counts as.
 PLAIN_COUNT = 4.0
@@ -31,23 +30,19 @@ SHARD_PAIRS = 1 << 20
 SHARDS = (16, 1 << 16)
 
 _ASKED = "shard int, chunk long, hashes binary, counts binary"
-_KNOWN = "chunk long, {}doc_ids array<long>, sizes binary, words binary, buckets binary, chances binary, n_words long"
+_KNOWN = "chunk long, {}doc_ids array<long>, sizes binary, words binary, buckets binary, counts binary, n_words long"
 _GIVEN, _PLACES = _KNOWN.format("shard int, "), _KNOWN.format("")
 
 
-def shares_in(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """For distinct words of whole buckets, in order, and their counts by group: the log of
-    each word's chance in its bucket, by group."""
-    bucket = hashes >> np.uint64(48)
-    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-    sizes = np.diff(np.r_[first, len(bucket)])
-    whole = np.repeat(np.add.reduceat(counts, first, axis=0), sizes, axis=0)
+def shares_in(counts: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """The log of each word's chance in its bucket, by group, from the word's counts by group
+    and those of its whole bucket."""
     plain = counts.sum(axis=1, keepdims=True) / whole.sum(axis=1, keepdims=True)
-    return np.log((counts + PLAIN_COUNT * plain) / (whole + PLAIN_COUNT)).astype(np.float16)
+    return np.log((counts + PLAIN_COUNT * plain) / (whole + PLAIN_COUNT))
 
 
 def with_words(encoded: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``encoded`` with the chances of their words in each group (``chances``),
+    """The rows of ``encoded`` with their words' counts in the whole corpus by group (``counts``),
     and buckets instead of hashes.
 
     ``n_words`` adds up to the size of the vocabulary over all rows.
@@ -79,12 +74,11 @@ def with_words(encoded: DataFrame, model: Model) -> DataFrame:
                 counts.append(c)
             known, index = np.unique(np.concatenate(hashes), return_inverse=True)
             parts = np.split(index, np.cumsum([len(h) for h in hashes])[:-1])
-            total = np.zeros((len(known), GROUPS))
+            total = np.zeros((len(known), GROUPS), np.int64)
             for part, c in zip(parts, counts):
                 total[part] += unpacked(c, np.uint32).reshape(-1, GROUPS)  # distinct within a chunk
-            found = shares_in(known, total)
             for i, part in enumerate(parts):
-                yield batch_of([(ids[i], shard, None, None, None, None, packed(found[part]), 0 if i else len(known))], arrows[_GIVEN])
+                yield batch_of([(ids[i], shard, None, None, None, None, packed(total[part]), 0 if i else len(known))], arrows[_GIVEN])
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
@@ -94,16 +88,16 @@ def with_words(encoded: DataFrame, model: Model) -> DataFrame:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, group in groupby(rows_of(batches), key=lambda row: row[0]):
             first, *others = group  # the row itself, then what its shards answer
-            found = np.concatenate([unpacked(row[6], np.float16) for row in others] or [np.empty(0, np.float16)])
+            found = np.concatenate([unpacked(row[6], np.int64) for row in others] or [np.empty(0, np.int64)])
             yield batch_of([(chunk, *first[2:6], packed(found), sum(row[7] for row in others))], arrows[_PLACES])
 
     requests = encoded.select("chunk", "sizes", "words", "hashes").mapInArrow(ask, _ASKED)
     answers = requests.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(answer, _GIVEN)
     rows = encoded.mapInArrow(own, _GIVEN).union(answers).repartition("chunk").sortWithinPartitions("chunk", "shard")
-    return written(rows.mapInArrow(gather, _PLACES), "members")
+    return rows.mapInArrow(gather, _PLACES)
 
 
 def word_log_probs(model: Model, chunk: Chunk, context: np.ndarray) -> np.ndarray:
     """Log-probability of each word in its bucket, given its window."""
-    chances = unpacked(chunk.row["chances"], np.float16).reshape(-1, GROUPS)
-    return chances[chunk.words, model.groups(context)].astype(np.float64)
+    counts = unpacked(chunk.row["counts"], np.int64).reshape(-1, GROUPS)
+    return shares_in(counts, model.met[chunk.buckets])[chunk.words, model.groups(context)]
