@@ -18,9 +18,12 @@ table is partitioned. Chunks go on from the round's parameters, and theirs are a
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
 from itertools import groupby
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +45,7 @@ VECTOR = 16
 
 # Words on each side, and sizes of the network's layers.
 SIDE = 3
+AROUND = [i for i in range(-SIDE, SIDE + 1) if i]
 HIDDEN = 32
 EXPERTS = 32
 
@@ -57,11 +61,11 @@ STEP_WORDS = 1024
 RATE = 0.01
 
 # Bytes of text dealt together, and the words at which their row is cut.
-SHARD_BYTES = 1 << 22
-CHUNK_WORDS = 1 << 20
+SHARD_BYTES = 1 << 21
+CHUNK_WORDS = 1 << 19
 
 # Shards that a task encodes, and the most tasks.
-TASK_SHARDS, MOST_TASKS = 12, 1 << 16
+TASK_SHARDS, MOST_TASKS = 24, 1 << 16
 
 # Words scored at once.
 SCORE_WORDS = 8192
@@ -236,13 +240,20 @@ class Chunk:
         order = rng.permutation(len(self.words))
         return order[i::rounds]
 
-    def windows(self) -> np.ndarray:
-        """The buckets in the places around each word, those before it first."""
+    def line(self) -> tuple[np.ndarray, np.ndarray]:
+        """The buckets of all words with places beyond the ends between documents, and
+        where the words are."""
         documents = np.repeat(np.arange(len(self.sizes)), self.sizes)
         at = np.arange(len(self.words)) + SIDE * (documents + 1)
         line = np.full(len(self.words) + SIDE * (len(self.sizes) + 1), EDGE, np.int32)
         line[at] = self.buckets[self.words]
-        return np.stack([line[at + i] for i in range(-SIDE, SIDE + 1) if i], axis=1)
+        return line, at
+
+    def windows(self, chosen: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """The buckets in the places around each chosen word, those before it first."""
+        line, at = self.line()
+        at = at[chosen]
+        return np.stack([line[at + i] for i in AROUND], axis=1)
 
     def sums(self, values: np.ndarray) -> list[float]:
         """Each document's sum of its words' ``values``."""
@@ -251,7 +262,17 @@ class Chunk:
         return (total[ends[1:]] - total[ends[:-1]]).tolist()
 
 
+@cache
+def one_thread() -> None:
+    """Products of small matrices take twice the CPU time if numpy spreads them over threads,
+    and a task has one core: tell the OpenBLAS of numpy's wheels, where there is one."""
+    for file in Path(np.__file__).parent.parent.glob("numpy.libs/*openblas*"):
+        if tell := getattr(ctypes.CDLL(str(file)), "scipy_openblas_set_num_threads64_", None):
+            tell(1)
+
+
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+    one_thread()
     for batch in batches:
         for i in range(batch.num_rows):
             yield Chunk(batch.slice(i, 1).to_pylist()[0])
@@ -392,12 +413,15 @@ class Model:
     def seen(self, context: np.ndarray) -> np.ndarray:
         return self.vectors[context].reshape(len(context), -1)
 
-    def groups(self, context: np.ndarray) -> np.ndarray:
-        """The group that most words of the window belong to."""
-        total = self.votes[context[:, 0]]
-        for j in range(1, context.shape[1]):
-            total += self.votes[context[:, j]]
-        return np.argmax(total, axis=1)
+    def groups(self, chunk: Chunk) -> np.ndarray:
+        """The group that most words of each word's window belong to."""
+        line, at = chunk.line()
+        votes = self.votes[line]
+        n = len(line) - 2 * SIDE
+        total = np.zeros((n, GROUPS), np.float32)
+        for i in AROUND:
+            total += votes[SIDE + i : SIDE + i + n]
+        return np.argmax(total, axis=1)[at - SIDE]
 
     def log_probs(self, chunk: Chunk, context: np.ndarray) -> np.ndarray:
         """Log-probability of each word's bucket, given its window."""
@@ -423,7 +447,7 @@ def train_round(encoded: DataFrame, model: Model, i: int, rounds: int, rate: flo
             if not len(chosen):
                 continue
             own = Adam(Network(model.net.flat.copy()), rate)
-            context, buckets = chunk.windows()[chosen], chunk.buckets[chunk.words[chosen]]
+            context, buckets = chunk.windows(chosen), chunk.buckets[chunk.words[chosen]]
             shares = np.empty((len(chosen), EXPERTS), np.float32)
             for at in range(0, len(chosen), STEP_WORDS):
                 part = slice(at, at + STEP_WORDS)
@@ -448,7 +472,7 @@ def count_groups(encoded: DataFrame, model: Model) -> np.ndarray:
         total = np.zeros(BUCKETS * GROUPS)
         for chunk in chunks(batches):
             own = chunk.buckets[chunk.words].astype(np.int32) * GROUPS
-            total += np.bincount(own + shared.value.groups(chunk.windows()), minlength=len(total))
+            total += np.bincount(own + shared.value.groups(chunk), minlength=len(total))
         return total
 
     return summed(encoded, count, BUCKETS * GROUPS).reshape(BUCKETS, GROUPS)
@@ -495,8 +519,7 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value[1]
         for chunk in chunks(batches):
-            context = chunk.windows()
-            sums = chunk.sums(model.log_probs(chunk, context) + word_log_probs(model, chunk, context))
+            sums = chunk.sums(model.log_probs(chunk, chunk.windows()) + word_log_probs(model, chunk))
             sizes = chunk.sizes.tolist()
             means = [s / n if n else None for s, n in zip(sums, sizes)]
             found = [chunk.row["doc_ids"], sizes, [s if n else 0.0 for s, n in zip(sums, sizes)], means]

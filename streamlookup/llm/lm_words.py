@@ -58,7 +58,7 @@ def with_words(encoded: DataFrame, model: Model) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
-            key = chunk.words.astype(np.int64) * GROUPS + shared.value.groups(chunk.windows())
+            key = chunk.words.astype(np.int64) * GROUPS + shared.value.groups(chunk)
             counts = np.bincount(key, minlength=len(chunk.hashes) * GROUPS).astype(np.uint32).reshape(-1, GROUPS)
             ends = np.searchsorted(chunk.hashes >> np.uint64(64 - bits), np.arange(n + 1).astype(np.uint64))
             for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
@@ -97,7 +97,7 @@ def with_words(encoded: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(gather, _PLACES)
 
 
-def word_log_probs(model: Model, chunk: Chunk, context: np.ndarray) -> np.ndarray:
+def word_log_probs(model: Model, chunk: Chunk) -> np.ndarray:
     """Log-probability of each word in its bucket, given its window."""
     counts = unpacked(chunk.row["counts"], np.int64).reshape(-1, GROUPS)
-    return shares_in(counts, model.met[chunk.buckets])[chunk.words, model.groups(context)]
+    return shares_in(counts, model.met[chunk.buckets])[chunk.words, model.groups(chunk)]

@@ -117,8 +117,7 @@ def test_scores_word_by_word(spark, sample, monkeypatch):
     assert len(chunks) > 1 and sum(c.row["n_words"] for c in chunks) == len({w for t in texts.values() for w in (t or "").encode().lower().split()})
     found = {}
     for c in chunks:
-        context = c.windows()
-        found.update(zip(c.row["doc_ids"], c.sums(model.log_probs(c, context) + words.word_log_probs(model, c, context))))
+        found.update(zip(c.row["doc_ids"], c.sums(model.log_probs(c, c.windows()) + words.word_log_probs(model, c))))
     expected = dict(zip(texts, plain_scores(model, texts.values(), plain_table(model, texts.values()))))
     assert found.keys() == expected.keys()
     for doc_id, total in expected.items():
