@@ -61,11 +61,11 @@ STEP_WORDS = 1024
 RATE = 0.01
 
 # Bytes of text dealt together, and the words at which their row is cut.
-SHARD_BYTES = 1 << 21
-CHUNK_WORDS = 1 << 19
+SHARD_BYTES = 1 << 20
+CHUNK_WORDS = 1 << 18
 
 # Shards that a task encodes, and the most tasks.
-TASK_SHARDS, MOST_TASKS = 24, 1 << 16
+TASK_SHARDS, MOST_TASKS = 48, 1 << 16
 
 # Words scored at once.
 SCORE_WORDS = 8192
