@@ -104,6 +104,15 @@ def test_costly_rules_come_later(spark, sample):
     assert "costly" not in {r["rejected_by"] for r in found}
 
 
+def test_all_counts_are_reported(spark):
+    """A document's row has its distinct words and its lines, and the SQL reports them too."""
+    found = rows_of(spark, list(enumerate(TEXTS)))
+    for i, text in enumerate(TEXTS):
+        assert {c: found[i][c] for c in quality_rules.COUNTS} == plain_metrics(text), text
+    for count in quality_rules.COUNTS:
+        assert f"{count}," in ORACLE_SQL["op10_quality_rules"].split("FROM counted)")[-1]
+
+
 def test_rules_have_their_own_metrics(spark):
     """What only a rule needs is in no row's counts, and the sample does not hang on partitions."""
     assert quality_rules.METRICS == ("n_words", "n_repeat_words", "n_dup_lines", "word_chars", "n_symbols")
