@@ -49,6 +49,9 @@ DELAY = "10 minutes"
 FIVE_MINUTES = timedelta(minutes=5)
 DAY_LONG = timedelta(days=1)
 
+# Events of a window that wait together for the other stream's.
+PART_ROWS = 50
+
 
 def stream_lookup_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -222,11 +225,12 @@ def stream_late_side(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_correlated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two streams of one event each, its type and its value, joined on its id in its window."""
+    parts = chunks_for(with_window(stored_events(spark, sf_dir), "ts", WINDOW), ["window"], PART_ROWS)
 
     def build(events: DataFrame) -> DataFrame:
         types = events.select("event_id", "ts", "event_type")
         values = events.select("event_id", "ts", cents("value").alias("cents"))
-        both = correlate(types, values, ["event_id"], "ts", WINDOW)
+        both = correlate(types, values, ["event_id"], "ts", WINDOW, emit="on_window_close", parts=parts)
         return both.select("event_id", "left.event_type", "right.cents", F.unix_millis("window.start").alias("window_start"))
 
     events = ordered_event_stream(spark, sf_dir).select("event_id", "ts", "event_type", "value")

@@ -111,6 +111,30 @@ def test_correlate_in_batch(spark):
     assert all(r["window"] is not None for r in outer)
 
 
+@pytest.mark.parametrize("how", ["inner", "left_outer", "right_outer", "full_outer"])
+def test_correlated_when_a_window_closes(spark, tmp_path, how):
+    """The pairs of a batch join, with keys that are NULL or repeated, from a state of lists."""
+    rows = spark.range(400).selectExpr(
+        "if(id % 50 = 0, null, id % 150) AS a", "if(id % 70 = 0, null, id % 2) AS b", "timestamp_seconds(id * 3) AS ts", "id AS x",
+        "array(id) AS y")
+    events = with_event_time(stream_of(spark, [rows.where("x < 200"), rows.where("x >= 200")], tmp_path / "in"))
+
+    def build(marked, **options):
+        left, right = marked.where("x % 3 > 0").select("a", "b", "ts", "x"), marked.where("x % 5 > 0").select("a", "b", "ts", "y")
+        found = correlate(left, right, ["a", "b"], "ts", "5 minutes", how, **options)
+        return found.select("a", "b", F.unix_millis("window.start").alias("start"), "left.x", "right.y")
+
+    on_close = dict(emit="on_window_close", parts=3)
+    found = replay_windows(spark, events, lambda m: build(m, **on_close), str(tmp_path / "w"), "1 minute", FIVE_MINUTES)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, build(rows).collect()))
+    marked = with_event_time(stream_table(spark, str(tmp_path / "in"), rows.schema, 1), delay="1 minute")
+    query = run_available(build(marked, **on_close), str(tmp_path / "o2"), str(tmp_path / "c2"))
+    totals = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert 0 < max(totals) <= 3 * 4
+    with pytest.raises(ValueError, match="emit"):
+        build(rows, emit="later")
+
+
 def latest_rows(frame):
     return sorted((r["k"], r["id"]) for r in frame.collect())
 
