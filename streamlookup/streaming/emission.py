@@ -7,37 +7,34 @@ from pyspark.sql import functions as F
 
 from streamlookup.functions.messages import quoted
 
-# Parts in which copies of the same event are counted, so that no single task
-# gets all of them.
-_COPY_PARTS = 32
-
-# Copies are written out again by arrays of at most this length.
-_COPY_RUN = 1_000
+# Lists in which a window's events of one partition and micro-batch wait, dealt at random: copies are dealt
+# like all others, and no task gets all events of a window.
+LISTS = 16
 
 
 def hold_until_close(events: DataFrame, ts: str, size: str, window: str = "window") -> DataFrame:
     """Hold events back until the watermark passes the end of their window.
 
-    Each event comes out once, with its ``window``; copies are kept, as a count
-    while they wait. Events later than the watermark, and events without a time,
-    are dropped. Needs a watermark on ``ts``; batch input just gets the window.
+    Each event comes out once, with its ``window``; copies are kept. Events later than the
+    watermark, and events without a time, are dropped. Needs a watermark on ``ts``; batch input
+    just gets the window.
+
+    What a partition of a micro-batch has of a window is written to the state once, as ``LISTS``
+    lists at most, and read once, when the window closes. A list is bounded by what the source gives to a
+    partition. Rows are dealt in the order of their partition, which a repeated task has to see again, as
+    it does behind a source.
     """
     if not events.isStreaming:
         return events.withColumn(window, F.window(ts, size))
-    columns = [c for c in events.columns if c != ts]
     # The watermark survives on the window only; the event's own time travels
     # as an ordinary value.
+    values = [(F.unix_micros(ts) if c == ts else quoted(c)).alias(f"c{i}") for i, c in enumerate(events.columns)]
+    dealt = [F.current_timestamp().alias("__batch"), F.spark_partition_id().alias("__part"), F.floor(F.rand(0) * LISTS).alias("__list")]
     kept = (
-        events.withColumn("__ts", F.unix_micros(ts))
-        .withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(_COPY_PARTS)))
-        .groupBy(F.window(ts, size).alias(window), "__ts", "__part", *[quoted(c) for c in columns])
-        .agg(F.count(F.lit(1)).alias("__copies"))
-    )
-    runs = F.ceil(F.col("__copies") / F.lit(_COPY_RUN))
-    length = F.least(F.lit(_COPY_RUN), F.col("__copies") - (F.col("__run") - 1) * F.lit(_COPY_RUN))
-    return (
-        kept.withColumn("__run", F.explode(F.sequence(F.lit(1).cast("bigint"), runs)))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), length)))
-        .withColumn(ts, F.timestamp_micros("__ts"))
-        .select(*[quoted(c) for c in events.columns], window)
+        events.select(F.col(ts), F.struct(*values).alias("__event"), *dealt)
+        .groupBy(F.window(ts, size).alias(window), "__batch", "__part", "__list")
+        .agg(F.collect_list("__event").alias("__events"))
     )
+    found = [F.col("__event")[f"c{i}"] for i in range(len(events.columns))]
+    columns = [(F.timestamp_micros(v) if c == ts else v).alias(c) for c, v in zip(events.columns, found)]
+    return kept.select(window, F.explode("__events").alias("__event")).select(*columns, window)

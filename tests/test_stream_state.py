@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from streamlookup.functions.eventtime import with_event_time, with_window
 from streamlookup.streaming.correlate import correlate
+from streamlookup.streaming.emission import LISTS, hold_until_close
 from streamlookup.streaming.late import mark_late, split_late
 from streamlookup.streaming.latest import compact_latest, read_latest, running_latest
 from streamlookup.streaming.replay import files_in_turn, replay, replay_windows, run_available, stream_table, time_ranges
@@ -135,6 +136,19 @@ def test_correlated_when_a_window_closes(spark, tmp_path, how):
         build(rows, emit="later")
 
 
+def test_held_events_are_lists_in_the_state(spark, tmp_path):
+    """A few lists for each partition and window, whatever the number of events, of which none is lost."""
+    rows = spark.range(4000).selectExpr("id % 1000 AS id", "timestamp_millis(id) AS ts", "if(id % 2 = 0, null, id) AS n", "array(id) AS y")
+    parts = [rows.where("n IS NULL"), rows.where("n IS NOT NULL")]
+    events = stream_of(spark, parts, tmp_path / "in")
+    held = hold_until_close(with_event_time(events, delay="0 seconds"), "ts", "5 minutes")
+    query = run_available(held, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    totals = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert LISTS < max(totals) <= 2 * LISTS
+    whole = replay_windows(spark, events, lambda e: hold_until_close(e, "ts", "5 minutes"), str(tmp_path / "w"), "0 seconds", FIVE_MINUTES)
+    assert sorted(map(repr, whole.drop("window").collect())) == sorted(map(repr, rows.collect()))
+
+
 def latest_rows(frame):
     return sorted((r["k"], r["id"]) for r in frame.collect())
 
