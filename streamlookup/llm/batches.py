@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from streamlookup.llm.caches import give_back
+
 # Rows handed to Python at once; long texts make a row weigh megabytes.
 SLICE_ROWS = 256
 
@@ -28,6 +30,7 @@ def map_slices(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 part = batch.slice(start, rows)
@@ -50,6 +53,7 @@ def map_groups(
     names = [*keys, *(c for c in df.columns if c not in keys)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
         groups = (zip(*group) for _, group in groupby(rows, key=itemgetter(*range(len(keys)))))
         found = (row for group in groups for row in function(dict(zip(names, group))))

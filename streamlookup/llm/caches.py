@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 from sys import getsizeof
 from typing import Any
@@ -44,6 +45,14 @@ class Generations(dict):
         self.old, self.held = {}, 0
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can: a worker keeps what earlier tasks
+    have freed in pieces, next to what later ones need."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 _last: list[Generations] = []
 
 
@@ -52,5 +61,6 @@ def take_turn(cache: Generations | None) -> None:
     another stage remembered is released as soon as this one begins."""
     if _last and _last[0] is not cache:
         _last.pop().clear()
+        give_back()
     if cache is not None:
         _last[:] = [cache]

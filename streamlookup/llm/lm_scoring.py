@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
+from streamlookup.llm.caches import give_back
 from streamlookup.llm.words import hashes_of
 from streamlookup.sources.shared import written
 
@@ -273,6 +274,7 @@ def one_thread() -> None:
 
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
     one_thread()
+    give_back()
     for batch in batches:
         for i in range(batch.num_rows):
             yield Chunk(batch.slice(i, 1).to_pylist()[0])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from streamlookup.llm.caches import Generations, take_turn
 
 
@@ -42,3 +45,21 @@ def test_another_cache_releases_the_last():
     take_turn(None)
     assert not other and len(one) == 1
     take_turn(None)
+
+
+def test_what_is_forgotten_goes_back_to_the_system():
+    """Freed pieces between ones still in use: the process gets smaller when another stage begins."""
+
+    def resident():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    cache = Generations(lambda key: bytes(4000), 1 << 30)
+    take_turn(cache)
+    kept = []
+    for i in range(50_000):
+        cache[i]
+        if i % 100 == 0:
+            kept.append(bytes(4000))
+    before = resident()
+    take_turn(None)
+    assert before - resident() > 100_000_000 and len(kept) == 500
