@@ -83,11 +83,36 @@ N_WEIGHTS = sum(_SIZES.values())
 SCORES = "doc_id long, n_words long, log_prob double, mean_log_prob double"
 
 
+class Room:
+    """Arrays by name that step after step writes to: a new one of their size is made of pages
+    that the system zeroes first, which takes longer than most sums over it."""
+
+    def __init__(self):
+        self.kept: dict[str, np.ndarray] = {}
+
+    def array(self, name: str, kind: np.dtype, rows: int, *columns: int) -> np.ndarray:
+        kept = self.kept.get(name)
+        if kept is None or len(kept) < rows:
+            kept = self.kept[name] = np.empty((rows, *columns), kind)
+        return kept[:rows]
+
+    def rows_of(self, name: str, table: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """The rows of ``table`` at the valid ``index``."""
+        found = self.array(name, table.dtype, len(index), *index.shape[1:], *table.shape[1:])
+        return np.take(table, index, axis=0, out=found, mode="clip")  # other modes go by way of a new array
+
+    def __reduce__(self):
+        return Room, ()
+
+
 class Network:
-    """Parameters as views into one flat array."""
+    """Parameters as views into one flat array.
+
+    What :meth:`forward` and :meth:`gradient` give per word is overwritten by the next call."""
 
     def __init__(self, flat: np.ndarray, kind: type = np.float32):
         self.flat = np.ascontiguousarray(flat, kind)
+        self.room = Room()
         at = 0
         for name, shape in _SHAPES.items():
             setattr(self, name, self.flat[at : at + _SIZES[name]].reshape(shape))
@@ -101,10 +126,16 @@ class Network:
         net.out_bias[:] = np.log(shares)
         return net
 
+    def _array(self, name: str, rows: int, columns: int) -> np.ndarray:
+        return self.room.array(name, self.flat.dtype, rows, columns)
+
     def forward(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hidden layer and weights of the experts; ``seen`` has a row of vectors per word."""
-        hidden = np.tanh(seen @ self.mix + self.mix_bias)
-        weights = hidden @ self.out + self.out_bias
+        hidden = np.matmul(seen, self.mix, out=self._array("hidden", len(seen), HIDDEN))
+        hidden += self.mix_bias
+        np.tanh(hidden, out=hidden)
+        weights = np.matmul(hidden, self.out, out=self._array("weights", len(seen), EXPERTS))
+        weights += self.out_bias
         weights -= weights.max(axis=1, keepdims=True)
         np.exp(weights, out=weights)
         weights /= weights.sum(axis=1, keepdims=True)
@@ -119,10 +150,13 @@ class Network:
         shares of the experts once the word is known."""
         found = Network(np.empty_like(self.flat), self.flat.dtype.type)
         hidden, weights = self.forward(seen)
-        shares = weights * chances
+        shares = np.multiply(weights, chances, out=self._array("shares", len(seen), EXPERTS))
         shares /= shares.sum(axis=1, keepdims=True)
-        slope = (weights - shares) / len(seen)
-        back = (slope @ self.out.T) * (1 - hidden * hidden)
+        slope = np.subtract(weights, shares, out=weights)
+        slope /= len(seen)
+        back = np.matmul(slope, self.out.T, out=self._array("back", len(seen), HIDDEN))
+        bend = np.multiply(hidden, hidden, out=self._array("bend", len(seen), HIDDEN))
+        back *= np.subtract(1, bend, out=bend)
         found.out[:] = hidden.T @ slope
         found.out_bias[:] = slope.sum(axis=0)
         found.mix[:] = seen.T @ back
@@ -334,14 +368,16 @@ def count_neighbours(encoded: DataFrame, counts: np.ndarray) -> np.ndarray:
     shared = encoded.sparkSession.sparkContext.broadcast(mark)
 
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        total = np.zeros(BUCKETS * MARKS, np.int32)
+        total = np.zeros((BUCKETS + 1) * MARKS, np.int32)  # the last ones for the places beyond the ends
         for chunk in chunks(batches):
-            around = shared.value[chunk.windows()]
-            own = chunk.buckets[chunk.words].astype(np.int32) * MARKS
-            for j in range(2 * SIDE):
-                at = np.flatnonzero(around[:, j] < MARKS)
-                np.add.at(total, own[at] + around[at, j], 1)
-        return total
+            line, _ = chunk.line()
+            marks = shared.value.take(line)
+            at = np.flatnonzero(marks < MARKS)  # words, so no neighbour is beyond the line
+            found = marks[at]
+            for i in AROUND:
+                # The number's type is that of the sums: any other takes ten times as long.
+                np.add.at(total, line[at - i].astype(np.int64) * MARKS + found, np.int32(1))
+        return total[: BUCKETS * MARKS]
 
     return summed(encoded, count, BUCKETS * MARKS, np.int32).reshape(BUCKETS, MARKS)
 
@@ -411,14 +447,20 @@ class Model:
 
     def __init__(self, net: Network, chances: np.ndarray, vectors: np.ndarray, votes: np.ndarray):
         self.net, self.chances, self.vectors, self.votes = net, chances, vectors, votes
+        self.room = Room()
 
     def seen(self, context: np.ndarray) -> np.ndarray:
-        return self.vectors[context].reshape(len(context), -1)
+        """The vectors of each word's window in a row, overwritten by the next call."""
+        return self.room.rows_of("seen", self.vectors, context).reshape(len(context), -1)
+
+    def chances_in(self, buckets: np.ndarray) -> np.ndarray:
+        """The experts' chances of each bucket, overwritten by the next call."""
+        return self.room.rows_of("chances", self.chances, buckets)
 
     def groups(self, chunk: Chunk) -> np.ndarray:
         """The group that most words of each word's window belong to."""
         line, at = chunk.line()
-        votes = self.votes[line]
+        votes = self.votes.take(line, axis=0)
         n = len(line) - 2 * SIDE
         total = np.zeros((n, GROUPS), np.float32)
         for i in AROUND:
@@ -431,7 +473,7 @@ class Model:
         buckets = chunk.buckets[chunk.words]
         for at in range(0, len(context), SCORE_WORDS):
             part = slice(at, at + SCORE_WORDS)
-            found[part] = self.net.log_probs(self.seen(context[part]), self.chances[buckets[part]])
+            found[part] = self.net.log_probs(self.seen(context[part]), self.chances_in(buckets[part]))
         return found
 
 
@@ -453,10 +495,10 @@ def train_round(encoded: DataFrame, model: Model, i: int, rounds: int, rate: flo
             shares = np.empty((len(chosen), EXPERTS), np.float32)
             for at in range(0, len(chosen), STEP_WORDS):
                 part = slice(at, at + STEP_WORDS)
-                shares[part] = own.step(model.seen(context[part]), model.chances[buckets[part]])
+                shares[part] = own.step(model.seen(context[part]), model.chances_in(buckets[part]))
             order = np.argsort(buckets, kind="stable")
             distinct, first = np.unique(buckets[order], return_index=True)
-            seen[distinct] += np.add.reduceat(shares[order], first, axis=0)
+            seen[distinct] += np.add.reduceat(shares.take(order, axis=0), first, axis=0)
             weights += own.net.flat * float(len(chosen))
             words += len(chosen)
         return np.concatenate([weights, [words], seen.ravel()])

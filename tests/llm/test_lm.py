@@ -31,6 +31,24 @@ def random_model(seed):
     return lm.Model(net, (chances / chances.sum(axis=0)).astype(np.float32), vectors.astype(np.float32), votes.astype(np.float32))
 
 
+def test_steps_use_their_arrays_again():
+    """Smaller ones too; the numbers are those of new arrays."""
+    model, rng = random_model(3), np.random.default_rng(4)
+    net, made = model.net, {}
+    for rows in (50, 50, 20):
+        context = rng.integers(0, lm.BUCKETS + 1, (rows, 2 * lm.SIDE))
+        buckets = rng.integers(0, lm.BUCKETS, rows)
+        seen, chances = model.seen(context), model.chances_in(buckets)
+        assert (seen == model.vectors[context].reshape(rows, -1)).all() and (chances == model.chances[buckets]).all()
+        hidden = np.tanh(seen.astype(np.float32) @ net.mix + net.mix_bias)
+        weights = np.exp(hidden @ net.out + net.out_bias)
+        weights /= weights.sum(axis=1, keepdims=True)
+        found = net.forward(seen.astype(np.float32))
+        assert np.allclose(found[0], hidden, atol=1e-5) and np.allclose(found[1], weights, atol=1e-5)
+        for name, array in zip(("seen", "chances", "hidden", "weights"), (seen, chances, *found)):
+            assert np.shares_memory(made.setdefault(name, array), array)
+
+
 def test_gradient():
     rng = np.random.default_rng(0)
     net = lm.Network(rng.normal(0, 0.3, lm.N_WEIGHTS), np.float64)
