@@ -19,7 +19,7 @@ END_ID = 1
 
 # What a worker may remember of words: less than for packing alone, as the stages before
 # have left their mark on an executor's memory.
-CACHED_BYTES = 80 * 1024 * 1024
+CACHED_BYTES = 40 * 1024 * 1024
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -238,9 +238,9 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, **options) -> DataF
 def _holds(shared, least: int, coverage: float):
     match = _matcher(shared, least, coverage)
 
-    @F.pandas_udf("boolean")
-    def holds(texts: pd.Series) -> pd.Series:
-        found = set(match(list(range(len(texts))), texts.tolist())["doc_id"])
-        return pd.Series([i in found for i in range(len(texts))], dtype=bool)
+    @F.arrow_udf("boolean")
+    def holds(texts: pa.Array) -> pa.Array:
+        found = set(match(list(range(len(texts))), texts.to_pylist())["doc_id"])
+        return pa.array([i in found for i in range(len(texts))], pa.bool_())
 
     return holds

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -223,10 +223,10 @@ def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sizes and signatures do not rule out a link."""
     agree = int(least_agreement(percent / 100) * COORDINATES)
 
-    @F.pandas_udf("boolean")
-    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        left, right = (np.frombuffer(b"".join(s), "u1").reshape(-1, COORDINATES) for s in (a, b))
-        return pd.Series((left == right).sum(axis=1) >= agree)
+    @F.arrow_udf("boolean")
+    def alike(a: pa.Array, b: pa.Array) -> pa.Array:
+        left, right = (np.frombuffer(b"".join(s.to_pylist()), "u1").reshape(-1, COORDINATES) for s in (a, b))
+        return pa.array((left == right).sum(axis=1) >= agree)
 
     for side in "ab":
         own = classes.select(F.col("class").alias(side), F.col("sketch").alias(f"sketch_{side}"), F.col("n_shingles").alias(f"n_{side}"))

@@ -12,7 +12,6 @@ import zlib
 from collections import defaultdict
 from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,6 +108,8 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, bl
     histogram = counts.groupBy("_length").agg(F.sum("count").alias("n")).collect()
     rows = plan({r["_length"]: r["n"] for r in histogram if r["_length"]}, capacity)
     names = ["_length", "_rank", "_count", "sequence_id", "offset"]
+    import pandas as pd  # here, as workers import this module and do without
+
     planned = spark.createDataFrame(pd.DataFrame(rows, columns=names, dtype="int64"), ", ".join(f"{n} long" for n in names))
     # Long runs are cut first, so that many tasks write out their slots.
     cut = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_count") - 1, F.lit(SLOT_RUN).cast("long")))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -265,10 +265,10 @@ def prior_without(p: Column) -> Column:
 
 
 def _ratio_column(evidence: Evidence) -> Column:
-    @F.pandas_udf("double")
-    def ratio(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def ratio(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series(evidence.ratio(texts.tolist()), dtype="float64")
+            yield pa.array(evidence.ratio(texts.to_pylist()), pa.float64())
 
     return ratio
 

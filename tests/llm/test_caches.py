@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
 from pathlib import Path
 
 from streamlookup.llm.caches import Generations, take_turn
@@ -63,3 +65,12 @@ def test_what_is_forgotten_goes_back_to_the_system():
     before = resident()
     take_turn(None)
     assert before - resident() > 100_000_000 and len(kept) == 500
+
+
+def test_workers_of_the_pipeline_do_without_pandas():
+    """What they import stays in each worker's memory: no stage's module brings pandas along."""
+    stages = ("quality_classifier", "near_dedup", "decontamination", "secret_scan", "packing")
+    modules = ", ".join(f"streamlookup.llm.{name}" for name in stages)
+    root = Path(__file__).parents[2]
+    code = f"import sys, pyspark.worker, {modules}; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, check=False).returncode == 0
