@@ -49,6 +49,14 @@ def test_steps_use_their_arrays_again():
             assert np.shares_memory(made.setdefault(name, array), array)
 
 
+@pytest.mark.parametrize("sizes", [[1], [9], [3, 1, 20, 2], [40, 8, 9, 1], [1, 30, 30]])
+def test_sums_of_few_rows_are_those_of_reduceat(sizes):
+    """Bit by bit, whichever sum is the last."""
+    rows = np.random.default_rng(5).random((sum(sizes), 4)).astype(np.float32)
+    first = np.cumsum([0, *sizes[:-1]])
+    assert (lm.sums_from(rows, first) == np.add.reduceat(rows, first, axis=0)).all()
+
+
 def test_gradient():
     rng = np.random.default_rng(0)
     net = lm.Network(rng.normal(0, 0.3, lm.N_WEIGHTS), np.float64)
