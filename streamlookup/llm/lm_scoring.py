@@ -314,8 +314,19 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
             yield Chunk(batch.slice(i, 1).to_pylist()[0])
 
 
-# Numbers in a row of what tasks add up.
-BLOCK = 1 << 16
+# Numbers in a row of what tasks add up: a thousand rows, which go to Python at once, are 64 MB at most.
+BLOCK = 1 << 13
+
+# Rows that Python takes out of a batch at once.
+FEW_AT_ONCE = 64
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The batches' rows; Python holds no second copy of a whole batch."""
+    give_back()
+    for batch in batches:
+        for at in range(0, batch.num_rows, FEW_AT_ONCE):
+            yield from zip(*(column.to_pylist() for column in batch.slice(at, FEW_AT_ONCE).columns))
 
 
 def summed(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int, kind: type = np.float64) -> np.ndarray:
@@ -334,8 +345,7 @@ def summed(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], np.ndarray],
                 yield batch_of([(block, packed(part.astype(kind)))], arrow)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
-        for block, group in groupby(rows, key=lambda row: row[0]):
+        for block, group in groupby(rows_of(batches), key=lambda row: row[0]):
             total = 0.0
             for _, data in group:
                 total = total + unpacked(data, kind).astype(np.float64)
@@ -379,7 +389,9 @@ def count_neighbours(encoded: DataFrame, counts: np.ndarray) -> np.ndarray:
                 np.add.at(total, line[at - i].astype(np.int64) * MARKS + found, np.int32(1))
         return total[: BUCKETS * MARKS]
 
-    return summed(encoded, count, BUCKETS * MARKS, np.int32).reshape(BUCKETS, MARKS)
+    found = summed(encoded, count, BUCKETS * MARKS, np.int32).reshape(BUCKETS, MARKS)
+    shared.unpersist()
+    return found
 
 
 def centres(points: np.ndarray, weights: np.ndarray, n: int, steps: int = 15) -> np.ndarray:
@@ -523,9 +535,10 @@ def train_round(encoded: DataFrame, model: Model, i: int, rounds: int, rate: flo
             seen[distinct] += sums_from(shares.take(order, axis=0), first)
             weights += own.net.flat * float(len(chosen))
             words += len(chosen)
-        return np.concatenate([weights, [words], seen.ravel()])
+        return np.concatenate([np.r_[weights, words].astype(np.float32), seen.ravel()])
 
     total = summed(encoded, train, N_WEIGHTS + 1 + BUCKETS * EXPERTS, np.float32)
+    shared.unpersist()
     weights, words, seen = total[:N_WEIGHTS], total[N_WEIGHTS], total[N_WEIGHTS + 1 :].reshape(BUCKETS, EXPERTS)
     return (Network(weights / words) if words else model.net), seen
 
@@ -541,7 +554,9 @@ def count_groups(encoded: DataFrame, model: Model) -> np.ndarray:
             total += np.bincount(own + shared.value.groups(chunk), minlength=len(total))
         return total
 
-    return summed(encoded, count, BUCKETS * GROUPS).reshape(BUCKETS, GROUPS)
+    found = summed(encoded, count, BUCKETS * GROUPS).reshape(BUCKETS, GROUPS)
+    shared.unpersist()
+    return found
 
 
 def initial_model(encoded: DataFrame) -> tuple[Model, Buckets]:
@@ -578,7 +593,6 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     encoded = _encoded(docs)
     model = train_model(encoded, rounds)
     model.met = count_groups(encoded, model)
-    known = with_words(encoded, model)
     shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model))
     arrow = to_arrow_schema(_parse_datatype_string(SCORES))
 
@@ -591,4 +605,4 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             found = [chunk.row["doc_ids"], sizes, [s if n else 0.0 for s, n in zip(sums, sizes)], means]
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(found, arrow)], schema=arrow)
 
-    return known.mapInArrow(run, SCORES)
+    return with_words(encoded, model, run, SCORES)

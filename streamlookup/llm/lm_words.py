@@ -10,7 +10,7 @@ shards of hashes, and no task or worker holds all of it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from streamlookup.llm.lm_scoring import GROUPS, Chunk, Model, batch_of, chunks, packed, unpacked
+from streamlookup.llm.lm_scoring import GROUPS, Chunk, Model, batch_of, chunks, packed, rows_of, unpacked
 
 # Occurrences that the share in all groups counts as.
 PLAIN_COUNT = 4.0
@@ -41,11 +41,17 @@ def shares_in(counts: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return np.log((counts + PLAIN_COUNT * plain) / (whole + PLAIN_COUNT))
 
 
-def with_words(encoded: DataFrame, model: Model) -> DataFrame:
+def with_words(
+    encoded: DataFrame,
+    model: Model,
+    use: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = iter,
+    schema: str = _PLACES,
+) -> DataFrame:
     """The rows of ``encoded`` with their words' counts in the whole corpus by group (``counts``),
-    and buckets instead of hashes.
+    and buckets instead of hashes; or what ``use`` makes of them, of ``schema``.
 
-    ``n_words`` adds up to the size of the vocabulary over all rows.
+    ``use`` runs in the worker that puts the rows together: a step of its own would give each task a
+    second one. ``n_words`` adds up to the size of the vocabulary over all rows.
     """
     arrows = {x: to_arrow_schema(_parse_datatype_string(x)) for x in (_ASKED, _GIVEN, _PLACES)}
     pairs = encoded.agg(F.sum(F.octet_length("hashes"))).collect()[0][0] or 0
@@ -53,9 +59,6 @@ def with_words(encoded: DataFrame, model: Model) -> DataFrame:
     bits = n.bit_length() - 1
     shared = encoded.sparkSession.sparkContext.broadcast(model)
 
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        return (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
-
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
             key = chunk.words.astype(np.int64) * GROUPS + shared.value.groups(chunk)
@@ -94,7 +97,7 @@ def with_words(encoded: DataFrame, model: Model) -> DataFrame:
     requests = encoded.select("chunk", "sizes", "words", "hashes").mapInArrow(ask, _ASKED)
     answers = requests.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(answer, _GIVEN)
     rows = encoded.mapInArrow(own, _GIVEN).union(answers).repartition("chunk").sortWithinPartitions("chunk", "shard")
-    return rows.mapInArrow(gather, _PLACES)
+    return rows.mapInArrow(lambda batches: use(gather(batches)), schema)
 
 
 def word_log_probs(model: Model, chunk: Chunk) -> np.ndarray:

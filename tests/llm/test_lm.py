@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,6 +171,43 @@ def test_counts(spark, sample):
     assert (lm.count_neighbours(encoded, counts) == expected).all()
 
 
+def test_scoring_has_one_worker_a_task(spark, sample):
+    """Rows are put together and scored in one step: two would need two workers at the same time."""
+    plan = lm.score_documents(documents(spark, sample[:20]), rounds=1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and plan.split("Exchange")[0].count("MapInArrow") == 1
+
+
+def test_rows_leave_a_batch_a_few_at_once(spark):
+    """However many tasks' sums are in it; and as many as go to Python at once stay small."""
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    assert rows * lm.BLOCK * 8 <= 1 << 26
+    batch = pa.record_batch({"block": range(rows), "data": [bytes([i % 256]) * 40_000 for i in range(rows)]})
+    tracemalloc.start()
+    try:
+        found = [(block, len(data), data[0]) for block, data in lm.rows_of(iter([batch, batch.slice(0, 0)]))]
+        assert tracemalloc.get_traced_memory()[1] < 10_000_000
+    finally:
+        tracemalloc.stop()
+    assert found == [(i, 40_000, i % 256) for i in range(rows)]
+
+
+def test_sums_over_tasks(spark):
+    """Of several blocks, the last one not full; blocks of zeros are left out on the way."""
+    size = 3 * lm.BLOCK + 5
+
+    def run(batches):
+        total = np.zeros(size)
+        for x in (x for b in batches for x in b.column(0).to_pylist()):
+            total[x % size] += 1
+            total[-1] += x
+        return total
+
+    expected = np.zeros(size)
+    expected[:100] = 1
+    expected[-1] = sum(range(100))
+    assert (lm.summed(spark.range(0, 100, 1, 7), run, size) == expected).all()
+
+
 def test_every_word_is_masked_once(spark, sample):
     for chunk in read(lm._encoded(documents(spark, sample))):
         chosen = np.concatenate([chunk.masked(i, 3) for i in range(3)])
