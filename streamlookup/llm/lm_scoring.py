@@ -22,7 +22,7 @@ import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import groupby
+from itertools import groupby, islice
 from pathlib import Path
 
 import numpy as np
@@ -314,8 +314,11 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
             yield Chunk(batch.slice(i, 1).to_pylist()[0])
 
 
-# Numbers in a row of what tasks add up: a thousand rows, which go to Python at once, are 64 MB at most.
-BLOCK = 1 << 13
+# Numbers in a row of what tasks add up: a thousand rows, which go to Python at once, are 16 MB at most.
+BLOCK = 1 << 11
+
+# Rows that leave a task at once.
+ROWS_OUT = 16
 
 # Rows that Python takes out of a batch at once.
 FEW_AT_ONCE = 64
@@ -340,19 +343,26 @@ def summed(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], np.ndarray],
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = run(batches)
-        for block, at in enumerate(range(0, size, BLOCK)):
-            if (part := values[at : at + BLOCK]).any():
-                yield batch_of([(block, packed(part.astype(kind)))], arrow)
+        parts = ((block, values[at : at + BLOCK]) for block, at in enumerate(range(0, size, BLOCK)))
+        rows = ((block, packed(part.astype(kind))) for block, part in parts if part.any())
+        while some := [*islice(rows, ROWS_OUT)]:
+            yield batch_of(some, arrow)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, group in groupby(rows_of(batches), key=lambda row: row[0]):
-            total = 0.0
-            for _, data in group:
-                total = total + unpacked(data, kind).astype(np.float64)
-            yield batch_of([(block, packed(total))], arrow)
+        # Of the blocks dealt to the task, whose number does not depend on the input: no sort needed.
+        totals: dict[int, np.ndarray] = {}
+        for block, data in rows_of(batches):
+            part = unpacked(data, kind)
+            if block in totals:
+                totals[block] += part
+            else:
+                totals[block] = part.astype(np.float64)
+        rows = ((block, packed(total)) for block, total in totals.items())
+        while some := [*islice(rows, ROWS_OUT)]:
+            yield batch_of(some, arrow)
 
     total = np.zeros(size)
-    for block, data in df.mapInArrow(give, schema).repartition("block").sortWithinPartitions("block").mapInArrow(add, schema).collect():
+    for block, data in df.mapInArrow(give, schema).repartition("block").mapInArrow(add, schema).collect():
         part = unpacked(data, np.float64)
         total[block * BLOCK : block * BLOCK + len(part)] = part
     return total

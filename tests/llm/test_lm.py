@@ -208,6 +208,22 @@ def test_sums_over_tasks(spark):
     assert (lm.summed(spark.range(0, 100, 1, 7), run, size) == expected).all()
 
 
+def test_sums_are_small_and_not_sorted(spark, monkeypatch):
+    """What goes to Python at once is 16 MB at most, and no sort takes its pages of memory."""
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    assert rows * lm.BLOCK * 8 <= 1 << 24
+    df = spark.range(0, 100, 1, 7)
+
+    def sort(*_):
+        raise AssertionError("sorted")
+
+    for name in ("sortWithinPartitions", "sort", "orderBy"):
+        monkeypatch.setattr(type(df), name, sort)
+    size = lm.BLOCK * (lm.ROWS_OUT + 1) + 3  # more rows than leave a task at once
+    found = lm.summed(df, lambda batches: np.full(size, sum(b.num_rows for b in batches)), size)
+    assert (found == 100).all()
+
+
 def test_every_word_is_masked_once(spark, sample):
     for chunk in read(lm._encoded(documents(spark, sample))):
         chosen = np.concatenate([chunk.masked(i, 3) for i in range(3)])
